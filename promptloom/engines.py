@@ -1,0 +1,42 @@
+"""Deterministic stand-ins for a model, for tests and measurements."""
+
+from __future__ import annotations
+
+from hashlib import md5
+from typing import Any
+
+from promptloom.operators.generation import Engine, Generate
+
+
+def _load_digest() -> Generate:
+    def generate(prompts: list[str], sampling: dict[str, Any]) -> list[str]:
+        return ["gen:" + md5(prompt.encode()).hexdigest() for prompt in prompts]
+
+    return generate
+
+
+def _load_strict() -> Generate:
+    digest = _load_digest()
+
+    def generate(prompts: list[str], sampling: dict[str, Any]) -> list[list[str]]:
+        for prompt in prompts:
+            if len(prompt) > 4000:
+                raise ValueError(f"Prompt of {len(prompt)} characters is too long")
+        return [[text, "second candidate"] for text in digest(prompts, sampling)]
+
+    return generate
+
+
+def _load_sampled() -> Generate:
+    def generate(prompts: list[str], sampling: dict[str, Any]) -> list[str]:
+        return [f"{sampling['max_tokens']}:{md5(prompt.encode()).hexdigest()}" for prompt in prompts]
+
+    return generate
+
+
+# Completes a prompt with its digest.
+DIGEST = Engine("digest", _load_digest)
+# Gives two candidates, and fails on prompts of more than 4000 characters.
+STRICT = Engine("strict", _load_strict)
+# Puts a sampling parameter in front of the digest.
+SAMPLED = Engine("sampled", _load_sampled)
