@@ -145,13 +145,13 @@ def train_text_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     examples = construct_prompts(_pairs(spark, sf_dir), conversational=True, keep=("conv_id", "turn"))
     return examples.select(
-        "conv_id", "turn", F.posexplode("messages").alias("pos", "message")
+        "conv_id", "turn", F.posexplode_outer("messages").alias("pos", "message")
     ).select("conv_id", "turn", F.col("pos").cast("bigint").alias("pos"), "message.role", "message.content")
 
 
 def response_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     examples = construct_prompts(_pairs(spark, sf_dir), INSTRUCTION, conversational=True, keep=("conv_id", "turn"))
-    return examples.select("conv_id", "turn", F.explode(message_targets(F.col("messages"))).alias("m")).select(
+    return examples.select("conv_id", "turn", F.explode_outer(message_targets(F.col("messages"))).alias("m")).select(
         "conv_id", "turn", "m.role", "m.content", "m.is_target"
     )
 
@@ -160,7 +160,7 @@ def response_span_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = response_spans(F.col("text"), "### Input:\n", "\n\n### Response:\n")
     return (
         train_text(spark, sf_dir)
-        .select("conv_id", "turn", F.posexplode(spans).alias("pos", "span"))
+        .select("conv_id", "turn", F.posexplode_outer(spans).alias("pos", "span"))
         .select("conv_id", "turn", F.col("pos").cast("bigint").alias("pos"), "span.context", "span.target")
     )
 
@@ -316,7 +316,7 @@ def json_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sampling_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = service_sampling(_requests(_table(spark, sf_dir, "documents")))
-    return requests.select("task_id", F.explode("sampling").alias("key", "value"))
+    return requests.select("task_id", F.explode_outer("sampling").alias("key", "value"))
 
 
 def service_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,7 +327,7 @@ def service_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def request_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     requests = _requests(_table(spark, sf_dir, "documents")).filter(F.size("prompts") > 0)
-    answers = answer_prompts(requests, SAMPLED, partitions=_partitions(spark))
+    answers = answer_prompts(requests, SAMPLED)
     return answers.select("task_id", F.col("pos").cast("bigint").alias("pos"), "completion")
 
 
@@ -397,10 +397,6 @@ def task_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known_tasks(latest_task_state(spark, f"{folder}/state"))
 
 
-def _partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 QUERIES: dict[str, Query] = {
     "train_text": train_text,
     "train_text_configured": train_text_configured,

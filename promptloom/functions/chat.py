@@ -21,13 +21,17 @@ def conversation(user: Column, system: Column | None = None, assistant: Column |
     def message(role: str, content: Column) -> Column:
         return F.struct(F.lit(role).alias("role"), content.cast("string").alias("content"))
 
-    turns = [message("user", user)]
+    def optional_turn(role: str, content: Column) -> Column:
+        return F.when(content.isNull() | (content == ""), no_turn).otherwise(F.array(message(role, content)))
+
+    # Joined arrays stay inside generated code, where a filter over one array would not.
+    no_turn = F.array().cast(MESSAGES)
+    turns = [F.array(message("user", user))]
     if system is not None:
-        turns.insert(0, message("system", present(system)))
+        turns.insert(0, optional_turn("system", system))
     if assistant is not None:
-        turns.append(message("assistant", present(assistant)))
-    kept = F.filter(F.array(*turns), lambda m: (m["role"] == "user") | m["content"].isNotNull())
-    return kept.cast(MESSAGES)
+        turns.append(optional_turn("assistant", assistant))
+    return F.concat(*turns).cast(MESSAGES)
 
 
 @dataclass(frozen=True)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from string import Formatter
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptloom.functions.values import printed
@@ -48,60 +48,58 @@ def format_text(template: str, positional: Sequence[Column] = (), **named: Colum
     return F.concat(*parts) if parts else F.lit("")
 
 
-def parsed_template(template: Column, names: Sequence[str] = (), positions: int = 0) -> Column:
-    """A template column as struct<segments, error>; a null template gives a null struct.
+def parse_templates(
+    df: DataFrame, template: str, names: Sequence[str] = (), positions: int = 0, prefix: str = "template"
+) -> DataFrame:
+    """Rows with `<prefix>_segments` and `<prefix>_error` for the template in a column.
 
-    A field segment holds the field's name, or its position as text. `error` is the first
-    thing wrong with the template, in the words of the exception.
+    A segment is a literal, or the name or position of a field. The error is the first thing
+    wrong with the template, in the words of the exception; a null template has neither.
     """
-    tokens = F.regexp_extract_all(template, F.lit(_TOKENS), F.lit(0))
-    manual = F.exists(tokens, lambda t: t.rlike(r"^\{[0-9]+\}$"))
-
-    def inner(token: Column) -> Column:
-        return F.substr(token, F.lit(2), F.length(token) - 2)
-
-    def is_field(token: Column) -> Column:
-        return (F.length(token) >= 2) & token.startswith("{") & token.endswith("}")
-
-    def position(token: Column, index: Column) -> Column:
-        earlier = F.size(F.filter(F.slice(tokens, F.lit(1), index), lambda t: t == "{}"))
-        return F.when(token == "{}", earlier).otherwise(inner(token).try_cast("int"))
-
-    def segment(token: Column, index: Column) -> Column:
-        field = F.coalesce(position(token, index).cast("string"), inner(token))
-        literal = F.when(token == "{{", F.lit("{")).when(token == "}}", F.lit("}")).otherwise(token)
-        return F.struct(
-            F.when(~is_field(token), literal).alias("literal"),
-            F.when(is_field(token), field).alias("field"),
-        )
-
-    def problem(token: Column, index: Column) -> Column:
-        where = position(token, index)
-        return (
-            F.when(token == "{", F.lit("Single '{' encountered in format string"))
-            .when(token == "}", F.lit("Single '}' encountered in format string"))
-            .when(~is_field(token), None)
-            .when(inner(token).rlike(r"[:!.\[]"), F.concat(F.lit("Unsupported field "), token))
-            .when((token == "{}") & manual, F.lit("A template cannot mix {} and {0} fields"))
-            .when(
-                where >= positions,
-                F.concat(
-                    F.lit("Replacement index "), where.cast("string"), F.lit(" out of range for positional args tuple")
-                ),
-            )
-            .when(
-                where.isNull() & ~inner(token).isin(*names) if names else where.isNull(),
-                F.concat(F.lit("'"), inner(token), F.lit("'")),
-            )
-        )
-
-    problems = F.filter(F.transform(tokens, problem), lambda p: p.isNotNull())
-    return F.when(
-        template.isNotNull(),
-        F.struct(F.transform(tokens, segment).alias("segments"), F.try_element_at(problems, F.lit(1)).alias("error")),
+    known = ", ".join(f"'{name}'" for name in names) or "NULL"
+    return (
+        df.withColumn("_tokens", F.regexp_extract_all(template, F.lit(_TOKENS), F.lit(0)))
+        .withColumn("_manual", F.expr(r"exists(_tokens, t -> t RLIKE '^\\{[0-9]+\\}$')"))
+        # `field` is null for literal text, and the running number of an automatic field.
+        .withColumn("_pieces", F.expr("""
+            transform(_tokens, (t, i) -> named_struct(
+              'token', t,
+              'field', CASE
+                WHEN t = '{}' THEN string(size(filter(slice(_tokens, 1, i), e -> e = '{}')))
+                WHEN length(t) > 2 AND startswith(t, '{') AND endswith(t, '}') THEN substr(t, 2, length(t) - 2)
+              END))"""))
+        .withColumn(f"{prefix}_segments", F.expr("""
+            transform(_pieces, p -> named_struct(
+              'literal', CASE
+                WHEN p.field IS NOT NULL THEN NULL
+                WHEN p.token = '{{' THEN '{' WHEN p.token = '}}' THEN '}' ELSE p.token END,
+              'field', p.field))"""))
+        .withColumn(f"{prefix}_error", F.expr(f"""
+            try_element_at(filter(transform(_pieces, p -> CASE
+              WHEN p.token IN ('{{', '}}') THEN concat("Single '", p.token, "' encountered in format string")
+              WHEN p.field IS NULL THEN NULL
+              WHEN p.field RLIKE '[:!.\\\\[]' THEN concat('Unsupported field ', p.token)
+              WHEN p.token = '{{}}' AND _manual THEN 'A template cannot mix {{}} and {{0}} fields'
+              WHEN p.field RLIKE '^[0-9]+$' THEN
+                CASE WHEN NOT coalesce(try_cast(p.field AS int) < {positions}, false)
+                THEN concat('Replacement index ', p.field, ' out of range for positional args tuple') END
+              WHEN NOT coalesce(p.field IN ({known}), false) THEN concat("'", p.field, "'")
+            END), e -> e IS NOT NULL), 1)"""))
+        .drop("_tokens", "_manual", "_pieces")
     )
 
 
+def template_segments(template: str) -> Column:
+    """A template known when the job is written, as the segments of a parsed one."""
+    segments = [
+        F.struct(F.lit(literal).alias("literal"), F.lit(field).cast("string").alias("field"))
+        for text, name, _, _ in Formatter().parse(template)
+        for literal, field in ((text or None, None), (None, name))
+        if literal is not None or field is not None
+    ]
+    return F.array(*segments).cast(SEGMENTS)
+
+
 def filled_segments(segments: Column, values: Mapping[str, Column]) -> Column:
     """Segments put together with this row's values; keys are field names or positions."""
 

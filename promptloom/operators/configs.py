@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from promptloom.constants import DEFAULT_TEXT_FORMAT
 from promptloom.functions.chat import LAYOUTS, ChatLayout
 from promptloom.functions.decisions import resolved_format
-from promptloom.functions.templates import parsed_template
+from promptloom.functions.templates import parse_templates, template_segments
 from promptloom.functions.values import present
 
 logger = logging.getLogger(__name__)
@@ -42,7 +42,7 @@ def attach_config(
 ) -> DataFrame:
     """Rows with their configuration's columns, nulls (and the format argument) where there is none.
 
-    `text_template` is the parsed text format, cut into segments once per configuration. A
+    `text_segments` is the text format, cut up once per configuration. A
     template that cannot be formatted, a layout that is not known and a configuration that
     appears twice raise here. The configurations are broadcast after their number is checked;
     above the bound it is an ordinary join, where adaptive execution splits a key that holds
@@ -50,11 +50,13 @@ def attach_config(
     """
     on = list(on)
     template = F.coalesce(present(F.col("text_format")), F.lit(DEFAULT_TEXT_FORMAT))
-    parsed = configs.withColumn("text_template", parsed_template(template, names=TEMPLATE_FIELDS))
+    parsed = parse_templates(
+        configs.withColumn("text_format", template), "text_format", names=TEMPLATE_FIELDS, prefix="text"
+    )
     unknown_layout = present(F.col("chat_template")).isNotNull() & ~F.col("chat_template").isin(*layouts)
     summary = parsed.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.min("text_template.error").alias("template_error"),
+        F.min("text_error").alias("template_error"),
         F.min(F.when(unknown_layout, F.col("chat_template"))).alias("unknown_layout"),
     ).first()
     if summary["template_error"] is not None:
@@ -64,10 +66,11 @@ def attach_config(
     repeated = configs.groupBy(*on).count().filter("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"A configuration appears more than once for {', '.join(on)}")
+    parsed = parsed.drop("text_error")
     side = F.broadcast(parsed) if summary["rows"] <= MAX_BROADCAST_CONFIGS else parsed
-    default_template = parsed_template(F.lit(DEFAULT_TEXT_FORMAT), names=TEMPLATE_FIELDS)
+    segments = F.coalesce(F.col("text_segments"), template_segments(DEFAULT_TEXT_FORMAT))
     return (
         df.join(side, on, "left")
         .withColumn("dataset_format", resolved_format(F.col("dataset_format"), dataset_format))
-        .withColumn("text_template", F.coalesce(F.col("text_template"), default_template))
+        .withColumn("text_segments", segments)
     )

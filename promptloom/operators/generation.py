@@ -7,6 +7,7 @@ a list of candidate texts. It is loaded once per Python worker.
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
@@ -21,9 +22,6 @@ from promptloom.constants import BATCH_SAMPLING
 Generate = Callable[[list[str], dict[str, Any]], list[Any]]
 
 OUTPUTS = "struct<outputs: array<struct<text: string>>, error: string>"
-_ARROW_OUTPUTS = pa.struct(
-    [("outputs", pa.list_(pa.struct([("text", pa.string())]))), ("error", pa.string())]
-)
 
 
 @dataclass(frozen=True)
@@ -57,22 +55,34 @@ def request_sampling(user: Column, defaults: Mapping[str, str | Column]) -> Colu
     return F.map_concat(F.map_filter(default_map, lambda k, _: ~F.map_contains_key(given, k)), given)
 
 
-def complete(prompt: Column, engine: Engine, sampling: Column | None = None, capture_errors: bool = False) -> Column:
+def complete(
+    prompt: Column, engine: Engine, sampling: Mapping[str, str] | Column = BATCH_SAMPLING, capture_errors: bool = False
+) -> Column:
     """The engine's outputs for each prompt as struct<outputs, error>.
 
     A failure fails the job, or with `capture_errors` becomes the error of the prompts that
-    cause it. `sampling` is a map column; without it the batch defaults apply.
+    cause it. `sampling` holds JSON texts: a mapping for the whole job, or a column with one
+    JSON object per prompt.
     """
+    if isinstance(sampling, Column):
+
+        @F.arrow_udf(OUTPUTS)
+        def outputs(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            generate = _generate_of(engine)
+            for prompts, parameters in batches:
+                yield _complete_batch(generate, prompts.to_pylist(), parameters.to_pylist(), capture_errors)
+
+        return outputs(prompt, sampling)
+
+    whole_job = json.dumps(dict(sampling))
 
     @F.arrow_udf(OUTPUTS)
-    def outputs(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def outputs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         generate = _generate_of(engine)
-        for prompts, parameters in batches:
-            yield _complete_batch(generate, prompts.to_pylist(), parameters.to_pylist(), capture_errors)
+        for prompts in batches:
+            yield _complete_batch(generate, prompts.to_pylist(), [whole_job] * len(prompts), capture_errors)
 
-    if sampling is None:
-        sampling = F.create_map(*[F.lit(x) for pair in BATCH_SAMPLING.items() for x in pair])
-    return outputs(prompt, F.to_json(sampling))
+    return outputs(prompt)
 
 
 def first_candidate(outputs: Column) -> Column:
@@ -80,53 +90,54 @@ def first_candidate(outputs: Column) -> Column:
     return F.try_element_at(outputs, F.lit(1))["text"]
 
 
-def completion(prompt: Column, engine: Engine, sampling: Column | None = None) -> Column:
+def completion(prompt: Column, engine: Engine, sampling: Mapping[str, str] | Column = BATCH_SAMPLING) -> Column:
     """The first candidate for each prompt; a failure fails the job."""
     return first_candidate(complete(prompt, engine, sampling)["outputs"])
 
 
 def _complete_batch(generate: Generate, prompts: list, parameters: list, capture_errors: bool) -> pa.Array:
     """One Arrow batch: the engine is called once for each distinct set of parameters."""
-    rows: list[dict | None] = [None] * len(prompts)
+    answers: list[list[str] | Exception] = [ValueError("No prompt to complete")] * len(prompts)
     by_parameters: dict[str, list[int]] = {}
     for i, text in enumerate(parameters):
         if prompts[i] is not None:
             by_parameters.setdefault(text, []).append(i)
-        elif capture_errors:
-            rows[i] = {"outputs": None, "error": "No prompt to complete"}
-        else:
-            raise ValueError("No prompt to complete")
+        elif not capture_errors:
+            raise answers[i]
     for text, positions in by_parameters.items():
         sampling = {k: _typed(v) for k, v in json.loads(text).items()}
-        answers = _answers(generate, [prompts[i] for i in positions], sampling, capture_errors)
-        for i, answer in zip(positions, answers):
-            rows[i] = answer
-    return pa.array(rows, _ARROW_OUTPUTS)
-
-
-def _answers(generate: Generate, prompts: list[str], sampling: dict, capture_errors: bool) -> list[dict]:
+        given = _answers(generate, [prompts[i] for i in positions], sampling, capture_errors)
+        for i, answer in zip(positions, given):
+            answers[i] = answer
+    failed = [isinstance(answer, Exception) for answer in answers]
+    candidates = [[] if bad else answer for bad, answer in zip(failed, answers)]
+    texts = pa.array([text for answer in candidates for text in answer], pa.string())
+    ends = list(itertools.accumulate(map(len, candidates), initial=0))
+    outputs = pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.StructArray.from_arrays([texts], names=["text"]), mask=pa.array(failed)
+    )
+    errors = [(str(answer) or type(answer).__name__) if bad else None for bad, answer in zip(failed, answers)]
+    return pa.StructArray.from_arrays([outputs, pa.array(errors, pa.string())], names=["outputs", "error"])
+
+
+def _answers(
+    generate: Generate, prompts: list[str], sampling: dict, capture_errors: bool
+) -> list[list[str] | Exception]:
+    """Candidate texts for each prompt, or what it failed with."""
     try:
         outputs = generate(prompts, dict(sampling))
         if len(outputs) != len(prompts):
             raise ValueError(f"Generated {len(outputs)} completions from {len(prompts)} prompts")
-        return [_answer(output) for output in outputs]
+        return [[output] if isinstance(output, str) else list(output) for output in outputs]
     except Exception as error:
         if not capture_errors:
             raise
         if len(prompts) == 1:
-            return [{"outputs": None, "error": str(error) or type(error).__name__}]
+            return [error]
         # Halving finds the prompts at fault in few calls when they are few.
         half = len(prompts) // 2
-        return [
-            answer
-            for part in (prompts[:half], prompts[half:])
-            for answer in _answers(generate, part, sampling, capture_errors)
-        ]
-
-
-def _answer(output: Any) -> dict:
-    candidates = [output] if isinstance(output, str) else list(output)
-    return {"outputs": [{"text": text} for text in candidates], "error": None}
+        parts = prompts[:half], prompts[half:]
+        return [answer for part in parts for answer in _answers(generate, part, sampling, capture_errors)]
 
 
 def _typed(text: str | None) -> Any:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from promptloom.constants import DEFAULT_TEXT_FORMAT, INFERENCE, INPUT
 from promptloom.functions.chat import CHATML, LAYOUTS, ChatLayout
 from promptloom.functions.decisions import is_conversational, rendered_by_layout
-from promptloom.functions.templates import filled_segments, format_text, parsed_template
+from promptloom.functions.templates import filled_segments, format_text
 from promptloom.functions.values import as_text, present
 from promptloom.operators.guards import require_columns
 
@@ -69,14 +69,14 @@ def format_prompts_by_row(
     """Prompts rendered by the configuration columns on each row, so one job can mix them.
 
     Expects what `attach_config` adds: `dataset_format`, `instruction`, `chat_template` and
-    the parsed `text_template`.
+    the cut-up `text_segments`.
     """
     template = F.coalesce(present(F.col("chat_template")), F.lit(model_template).cast("string"))
     instruction = present(F.col("instruction"))
     layout_name = F.coalesce(template, F.lit(_name_of(CHATML, layouts)))
     prompt = F.col(prompt_column)
     text = filled_segments(
-        F.col("text_template.segments"),
+        F.col("text_segments"),
         {"instruction": F.coalesce(instruction, F.lit("")), "input": prompt, "response": F.lit("")},
     )
     chat = rendered_by_layout(layout_name, prompt, instruction, layouts)
@@ -93,6 +93,3 @@ def with_completions(df: DataFrame, completions: Column, output_column: str = IN
 
 def _name_of(layout: ChatLayout, layouts: Mapping[str, ChatLayout]) -> str | None:
     return next((name for name, known in layouts.items() if known == layout), None)
-
-
-__all__ = ["format_prompts", "format_prompts_by_row", "input_prompts", "parsed_template", "with_completions"]

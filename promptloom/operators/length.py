@@ -64,9 +64,15 @@ def bound_prompts(
 
 
 def _bounded(df: DataFrame, column: str, limit: Column, tokens: TokenFunction, side) -> DataFrame:
+    """The column cut at one end, and `_cut`, whether it was.
+
+    More than n white-space tokens take more than 2n characters, so shorter texts, most of
+    them at the usual limits, are passed through without being tokenised.
+    """
     text, found = F.col(column), F.col("_tokens")
+    may_be_over = F.length(text) > 2 * limit if tokens is whitespace_tokens else F.lit(True)
     return (
-        df.withColumn("_tokens", tokens(text))
+        df.withColumn("_tokens", F.when(may_be_over, tokens(text)))
         .withColumn("_cut", F.coalesce(F.size(found) > limit, F.lit(False)))
         .withColumn(column, F.when(F.col("_cut"), F.array_join(side(found, limit), " ")).otherwise(text))
         .drop("_tokens")

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from promptloom.session import checkpointed
+
 ROW_ID = "row_id"
 
+# At some 200 bytes a split this is about 100 MB, and at 128 MB a split 64 TB of input.
+MAX_BROADCAST_SPLITS = 500_000
+
 
 def number_by_key(df: DataFrame, key: str, buckets: int | None = None, name: str = ROW_ID) -> DataFrame:
     """Rows numbered in the order of a unique numeric key.
@@ -37,9 +42,9 @@ def number_by_key(df: DataFrame, key: str, buckets: int | None = None, name: str
 def number_by_scan(df: DataFrame, name: str = ROW_ID) -> DataFrame:
     """Rows of a file scan numbered in the order of their files and lines.
 
-    A first pass counts the rows of each input split; the counts give each split its start.
-    There is one count per split (128 MB by default), so they are broadcast, and the rows
-    themselves are not shuffled. `df` must be the scan itself.
+    A first pass counts the rows of each input split (128 MB by default) and fixes the counts
+    in the shared folder; they give each split its start. Up to a checked number of splits
+    they are broadcast and the rows are not shuffled. `df` must be the scan itself.
     """
     tagged = df.select(
         "*",
@@ -48,12 +53,13 @@ def number_by_scan(df: DataFrame, name: str = ROW_ID) -> DataFrame:
         F.monotonically_increasing_id().alias("_id"),
     )
     running = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
+    starts = checkpointed(
         tagged.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
         .select("_file", "_block", "_first", F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_start"))
     )
+    side = F.broadcast(starts) if starts.count() <= MAX_BROADCAST_SPLITS else starts
     return (
-        tagged.join(F.broadcast(starts), ["_file", "_block"])
+        tagged.join(side, ["_file", "_block"])
         .withColumn(name, F.col("_id") - F.col("_first") + F.col("_start"))
         .drop("_file", "_block", "_id", "_first", "_start")
     )

@@ -42,8 +42,8 @@ def complete_dataset(
     """The rows with a completion of their input. Rows stay where they are: no shuffle."""
     prompts = input_prompts(df, input_column, _PROMPT)
     formatted = format_prompts(prompts, config, model_template, prompt_column=_PROMPT)
-    parameters = F.create_map(*[F.lit(x) for pair in batch_sampling(**(sampling or {})).items() for x in pair])
-    completed = with_completions(formatted, completion(F.col(_PROMPT), engine, parameters), output_column)
+    made = completion(F.col(_PROMPT), engine, batch_sampling(**(sampling or {})))
+    completed = with_completions(formatted, made, output_column)
     return completed.withColumnRenamed(_PROMPT, PROMPT) if keep_prompt else completed.drop(_PROMPT)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptloom.schemas import REQUEST
@@ -27,19 +27,20 @@ def read_requests(
     )
 
 
-def rejection() -> Column:
-    """Why a request is not taken; null for one that is."""
-    return (
+def with_rejection(requests: DataFrame) -> DataFrame:
+    """Requests with the `reason` they are not taken; null for those that are."""
+    return requests.withColumn(
+        "reason",
         F.when(F.col("_corrupt_record").isNotNull(), "Malformed request")
         .when(F.col("prompts").isNull(), "Field required: prompts")
         .when(F.exists("prompts", lambda p: p.isNull()), "Prompts must be strings")
-        .when(F.col("task_id").isNull(), "Field required: task_id")
+        .when(F.col("task_id").isNull(), "Field required: task_id"),
     )
 
 
-def valid_requests(requests: DataFrame) -> DataFrame:
-    return requests.filter(rejection().isNull()).drop("_corrupt_record")
+def valid_requests(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("reason").isNull()).drop("reason", "_corrupt_record")
 
 
-def rejected_requests(requests: DataFrame) -> DataFrame:
-    return requests.withColumn("reason", rejection()).filter(F.col("reason").isNotNull())
+def rejected_requests(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("reason").isNotNull())

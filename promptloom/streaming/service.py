@@ -12,18 +12,18 @@ from pyspark.sql.streaming import StreamingQuery
 from promptloom.constants import SERVICE_INSTRUCTION, SERVICE_SAMPLING
 from promptloom.functions.chat import LAYOUTS, ChatLayout
 from promptloom.functions.decisions import rendered_by_layout
-from promptloom.functions.templates import filled_segments, parsed_template
+from promptloom.functions.templates import filled_segments, parse_templates
 from promptloom.functions.tokens import resolved_limit
 from promptloom.functions.values import present
 from promptloom.operators.generation import Engine, complete, first_candidate, request_sampling
 from promptloom.operators.length import bound_prompts
 from promptloom.sinks.completions import save_task_completions
-from promptloom.sources.requests import rejected_requests, valid_requests
+from promptloom.sources.requests import valid_requests, with_rejection
 from promptloom.streaming.tasks import fold_task_events
 
 
 def service_sampling(requests: DataFrame, model_limit: int | None = None) -> DataFrame:
-    """Requests with `sampling`: the service defaults and the prompt limit under the user's own."""
+    """Requests with `sampling`: the user's parameters over the service defaults and prompt limit."""
     limit = resolved_limit(F.lit(model_limit).cast("int"))
     defaults = SERVICE_SAMPLING | {"truncate_prompt_tokens": limit}
     return requests.withColumn("sampling", request_sampling(F.col("sampling_params"), defaults))
@@ -32,18 +32,23 @@ def service_sampling(requests: DataFrame, model_limit: int | None = None) -> Dat
 def fan_out(requests: DataFrame, model_limit: int | None = None) -> DataFrame:
     """One row per prompt, `pos` its place in the request. A request without prompts keeps one row.
 
-    Parameters are worked out once per request, before the prompts are spread.
+    Parameters are worked out once per request, before the prompts are spread: templates are
+    cut up and sampling parameters become one JSON text.
     """
-    params = F.col("prompts_params")
-    return (
-        service_sampling(requests, model_limit)
-        .withColumn("instruction", present(params["instruction"]))
-        .withColumn("chat_template", present(params["chat_template"]))
-        .withColumn("text_template", parsed_template(present(params["text_format"]), positions=3))
-        .select(
-            "task_id", "instruction", "chat_template", "text_template", "sampling",
-            F.posexplode_outer("prompts").alias("pos", "prompt"),
-        )
+    params, sampling = F.col("prompts_params"), F.col("sampling")
+    limit = sampling["truncate_prompt_tokens"].try_cast("int")
+    prepared = service_sampling(requests, model_limit).select(
+        "task_id",
+        "prompts",
+        present(params["instruction"]).alias("instruction"),
+        present(params["chat_template"]).alias("chat_template"),
+        present(params["text_format"]).alias("text_format"),
+        F.to_json(sampling, {"ignoreNullFields": "false"}).alias("sampling"),
+        F.when(limit >= 1, limit).alias("max_prompt_tokens"),
+    )
+    return parse_templates(prepared, "text_format", positions=3, prefix="text").select(
+        "task_id", "instruction", "chat_template", "text_segments", "text_error", "sampling", "max_prompt_tokens",
+        F.posexplode_outer("prompts").alias("pos", "prompt"),
     )
 
 
@@ -56,9 +61,9 @@ def format_requests(
     format, and the prompt as it is.
     """
     layout = F.coalesce(F.col("chat_template"), F.lit(model_template).cast("string"))
-    instruction, prompt, text = F.col("instruction"), F.col("prompt"), F.col("text_template")
+    instruction, prompt, segments = F.col("instruction"), F.col("prompt"), F.col("text_segments")
     filled = filled_segments(
-        text["segments"],
+        segments,
         {"0": F.coalesce(instruction, F.lit(SERVICE_INSTRUCTION)), "1": prompt, "2": F.lit("")},
     )
     unknown = F.concat(F.lit("Unknown chat layout '"), layout, F.lit("'"))
@@ -67,12 +72,12 @@ def format_requests(
         F.when(F.col("pos").isNull(), "list index out of range")
         .when(prompt.isNull(), "Prompt is null")
         .when(layout.isNotNull() & ~layout.isin(*layouts), unknown)
-        .when(layout.isNull(), text["error"]),
+        .when(layout.isNull(), F.col("text_error")),
     ).withColumn(
         "prompt",
         F.when(F.col("error").isNotNull(), None)
         .when(layout.isNotNull(), rendered_by_layout(layout, prompt, instruction, layouts))
-        .when(text.isNotNull(), filled)
+        .when(segments.isNotNull(), filled)
         .otherwise(prompt),
     )
 
@@ -95,8 +100,7 @@ def answer_prompts(
     if partitions:
         prompts = prompts.repartition(partitions, "task_id", "pos")
     formatted = format_requests(prompts, model_template, layouts)
-    limit = F.col("sampling")["truncate_prompt_tokens"].try_cast("int")
-    bounded = bound_prompts(formatted, max_tokens=F.when(limit >= 1, limit))
+    bounded = bound_prompts(formatted, max_tokens=F.col("max_prompt_tokens"))
     answers = complete(F.col("prompt"), engine, F.col("sampling"), capture_errors=True)
     return bounded.withColumn("answer", answers).select(
         "task_id", "pos", "prompt",
@@ -111,7 +115,8 @@ def fan_in(answers: DataFrame) -> DataFrame:
     One failed prompt fails its request, with the first prompt's message and no completions.
     A group is one request, which came in as one row, so its size is bounded by that row.
     """
-    in_order = F.array_sort(F.collect_list(F.struct("pos", "completion")))
+    # A request sent again in the same batch has the same answers, which a set holds once.
+    in_order = F.array_sort(F.collect_set(F.struct("pos", "completion")))
     failed_at = F.when(F.col("error").isNotNull(), F.coalesce(F.col("pos"), F.lit(0)))
     gathered = answers.groupBy("task_id").agg(
         F.transform(in_order, lambda a: a["completion"]).alias("completions"),
@@ -135,26 +140,33 @@ def serve_requests(
     trigger: Mapping[str, object] | None = None,
     **options,
 ) -> StreamingQuery:
-    """Answers a stream of requests into `folder`: `tasks`, `events` and `rejects`.
+    """Answers a stream of requests into `folder`: `requests`, `tasks` and `events`.
 
-    Each batch owns one directory in each table and replaces it if it runs again. Answers are
-    written before anything else uses them, so the engine runs once per batch.
+    Each batch owns one directory in each table and replaces it if it runs again. Requests are
+    parsed once and kept with the reason where one is rejected; answers are written before
+    anything else uses them, so the engine runs once per batch.
     """
 
+    def written(df: DataFrame, table: str, batch_id: int) -> DataFrame:
+        path = f"{folder}/{table}/batch_id={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
+
     def serve(batch: DataFrame, batch_id: int) -> None:
-        spark, part = batch.sparkSession, f"batch_id={batch_id}"
-        rejected_requests(batch).select("task_id", "reason", F.col("_corrupt_record").alias("body")).write.mode(
-            "overwrite"
-        ).json(f"{folder}/rejects/{part}")
-        requests = valid_requests(batch)
+        requests = valid_requests(written(with_rejection(batch), "requests", batch_id))
         running_at = time.time()
-        fan_in(answer_prompts(requests, engine, **options)).write.mode("overwrite").parquet(f"{folder}/tasks/{part}")
-        tasks = spark.read.parquet(f"{folder}/tasks/{part}")
-        no_error = F.lit(None).cast("string").alias("error")
-        queued = requests.select("task_id", F.lit("queued").alias("status"), F.col("queued_at").alias("event_at"), no_error)
-        running = requests.select("task_id", F.lit("running").alias("status"), F.lit(running_at).alias("event_at"), no_error)
+        tasks = written(fan_in(answer_prompts(requests, engine, **options)), "tasks", batch_id)
+        started = requests.select(
+            "task_id",
+            F.inline(
+                F.array(
+                    F.struct(F.lit("queued").alias("status"), F.col("queued_at").alias("event_at")),
+                    F.struct(F.lit("running").alias("status"), F.lit(running_at).alias("event_at")),
+                )
+            ),
+        ).withColumn("error", F.lit(None).cast("string"))
         ended = tasks.select("task_id", "status", F.lit(time.time()).alias("event_at"), "error")
-        queued.unionByName(running).unionByName(ended).write.mode("overwrite").parquet(f"{folder}/events/{part}")
+        written(started.unionByName(ended), "events", batch_id)
         if completions_folder:
             save_task_completions(tasks, completions_folder)
 
