@@ -28,7 +28,8 @@ def resolved_limit(model_limit: Column) -> Column:
 
 
 def token_count(text: Column, tokens: TokenFunction = whitespace_tokens) -> Column:
-    return F.size(tokens(text)).cast("bigint")
+    """How many tokens a text has; a null text has none."""
+    return F.coalesce(F.size(tokens(text)), F.lit(0)).cast("bigint")
 
 
 def head_tokens(tokens: Column, limit: Column) -> Column:

@@ -54,20 +54,24 @@ def attach_config(
         configs.withColumn("text_format", template), "text_format", names=TEMPLATE_FIELDS, prefix="text"
     )
     unknown_layout = present(F.col("chat_template")).isNotNull() & ~F.col("chat_template").isin(*layouts)
-    summary = parsed.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("text_error").alias("template_error"),
-        F.min(F.when(unknown_layout, F.col("chat_template"))).alias("unknown_layout"),
-    ).first()
-    if summary["template_error"] is not None:
-        raise ValueError(f"Text format of a configuration: {summary['template_error']}")
-    if summary["unknown_layout"] is not None:
-        raise ValueError(f"Unknown chat layout {summary['unknown_layout']!r}, known are {', '.join(layouts)}")
-    repeated = configs.groupBy(*on).count().filter("count > 1")
-    if not repeated.isEmpty():
+    summary = (
+        parsed.groupBy(*on)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min("text_error").alias("text_error"),
+            F.min(F.when(unknown_layout, F.col("chat_template"))).alias("unknown_layout"),
+        )
+        .agg(F.sum("rows"), F.max("rows"), F.min("text_error"), F.min("unknown_layout"))
+    )
+    rows, most, text_error, layout = summary.first()
+    if text_error is not None:
+        raise ValueError(f"Text format of a configuration: {text_error}")
+    if layout is not None:
+        raise ValueError(f"Unknown chat layout {layout!r}, known are {', '.join(layouts)}")
+    if (most or 0) > 1:
         raise ValueError(f"A configuration appears more than once for {', '.join(on)}")
     parsed = parsed.drop("text_error")
-    side = F.broadcast(parsed) if summary["rows"] <= MAX_BROADCAST_CONFIGS else parsed
+    side = F.broadcast(parsed) if (rows or 0) <= MAX_BROADCAST_CONFIGS else parsed
     segments = F.coalesce(F.col("text_segments"), template_segments(DEFAULT_TEXT_FORMAT))
     return (
         df.join(side, on, "left")

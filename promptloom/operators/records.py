@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from promptloom.constants import DATASETS_FOLDER, PARAM_LENGTH_LIMIT
 from promptloom.functions.values import commit_hash, printed, sanitized_name
-from promptloom.schemas import LINEAGE
 
 
 def profile(df: DataFrame, *by: str) -> DataFrame:
@@ -57,7 +56,7 @@ def lineage_record(
         revision.alias("commit_hash"),
         "num_rows",
         "schema",
-    ).to(spark.createDataFrame([], LINEAGE).schema)
+    )
 
 
 def param_rows(spark: SparkSession, params: Mapping[str, object] | None) -> DataFrame:

@@ -1,0 +1,81 @@
+import pytest
+from pyspark.sql import functions as F
+
+from promptloom.constants import EXTRACTION_SCHEMA
+from promptloom.functions.chat import CHATML, EXTRACTION, ChatLayout, conversation
+from promptloom.functions.spans import message_targets
+
+SCHEMA = "system string, user string, assistant string"
+ROWS = [
+    (system, user, assistant)
+    for system in (None, "", " ", "Be brief.")
+    for user in (None, "", "Hi")
+    for assistant in (None, "", "Hello")
+]
+
+
+def expected_conversation(system, user, assistant):
+    turns = [("system", system)] if system else []
+    turns.append(("user", user))
+    return turns + ([("assistant", assistant)] if assistant else [])
+
+
+def test_empty_and_null_messages_are_left_out_but_never_the_user(evaluate):
+    got = evaluate(ROWS, SCHEMA, conversation(F.col("user"), F.col("system"), F.col("assistant")))
+    assert [[tuple(m) for m in messages] for messages in got] == [expected_conversation(*row) for row in ROWS]
+
+
+def test_conversation_of_a_user_only(evaluate):
+    assert evaluate(ROWS[:1], SCHEMA, conversation(F.col("user")))[0][0].role == "user"
+
+
+def test_chatml(evaluate):
+    messages = conversation(F.col("user"), F.col("system"), F.col("assistant"))
+    got = evaluate([("S", "U", "A")], SCHEMA, CHATML.render(messages))
+    assert got == [
+        "<|im_start|>system\nS<|im_end|>\n<|im_start|>user\nU<|im_end|>\n"
+        "<|im_start|>assistant\nA<|im_end|>\n<|im_start|>assistant\n"
+    ]
+    assert evaluate([("S", "U", None)], SCHEMA, CHATML.render(messages, generate=False)) == [
+        "<|im_start|>system\nS<|im_end|>\n<|im_start|>user\nU<|im_end|>\n"
+    ]
+
+
+def test_extraction_layout(evaluate):
+    messages = conversation(F.col("user"), F.col("system"), F.col("assistant"))
+    user = f"<|im_start|>user\n# Template:\n{EXTRACTION_SCHEMA}\n# Input:\ntext\n<|im_end|>\n"
+    opening = (
+        "<|im_start|>system\nYou are NuExtract, an information extraction tool created by NuMind.\n<|im_end|>\n"
+    )
+    final = "<|im_start|>assistant\nout\n<|endoftext|>"
+    # With a system message of its own, no opening is written.
+    assert evaluate([(None, " text\n", "out "), ("S", "text", "out")], SCHEMA, EXTRACTION.render(messages, False)) == [
+        opening + user + final,
+        "<|im_start|>system\nS\n<|im_end|>\n" + user + final,
+    ]
+    assert evaluate([(None, "\ttext ", None)], SCHEMA, EXTRACTION.prompt(F.col("user"))) == [
+        opening + user + "<|im_start|>assistant"
+    ]
+
+
+def test_only_the_last_assistant_turn_ends_the_text(spark):
+    turns = [("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d")]
+    df = spark.createDataFrame([(turns,)], "messages array<struct<role: string, content: string>>")
+    text = df.select(EXTRACTION.render(F.col("messages"), False)).first()[0]
+    assert text.count("<|endoftext|>") == 1 and text.endswith("d\n<|endoftext|>") and "b\n<|im_end|>" in text
+    assert text.count("NuMind") == 1
+
+
+@pytest.mark.parametrize("layout", [CHATML, EXTRACTION, ChatLayout(start="[", end="]", generation_prompt=">")])
+def test_prompt_equals_rendered_conversation(evaluate, layout):
+    rows = [(s, u, None) for s, u, _ in ROWS[::3]]
+    user, system = F.col("user"), F.col("system")
+    by_prompt = evaluate(rows, SCHEMA, layout.prompt(user, system))
+    assert by_prompt == evaluate(rows, SCHEMA, layout.render(conversation(user, system)))
+    assert evaluate(rows, SCHEMA, layout.prompt(user)) == evaluate(rows, SCHEMA, layout.render(conversation(user)))
+
+
+def test_assistant_turns_are_targets(evaluate):
+    messages = conversation(F.col("user"), F.col("system"), F.col("assistant"))
+    got = evaluate([("S", "U", "A")], SCHEMA, message_targets(messages))
+    assert [tuple(m) for m in got[0]] == [("system", "S", False), ("user", "U", False), ("assistant", "A", True)]

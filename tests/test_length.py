@@ -1,0 +1,65 @@
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from promptloom.functions.tokens import resolved_limit, token_count
+from promptloom.operators.length import bound_examples, bound_prompts, require_valid_prompts, validate_prompts
+
+TEXTS = [None, "", " \t\n ", "a", "a b", "a  b\nc", " a b c d ", "a\x0bb\x0cc\rd e", "long" * 50 + " x"]
+
+
+@pytest.fixture
+def texts(spark):
+    return spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string")
+
+
+def ascii_tokens(text):
+    for space in "\t\n\x0b\x0c\r":
+        text = text.replace(space, " ")
+    return [t for t in text.split(" ") if t]
+
+
+def test_token_count(texts):
+    got = [r[0] for r in texts.select(token_count(F.col("text"))).collect()]
+    assert got == [len(ascii_tokens(t or "")) for t in TEXTS]
+
+
+@pytest.mark.parametrize("limit", [1, 2, 3, 4, 5])
+def test_head_and_tail(texts, limit):
+    heads = [(r.text, r.was_truncated) for r in bound_examples(texts, "text", limit).collect()]
+    tails = [r.text for r in bound_prompts(texts, "text", limit).collect()]
+    for text, (head, cut), tail in zip(TEXTS, heads, tails):
+        tokens = ascii_tokens(text or "")
+        assert cut == (len(tokens) > limit)
+        assert head == (" ".join(tokens[:limit]) if cut else text)
+        assert tail == (" ".join(tokens[-limit:]) if cut else text)
+
+
+def test_tail_limit_by_row(texts):
+    limits = F.when(F.col("id") > 5, F.col("id") - 5)
+    got = [r.text for r in bound_prompts(texts, "text", limits).collect()]
+    assert got[:6] == TEXTS[:6]
+    assert got[6:] == ["d", "d e", TEXTS[8]]
+
+
+def test_resolved_limit(evaluate):
+    rows = [(None,), (512,), (999_999,), (1_000_000,), (10**30,)]
+    got = evaluate([(str(r[0]) if r[0] else None,) for r in rows], "m string", resolved_limit(F.col("m").cast("decimal(38,0)")))
+    assert got == [8192, 512, 999_999, 8192, 8192]
+
+
+def test_validation(texts):
+    checked = validate_prompts(texts.filter("text is not null"), "text", 2).collect()
+    assert [r.ok for r in checked] == [len(ascii_tokens(t)) <= 2 for t in TEXTS[1:]]
+    assert [r.text for r in require_valid_prompts(texts.filter("id < 5"), "text", 2).collect()] == TEXTS[:5]
+    with pytest.raises(Exception, match="Prompt is 4 tokens, max is 2"):
+        require_valid_prompts(texts.filter("id = 6"), "text", 2).collect()
+
+
+def test_own_token_function(texts):
+    @F.arrow_udf("array<string>")
+    def characters(text: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else list(t) for t in text.to_pylist()], pa.list_(pa.string()))
+
+    got = bound_examples(texts.filter("id in (3, 4)"), "text", 2, characters).collect()
+    assert [(r.text, r.was_truncated) for r in got] == [("a", False), ("a  ", True)]

@@ -1,0 +1,106 @@
+import json
+from hashlib import md5
+
+import pytest
+
+import __spark_entry__ as registry
+from promptloom.engines import DIGEST
+from promptloom.plans.inference import run_inference
+from promptloom.plans.training import training_table
+
+SF = "/root/testdata/sf0.001"
+RECORDS = [{"input": f"q{i}", "completion": f"a{i}" if i % 2 else None, "instruction": "row"} for i in range(6)]
+
+
+@pytest.fixture
+def storage(tmp_path):
+    (tmp_path / "datasets").mkdir()
+    (tmp_path / "datasets" / "d.json").write_text("\n".join(map(json.dumps, RECORDS)))
+    (tmp_path / "extras" / "d.json").mkdir(parents=True)
+    config = {
+        "name": "cfg", "text_format": "<q>{input}<a>{response}", "instruction_part": "<q>", "response_part": "<a>",
+    }
+    (tmp_path / "extras" / "d.json" / "cfg.json").write_text(json.dumps(config))
+    return tmp_path
+
+
+def test_training_table(spark, storage):
+    folders = {"datasets_folder": str(storage / "datasets"), "configs_folder": str(storage / "extras")}
+    text = training_table(spark, "d.json", dataset_config="cfg", **folders)
+    rows = text.collect()
+    assert text.columns == ["text", "was_truncated", "targets"]
+    assert [r.text for r in rows] == [f"<q>{r['input']}<a>{r['completion']}" for r in RECORDS]
+    assert [[tuple(t) for t in r.targets] for r in rows] == [[(r["input"], str(r["completion"]))] for r in RECORDS]
+
+    chat = training_table(spark, "d.json", model_template="chatml", keep=("input",), **folders)
+    assert chat.columns == ["input", "messages"]
+    assert [m.content for m in chat.first().messages] == ["row", "q0"]
+    forced = training_table(spark, "d.json", dataset_format="conversational", dataset_config="cfg", **folders)
+    assert [(t.role, t.is_target) for t in forced.collect()[1].targets] == [
+        ("system", False), ("user", False), ("assistant", True),
+    ]
+    as_text = training_table(spark, "d.json", dataset_format="text", model_template="chatml", max_tokens=2, **folders)
+    assert as_text.first().was_truncated
+
+
+def test_inference_run(spark, storage):
+    folders = {
+        "datasets_folder": str(storage / "datasets"),
+        "configs_folder": str(storage / "extras"),
+        "completions_folder": str(storage / "completions"),
+    }
+    run = run_inference(
+        spark, DIGEST, "d.json", dataset_config="cfg", sampling={"max_tokens": 9}, output_name="out",
+        records_folder=str(storage / "records"), **folders,
+    )
+    assert run.path.endswith("/completions/out.json") and run.num_rows == len(RECORDS)
+    got = {r.input: r for r in spark.read.json(run.path).collect()}
+    assert got["q3"].inference == "gen:" + md5(b"<q>q3<a>").hexdigest()
+    assert got["q3"].instruction == "row" and got["q2"].completion is None
+    lineage = spark.read.parquet(f"{storage}/records/lineage").first()
+    assert (lineage.name, lineage.split, lineage.num_rows, lineage.source_type) == ("d.json", "eval", 6, "storage")
+    params = {r.key: (r.value, r.route) for r in spark.read.parquet(f"{storage}/records/params").collect()}
+    assert params["max_tokens"] == ("9", "param") and params["dataset_config"] == ("cfg", "param")
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+PYTHON = {"generate_stub", "batch_inference", "request_fanout", "request_fanin", "task_errors"}
+STREAMED = {"request_stream", "task_state_stream", "json_dataset", "task_create"}
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - STREAMED))
+def test_python_runs_only_in_the_engine(spark, name):
+    plan = physical(registry.queries()[name](spark, SF))
+    assert ("ArrowEvalPython" in plan) == (name in PYTHON)
+    assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+SCANS_ONLY = [
+    "train_truncate", "extraction_chat", "input_text", "prompt_validate", "prompt_truncate", "generate_stub",
+    "param_routing", "name_sanitize", "commit_hash", "split_scan", "sampling_merge", "service_prompts",
+    "request_fanout", "format_decision", "mixed_config_prompts",
+]
+
+
+@pytest.mark.parametrize("name", SCANS_ONLY)
+def test_no_shuffle(spark, name):
+    plan = physical(registry.queries()[name](spark, SF))
+    assert "Exchange hashpartitioning" not in plan and "RoundRobin" not in plan
+
+
+@pytest.mark.parametrize("name", ["extraction_chat", "prompt_validate", "train_truncate", "input_text"])
+def test_all_in_generated_code(spark, name):
+    plan = physical(registry.queries()[name](spark, SF))
+    assert all("*(" in line for line in plan.splitlines() if "Project [" in line)
+
+
+def test_columns_and_filters_reach_the_scan(spark):
+    split = physical(registry.queries()["split_scan"](spark, SF))
+    assert "ReadSchema: struct<doc_id:bigint,source:string>" in split and "EqualTo(source,src3)" in split
+    stub = physical(registry.queries()["generate_stub"](spark, SF))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in stub
+    decision = physical(registry.queries()["format_decision"](spark, SF))
+    assert "ReadSchema: struct<doc_id:bigint,lang:string>" in decision

@@ -1,0 +1,170 @@
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from promptloom.engines import DIGEST, SAMPLED, STRICT
+from promptloom.operators.generation import Engine
+from promptloom.streaming.service import answer_prompts, fan_in, fan_out, format_requests, serve_requests, served_tasks
+from promptloom.sources.requests import read_requests, rejected_requests
+from promptloom.streaming.tasks import get_task
+
+SCHEMA = (
+    "task_id string, prompts array<string>, "
+    "prompts_params struct<instruction: string, text_format: string, chat_template: string>, "
+    "sampling_params map<string, string>"
+)
+IDENTITY = Engine("identity", lambda: lambda prompts, sampling: list(prompts))
+
+
+def formatted(spark, params, model_template=None):
+    requests = spark.createDataFrame([("t", ["p"], params, {})], SCHEMA)
+    row = format_requests(fan_out(requests), model_template).first()
+    return row.prompt, row.error
+
+
+CHAT = "<|im_start|>user\np<|im_end|>\n<|im_start|>assistant\n"
+
+
+@pytest.mark.parametrize(
+    "params, model_template, expected",
+    [
+        (None, None, ("p", None)),
+        (("I", None, None), None, ("p", None)),
+        ((None, "{}|{}|{}", None), None, ("You are an helpful assistant|p|", None)),
+        (("", "{}|{}", ""), None, ("You are an helpful assistant|p", None)),
+        (("I", "{1}|{0}{2}", None), None, ("p|I", None)),
+        (("I", "", None), None, ("p", None)),
+        ((None, None, "chatml"), None, (CHAT, None)),
+        (("I", "{}", "chatml"), None, ("<|im_start|>system\nI<|im_end|>\n" + CHAT, None)),
+        ((None, "{}|{}", None), "chatml", (CHAT, None)),
+        ((None, "{input}", None), None, (None, "'input'")),
+        ((None, "{}{}{}{}", None), None, (None, "Replacement index 3 out of range for positional args tuple")),
+        # With a chat layout the text format is not looked at.
+        ((None, "{input}", None), "chatml", (CHAT, None)),
+        ((None, None, "{% jinja %}"), None, (None, "Unknown chat layout '{% jinja %}'")),
+    ],
+)
+def test_request_formats(spark, params, model_template, expected):
+    assert formatted(spark, params, model_template) == expected
+
+
+@pytest.mark.parametrize("partitions", [None, 5])
+def test_fan_out_and_in_is_the_identity(spark, partitions):
+    rng = random.Random(1)
+    # One request has a third of all prompts.
+    sizes = [400] + [rng.randrange(1, 12) for _ in range(130)]
+    rows = [(f"t{i}", [f"{i}-{j}-{rng.random()}" for j in range(n)], None, None) for i, n in enumerate(sizes)]
+    got = fan_in(answer_prompts(spark.createDataFrame(rows, SCHEMA), IDENTITY, partitions=partitions)).collect()
+    assert {r.task_id: r.completions for r in got} == {r[0]: r[1] for r in rows}
+    assert {r.status for r in got} == {"done"}
+
+
+def test_repeated_request_is_answered_once(spark):
+    rows = [("t", ["a", "b", "a"], None, None)] * 3
+    got = fan_in(answer_prompts(spark.createDataFrame(rows, SCHEMA), IDENTITY)).collect()
+    assert [(r.task_id, r.completions) for r in got] == [("t", ["a", "b", "a"])]
+
+
+def test_errors_stay_with_their_request(spark):
+    long = "x" * 4001
+    rows = [
+        ("good", ["a", "b"], None, None),
+        ("one bad", ["a", long + "y", long], None, None),
+        ("no prompts", [], None, None),
+        ("null prompts", None, None, None),
+        ("null prompt", ["a", None], None, None),
+        ("bad template", ["a"], (None, "{", None), None),
+    ]
+    got = {r.task_id: r for r in fan_in(answer_prompts(spark.createDataFrame(rows, SCHEMA), STRICT)).collect()}
+    assert {k: (r.status, r.error) for k, r in got.items()} == {
+        "good": ("done", None),
+        "one bad": ("error", "Prompt of 4002 characters is too long"),
+        "no prompts": ("error", "list index out of range"),
+        "null prompts": ("error", "list index out of range"),
+        "null prompt": ("error", "Prompt is null"),
+        "bad template": ("error", "Single '{' encountered in format string"),
+    }
+    assert len(got["good"].completions) == 2
+    assert all(r.completions is None for k, r in got.items() if k != "good")
+
+
+def test_sampling_and_truncation_per_request(spark):
+    rows = [
+        ("default", ["a b c"], None, {}),
+        ("own", ["a b c"], None, {"max_tokens": "5"}),
+        ("cut", ["a b  c"], None, {"truncate_prompt_tokens": "2"}),
+    ]
+    requests = spark.createDataFrame(rows, SCHEMA)
+    got = {r.task_id: r for r in answer_prompts(requests, SAMPLED).collect()}
+    assert got["default"].completion.startswith("1024:") and got["own"].completion.startswith("5:")
+    assert got["cut"].prompt == "b c" and got["default"].prompt == "a b c"
+    limited = answer_prompts(requests.filter("task_id = 'default'"), DIGEST, model_limit=1).first()
+    assert limited.prompt == "c"
+
+
+def write_requests(folder, name, requests):
+    (folder / name).write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in requests))
+
+
+def test_service_stream(spark, tmp_path):
+    incoming, completions = tmp_path / "incoming", tmp_path / "completions"
+    incoming.mkdir()
+    completions.mkdir()
+    served = str(tmp_path / "served")
+
+    def serve():
+        requests = read_requests(spark, str(incoming), stream=True, max_files=1)
+        query = serve_requests(
+            requests, STRICT, served, str(tmp_path / "checkpoint"), completions_folder=str(completions)
+        )
+        assert query.awaitTermination(180)
+
+    write_requests(incoming, "1.json", [
+        {"task_id": "a", "prompts": ["x", "y"]},
+        {"task_id": "b", "prompts": []},
+        "not json",
+    ])
+    write_requests(incoming, "2.json", [{"task_id": "c", "prompts": ["z" * 5000]}])
+    serve()
+    # A request sent again later does not become two tasks.
+    write_requests(incoming, "3.json", [
+        {"task_id": "a", "prompts": ["x", "y"]},
+        {"task_id": "d", "prompts": ["w"], "prompts_params": {"chat_template": "chatml"}},
+    ])
+    serve()
+
+    tasks = served_tasks(spark, served)
+    got = {r.task_id: r for r in tasks.collect()}
+    assert {k: r.status for k, r in got.items()} == {"a": "done", "b": "error", "c": "error", "d": "done"}
+    assert got["c"].error == "Prompt of 5000 characters is too long" and got["c"].done_at is None
+    assert len(got["a"].completions) == 2 and got["a"].queued_at <= got["a"].running_at <= got["a"].done_at
+    assert get_task(tasks, "d").completions == got["d"].completions
+    with pytest.raises(KeyError):
+        get_task(tasks, "nobody")
+    assert {p.name for p in completions.iterdir() if p.is_dir()} == {"task_id=a", "task_id=d"}
+    saved = spark.read.json(str(completions / "task_id=a")).collect()
+    assert [r.completions for r in saved] == [got["a"].completions]
+    rejected = rejected_requests(spark.read.parquet(f"{served}/requests")).collect()
+    assert [(r.reason, r._corrupt_record) for r in rejected] == [("Malformed request", "not json")]
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    rng = random.Random(3)
+    requests = [
+        {"task_id": f"t{i}", "prompts": [f"p{rng.random()}" for _ in range(rng.randrange(4))],
+         "prompts_params": rng.choice([{}, {"text_format": "{}/{}"}, {"chat_template": "chatml", "instruction": "I"}]),
+         "sampling_params": rng.choice([{}, {"max_tokens": 3}])}
+        for i in range(60)
+    ]
+    for i in range(3):
+        write_requests(tmp_path, f"{i}.json", requests[i * 20 : i * 20 + 20])
+    served = str(tmp_path / "served")
+    stream = read_requests(spark, f"{tmp_path}/*.json", stream=True, max_files=1)
+    assert serve_requests(stream, SAMPLED, served, str(tmp_path / "checkpoint")).awaitTermination(180)
+    batch = fan_in(answer_prompts(read_requests(spark, f"{tmp_path}/*.json"), SAMPLED))
+    columns = ["task_id", "status", "completions", "error"]
+    by_id = lambda df: sorted((tuple(r) for r in df.select(*columns).collect()), key=lambda r: r[0])
+    assert by_id(served_tasks(spark, served)) == by_id(batch)
+    assert batch.filter(F.size("completions") > 0).count() > 20
