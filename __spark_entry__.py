@@ -26,7 +26,7 @@ from promptloom.operators.length import bound_examples, bound_prompts, validate_
 from promptloom.operators.merge import merge_completions  # noqa: E402
 from promptloom.operators.positions import number_by_key, number_by_scan  # noqa: E402
 from promptloom.operators.records import lineage_record, profile, route_params  # noqa: E402
-from promptloom.operators.training import construct_prompts  # noqa: E402
+from promptloom.operators.training import construct_prompts, construct_prompts_by_row  # noqa: E402
 from promptloom.plans.inference import complete_dataset  # noqa: E402
 from promptloom.session import shared_folder, ship_package  # noqa: E402
 from promptloom.sinks.completions import save_completions  # noqa: E402
@@ -66,6 +66,11 @@ LANG_CONFIGS = [
     ("de", "de-auto", "auto", "Antworte kurz.", None, "extraction"),
 ]
 
+KIND_CONFIGS = [
+    ("guided", "conversational", None, None, None, None, None),
+    ("long", "text", INSTRUCTION, CUSTOM_FORMAT, None, "<in>", "<out>"),
+]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -149,6 +154,18 @@ def train_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("conv_id", "turn", F.col("pos").cast("bigint").alias("pos"), "message.role", "message.content")
 
 
+def mixed_config_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("instruction").isNotNull(), "guided").when(F.length("input") > 200, "long")
+    configs = spark.createDataFrame(KIND_CONFIGS, ", ".join(f"{c} string" for c in ["kind", *CONFIG_KEYS]))
+    configured = attach_config(_pairs(spark, sf_dir).withColumn("kind", kind), configs, on=["kind"])
+    prompts = construct_prompts_by_row(configured, "chatml", keep=("conv_id", "turn", "config"))
+    spans = response_spans(F.col("text"), F.col("config.instruction_part"), F.col("config.response_part"))
+    return prompts.select(
+        "conv_id", "turn", CHATML.render(F.col("messages"), generate=False).alias("chat"), "text",
+        spans[0]["target"].alias("target"),
+    )
+
+
 def response_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     examples = construct_prompts(_pairs(spark, sf_dir), INSTRUCTION, conversational=True, keep=("conv_id", "turn"))
     return examples.select("conv_id", "turn", F.explode_outer(message_targets(F.col("messages"))).alias("m")).select(
@@ -210,8 +227,8 @@ def input_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def format_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "lang")
     decided = attach_config(documents, _lang_configs(spark), on=["lang"], dataset_format="text")
-    is_chat = is_conversational(F.col("dataset_format"), F.col("chat_template")).alias("is_chat")
-    return decided.select("doc_id", "dataset_format", is_chat)
+    is_chat = is_conversational(F.col("config.dataset_format"), F.col("config.chat_template")).alias("is_chat")
+    return decided.select("doc_id", "config.dataset_format", is_chat)
 
 
 def mixed_config_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +418,7 @@ QUERIES: dict[str, Query] = {
     "train_text": train_text,
     "train_text_configured": train_text_configured,
     "train_messages": train_messages,
+    "mixed_config_training": mixed_config_training,
     "response_targets": response_targets,
     "response_spans": response_span_targets,
     "train_truncate": train_truncate,
@@ -585,6 +603,17 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT conv_id, turn, 2, 'assistant', completion FROM pairs WHERE completion <> '')
         SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn ORDER BY part) - 1 AS pos, role, content
         FROM parts""",
+    "mixed_config_training": f"""
+        WITH {PAIRS}
+        SELECT conv_id, turn,
+          CASE WHEN instruction IS NOT NULL OR length(input) <= 200 THEN
+            coalesce('<|im_start|>system' || chr(10) || instruction || '<|im_end|>' || chr(10), '')
+            || '<|im_start|>user' || chr(10) || input || '<|im_end|>' || chr(10)
+            || coalesce('<|im_start|>assistant' || chr(10) || completion || '<|im_end|>' || chr(10), '') END AS chat,
+          CASE WHEN instruction IS NULL AND length(input) > 200 THEN
+            {_filled(CUSTOM_FORMAT, instruction=_quoted(INSTRUCTION), input="input", response="completion")} END AS text,
+          CASE WHEN instruction IS NULL AND length(input) > 200 THEN coalesce(completion, 'None') || '</out>' END AS target
+        FROM pairs""",
     "response_targets": f"""
         WITH {PAIRS}
         SELECT conv_id, turn, 'system' AS role, {_quoted(INSTRUCTION)} AS content, false AS is_target FROM pairs

@@ -27,7 +27,7 @@ def merge_config(config: Mapping[str, str | None] | None, dataset_format: str |
     merged = {k: v for k, v in (config or {}).items() if v is not None}
     if dataset_format:
         if merged.get("dataset_format"):
-            logger.warning("Dataset format %s already defined in the configuration %s", dataset_format, merged)
+            logger.warning("The configuration sets format %r, ignoring %r", merged["dataset_format"], dataset_format)
         else:
             merged["dataset_format"] = dataset_format
     return merged
@@ -40,13 +40,13 @@ def attach_config(
     dataset_format: str | None = None,
     layouts: Mapping[str, ChatLayout] = LAYOUTS,
 ) -> DataFrame:
-    """Rows with their configuration's columns, nulls (and the format argument) where there is none.
+    """Rows with their configuration as a struct `config`, without one only the format argument.
 
-    `text_segments` is the text format, cut up once per configuration. A
-    template that cannot be formatted, a layout that is not known and a configuration that
-    appears twice raise here. The configurations are broadcast after their number is checked;
-    above the bound it is an ordinary join, where adaptive execution splits a key that holds
-    too many rows.
+    `config.text_segments` is the text format, cut up once per configuration. A template that
+    cannot be formatted, a layout that is not known and a configuration that appears twice
+    raise here. The configurations are broadcast after their number is checked; above the
+    bound it is an ordinary join, where adaptive execution splits a key that holds too many
+    rows.
     """
     on = list(on)
     template = F.coalesce(present(F.col("text_format")), F.lit(DEFAULT_TEXT_FORMAT))
@@ -70,11 +70,15 @@ def attach_config(
         raise ValueError(f"Unknown chat layout {layout!r}, known are {', '.join(layouts)}")
     if (most or 0) > 1:
         raise ValueError(f"A configuration appears more than once for {', '.join(on)}")
-    parsed = parsed.drop("text_error")
-    side = F.broadcast(parsed) if (rows or 0) <= MAX_BROADCAST_CONFIGS else parsed
-    segments = F.coalesce(F.col("text_segments"), template_segments(DEFAULT_TEXT_FORMAT))
-    return (
-        df.join(side, on, "left")
-        .withColumn("dataset_format", resolved_format(F.col("dataset_format"), dataset_format))
-        .withColumn("text_segments", segments)
+    plain = ["instruction", "chat_template", "instruction_part", "response_part"]
+    plain = [c for c in plain if c in configs.columns]
+    side = parsed.select(*on, F.struct("dataset_format", "text_segments", *plain).alias("config"))
+    config = F.col("config")
+    return df.join(F.broadcast(side) if (rows or 0) <= MAX_BROADCAST_CONFIGS else side, on, "left").withColumn(
+        "config",
+        F.struct(
+            resolved_format(config["dataset_format"], dataset_format).alias("dataset_format"),
+            F.coalesce(config["text_segments"], template_segments(DEFAULT_TEXT_FORMAT)).alias("text_segments"),
+            *[present(config[c]).alias(c) for c in plain],
+        ),
     )

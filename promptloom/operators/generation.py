@@ -127,7 +127,7 @@ def _answers(
     try:
         outputs = generate(prompts, dict(sampling))
         if len(outputs) != len(prompts):
-            raise ValueError(f"Generated {len(outputs)} completions from {len(prompts)} prompts")
+            raise ValueError(f"The engine gave {len(outputs)} outputs for {len(prompts)} prompts")
         return [[output] if isinstance(output, str) else list(output) for output in outputs]
     except Exception as error:
         if not capture_errors:

@@ -12,7 +12,7 @@ from promptloom.constants import DEFAULT_TEXT_FORMAT, INFERENCE, INPUT
 from promptloom.functions.chat import CHATML, LAYOUTS, ChatLayout
 from promptloom.functions.decisions import is_conversational, rendered_by_layout
 from promptloom.functions.templates import filled_segments, format_text
-from promptloom.functions.values import as_text, present
+from promptloom.functions.values import as_text
 from promptloom.operators.guards import require_columns
 
 logger = logging.getLogger(__name__)
@@ -66,28 +66,25 @@ def format_prompts_by_row(
     layouts: Mapping[str, ChatLayout] = LAYOUTS,
     prompt_column: str = PROMPT,
 ) -> DataFrame:
-    """Prompts rendered by the configuration columns on each row, so one job can mix them.
-
-    Expects what `attach_config` adds: `dataset_format`, `instruction`, `chat_template` and
-    the cut-up `text_segments`.
-    """
-    template = F.coalesce(present(F.col("chat_template")), F.lit(model_template).cast("string"))
-    instruction = present(F.col("instruction"))
+    """Prompts rendered by the `config` that `attach_config` adds, so one job can mix them."""
+    config = F.col("config")
+    template = F.coalesce(config["chat_template"], F.lit(model_template).cast("string"))
+    instruction = config["instruction"]
     layout_name = F.coalesce(template, F.lit(_name_of(CHATML, layouts)))
     prompt = F.col(prompt_column)
     text = filled_segments(
-        F.col("text_segments"),
+        config["text_segments"],
         {"instruction": F.coalesce(instruction, F.lit("")), "input": prompt, "response": F.lit("")},
     )
     chat = rendered_by_layout(layout_name, prompt, instruction, layouts)
-    rendered = F.when(is_conversational(F.col("dataset_format"), template), chat).otherwise(text)
+    rendered = F.when(is_conversational(config["dataset_format"], template), chat).otherwise(text)
     return df.withColumn(prompt_column, rendered)
 
 
 def with_completions(df: DataFrame, completions: Column, output_column: str = INFERENCE) -> DataFrame:
     """The rows with the completion column; one of that name is replaced where it stands."""
     if output_column in df.columns:
-        logger.warning("Existing column %r will be overridden by generated completions", output_column)
+        logger.warning("Replacing the values of column %r", output_column)
     return df.withColumn(output_column, completions)
 
 

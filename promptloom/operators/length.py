@@ -36,7 +36,7 @@ def require_valid_prompts(
     """The same rows; the job fails on the first prompt over the limit."""
     checked = validate_prompts(df, column, max_tokens, tokens)
     message = F.concat(
-        F.lit("Prompt is "), F.col("n_tokens").cast("string"), F.lit(f" tokens, max is {max_tokens}")
+        F.lit("A prompt has "), F.col("n_tokens").cast("string"), F.lit(f" tokens, the limit is {max_tokens}")
     )
     passed = F.when(F.col("ok"), F.col(column)).otherwise(F.raise_error(message).cast("string"))
     return checked.withColumn(column, passed).drop("n_tokens", "ok")

@@ -28,7 +28,7 @@ def merge_completions(
         raise TypeError(f"Completions must be a DataFrame, got {type(completions)}")
     n_data, n_completions = data.count(), completions.count()
     if n_data != n_completions:
-        logger.error("Got %d completions for %d rows, only completions will be saved", n_completions, n_data)
+        logger.error("Got %d completions for %d rows, keeping the completions alone", n_completions, n_data)
         return completions.select(F.col("completion").alias(output_column))
     logger.info("Got %d completions", n_completions)
     numbered = number_by_key(data, key) if key else number_by_scan(data)

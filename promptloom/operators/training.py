@@ -17,8 +17,8 @@ from promptloom.constants import (
     TRAINING_INSTRUCTION,
 )
 from promptloom.functions.chat import conversation
-from promptloom.functions.decisions import resolved_instruction
-from promptloom.functions.templates import format_text
+from promptloom.functions.decisions import is_conversational, resolved_instruction
+from promptloom.functions.templates import filled_segments, format_text
 from promptloom.functions.values import as_text, optional_text
 from promptloom.operators.guards import require_columns
 
@@ -49,3 +49,28 @@ def construct_prompts(
             response=as_text(F.col(COMPLETION), types[COMPLETION]),
         ).alias(TEXT)
     return df.select(*keep, prompt)
+
+
+def construct_prompts_by_row(
+    df: DataFrame, model_template: str | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Training prompts by the `config` that `attach_config` adds, so one job can mix them.
+
+    Chat rows have `messages` and a null `text`, text rows the reverse. Only the model's own
+    layout decides between them, never the configured one.
+    """
+    require_columns(df, INPUT, COMPLETION, "config", *keep)
+    config, types = F.col("config"), {f.name: f.dataType for f in df.schema.fields}
+    row = F.col(INSTRUCTION).cast("string") if INSTRUCTION in df.columns else None
+    system = resolved_instruction(config["instruction"], row)
+    values = {
+        "instruction": F.coalesce(config["instruction"], F.lit(TRAINING_INSTRUCTION)),
+        "input": as_text(F.col(INPUT), types[INPUT]),
+        "response": as_text(F.col(COMPLETION), types[COMPLETION]),
+    }
+    chat = is_conversational(config["dataset_format"], F.lit(model_template).cast("string"))
+    return df.select(
+        *keep,
+        F.when(chat, conversation(F.col(INPUT), system, F.col(COMPLETION))).alias(MESSAGES),
+        F.when(~chat, filled_segments(config["text_segments"], values)).alias(TEXT),
+    )

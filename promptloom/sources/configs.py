@@ -45,7 +45,7 @@ def _config_entries(spark: SparkSession, path: str) -> DataFrame:
         files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"File {path} not found on storage") from error
+            raise FileNotFoundError(f"There is no file at {path}") from error
         raise
     entries = files.select("_metadata", F.from_json("value", "map<string, string>").alias("entries"))
     _raise_for(entries, F.col("entries").isNull(), "is not a JSON object")

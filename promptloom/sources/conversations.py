@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Turns of one conversation that a single task may hold. Longer conversations are split.
-BLOCK_TURNS = 65_536
+BLOCK_TURNS = 16_384
 
 
 def conversation_pairs(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:

@@ -48,7 +48,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
         return (reader.schema(schema) if schema else reader).json(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"File {path} not found on storage") from error
+            raise FileNotFoundError(f"There is no file at {path}") from error
         raise
 
 

@@ -1,10 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from promptloom.constants import CONFIG_KEYS
 from promptloom.functions.decisions import is_conversational, resolved_format, resolved_instruction
 from promptloom.operators.configs import attach_config, merge_config
 from promptloom.operators.inference import format_prompts, format_prompts_by_row, input_prompts
-from promptloom.operators.training import construct_prompts
+from promptloom.operators.training import construct_prompts, construct_prompts_by_row
 from promptloom.schemas import CONFIG
 
 
@@ -124,6 +125,26 @@ def test_broken_configs_raise(spark, bad, message):
         attach_config(df, spark.createDataFrame([CONFIGS[0], CONFIGS[0]], CONFIG))
 
 
+@pytest.mark.parametrize("model_template", [None, "chatml"])
+def test_mixed_training_equals_one_job_each(spark, model_template):
+    keys = [("d", name) for name in ("a", "b", "c", "e", "none")]
+    rows = [(*key, "own", f"{key[1]}: {{input}}", "out") for key in keys]
+    schema = "dataset_name string, dataset_config string, instruction string, input string, completion string"
+    df = spark.createDataFrame(rows, schema)
+    mixed = construct_prompts_by_row(
+        attach_config(df, spark.createDataFrame(CONFIGS, CONFIG)), model_template, keep=("dataset_config",)
+    )
+    got = {r.dataset_config: r for r in mixed.collect()}
+    known = {c[1]: merge_config(dict(zip(CONFIG_KEYS, c[2:]))) for c in CONFIGS}
+    for _, name in keys:
+        config = known.get(name, {})
+        form = config.get("dataset_format")
+        chat = form == "conversational" or (form != "text" and model_template is not None)
+        one = df.filter(F.col("dataset_config") == name)
+        alone = construct_prompts(one, config.get("instruction"), config.get("text_format"), chat).first()
+        assert (got[name].messages, got[name].text) == ((alone[0], None) if chat else (None, alone[0])), name
+
+
 def test_many_configs_are_joined_without_a_broadcast_hint(spark, monkeypatch):
     from promptloom.operators import configs as module
 

@@ -90,7 +90,7 @@ def test_null_prompts_and_wrong_counts(spark):
     assert got[0].error == "No prompt to complete" and got[1].error is None
     short = engine_of("too few", lambda prompts, sampling: ["only one"])
     three = spark.createDataFrame([("x",)] * 3, "p string").coalesce(1)
-    with pytest.raises(Exception, match="Generated 1 completions from 3 prompts"):
+    with pytest.raises(Exception, match="The engine gave 1 outputs for 3 prompts"):
         three.select(completion(F.col("p"), short)).collect()
 
 

@@ -52,7 +52,7 @@ def test_validation(texts):
     checked = validate_prompts(texts.filter("text is not null"), "text", 2).collect()
     assert [r.ok for r in checked] == [len(ascii_tokens(t)) <= 2 for t in TEXTS[1:]]
     assert [r.text for r in require_valid_prompts(texts.filter("id < 5"), "text", 2).collect()] == TEXTS[:5]
-    with pytest.raises(Exception, match="Prompt is 4 tokens, max is 2"):
+    with pytest.raises(Exception, match="A prompt has 4 tokens, the limit is 2"):
         require_valid_prompts(texts.filter("id = 6"), "text", 2).collect()
 
 

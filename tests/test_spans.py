@@ -43,6 +43,16 @@ def test_spans_of_any_text(evaluate, texts):
     assert [[tuple(s) for s in spans] for spans in got] == [expected(t, "[Q]", "[A]") for t in texts]
 
 
+def test_markers_by_row(spark):
+    rows = [(*case, str(i)) for i, case in enumerate(CASES)] + [("x", None, "<A>", "n"), ("x", "<Q>", "", "e")]
+    df = spark.createDataFrame(rows, "t string, q string, a string, id string")
+    got = {r.id: r.s for r in df.select("id", response_spans(F.col("t"), F.col("q"), F.col("a")).alias("s")).collect()}
+    assert got.pop("n") is None and got.pop("e") is None
+    assert {i: [tuple(s) for s in spans] for i, spans in got.items()} == {
+        str(i): expected(*case) for i, case in enumerate(CASES)
+    }
+
+
 def test_both_markers_are_needed():
     for markers in (("", "x"), ("x", ""), (None, "x")):
         with pytest.raises(ValueError):

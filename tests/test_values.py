@@ -41,7 +41,7 @@ def test_output_column_is_replaced_in_place(spark, caplog):
     df = spark.createDataFrame([("a", "old", "z")], "input string, inference string, other string")
     result = with_completions(df, F.lit("new"))
     assert result.columns == df.columns and result.first()["inference"] == "new"
-    assert "overridden" in caplog.text
+    assert "Replacing the values of column 'inference'" in caplog.text
 
 
 def test_stripped_is_python_strip(evaluate):
