@@ -27,11 +27,12 @@ from promptloom.operators.merge import merge_completions  # noqa: E402
 from promptloom.operators.positions import number_by_key, number_by_scan  # noqa: E402
 from promptloom.operators.records import lineage_record, profile, route_params  # noqa: E402
 from promptloom.operators.training import construct_prompts, construct_prompts_by_row  # noqa: E402
-from promptloom.plans.inference import complete_dataset  # noqa: E402
+from promptloom.plans.inference import complete_dataset, run_inference  # noqa: E402
+from promptloom.plans.training import training_table  # noqa: E402
 from promptloom.session import shared_folder, ship_package  # noqa: E402
 from promptloom.sinks.completions import save_completions  # noqa: E402
 from promptloom.sources.conversations import conversation_pairs  # noqa: E402
-from promptloom.sources.datasets import read_dataset, select_split  # noqa: E402
+from promptloom.sources.datasets import read_dataset  # noqa: E402
 from promptloom.sources.requests import read_requests  # noqa: E402
 from promptloom.streaming.service import (  # noqa: E402
     answer_prompts,
@@ -264,6 +265,27 @@ def batch_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_dataset(pairs, DIGEST, {"dataset_format": "text"}, keep_prompt=True)
 
 
+def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _pairs(spark, sf_dir).createOrReplaceTempView("training_pairs")
+    return training_table(spark, "training_pairs", max_tokens=MAX_TOKENS, keep=("conv_id", "turn"))
+
+
+def inference_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    folder = _scratch(spark)
+    _pairs(spark, sf_dir).createOrReplaceTempView("inference_pairs")
+    run = run_inference(
+        spark,
+        SAMPLED,
+        "inference_pairs",
+        sampling={"max_tokens": 77},
+        model_template="chatml",
+        completions_folder=f"{folder}/completions",
+        records_folder=f"{folder}/records",
+    )
+    return spark.read.json(run.path).withColumn("num_rows", F.lit(run.num_rows).cast("bigint"))
+
+
 def merge_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     made = number_by_scan(documents).select("row_id", F.concat(F.lit("gen:"), F.md5("text")).alias("completion"))
@@ -317,7 +339,8 @@ def revision_of_url(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").withColumnRenamed("source", "split")
-    return select_split(documents, "src3").select("doc_id", "split")
+    documents.createOrReplaceTempView("documents_by_split")
+    return read_dataset(spark, "documents_by_split", "src3").select("doc_id", "split")
 
 
 def json_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,8 +366,7 @@ def service_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    requests = _requests(_table(spark, sf_dir, "documents")).filter(F.size("prompts") > 0)
-    answers = answer_prompts(requests, SAMPLED)
+    answers = answer_prompts(_requests(_table(spark, sf_dir, "documents")), SAMPLED)
     return answers.select("task_id", F.col("pos").cast("bigint").alias("pos"), "completion")
 
 
@@ -434,6 +456,8 @@ QUERIES: dict[str, Query] = {
     "prompt_truncate": prompt_truncate,
     "generate_stub": generate_stub,
     "batch_inference": batch_inference,
+    "training_job": training_job,
+    "inference_job": inference_job,
     "merge_positional": merge_positional,
     "row_numbers": row_numbers,
     "scan_numbers": scan_numbers,
@@ -581,15 +605,15 @@ CASE lang
   ELSE {_filled(DEFAULT_TEXT_FORMAT, instruction="''", input="text", response="''")} END
 """
 
+TRAIN_TEXT = _filled(
+    DEFAULT_TEXT_FORMAT, instruction="'You are an helpful assistant.'", input="input", response="completion"
+)
 INFER_TEXT = _filled(DEFAULT_TEXT_FORMAT, instruction="''", input="input", response="''")
 
 ORACLES: dict[str, str] = {
     "train_text": f"""
         WITH {PAIRS}
-        SELECT conv_id, turn,
-          {_filled(DEFAULT_TEXT_FORMAT, instruction="'You are an helpful assistant.'", input="input", response="completion")}
-            AS text
-        FROM pairs""",
+        SELECT conv_id, turn, {TRAIN_TEXT} AS text FROM pairs""",
     "train_text_configured": f"""
         WITH {PAIRS}
         SELECT conv_id, turn,
@@ -683,6 +707,19 @@ ORACLES: dict[str, str] = {
     "batch_inference": f"""
         WITH {PAIRS}
         SELECT conv_id, turn, input, {INFER_TEXT} AS prompt, 'gen:' || md5({INFER_TEXT}) AS inference FROM pairs""",
+    "training_job": rf"""
+        WITH {PAIRS},
+        t AS (
+          SELECT conv_id, turn, text, regexp_extract_all(text, '\S+') AS tokens
+          FROM (SELECT conv_id, turn, {TRAIN_TEXT} AS text FROM pairs))
+        SELECT conv_id, turn, len(tokens) > {MAX_TOKENS} AS was_truncated,
+          CASE WHEN len(tokens) > {MAX_TOKENS} THEN array_to_string(tokens[1:{MAX_TOKENS}], ' ') ELSE text END AS text
+        FROM t""",
+    "inference_job": f"""
+        WITH {PAIRS}
+        SELECT conv_id, turn, instruction, input, completion, (SELECT count(*) FROM pairs) AS num_rows,
+          '77:' || md5({CHATML_PROMPT.format(user="input")}) AS inference
+        FROM pairs""",
     "merge_positional": """
         WITH made AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, 'gen:' || md5(text) AS completion FROM documents),
         numbered AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents)
@@ -723,7 +760,8 @@ ORACLES: dict[str, str] = {
         WITH {REQUESTS}
         SELECT task_id, pos,
           CASE WHEN lang = 'en' THEN CAST(n_chars AS VARCHAR) ELSE '1024' END || ':' || md5({SERVICE_PROMPT}) AS completion
-        FROM prompts""",
+        FROM prompts
+        UNION ALL SELECT task_id, NULL, NULL FROM requests WHERE len(prompts) = 0""",
     "request_fanin": f"WITH {REQUESTS}, {ANSWERS} SELECT task_id, status, n_completions, completions FROM gathered",
     "task_errors": f"WITH {REQUESTS}, {ANSWERS} SELECT task_id, status, error FROM gathered",
     "request_stream": f"""

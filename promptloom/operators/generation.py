@@ -1,8 +1,9 @@
 """Completions from a plug-in engine, called on Arrow batches.
 
 The engine is the only Python in a job. It is a callable from a list of prompts and a dict
-of sampling parameters to a list of outputs in the same order, where an output is a text or
-a list of candidate texts. It is loaded once per Python worker.
+of sampling parameters to a list of outputs in the same order, where an output is a text, a
+list of candidate texts, or an exception for that prompt alone. It is loaded once per Python
+worker.
 """
 
 from __future__ import annotations
@@ -128,7 +129,11 @@ def _answers(
         outputs = generate(prompts, dict(sampling))
         if len(outputs) != len(prompts):
             raise ValueError(f"The engine gave {len(outputs)} outputs for {len(prompts)} prompts")
-        return [[output] if isinstance(output, str) else list(output) for output in outputs]
+        answers = [_answer(output) for output in outputs]
+        failed = next((answer for answer in answers if isinstance(answer, Exception)), None)
+        if failed is not None and not capture_errors:
+            raise failed
+        return answers
     except Exception as error:
         if not capture_errors:
             raise
@@ -140,6 +145,12 @@ def _answers(
         return [answer for part in parts for answer in _answers(generate, part, sampling, capture_errors)]
 
 
+def _answer(output: Any) -> list[str] | Exception:
+    if isinstance(output, Exception):
+        return output
+    return [output] if isinstance(output, str) else list(output)
+
+
 def _typed(text: str | None) -> Any:
     """The value a JSON text stands for; other text is the value itself."""
     try:

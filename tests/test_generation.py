@@ -82,6 +82,23 @@ def test_failures_fail_the_job_unless_captured(spark):
             assert answer.error is None and answer.outputs[0].text == p.upper()
 
 
+def test_engine_may_fail_single_prompts(spark):
+    calls = []
+
+    def generate(prompts, sampling):
+        calls.append(len(prompts))
+        if len(calls) > 1:
+            raise RuntimeError("called again")
+        return [ValueError(f"no {p}") if p == "b" else p for p in prompts]
+
+    engine = engine_of("single failures", generate)
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "p string").coalesce(1)
+    got = [r[0] for r in df.select(complete(F.col("p"), engine, capture_errors=True)).collect()]
+    assert [a.error for a in got] == [None, "no b", None]
+    with pytest.raises(Exception, match="no b"):
+        df.select(completion(F.col("p"), engine_of("single failure", generate))).collect()
+
+
 def test_null_prompts_and_wrong_counts(spark):
     df = spark.createDataFrame([(None,), ("x",)], "p string").coalesce(1)
     with pytest.raises(Exception, match="No prompt to complete"):

@@ -68,7 +68,7 @@ def physical(df):
 
 
 PYTHON = {"generate_stub", "batch_inference", "request_fanout", "request_fanin", "task_errors"}
-STREAMED = {"request_stream", "task_state_stream", "json_dataset", "task_create"}
+STREAMED = {"request_stream", "task_state_stream", "json_dataset", "task_create", "inference_job"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - STREAMED))
