@@ -359,7 +359,7 @@ def sampling_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.select("task_id", F.explode_outer("sampling").alias("key", "value"))
 
 
-def service_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def service_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     formatted = format_requests(fan_out(_requests(_table(spark, sf_dir, "documents"))))
     return formatted.select("task_id", F.col("pos").cast("bigint").alias("pos"), "prompt", "error")
 
@@ -469,7 +469,7 @@ QUERIES: dict[str, Query] = {
     "split_scan": split_scan,
     "json_dataset": json_dataset,
     "sampling_merge": sampling_merge,
-    "service_prompts": service_prompts,
+    "service_text": service_text,
     "request_fanout": request_fanout,
     "request_fanin": request_fanin,
     "task_errors": task_errors,
@@ -752,7 +752,7 @@ ORACLES: dict[str, str] = {
                WHEN lang = 'fr' AND key = 'temperature' THEN '0.7' ELSE value END AS value
         FROM requests, defaults
         UNION ALL SELECT task_id, 'top_p', '0.9' FROM requests WHERE lang = 'fr'""",
-    "service_prompts": f"""
+    "service_text": f"""
         WITH {REQUESTS}
         SELECT task_id, pos, {SERVICE_PROMPT} AS prompt, CAST(NULL AS VARCHAR) AS error FROM prompts
         UNION ALL SELECT task_id, NULL, NULL, 'list index out of range' FROM requests WHERE len(prompts) = 0""",

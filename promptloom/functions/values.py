@@ -72,8 +72,8 @@ def printed_double(value: Column) -> Column:
     )
 
 
-def as_text(value: Column, data_type: T.DataType) -> Column:
-    """Any scalar as prompt text. A null prints None, or nan in a numeric column."""
+def as_text(value: Column, data_type: T.DataType, numeric_null: str = "nan") -> Column:
+    """Any scalar as prompt text. A null prints None, or `numeric_null` in a numeric column."""
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
         raise ValueError(f"A column of type {data_type.simpleString()} cannot be used as prompt text")
     if isinstance(data_type, T.StringType):
@@ -81,9 +81,9 @@ def as_text(value: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.BooleanType):
         return printed(F.initcap(value.cast("string")))
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return printed_double(value.cast("double"))
+        return F.when(value.isNull(), numeric_null).otherwise(printed_double(value.cast("double")))
     if isinstance(data_type, T.NumericType):
-        return F.coalesce(value.cast("string"), F.lit("nan"))
+        return F.coalesce(value.cast("string"), F.lit(numeric_null))
     return printed(value.cast("string"))
 
 

@@ -46,8 +46,7 @@ def format_prompts(
     chat = template is not None if dataset_format not in ("conversational", "text") else dataset_format == "conversational"
     prompt = F.col(prompt_column)
     if chat:
-        if template is not None and template not in layouts:
-            raise ValueError(f"Unknown chat layout {template!r}, known are {', '.join(layouts)}")
+        _require_layout(template, layouts)
         layout = layouts[template] if template is not None else CHATML
         rendered = layout.prompt(prompt, F.lit(instruction) if instruction else None)
     else:
@@ -67,6 +66,7 @@ def format_prompts_by_row(
     prompt_column: str = PROMPT,
 ) -> DataFrame:
     """Prompts rendered by the `config` that `attach_config` adds, so one job can mix them."""
+    _require_layout(model_template, layouts)
     config = F.col("config")
     template = F.coalesce(config["chat_template"], F.lit(model_template).cast("string"))
     instruction = config["instruction"]
@@ -88,5 +88,10 @@ def with_completions(df: DataFrame, completions: Column, output_column: str = IN
     return df.withColumn(output_column, completions)
 
 
+def _require_layout(template: str | None, layouts: Mapping[str, ChatLayout]) -> None:
+    if template is not None and template not in layouts:
+        raise ValueError(f"Unknown chat layout {template!r}, known are {', '.join(layouts)}")
+
+
 def _name_of(layout: ChatLayout, layouts: Mapping[str, ChatLayout]) -> str | None:
     return next((name for name, known in layouts.items() if known == layout), None)

@@ -45,8 +45,8 @@ def construct_prompts(
         prompt = format_text(
             text_format or DEFAULT_TEXT_FORMAT,
             instruction=F.lit(instruction or TRAINING_INSTRUCTION),
-            input=as_text(F.col(INPUT), types[INPUT]),
-            response=as_text(F.col(COMPLETION), types[COMPLETION]),
+            input=as_text(F.col(INPUT), types[INPUT], numeric_null="None"),
+            response=as_text(F.col(COMPLETION), types[COMPLETION], numeric_null="None"),
         ).alias(TEXT)
     return df.select(*keep, prompt)
 
@@ -65,8 +65,8 @@ def construct_prompts_by_row(
     system = resolved_instruction(config["instruction"], row)
     values = {
         "instruction": F.coalesce(config["instruction"], F.lit(TRAINING_INSTRUCTION)),
-        "input": as_text(F.col(INPUT), types[INPUT]),
-        "response": as_text(F.col(COMPLETION), types[COMPLETION]),
+        "input": as_text(F.col(INPUT), types[INPUT], numeric_null="None"),
+        "response": as_text(F.col(COMPLETION), types[COMPLETION], numeric_null="None"),
     }
     chat = is_conversational(config["dataset_format"], F.lit(model_template).cast("string"))
     return df.select(

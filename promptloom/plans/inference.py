@@ -38,8 +38,15 @@ def complete_dataset(
     input_column: str = INPUT,
     output_column: str = INFERENCE,
     keep_prompt: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """The rows with a completion of their input. Rows stay where they are: no shuffle."""
+    """The rows with a completion of their input.
+
+    Rows stay where they are, unless `partitions` asks to spread them: worth a shuffle when a
+    few large files would leave most workers without rows.
+    """
+    if partitions:
+        df = df.repartition(partitions)
     prompts = input_prompts(df, input_column, _PROMPT)
     formatted = format_prompts(prompts, config, model_template, prompt_column=_PROMPT)
     made = completion(F.col(_PROMPT), engine, batch_sampling(**(sampling or {})))
@@ -64,6 +71,7 @@ def run_inference(
     input_column: str = INPUT,
     output_column: str = INFERENCE,
     output_name: str | None = None,
+    partitions: int | None = None,
     datasets_folder: str = DATASETS_FOLDER,
     configs_folder: str = CONFIGS_FOLDER,
     completions_folder: str = COMPLETIONS_FOLDER,
@@ -77,7 +85,9 @@ def run_inference(
     df = read_dataset(spark, dataset_name, split, datasets_folder)
     config = merge_config(read_config(spark, dataset_name, dataset_config, configs_folder))
     completed, counts = observed(
-        complete_dataset(df, engine, config, sampling, model_template, input_column, output_column)
+        complete_dataset(
+            df, engine, config, sampling, model_template, input_column, output_column, partitions=partitions
+        )
     )
     path = save_completions(completed, output_name, completions_folder)
     num_rows = counts.get["num_rows"]

@@ -58,6 +58,11 @@ def test_training_text_ignores_the_row(example):
     assert construct_prompts(example, "", "").first()["text"] == construct_prompts(example).first()["text"]
 
 
+def test_training_text_of_numbers(spark):
+    df = spark.createDataFrame([(1, 0.5), (None, None)], "input bigint, completion double")
+    assert [r.text for r in construct_prompts(df, None, "{input}/{response}").collect()] == ["1/0.5", "None/None"]
+
+
 def test_training_needs_its_columns(example):
     for column in ("input", "completion"):
         with pytest.raises(ValueError, match=column):
@@ -85,6 +90,8 @@ def test_batch_inference_chat(example):
     assert prompt_of(example, {"chat_template": "extraction"}) == prompt_of(example, {"chat_template": "extraction"}, "chatml")
     with pytest.raises(ValueError, match="Unknown chat layout"):
         prompt_of(example, {"chat_template": "{% jinja %}"})
+    with pytest.raises(ValueError, match="Unknown chat layout"):
+        format_prompts_by_row(input_prompts(example), model_template="")
 
 
 CONFIGS = [

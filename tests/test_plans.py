@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as registry
 from promptloom.engines import DIGEST
-from promptloom.plans.inference import run_inference
+from promptloom.plans.inference import complete_dataset, run_inference
 from promptloom.plans.training import training_table
 
 SF = "/root/testdata/sf0.001"
@@ -63,6 +63,13 @@ def test_inference_run(spark, storage):
     assert params["max_tokens"] == ("9", "param") and params["dataset_config"] == ("cfg", "param")
 
 
+def test_rows_spread_before_the_engine(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(100)], "input string").coalesce(1)
+    spread = complete_dataset(df, DIGEST, partitions=6)
+    assert spread.rdd.getNumPartitions() == 6
+    assert sorted(spread.collect()) == sorted(complete_dataset(df, DIGEST).collect())
+
+
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -80,7 +87,7 @@ def test_python_runs_only_in_the_engine(spark, name):
 
 SCANS_ONLY = [
     "train_truncate", "extraction_chat", "input_text", "prompt_validate", "prompt_truncate", "generate_stub",
-    "param_routing", "name_sanitize", "commit_hash", "split_scan", "sampling_merge", "service_prompts",
+    "param_routing", "name_sanitize", "commit_hash", "split_scan", "sampling_merge", "service_text",
     "request_fanout", "format_decision", "mixed_config_prompts",
 ]
 
