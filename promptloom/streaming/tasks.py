@@ -29,24 +29,30 @@ def fold_task_events(events: DataFrame) -> DataFrame:
     Events may come in any order and more than once. On equal times the later state wins. An
     error sets no `done_at`. Each task is reduced before the shuffle, so one with many events
     is no hot key.
+
+    Times alone are reduced in hash tables, where a text would force a sort of all events. So
+    in batch the messages of the few error events are reduced by themselves and joined, both
+    sides already being partitioned by task. A stream keeps them in the same state.
     """
     status, at = F.col("status"), F.col("event_at")
-    ranks = F.array_position(F.array(*[F.lit(s) for s in TASK_STATES]), status)
-
-    def reached(state: str) -> Column:
-        return F.max(F.when(status == state, at)).alias(f"{state}_at")
-
-    return (
-        events.filter(status.isin(*TASK_STATES))
-        .groupBy("task_id")
-        .agg(
-            F.max_by(status, F.struct(at, ranks)).alias("status"),
-            F.max(F.when(status == "error", F.struct(at, "error")))["error"].alias("error"),
-            reached("queued"),
-            reached("running"),
-            reached("done"),
-        )
-    )
+    reached = [F.max(F.when(status == state, at)).alias(f"{state}_at") for state in TASK_STATES]
+    message = F.max(F.when(status == "error", F.struct(at, "error")))["error"].alias("error")
+    by_task = events.filter(status.isin(*TASK_STATES)).groupBy("task_id")
+    if events.isStreaming:
+        folded = by_task.agg(*reached, message)
+    else:
+        errors = events.filter(status == "error").groupBy("task_id").agg(message)
+        folded = by_task.agg(*reached).join(errors, "task_id", "left")
+    return folded.select("task_id", _latest_state().alias("status"), "error", "queued_at", "running_at", "done_at")
+
+
+def _latest_state() -> Column:
+    """The state reached last, from the times all states were reached."""
+    latest = F.greatest(*[F.col(f"{state}_at") for state in TASK_STATES])
+    status = F.lit(None).cast("string")
+    for state in TASK_STATES:
+        status = F.when(F.col(f"{state}_at") == latest, state).otherwise(status)
+    return status
 
 
 def known_tasks(tasks: DataFrame) -> DataFrame:
