@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,46 +37,63 @@ def conversation(user: Column, system: Column | None = None, assistant: Column |
 
 @dataclass(frozen=True)
 class ChatLayout:
-    """What a chat template writes around each message.
+    """What a chat template writes around each message: a prefix and a suffix for its role.
 
-    A turn is `start + role + newline + [user_lead] + content + end`.
+    `roles` holds the prefix and suffix of single roles. Other roles have the common ones,
+    where `{role}` in the prefix stands for the role's name.
     """
 
     # The defaults are the ChatML layout.
-    start: str = "<|im_start|>"
-    end: str = "<|im_end|>\n"
+    prefix: str = "<|im_start|>{role}\n"
+    suffix: str = "<|im_end|>\n"
     generation_prompt: str = "<|im_start|>assistant\n"
-    # Written between the role line and the content of a user turn.
-    user_lead: str = ""
+    roles: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+    # Written in front of the conversation.
+    begin: str = ""
     # System text written first when the conversation opens with a user turn.
     opening_system: str | None = None
     # Ends the last turn when it is the assistant's.
-    final_end: str | None = None
+    final_suffix: str | None = None
     trim_content: bool = False
 
+    def _around(self, role: str) -> tuple[str, str]:
+        return self.roles.get(role, (self.prefix.replace("{role}", role), self.suffix))
+
+    def _opening(self) -> str:
+        before, after = self._around("system")
+        return "" if self.opening_system is None else before + self.opening_system + after
+
     def _content(self, content: Column) -> Column:
         return stripped(printed(content)) if self.trim_content else printed(content)
 
-    def _opening(self) -> str:
-        return "" if self.opening_system is None else f"{self.start}system\n{self.opening_system}{self.end}"
+    def _prefix_of(self, role: Column) -> Column:
+        pieces = [F.lit(piece) for piece in self.prefix.split("{role}")]
+        named = [column for piece in pieces for column in (role, piece)][1:]
+        prefix = F.concat(*named)
+        for name, (before, _) in self.roles.items():
+            prefix = F.when(role == name, F.lit(before)).otherwise(prefix)
+        return prefix
+
+    def _suffix_of(self, role: Column, is_last: Column) -> Column:
+        suffix = F.lit(self.suffix)
+        for name, (_, after) in self.roles.items():
+            suffix = F.when(role == name, F.lit(after)).otherwise(suffix)
+        if self.final_suffix is None:
+            return suffix
+        return F.when((role == "assistant") & is_last, F.lit(self.final_suffix)).otherwise(suffix)
 
     def render(self, messages: Column, generate: bool = True) -> Column:
         """Any messages column as one string, with the generation prompt if asked."""
 
         def turn(message: Column, index: Column) -> Column:
-            role, is_user = message["role"], message["role"] == "user"
-            lead = F.when(is_user, F.lit(self.user_lead)).otherwise("") if self.user_lead else F.lit("")
-            end = F.lit(self.end)
-            if self.final_end is not None:
-                is_final = (role == "assistant") & (index == F.size(messages) - 1)
-                end = F.when(is_final, F.lit(self.final_end)).otherwise(end)
-            parts = [F.lit(self.start), role, F.lit("\n"), lead, self._content(message["content"]), end]
+            role, is_last = message["role"], index == F.size(messages) - 1
+            parts = [self._prefix_of(role), self._content(message["content"]), self._suffix_of(role, is_last)]
             if self._opening():
-                parts.insert(0, F.when((index == 0) & is_user, F.lit(self._opening())).otherwise(""))
+                parts.insert(0, F.when((index == 0) & (role == "user"), F.lit(self._opening())).otherwise(""))
             return F.concat(*parts)
 
-        text = F.array_join(F.transform(messages, turn), "")
-        return F.concat(text, F.lit(self.generation_prompt)) if generate else text
+        turns = F.array_join(F.transform(messages, turn), "")
+        return F.concat(F.lit(self.begin), turns, F.lit(self.generation_prompt if generate else ""))
 
     def prompt(self, user: Column, system: Column | None = None) -> Column:
         """`[system?] user` rendered for generation.
@@ -83,27 +101,29 @@ class ChatLayout:
         The same text as `render(conversation(user, system))` without building the array, so
         the expression stays inside generated code.
         """
-        user_turn = F.concat(
-            F.lit(f"{self.start}user\n{self.user_lead}"),
-            self._content(user),
-            F.lit(self.end + self.generation_prompt),
-        )
+        before, after = self._around("user")
+        user_turn = F.concat(F.lit(before), self._content(user), F.lit(after + self.generation_prompt))
         if system is None:
-            return F.concat(F.lit(self._opening()), user_turn)
+            return F.concat(F.lit(self.begin + self._opening()), user_turn)
         system = present(optional_text(system))
-        system_turn = F.concat(F.lit(f"{self.start}system\n"), self._content(system), F.lit(self.end))
-        return F.concat(F.when(system.isNotNull(), system_turn).otherwise(F.lit(self._opening())), user_turn)
+        before, after = self._around("system")
+        system_turn = F.concat(F.lit(before), self._content(system), F.lit(after))
+        first = F.when(system.isNotNull(), system_turn).otherwise(F.lit(self._opening()))
+        return F.concat(F.lit(self.begin), first, user_turn)
 
 
 CHATML = ChatLayout()
 
 # The extraction layout.
 EXTRACTION = ChatLayout(
-    end="\n<|im_end|>\n",
+    prefix="<|im_start|>{role}\n",
+    suffix="\n<|im_end|>\n",
     generation_prompt="<|im_start|>assistant",
-    user_lead=f"# Template:\n{EXTRACTION_SCHEMA}\n# Input:\n",
+    roles={
+        "user": (f"<|im_start|>user\n# Template:\n{EXTRACTION_SCHEMA}\n# Input:\n", "\n<|im_end|>\n"),
+    },
     opening_system=EXTRACTION_SYSTEM,
-    final_end="\n<|endoftext|>",
+    final_suffix="\n<|endoftext|>",
     trim_content=True,
 )
 

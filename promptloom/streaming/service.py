@@ -21,6 +21,9 @@ from promptloom.sinks.completions import save_task_completions
 from promptloom.sources.requests import valid_requests, with_rejection
 from promptloom.streaming.tasks import fold_task_events
 
+# Prompts of one request that a single task may have to complete.
+LARGE_REQUEST = 10_000
+
 
 def service_sampling(requests: DataFrame, model_limit: int | None = None) -> DataFrame:
     """Requests with `sampling`: the user's parameters over the service defaults and prompt limit."""
@@ -88,17 +91,21 @@ def answer_prompts(
     model_template: str | None = None,
     model_limit: int | None = None,
     layouts: Mapping[str, ChatLayout] = LAYOUTS,
+    large_request: int = LARGE_REQUEST,
     partitions: int | None = None,
 ) -> DataFrame:
     """`task_id, pos, prompt, completion, error` for every prompt of every request.
 
-    Nothing is shuffled unless `partitions` asks to spread the prompts, which pays off when a
-    few requests hold most of them. Prompts are spread by their place in the request, so that
-    a task that runs again gets the same ones.
+    The prompts of a large request are spread over `partitions`, by default as many as
+    shuffles have; those of other requests stay where they are. Prompts are spread by their
+    place in the request, so that a task that runs again gets the same ones. Large requests
+    are found by a filter, on `n_prompts` if the requests have it, where it reaches the scan.
     """
-    prompts = fan_out(requests, model_limit)
-    if partitions:
-        prompts = prompts.repartition(partitions, "task_id", "pos")
+    size = F.col("n_prompts") if "n_prompts" in requests.columns else F.size("prompts")
+    partitions = partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = fan_out(requests.filter(size > large_request), model_limit).repartition(partitions, "task_id", "pos")
+    ordinary = requests.filter((size <= large_request) | size.isNull())
+    prompts = fan_out(ordinary, model_limit).unionByName(spread)
     formatted = format_requests(prompts, model_template, layouts)
     bounded = bound_prompts(formatted, max_tokens=F.col("max_prompt_tokens"))
     answers = complete(F.col("prompt"), engine, F.col("sampling"), capture_errors=True)
@@ -153,7 +160,8 @@ def serve_requests(
         return df.sparkSession.read.parquet(path)
 
     def serve(batch: DataFrame, batch_id: int) -> None:
-        requests = valid_requests(written(with_rejection(batch), "requests", batch_id))
+        checked = with_rejection(batch).withColumn("n_prompts", F.size("prompts"))
+        requests = valid_requests(written(checked, "requests", batch_id))
         running_at = time.time()
         tasks = written(fan_in(answer_prompts(requests, engine, **options)), "tasks", batch_id)
         started = requests.select(

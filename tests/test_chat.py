@@ -5,6 +5,10 @@ from promptloom.constants import EXTRACTION_SCHEMA
 from promptloom.functions.chat import CHATML, EXTRACTION, ChatLayout, conversation
 from promptloom.functions.spans import message_targets
 
+# Layouts as a caller may add them: a prefix without the role, and one with text around it.
+BRACKETS = ChatLayout("", " ", "", {"user": ("[INST] ", " [/INST]"), "system": ("<<", ">>")}, begin="<s>")
+HEADERS = ChatLayout("<h>{role}</h>\n\n", "<e>", "<h>assistant</h>\n\n", opening_system="Default.")
+
 SCHEMA = "system string, user string, assistant string"
 ROWS = [
     (system, user, assistant)
@@ -58,6 +62,16 @@ def test_extraction_layout(evaluate):
     ]
 
 
+def test_layouts_of_the_caller(evaluate):
+    messages = conversation(F.col("user"), F.col("system"), F.col("assistant"))
+    rows = [("S", "U", "A"), (None, "U", None)]
+    assert evaluate(rows, SCHEMA, BRACKETS.render(messages)) == ["<s><<S>>[INST] U [/INST]A ", "<s>[INST] U [/INST]"]
+    assert evaluate(rows, SCHEMA, HEADERS.render(messages, False)) == [
+        "<h>system</h>\n\nS<e><h>user</h>\n\nU<e><h>assistant</h>\n\nA<e>",
+        "<h>system</h>\n\nDefault.<e><h>user</h>\n\nU<e>",
+    ]
+
+
 def test_only_the_last_assistant_turn_ends_the_text(spark):
     turns = [("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d")]
     df = spark.createDataFrame([(turns,)], "messages array<struct<role: string, content: string>>")
@@ -66,7 +80,7 @@ def test_only_the_last_assistant_turn_ends_the_text(spark):
     assert text.count("NuMind") == 1
 
 
-@pytest.mark.parametrize("layout", [CHATML, EXTRACTION, ChatLayout(start="[", end="]", generation_prompt=">")])
+@pytest.mark.parametrize("layout", [CHATML, EXTRACTION, BRACKETS, HEADERS])
 def test_prompt_equals_rendered_conversation(evaluate, layout):
     rows = [(s, u, None) for s, u, _ in ROWS[::3]]
     user, system = F.col("user"), F.col("system")

@@ -88,7 +88,7 @@ def test_python_runs_only_in_the_engine(spark, name):
 SCANS_ONLY = [
     "train_truncate", "extraction_chat", "input_text", "prompt_validate", "prompt_truncate", "generate_stub",
     "param_routing", "name_sanitize", "commit_hash", "split_scan", "sampling_merge", "service_text",
-    "request_fanout", "format_decision", "mixed_config_prompts",
+    "format_decision", "mixed_config_prompts",
 ]
 
 
@@ -98,6 +98,12 @@ def test_no_shuffle(spark, name):
     assert "Exchange hashpartitioning" not in plan and "RoundRobin" not in plan
 
 
+def test_ordinary_requests_are_not_shuffled(spark):
+    answers = registry.queries()["request_fanout"](spark, SF)
+    answers.collect()
+    assert "Exchange" not in physical(answers).split("== Initial Plan ==")[0]
+
+
 @pytest.mark.parametrize("name", ["extraction_chat", "prompt_validate", "train_truncate", "input_text"])
 def test_all_in_generated_code(spark, name):
     plan = physical(registry.queries()[name](spark, SF))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from promptloom.engines import DIGEST, SAMPLED, STRICT
 from promptloom.operators.generation import Engine
 from promptloom.streaming.service import answer_prompts, fan_in, fan_out, format_requests, serve_requests, served_tasks
-from promptloom.sources.requests import read_requests, rejected_requests
+from promptloom.sources.requests import read_requests, rejected_requests, valid_requests
 from promptloom.streaming.tasks import get_task
 
 SCHEMA = (
@@ -50,17 +50,29 @@ def test_request_formats(spark, params, model_template, expected):
     assert formatted(spark, params, model_template) == expected
 
 
-@pytest.mark.parametrize("partitions", [None, 5])
-def test_fan_out_and_in_is_the_identity(spark, partitions):
+@pytest.mark.parametrize("large_request, partitions", [(10_000, None), (20, 5), (0, None)])
+def test_fan_out_and_in_is_the_identity(spark, large_request, partitions):
     rng = random.Random(1)
     # One request has a third of all prompts.
     sizes = [400] + [rng.randrange(1, 12) for _ in range(130)]
     rows = [(f"t{i}", [f"{i}-{j}-{rng.random()}" for j in range(n)], None, None) for i, n in enumerate(sizes)]
-    got = fan_in(answer_prompts(spark.createDataFrame(rows, SCHEMA), IDENTITY, partitions=partitions)).collect()
+    requests = spark.createDataFrame(rows, SCHEMA)
+    answers = answer_prompts(requests, IDENTITY, large_request=large_request, partitions=partitions)
+    got = fan_in(answers).collect()
     assert {r.task_id: r.completions for r in got} == {r[0]: r[1] for r in rows}
     assert {r.status for r in got} == {"done"}
 
 
+def test_large_requests_are_spread_and_others_are_not(spark):
+    rows = [("large", [str(i) for i in range(800)], None, None), ("small", ["x", "y"], None, None)]
+    requests = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    answers = answer_prompts(requests, IDENTITY, large_request=100, partitions=8).select("task_id")
+    parts = answers.groupBy("task_id", F.spark_partition_id().alias("part")).count().collect()
+    large = [r["count"] for r in parts if r.task_id == "large"]
+    assert sum(large) == 800 and len(large) == 8 and max(large) < 200
+    assert [r["count"] for r in parts if r.task_id == "small"] == [2]
+
+
 def test_repeated_request_is_answered_once(spark):
     rows = [("t", ["a", "b", "a"], None, None)] * 3
     got = fan_in(answer_prompts(spark.createDataFrame(rows, SCHEMA), IDENTITY)).collect()
@@ -148,6 +160,9 @@ def test_service_stream(spark, tmp_path):
     assert [r.completions for r in saved] == [got["a"].completions]
     rejected = rejected_requests(spark.read.parquet(f"{served}/requests")).collect()
     assert [(r.reason, r._corrupt_record) for r in rejected] == [("Malformed request", "not json")]
+    written = valid_requests(spark.read.parquet(f"{served}/requests"))
+    plan = answer_prompts(written, STRICT)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(n_prompts,10000)" in plan
 
 
 def test_stream_equals_batch(spark, tmp_path):
