@@ -39,6 +39,7 @@ from promptloom.streaming.service import (  # noqa: E402
     fan_in,
     fan_out,
     format_requests,
+    prepare_requests,
     serve_requests,
     served_tasks,
     service_sampling,
@@ -360,7 +361,7 @@ def sampling_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def service_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    formatted = format_requests(fan_out(_requests(_table(spark, sf_dir, "documents"))))
+    formatted = format_requests(fan_out(prepare_requests(_requests(_table(spark, sf_dir, "documents")))))
     return formatted.select("task_id", F.col("pos").cast("bigint").alias("pos"), "prompt", "error")
 
 

@@ -101,15 +101,23 @@ class ChatLayout:
         The same text as `render(conversation(user, system))` without building the array, so
         the expression stays inside generated code.
         """
-        before, after = self._around("user")
-        user_turn = F.concat(F.lit(before), self._content(user), F.lit(after + self.generation_prompt))
+        head, tail = self._around_prompt(system)
+        return F.concat(head, self._content(user), tail)
+
+    def pieces(self, system: Column | None = None) -> Column:
+        """What `prompt` writes before and after the user's content; see `pieces_around`."""
+        return F.array(*self._around_prompt(system))
+
+    def _around_prompt(self, system: Column | None) -> tuple[Column, Column]:
+        before_user, after_user = self._around("user")
+        tail = F.lit(after_user + self.generation_prompt)
         if system is None:
-            return F.concat(F.lit(self.begin + self._opening()), user_turn)
+            return F.lit(self.begin + self._opening() + before_user), tail
         system = present(optional_text(system))
         before, after = self._around("system")
         system_turn = F.concat(F.lit(before), self._content(system), F.lit(after))
         first = F.when(system.isNotNull(), system_turn).otherwise(F.lit(self._opening()))
-        return F.concat(F.lit(self.begin), first, user_turn)
+        return F.concat(F.lit(self.begin), first, F.lit(before_user)), tail
 
 
 CHATML = ChatLayout()

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from promptloom.functions.chat import LAYOUTS, ChatLayout
-from promptloom.functions.values import present
+from promptloom.functions.values import present, printed, stripped
 
 
 def is_conversational(dataset_format: Column, chat_template: Column) -> Column:
@@ -40,14 +40,23 @@ def resolved_instruction(
     return F.coalesce(*choices)
 
 
-def rendered_by_layout(
-    chat_template: Column,
-    user: Column,
-    system: Column,
-    layouts: Mapping[str, ChatLayout] = LAYOUTS,
+def layout_pieces(
+    chat_template: Column, system: Column, layouts: Mapping[str, ChatLayout] = LAYOUTS
 ) -> Column:
-    """The prompt in the layout each row names; null for a name that is not a layout."""
-    rendered = F.lit(None).cast("string")
+    """What the named layout writes around a user's content; null for a name that is not a layout."""
+    pieces = F.lit(None).cast("array<string>")
     for name, layout in layouts.items():
-        rendered = F.when(chat_template == name, layout.prompt(user, system)).otherwise(rendered)
-    return rendered
+        pieces = F.when(chat_template == name, layout.pieces(system)).otherwise(pieces)
+    return pieces
+
+
+def trims_content(chat_template: Column, layouts: Mapping[str, ChatLayout] = LAYOUTS) -> Column:
+    """Whether the named layout trims content; false without one."""
+    trimming = [name for name, layout in layouts.items() if layout.trim_content]
+    return F.coalesce(chat_template.isin(*trimming), F.lit(False)) if trimming else F.lit(False)
+
+
+def joined_prompt(pieces: Column, prompt: Column, trim: Column) -> Column:
+    """The prompt with its pieces around it: the prompt is what the array is joined with."""
+    prompt = printed(prompt)
+    return F.call_function("array_join", pieces, F.when(trim, stripped(prompt)).otherwise(prompt))

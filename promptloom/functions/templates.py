@@ -102,11 +102,27 @@ def template_segments(template: str) -> Column:
 
 def filled_segments(segments: Column, values: Mapping[str, Column]) -> Column:
     """Segments put together with this row's values; keys are field names or positions."""
+    return F.array_join(F.transform(segments, lambda segment: _text_of(segment, values)), "")
 
-    def piece(segment: Column) -> Column:
-        text = segment["literal"]
-        for field, value in values.items():
-            text = F.when(segment["field"] == field, printed(value)).otherwise(text)
-        return text
 
-    return F.array_join(F.transform(segments, piece), "")
+def pieces_around(segments: Column, field: str, values: Mapping[str, Column]) -> Column:
+    """Segments with all fields but one put in, cut where that one goes.
+
+    The pieces joined with that field's value are the text. Work that is the same for many rows, those of one
+    request or configuration, is so done once.
+    """
+
+    def add(pieces: Column, segment: Column) -> Column:
+        # A field that no value is given for, in a template with an error, leaves no null behind.
+        longer = F.coalesce(F.concat(F.element_at(pieces, -1), _text_of(segment, values)), F.lit(""))
+        grown = F.concat(F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.array(longer))
+        return F.when(segment["field"] == field, F.concat(pieces, F.array(F.lit("")))).otherwise(grown)
+
+    return F.aggregate(segments, F.array(F.lit("")), add)
+
+
+def _text_of(segment: Column, values: Mapping[str, Column]) -> Column:
+    text = segment["literal"]
+    for field, value in values.items():
+        text = F.when(segment["field"] == field, printed(value)).otherwise(text)
+    return text

@@ -5,13 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.constants import DEFAULT_TEXT_FORMAT
-from promptloom.functions.chat import LAYOUTS, ChatLayout
-from promptloom.functions.decisions import resolved_format
-from promptloom.functions.templates import parse_templates, template_segments
+from promptloom.constants import CONFIG_KEYS, DEFAULT_TEXT_FORMAT
+from promptloom.functions.chat import CHATML, LAYOUTS, ChatLayout
+from promptloom.functions.decisions import is_conversational, layout_pieces, resolved_format, trims_content
+from promptloom.functions.templates import parse_templates, pieces_around, template_segments
 from promptloom.functions.values import present
 
 logger = logging.getLogger(__name__)
@@ -38,16 +38,20 @@ def attach_config(
     configs: DataFrame,
     on: Sequence[str] = ("dataset_name", "dataset_config"),
     dataset_format: str | None = None,
+    model_template: str | None = None,
     layouts: Mapping[str, ChatLayout] = LAYOUTS,
 ) -> DataFrame:
-    """Rows with their configuration as a struct `config`, without one only the format argument.
+    """Rows with their configuration as a struct `config`; without one, what an empty one gives.
 
-    `config.text_segments` is the text format, cut up once per configuration. A template that
-    cannot be formatted, a layout that is not known and a configuration that appears twice
-    raise here. The configurations are broadcast after their number is checked; above the
-    bound it is an ordinary join, where adaptive execution splits a key that holds too many
-    rows.
+    `model_template` names the layout the model itself comes with, if it is a chat model. What
+    a configuration makes of its rows is worked out once for each: `text_segments` is its
+    text format cut up, `prompt_pieces` what an inference prompt has around the input, in the
+    format decided on. A template that cannot be formatted, a layout that is not known and a
+    configuration that appears twice raise here. The configurations are broadcast after their
+    number is checked; above the bound it is an ordinary join, where adaptive execution splits
+    a key that holds too many rows.
     """
+    require_layout(model_template, layouts)
     on = list(on)
     template = F.coalesce(present(F.col("text_format")), F.lit(DEFAULT_TEXT_FORMAT))
     parsed = parse_templates(
@@ -70,15 +74,47 @@ def attach_config(
         raise ValueError(f"Unknown chat layout {layout!r}, known are {', '.join(layouts)}")
     if (most or 0) > 1:
         raise ValueError(f"A configuration appears more than once for {', '.join(on)}")
-    plain = ["instruction", "chat_template", "instruction_part", "response_part"]
-    plain = [c for c in plain if c in configs.columns]
-    side = parsed.select(*on, F.struct("dataset_format", "text_segments", *plain).alias("config"))
-    config = F.col("config")
-    return df.join(F.broadcast(side) if (rows or 0) <= MAX_BROADCAST_CONFIGS else side, on, "left").withColumn(
-        "config",
-        F.struct(
-            resolved_format(config["dataset_format"], dataset_format).alias("dataset_format"),
-            F.coalesce(config["text_segments"], template_segments(DEFAULT_TEXT_FORMAT)).alias("text_segments"),
-            *[present(config[c]).alias(c) for c in plain],
-        ),
+    fields = {
+        "dataset_format": resolved_format(F.col("dataset_format"), dataset_format),
+        "text_segments": F.col("text_segments"),
+        **{c: present(F.col(c)) for c in CONFIG_KEYS if c not in ("dataset_format", "text_format")},
+    }
+    fields = {name: value for name, value in fields.items() if name in parsed.columns}
+    side = parsed.select(*on, _config_struct(fields, model_template, layouts).alias("config"))
+    side = F.broadcast(side) if (rows or 0) <= MAX_BROADCAST_CONFIGS else side
+    nothing = {name: F.lit(None).cast("string") for name in fields} | {
+        "dataset_format": F.lit(dataset_format).cast("string"),
+        "text_segments": template_segments(DEFAULT_TEXT_FORMAT),
+    }
+    without = _config_struct(nothing, model_template, layouts)
+    return df.join(side, on, "left").withColumn("config", F.coalesce(F.col("config"), without))
+
+
+def _config_struct(
+    fields: Mapping[str, Column], model_template: str | None, layouts: Mapping[str, ChatLayout]
+) -> Column:
+    """A configuration's fields with the pieces of its inference prompts.
+
+    Chat without any layout uses ChatML. The row's own instruction is not used on this path.
+    """
+    instruction = fields["instruction"]
+    template = F.coalesce(fields["chat_template"], F.lit(model_template).cast("string"))
+    is_chat = is_conversational(fields["dataset_format"], template)
+    chat = F.when(template.isNull(), CHATML.pieces(instruction)).otherwise(
+        layout_pieces(template, instruction, layouts)
     )
+    text = pieces_around(
+        fields["text_segments"],
+        "input",
+        {"instruction": F.coalesce(instruction, F.lit("")), "response": F.lit("")},
+    )
+    return F.struct(
+        *[value.alias(name) for name, value in fields.items()],
+        F.when(is_chat, chat).otherwise(text).alias("prompt_pieces"),
+        (is_chat & trims_content(template, layouts)).alias("trims_input"),
+    )
+
+
+def require_layout(name: str | None, layouts: Mapping[str, ChatLayout]) -> None:
+    if name is not None and name not in layouts:
+        raise ValueError(f"Unknown chat layout {name!r}, known are {', '.join(layouts)}")

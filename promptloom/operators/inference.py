@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from promptloom.constants import DEFAULT_TEXT_FORMAT, INFERENCE, INPUT
 from promptloom.functions.chat import CHATML, LAYOUTS, ChatLayout
-from promptloom.functions.decisions import is_conversational, rendered_by_layout
-from promptloom.functions.templates import filled_segments, format_text
+from promptloom.functions.decisions import joined_prompt
+from promptloom.functions.templates import format_text
 from promptloom.functions.values import as_text
+from promptloom.operators.configs import require_layout
 from promptloom.operators.guards import require_columns
 
 logger = logging.getLogger(__name__)
@@ -46,7 +47,7 @@ def format_prompts(
     chat = template is not None if dataset_format not in ("conversational", "text") else dataset_format == "conversational"
     prompt = F.col(prompt_column)
     if chat:
-        _require_layout(template, layouts)
+        require_layout(template, layouts)
         layout = layouts[template] if template is not None else CHATML
         rendered = layout.prompt(prompt, F.lit(instruction) if instruction else None)
     else:
@@ -59,26 +60,10 @@ def format_prompts(
     return df.withColumn(prompt_column, rendered)
 
 
-def format_prompts_by_row(
-    df: DataFrame,
-    model_template: str | None = None,
-    layouts: Mapping[str, ChatLayout] = LAYOUTS,
-    prompt_column: str = PROMPT,
-) -> DataFrame:
+def format_prompts_by_row(df: DataFrame, prompt_column: str = PROMPT) -> DataFrame:
     """Prompts rendered by the `config` that `attach_config` adds, so one job can mix them."""
-    _require_layout(model_template, layouts)
-    config = F.col("config")
-    template = F.coalesce(config["chat_template"], F.lit(model_template).cast("string"))
-    instruction = config["instruction"]
-    layout_name = F.coalesce(template, F.lit(_name_of(CHATML, layouts)))
-    prompt = F.col(prompt_column)
-    text = filled_segments(
-        config["text_segments"],
-        {"instruction": F.coalesce(instruction, F.lit("")), "input": prompt, "response": F.lit("")},
-    )
-    chat = rendered_by_layout(layout_name, prompt, instruction, layouts)
-    rendered = F.when(is_conversational(config["dataset_format"], template), chat).otherwise(text)
-    return df.withColumn(prompt_column, rendered)
+    config, prompt = F.col("config"), F.col(prompt_column)
+    return df.withColumn(prompt_column, joined_prompt(config["prompt_pieces"], prompt, config["trims_input"]))
 
 
 def with_completions(df: DataFrame, completions: Column, output_column: str = INFERENCE) -> DataFrame:
@@ -86,12 +71,3 @@ def with_completions(df: DataFrame, completions: Column, output_column: str = IN
     if output_column in df.columns:
         logger.warning("Replacing the values of column %r", output_column)
     return df.withColumn(output_column, completions)
-
-
-def _require_layout(template: str | None, layouts: Mapping[str, ChatLayout]) -> None:
-    if template is not None and template not in layouts:
-        raise ValueError(f"Unknown chat layout {template!r}, known are {', '.join(layouts)}")
-
-
-def _name_of(layout: ChatLayout, layouts: Mapping[str, ChatLayout]) -> str | None:
-    return next((name for name, known in layouts.items() if known == layout), None)

@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from promptloom.constants import SERVICE_INSTRUCTION, SERVICE_SAMPLING
 from promptloom.functions.chat import LAYOUTS, ChatLayout
-from promptloom.functions.decisions import rendered_by_layout
-from promptloom.functions.templates import filled_segments, parse_templates
+from promptloom.functions.decisions import joined_prompt, layout_pieces, trims_content
+from promptloom.functions.templates import parse_templates, pieces_around
 from promptloom.functions.tokens import resolved_limit
 from promptloom.functions.values import present
 from promptloom.operators.generation import Engine, complete, first_candidate, request_sampling
@@ -32,57 +32,67 @@ def service_sampling(requests: DataFrame, model_limit: int | None = None) -> Dat
     return requests.withColumn("sampling", request_sampling(F.col("sampling_params"), defaults))
 
 
-def fan_out(requests: DataFrame, model_limit: int | None = None) -> DataFrame:
-    """One row per prompt, `pos` its place in the request. A request without prompts keeps one row.
+def prepare_requests(
+    requests: DataFrame,
+    model_template: str | None = None,
+    model_limit: int | None = None,
+    layouts: Mapping[str, ChatLayout] = LAYOUTS,
+) -> DataFrame:
+    """Requests with what their parameters make of their prompts, worked out once for each.
 
-    Parameters are worked out once per request, before the prompts are spread: templates are
-    cut up and sampling parameters become one JSON text.
+    That is the `pieces` around each prompt, the sampling parameters as one JSON text, and
+    what is wrong with them. The pieces are those of the first of chat layout (the request's,
+    else the model's), the request's positional text format, and nothing.
     """
+    n_prompts = F.col("n_prompts") if "n_prompts" in requests.columns else F.size("prompts")
     params, sampling = F.col("prompts_params"), F.col("sampling")
     limit = sampling["truncate_prompt_tokens"].try_cast("int")
     prepared = service_sampling(requests, model_limit).select(
         "task_id",
         "prompts",
+        n_prompts.alias("n_prompts"),
         present(params["instruction"]).alias("instruction"),
-        present(params["chat_template"]).alias("chat_template"),
+        F.coalesce(present(params["chat_template"]), F.lit(model_template).cast("string")).alias("layout"),
         present(params["text_format"]).alias("text_format"),
         F.to_json(sampling, {"ignoreNullFields": "false"}).alias("sampling"),
         F.when(limit >= 1, limit).alias("max_prompt_tokens"),
     )
+    instruction, layout, segments = F.col("instruction"), F.col("layout"), F.col("text_segments")
+    spoken = F.coalesce(instruction, F.lit(SERVICE_INSTRUCTION))
+    pieces = (
+        F.when(layout.isNotNull(), layout_pieces(layout, instruction, layouts))
+        .when(segments.isNotNull(), pieces_around(segments, "1", {"0": spoken, "2": F.lit("")}))
+        .otherwise(F.array(F.lit(""), F.lit("")))
+    )
+    unknown = F.concat(F.lit("Unknown chat layout '"), layout, F.lit("'"))
     return parse_templates(prepared, "text_format", positions=3, prefix="text").select(
-        "task_id", "instruction", "chat_template", "text_segments", "text_error", "sampling", "max_prompt_tokens",
-        F.posexplode_outer("prompts").alias("pos", "prompt"),
+        "task_id",
+        "prompts",
+        "n_prompts",
+        pieces.alias("pieces"),
+        trims_content(layout, layouts).alias("trims_prompt"),
+        F.when(layout.isNull(), F.col("text_error")).when(~layout.isin(*layouts), unknown).alias("error"),
+        "sampling",
+        "max_prompt_tokens",
     )
 
 
-def format_requests(
-    prompts: DataFrame, model_template: str | None = None, layouts: Mapping[str, ChatLayout] = LAYOUTS
-) -> DataFrame:
-    """Fanned-out prompts rendered, with `error` where that fails.
+def fan_out(prepared: DataFrame) -> DataFrame:
+    """One row per prompt, `pos` its place in the request. A request without prompts keeps one row."""
+    exploded = prepared.select("*", F.posexplode_outer("prompts").alias("pos", "prompt"))
+    return exploded.drop("prompts", "n_prompts")
 
-    The first of chat layout (the request's, else the model's), the request's positional text
-    format, and the prompt as it is.
-    """
-    layout = F.coalesce(F.col("chat_template"), F.lit(model_template).cast("string"))
-    instruction, prompt, segments = F.col("instruction"), F.col("prompt"), F.col("text_segments")
-    filled = filled_segments(
-        segments,
-        {"0": F.coalesce(instruction, F.lit(SERVICE_INSTRUCTION)), "1": prompt, "2": F.lit("")},
-    )
-    unknown = F.concat(F.lit("Unknown chat layout '"), layout, F.lit("'"))
+
+def format_requests(prompts: DataFrame) -> DataFrame:
+    """Fanned-out prompts rendered, with `error` where that fails."""
+    prompt = F.col("prompt")
+    rendered = joined_prompt(F.col("pieces"), prompt, F.col("trims_prompt"))
     return prompts.withColumn(
         "error",
         F.when(F.col("pos").isNull(), "list index out of range")
         .when(prompt.isNull(), "Prompt is null")
-        .when(layout.isNotNull() & ~layout.isin(*layouts), unknown)
-        .when(layout.isNull(), F.col("text_error")),
-    ).withColumn(
-        "prompt",
-        F.when(F.col("error").isNotNull(), None)
-        .when(layout.isNotNull(), rendered_by_layout(layout, prompt, instruction, layouts))
-        .when(segments.isNotNull(), filled)
-        .otherwise(prompt),
-    )
+        .otherwise(F.col("error")),
+    ).withColumn("prompt", F.when(F.col("error").isNull(), rendered))
 
 
 def answer_prompts(
@@ -101,12 +111,11 @@ def answer_prompts(
     place in the request, so that a task that runs again gets the same ones. Large requests
     are found by a filter, on `n_prompts` if the requests have it, where it reaches the scan.
     """
-    size = F.col("n_prompts") if "n_prompts" in requests.columns else F.size("prompts")
     partitions = partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = fan_out(requests.filter(size > large_request), model_limit).repartition(partitions, "task_id", "pos")
-    ordinary = requests.filter((size <= large_request) | size.isNull())
-    prompts = fan_out(ordinary, model_limit).unionByName(spread)
-    formatted = format_requests(prompts, model_template, layouts)
+    prepared, size = prepare_requests(requests, model_template, model_limit, layouts), F.col("n_prompts")
+    spread = fan_out(prepared.filter(size > large_request)).repartition(partitions, "task_id", "pos")
+    ordinary = fan_out(prepared.filter((size <= large_request) | size.isNull()))
+    formatted = format_requests(ordinary.unionByName(spread))
     bounded = bound_prompts(formatted, max_tokens=F.col("max_prompt_tokens"))
     answers = complete(F.col("prompt"), engine, F.col("sampling"), capture_errors=True)
     return bounded.withColumn("answer", answers).select(

@@ -91,7 +91,7 @@ def test_batch_inference_chat(example):
     with pytest.raises(ValueError, match="Unknown chat layout"):
         prompt_of(example, {"chat_template": "{% jinja %}"})
     with pytest.raises(ValueError, match="Unknown chat layout"):
-        format_prompts_by_row(input_prompts(example), model_template="")
+        attach_config(example, example, model_template="")
 
 
 CONFIGS = [
@@ -108,7 +108,9 @@ def test_mixed_configs_equal_one_job_each(spark, model_template, argument):
     rows = [("d", name, f"{name}: {{input}}") for name in ("a", "b", "c", "e", "none")] + [("other", "a", "x")]
     df = spark.createDataFrame(rows, "dataset_name string, dataset_config string, input string")
     configs = spark.createDataFrame(CONFIGS, CONFIG)
-    mixed = format_prompts_by_row(input_prompts(attach_config(df, configs, dataset_format=argument)), model_template)
+    mixed = format_prompts_by_row(
+        attach_config(input_prompts(df), configs, dataset_format=argument, model_template=model_template)
+    )
     got = {(r.dataset_name, r.dataset_config): r.prompt for r in mixed.collect()}
     fields = configs.columns[2:]
     known = {(c[0], c[1]): dict(zip(fields, c[2:])) for c in CONFIGS}

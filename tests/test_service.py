@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 
 from promptloom.engines import DIGEST, SAMPLED, STRICT
 from promptloom.operators.generation import Engine
-from promptloom.streaming.service import answer_prompts, fan_in, fan_out, format_requests, serve_requests, served_tasks
+from promptloom.streaming.service import (
+    answer_prompts,
+    fan_in,
+    fan_out,
+    format_requests,
+    prepare_requests,
+    serve_requests,
+    served_tasks,
+)
 from promptloom.sources.requests import read_requests, rejected_requests, valid_requests
 from promptloom.streaming.tasks import get_task
 
@@ -20,7 +28,7 @@ IDENTITY = Engine("identity", lambda: lambda prompts, sampling: list(prompts))
 
 def formatted(spark, params, model_template=None):
     requests = spark.createDataFrame([("t", ["p"], params, {})], SCHEMA)
-    row = format_requests(fan_out(requests), model_template).first()
+    row = format_requests(fan_out(prepare_requests(requests, model_template))).first()
     return row.prompt, row.error
 
 

@@ -6,7 +6,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from promptloom.constants import DEFAULT_TEXT_FORMAT
-from promptloom.functions.templates import filled_segments, format_text, parse_templates, template_segments
+from promptloom.functions.decisions import joined_prompt
+from promptloom.functions.templates import (
+    filled_segments,
+    format_text,
+    parse_templates,
+    pieces_around,
+    template_segments,
+)
 
 NAMES = ("instruction", "input", "response")
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -41,6 +48,16 @@ def test_templates_in_rows_are_str_format(spark, rows):
     assert got == [(t.format(instruction=a, input=b, response=c), None) for t, a, b, c in rows]
 
 
+@FEW
+@given(rows=st.lists(st.tuples(named_templates, value, value, value), min_size=20, max_size=40))
+def test_pieces_around_a_field_join_to_the_text(spark, rows):
+    df = parse_templates(spark.createDataFrame(rows, "template string, a string, b string, c string"), "template", NAMES)
+    others = {"instruction": F.col("a"), "response": F.col("c")}
+    pieces = pieces_around(F.col("template_segments"), "input", others)
+    got = [r[0] for r in df.select(joined_prompt(pieces, F.col("b"), F.lit(False))).collect()]
+    assert got == [t.format(instruction=a, input=b, response=c) for t, a, b, c in rows]
+
+
 @FEW
 @given(rows=st.lists(st.tuples(any_text.map("".join), value, value, value), min_size=40, max_size=80))
 def test_positional_templates_fail_where_str_format_fails(spark, rows):
