@@ -100,6 +100,18 @@ def template_segments(template: str) -> Column:
     return F.array(*segments).cast(SEGMENTS)
 
 
+def template_pieces(template: str, field: str, values: Mapping[str, str]) -> Column:
+    """`pieces_around` for a template and values known when the job is written."""
+    pieces = [""]
+    for literal, name, _, _ in Formatter().parse(template):
+        pieces[-1] += literal
+        if name == field:
+            pieces.append("")
+        elif name is not None:
+            pieces[-1] += values[name]
+    return F.array(*[F.lit(piece) for piece in pieces])
+
+
 def filled_segments(segments: Column, values: Mapping[str, Column]) -> Column:
     """Segments put together with this row's values; keys are field names or positions."""
     return F.array_join(F.transform(segments, lambda segment: _text_of(segment, values)), "")

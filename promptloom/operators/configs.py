@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from promptloom.constants import CONFIG_KEYS, DEFAULT_TEXT_FORMAT
 from promptloom.functions.chat import CHATML, LAYOUTS, ChatLayout
 from promptloom.functions.decisions import is_conversational, layout_pieces, resolved_format, trims_content
-from promptloom.functions.templates import parse_templates, pieces_around, template_segments
+from promptloom.functions.templates import parse_templates, pieces_around, template_pieces, template_segments
 from promptloom.functions.values import present
 
 logger = logging.getLogger(__name__)
@@ -80,18 +80,24 @@ def attach_config(
         **{c: present(F.col(c)) for c in CONFIG_KEYS if c not in ("dataset_format", "text_format")},
     }
     fields = {name: value for name, value in fields.items() if name in parsed.columns}
-    side = parsed.select(*on, _config_struct(fields, model_template, layouts).alias("config"))
+    given = {"instruction": F.coalesce(fields["instruction"], F.lit("")), "response": F.lit("")}
+    text_pieces = pieces_around(F.col("text_segments"), "input", given)
+    side = parsed.select(*on, _config_struct(fields, text_pieces, model_template, layouts).alias("config"))
     side = F.broadcast(side) if (rows or 0) <= MAX_BROADCAST_CONFIGS else side
     nothing = {name: F.lit(None).cast("string") for name in fields} | {
         "dataset_format": F.lit(dataset_format).cast("string"),
         "text_segments": template_segments(DEFAULT_TEXT_FORMAT),
     }
-    without = _config_struct(nothing, model_template, layouts)
+    plain_pieces = template_pieces(DEFAULT_TEXT_FORMAT, "input", {"instruction": "", "response": ""})
+    without = _config_struct(nothing, plain_pieces, model_template, layouts)
     return df.join(side, on, "left").withColumn("config", F.coalesce(F.col("config"), without))
 
 
 def _config_struct(
-    fields: Mapping[str, Column], model_template: str | None, layouts: Mapping[str, ChatLayout]
+    fields: Mapping[str, Column],
+    text_pieces: Column,
+    model_template: str | None,
+    layouts: Mapping[str, ChatLayout],
 ) -> Column:
     """A configuration's fields with the pieces of its inference prompts.
 
@@ -103,14 +109,9 @@ def _config_struct(
     chat = F.when(template.isNull(), CHATML.pieces(instruction)).otherwise(
         layout_pieces(template, instruction, layouts)
     )
-    text = pieces_around(
-        fields["text_segments"],
-        "input",
-        {"instruction": F.coalesce(instruction, F.lit("")), "response": F.lit("")},
-    )
     return F.struct(
         *[value.alias(name) for name, value in fields.items()],
-        F.when(is_chat, chat).otherwise(text).alias("prompt_pieces"),
+        F.when(is_chat, chat).otherwise(text_pieces).alias("prompt_pieces"),
         (is_chat & trims_content(template, layouts)).alias("trims_input"),
     )
 

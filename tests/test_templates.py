@@ -12,6 +12,7 @@ from promptloom.functions.templates import (
     format_text,
     parse_templates,
     pieces_around,
+    template_pieces,
     template_segments,
 )
 
@@ -115,5 +116,9 @@ def test_literal_segments_equal_parsed_ones(spark):
         columns = {n: F.lit(n.upper()) for n in NAMES}
         filled = [filled_segments(s, columns) for s in (F.col("template_segments"), template_segments(template))]
         parsed, literal = df.select(*filled).first()
+        values = {"instruction": "INSTRUCTION", "response": "RESPONSE"}
+        known = template_pieces(template, "input", values)
+        cut = pieces_around(F.col("template_segments"), "input", {n: F.lit(v) for n, v in values.items()})
+        assert df.select(known).first()[0] == df.select(cut).first()[0]
         assert parsed == literal == template.format(**{n: n.upper() for n in NAMES})
         assert [f for _, f, _, _ in Formatter().parse(template) if f]
