@@ -55,6 +55,14 @@ from promptloom.streaming.tasks import (  # noqa: E402
     unknown_tasks,
 )
 
+# The subpackage for training data can be left out of an installation.
+try:
+    from promptloom.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("promptloom.llm", "promptloom.llm.queries"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Settings of the queries below, used on both sides.
@@ -490,7 +498,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return QUERIES | (llm.QUERIES if llm else {})
 
 
 # SQL
@@ -784,4 +792,4 @@ ORACLES: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | (llm.ORACLES if llm else {})

@@ -9,13 +9,13 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert registry.QUERIES.keys() == registry.ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query_matches_sql(spark, name):
-    got = spark_rows(registry.queries()[name](spark, SF))
-    assert got == sql_rows(registry.oracle_sql()[name], SF)
+    got = spark_rows(registry.QUERIES[name](spark, SF))
+    assert got == sql_rows(registry.ORACLES[name], SF)
 
 
 def test_entry(spark):
