@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptloom.llm import bpe, mixing, repetition, token_files
+from promptloom.llm import bpe, mixing, ordinal, repetition, token_files, toxicity
 from promptloom.llm.sql import BASE_SQL, MIXING_SQL
 from promptloom.session import shared_folder, ship_package
 
@@ -52,11 +52,26 @@ def op8_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    # 0: bad, 1: good but toxic, 2: good.
+    grade = F.col("quality") * (2 - F.col("toxic"))
+    model = ordinal.quality_model(documents, labels, grade)
+    return ordinal.graded_documents(documents, model)
+
+
+def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score_documents(documents, toxicity.toxicity_model(documents, labels))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair_token_files": op1_repair_token_files,
     "op5_repetition_coverage": op5_repetition_coverage,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
     "op8_mix_to_weights": op8_mix_to_weights,
+    "op9_ordinal_quality": op9_ordinal_quality,
+    "op10_toxic_sentences": op10_toxic_sentences,
 }
 
 ORACLES: dict[str, str] = {
