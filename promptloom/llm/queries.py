@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptloom.llm import bpe, mixing, ordinal, repetition, token_files, toxicity
-from promptloom.llm.sql import BASE_SQL, MIXING_SQL
+from promptloom.llm import bpe, licences, mixing, ordinal, repetition, token_files, toxicity
+from promptloom.llm.sql import BASE_SQL, LICENCE_SQL, MIXING_SQL
 from promptloom.session import shared_folder, ship_package
 
 TOKENIZER = "word_bpe_49k.json"
@@ -33,6 +33,10 @@ def op1_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_digests(spark, folder)
 
 
+def op3_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_report(_documents(spark, sf_dir))
+
+
 def op5_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_report(_documents(spark, sf_dir))
 
@@ -67,6 +71,7 @@ def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair_token_files": op1_repair_token_files,
+    "op3_licence_sentences": op3_licence_sentences,
     "op5_repetition_coverage": op5_repetition_coverage,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
     "op8_mix_to_weights": op8_mix_to_weights,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_licence_sentences": LICENCE_SQL,
     "op5_repetition_coverage": BASE_SQL,
     "op8_mix_to_weights": MIXING_SQL,
 }

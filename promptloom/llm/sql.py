@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import string
+
+from promptloom.llm.licences import BLANK, NOTICE, RULES, SENTENCE_END, SENTENCES
 from promptloom.llm.repetition import LENGTHS, MOST_LINE_PERCENT, MOST_PERCENT, SYMBOLS
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -80,3 +83,36 @@ rates AS (
 SELECT doc_id, size, source_size, target,
   size * (CAST(floor(rate) AS BIGINT) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
 FROM rates"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _licence_sql() -> str:
+    forms = ", ".join(f"{_quoted(form)}: {_quoted(name)}" for name, all_forms in SENTENCES.items() for form in all_forms)
+    hits = ", ".join(
+        f"CASE WHEN contains('|' || sentences || '|', '|{'|'.join(names)}|') "
+        f"OR contains('|' || joined_sentences || '|', '|{'|'.join(names)}|') THEN '{licence}' END"
+        for licence, names in RULES
+    )
+    lines = f"regexp_replace(regexp_replace({{}}, '{SENTENCE_END}', chr(10), 'g'), '[^a-z0-9\\n]+', ' ', 'g')"
+    known = (
+        f"list_filter(list_transform(string_split({lines}, chr(10)), "
+        f"lambda x: MAP {{{{{forms}}}}}[regexp_replace(trim(x), '{NOTICE.replace('{', '{{').replace('}', '}}')}', 'under ')]), "
+        "lambda x: x IS NOT NULL)"
+    )
+    return f"""
+WITH lowered AS (SELECT doc_id, translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS text
+  FROM documents),
+found AS (
+  SELECT doc_id, array_to_string({known.format("text")}, '|') AS sentences,
+    array_to_string({known.format("regexp_replace(text, '" + BLANK + "', ' ', 'g')")}, '|') AS joined_sentences
+  FROM lowered)
+SELECT doc_id, sentences, joined_sentences,
+  array_to_string(list_sort(list_distinct(list_filter([{hits}], lambda x: x IS NOT NULL))), ';') AS licences,
+  CAST(CASE WHEN sentences = '' THEN 0 ELSE length(sentences) - length(replace(sentences, '|', '')) + 1 END AS BIGINT) AS n_known
+FROM found"""
+
+
+LICENCE_SQL = _licence_sql()
