@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptloom.llm import bpe, licences, mixing, ordinal, repetition, token_files, toxicity
-from promptloom.llm.sql import BASE_SQL, LICENCE_SQL, MIXING_SQL
+from promptloom.llm import bpe, licences, minhash, mixing, ordinal, repetition, token_files, toxicity
+from promptloom.llm.sql import BASE_SQL, LICENCE_SQL, MIXING_SQL, NEAR_DUPLICATE_SQL
 from promptloom.session import shared_folder, ship_package
 
 TOKENIZER = "word_bpe_49k.json"
@@ -33,6 +33,10 @@ def op1_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_digests(spark, folder)
 
 
+def op2_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir))
+
+
 def op3_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_report(_documents(spark, sf_dir))
 
@@ -71,6 +75,7 @@ def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair_token_files": op1_repair_token_files,
+    "op2_bbit_minhash": op2_bbit_minhash,
     "op3_licence_sentences": op3_licence_sentences,
     "op5_repetition_coverage": op5_repetition_coverage,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_bbit_minhash": NEAR_DUPLICATE_SQL,
     "op3_licence_sentences": LICENCE_SQL,
     "op5_repetition_coverage": BASE_SQL,
     "op8_mix_to_weights": MIXING_SQL,

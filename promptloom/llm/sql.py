@@ -116,3 +116,38 @@ FROM found"""
 
 
 LICENCE_SQL = _licence_sql()
+
+
+def near_duplicate_sql(words: int, percent: int) -> str:
+    """Exact links over all pairs of different sets that share a shingle, and their components."""
+    return f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+    '{WORD_PATTERN}') AS w
+  FROM documents),
+shingled AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(generate_series(1, len(w) - {words - 1}),
+      lambda i: array_to_string(w[i : i + {words - 1}], ' ')))) END AS s
+  FROM texts),
+classes AS (SELECT min(doc_id) AS node, md5(array_to_string(s, chr(10))) AS key, any_value(s) AS s, len(any_value(s)) AS n
+  FROM shingled WHERE len(s) > 0 GROUP BY array_to_string(s, chr(10))),
+items AS (SELECT node, n, unnest(s) AS item FROM classes),
+pairs AS (
+  SELECT a.node AS a, b.node AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
+  FROM items a JOIN items b ON a.item = b.item AND a.node < b.node
+    AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {percent}
+  GROUP BY a.node, b.node),
+links AS (SELECT a, b FROM pairs WHERE shared * 100 >= (na + nb - shared) * {percent}),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(node, root) AS (
+  SELECT node, node FROM classes
+  UNION SELECT ways.b, reached.root FROM reached JOIN ways ON reached.node = ways.a WHERE reached.root < ways.b),
+roots AS (SELECT node, min(root) AS root FROM reached GROUP BY node)
+SELECT doc_id, CAST(len(shingled.s) AS BIGINT) AS n_shingles,
+  CASE WHEN len(shingled.s) = 0 THEN doc_id ELSE root END AS component_id, doc_id = component_id AS kept
+FROM shingled LEFT JOIN classes ON classes.key = md5(array_to_string(shingled.s, chr(10))) AND len(shingled.s) > 0
+  LEFT JOIN roots USING (node)"""
+
+
+NEAR_DUPLICATE_SQL = near_duplicate_sql(4, 80)
