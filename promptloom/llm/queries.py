@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptloom.llm import bpe, licences, minhash, mixing, ordinal, repetition, token_files, toxicity
-from promptloom.llm.sql import BASE_SQL, LICENCE_SQL, MIXING_SQL, NEAR_DUPLICATE_SQL
+from promptloom.llm import bpe, licences, minhash, mixing, ordinal, repetition, suffixes, token_files, toxicity
+from promptloom.llm.sql import BASE_SQL, LICENCE_SQL, MIXING_SQL, NEAR_DUPLICATE_SQL, REPEATED_SPAN_SQL
 from promptloom.session import shared_folder, ship_package
 
 TOKENIZER = "word_bpe_49k.json"
@@ -49,6 +49,10 @@ def op6_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_documents(_documents(spark, sf_dir), tokenizer_path())
 
 
+def op7_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_report(_documents(spark, sf_dir))
+
+
 def op8_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _documents(spark, sf_dir).select("doc_id", "text", "source")
     return mixing.with_copies(documents).select(
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_licence_sentences": op3_licence_sentences,
     "op5_repetition_coverage": op5_repetition_coverage,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
+    "op7_bwt_repeats": op7_bwt_repeats,
     "op8_mix_to_weights": op8_mix_to_weights,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_toxic_sentences": op10_toxic_sentences,
@@ -88,5 +93,6 @@ ORACLES: dict[str, str] = {
     "op2_bbit_minhash": NEAR_DUPLICATE_SQL,
     "op3_licence_sentences": LICENCE_SQL,
     "op5_repetition_coverage": BASE_SQL,
+    "op7_bwt_repeats": REPEATED_SPAN_SQL,
     "op8_mix_to_weights": MIXING_SQL,
 }

@@ -151,3 +151,34 @@ FROM shingled LEFT JOIN classes ON classes.key = md5(array_to_string(shingled.s,
 
 
 NEAR_DUPLICATE_SQL = near_duplicate_sql(4, 80)
+
+
+def repeated_span_sql(length: int) -> str:
+    """Every string of the length, by its first place; bytes are written as two hexadecimal digits."""
+    return f"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(length(h) // 2 AS BIGINT) AS n_bytes FROM documents),
+strings AS (
+  SELECT doc_id, unnest(list_transform(range(n_bytes - {length - 1}),
+    lambda p: {{'p': p, 'key': md5(substr(h, 2 * p + 1, {2 * length}))}})) AS s
+  FROM texts WHERE n_bytes >= {length}),
+later AS (
+  SELECT doc_id, p FROM (
+    SELECT doc_id, s.p AS p, row_number() OVER (PARTITION BY s.key ORDER BY doc_id, s.p) AS turn FROM strings)
+  WHERE turn > 1),
+marked AS (
+  SELECT doc_id, p, CASE WHEN p - lag(p) OVER w <= {length} THEN 0 ELSE 1 END AS new
+  FROM later WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+numbered AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(p) AS a, max(p) + {length} AS b FROM numbered GROUP BY doc_id, span),
+pieces AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+removed AS (
+  SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM pieces JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM texts LEFT JOIN removed USING (doc_id)"""
+
+
+REPEATED_SPAN_SQL = repeated_span_sql(100)
