@@ -97,16 +97,20 @@ def similarity(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (agree - chance) / (1.0 - chance)
 
 
-_SIGNATURES = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>"
+_SIGNATURES = "doc_id bigint, text_key bigint, n_shingles bigint, key_a bigint, key_b bigint, bands array<bigint>"
+
+
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def signatures(docs: DataFrame, words: int, id_column: str, text_column: str) -> DataFrame:
-    """Size, 128-bit key of the set, and band keys of each row; one pass, no shuffle."""
+    """Hash of the text, size and 128-bit key of its set, and band keys of each row; one pass, no shuffle."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
         for batch in batches:
-            sets = shingle_sets(whole(batch.column(1).to_pylist()), words, hashes)
+            sets = shingle_sets(whole(batch.column(2).to_pylist()), words, hashes)
             keys_a, keys_b, bands = [], [], []
             for own in sets:
                 keys_a.append(np.bitwise_xor.reduce(mixed(own ^ _SALTS[0])) if len(own) else np.uint64(0))
@@ -122,15 +126,17 @@ def signatures(docs: DataFrame, words: int, id_column: str, text_column: str) ->
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(counts),
                     pa.array(np.array(keys_a, dtype=np.uint64).view(np.int64)),
                     pa.array(np.array(keys_b, dtype=np.uint64).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
                 ],
-                names=["doc_id", "n_shingles", "key_a", "key_b", "bands"],
+                names=["doc_id", "text_key", "n_shingles", "key_a", "key_b", "bands"],
             )
 
-    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
+    text = F.col(text_column)
+    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), _text_key(text).alias("text_key"), text.alias("text"))
     return rows.mapInArrow(signed, _SIGNATURES)
 
 
@@ -235,22 +241,8 @@ def _candidate_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     return _with_blocks(of_small.union(of_large))
 
 
-def near_duplicates(
-    docs: DataFrame,
-    words: int = WORDS,
-    percent: int = PERCENT,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row.
-
-    Texts with equal sets are one class from the start, known by its smallest id. Classes that
-    share a band are candidates; they are compared in blocks of bounded size, by the estimate and
-    then by their whole sets, and links are a spanning forest, so a group of near copies never
-    becomes all its pairs. Rows without words are linked with nothing; rows that repeat an id are
-    versions of one document, linked with what any of them is; rows with a null id keep it, and
-    have a component if an equal set has an id. An empty table gives an empty one.
-    """
+def _verdicts(docs: DataFrame, words: int, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id, kept of every row."""
     signed = written(signatures(docs, words, id_column, text_column))
     keys = ["key_a", "key_b"]
     some = signed.filter("n_shingles > 0")
@@ -263,9 +255,51 @@ def near_duplicates(
     members = texts.join(blocks, "node").select("node", "text", "blocks").mapInArrow(_block_rows(words), _BLOCKS)
     links = members.groupBy("group", "a", "b").applyInArrow(lambda block: _compare(block, percent), "a bigint, b bigint")
     found = components(links)
-    ids = signed.select("doc_id", "n_shingles", *keys).join(classes, keys, "left")
+    ids = signed.select("doc_id", "text_key", "n_shingles", *keys).join(classes, keys, "left")
     joined = ids.join(found, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return joined.select("doc_id", "text_key", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    words: int = WORDS,
+    percent: int = PERCENT,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row.
+
+    Texts with equal sets are one class from the start, known by its smallest id. Classes that
+    share a band are candidates; they are compared in blocks of bounded size, by the estimate and
+    then by their whole sets, and links are a spanning forest, so a group of near copies never
+    becomes all its pairs. Rows without words are linked with nothing; rows that repeat an id are
+    versions of one document, linked with what any of them is; rows with a null id keep it, and
+    have a component if an equal set has an id. An empty table gives an empty one.
+    """
+    return _verdicts(docs, words, percent, id_column, text_column).drop("text_key")
+
+
+def deduplicated(
+    docs: DataFrame,
+    words: int = WORDS,
+    percent: int = PERCENT,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """One document of each group, with its columns: the one with the smallest id, once.
+
+    Of rows that repeat that id, one with the smallest hash of its text stays. Of rows with a null
+    id, those stay whose set no row with an id has, equal texts once.
+    """
+    verdicts = _verdicts(docs, words, percent, id_column, text_column).filter("kept")
+    single = F.when(F.col("doc_id").isNull(), F.col("text_key"))
+    chosen = verdicts.groupBy("doc_id", single.alias("single")).agg(F.min("text_key").alias("text_key"))
+    kept_id, kept_key = "_kept_id", "_kept_key"
+    while {kept_id, kept_key} & set(docs.columns):
+        kept_id, kept_key = kept_id + "_", kept_key + "_"
+    chosen = chosen.select(F.col("doc_id").alias(kept_id), F.col("text_key").alias(kept_key))
+    same = F.col(id_column).eqNullSafe(F.col(kept_id)) & (_text_key(F.col(text_column)) == F.col(kept_key))
+    return docs.join(chosen, same).dropDuplicates([kept_id, kept_key]).drop(kept_id, kept_key)

@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptloom.llm import bpe, licences, minhash, mixing, ordinal, repetition, suffixes, token_files, toxicity
+import corpus_pipeline
+from promptloom.llm import bpe, licences, minhash, mixing, ordinal, repetition, spotsigs, suffixes, token_files, toxicity
 from promptloom.llm.sql import BASE_SQL, LICENCE_SQL, MIXING_SQL, NEAR_DUPLICATE_SQL, REPEATED_SPAN_SQL
 from promptloom.session import shared_folder, ship_package
 
-TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 
 
@@ -21,15 +21,9 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/{uuid.uuid4()}"
-    token_files.write_token_files(_documents(spark, sf_dir), folder, tokenizer_path(), END_ID)
+    token_files.write_token_files(_documents(spark, sf_dir), folder, corpus_pipeline.tokenizer_path(), END_ID)
     return token_files.read_token_digests(spark, folder)
 
 
@@ -41,12 +35,16 @@ def op3_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_report(_documents(spark, sf_dir))
 
 
+def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_report(_documents(spark, sf_dir))
+
+
 def op5_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_report(_documents(spark, sf_dir))
 
 
 def op6_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encoded_documents(_documents(spark, sf_dir), tokenizer_path())
+    return bpe.encoded_documents(_documents(spark, sf_dir), corpus_pipeline.tokenizer_path())
 
 
 def op7_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,12 +79,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair_token_files": op1_repair_token_files,
     "op2_bbit_minhash": op2_bbit_minhash,
     "op3_licence_sentences": op3_licence_sentences,
+    "op4_spot_signatures": op4_spot_signatures,
     "op5_repetition_coverage": op5_repetition_coverage,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
     "op7_bwt_repeats": op7_bwt_repeats,
     "op8_mix_to_weights": op8_mix_to_weights,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_toxic_sentences": op10_toxic_sentences,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
@@ -96,3 +96,5 @@ ORACLES: dict[str, str] = {
     "op7_bwt_repeats": REPEATED_SPAN_SQL,
     "op8_mix_to_weights": MIXING_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -332,29 +332,27 @@ _STRINGS = "string binary, k bigint, tie bigint, start int"
 _ARROW_STRINGS = pa.schema([("string", pa.binary()), ("k", pa.int64()), ("tie", pa.int64()), ("start", pa.int32())])
 
 
-def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(k, tie, text): the id, and what orders rows that share one, which is 0 if all ids differ."""
-    k = F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID))
-    repeated = docs.groupBy(k.alias("k")).count().filter("count > 1").limit(1).count() > 0
-    tie = F.xxhash64(F.col(text_column)) if repeated else F.lit(0).cast("bigint")
-    return docs.select(k.alias("k"), tie.alias("tie"), F.col(text_column).alias("text"))
+def _with_keys(docs: DataFrame, id_column: str, text_column: str, k: str, tie: str) -> DataFrame:
+    """The rows with their id, and with what orders rows that share one, which is 0 if all ids differ."""
+    key = F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NO_ID))
+    repeated = docs.groupBy(key.alias("k")).count().filter("count > 1").limit(1).count() > 0
+    hashed = F.xxhash64(F.col(text_column)) if repeated else F.lit(0).cast("bigint")
+    return docs.select("*", key.alias(k), hashed.alias(tie))
 
 
 def repeated_spans(
-    docs: DataFrame,
+    keyed: DataFrame,
     length: int = LENGTH,
     gram: int = GRAM,
     block_bytes: int = BLOCK_BYTES,
     most_contexts: int = MOST_CONTEXTS,
-    id_column: str = "doc_id",
-    text_column: str = "text",
 ) -> DataFrame:
-    """(k, tie, text, spans) of each row: the bytes covered by strings that also start earlier.
+    """(k, tie, spans) of rows (k, tie, text): the bytes covered by strings that also start earlier,
+    for rows that have some. A row starts earlier than one of larger k, then of larger tie.
 
     Runs are shuffled once, by anchor; those whose whole context came earlier are covered, and the
     first places of an anchor's different contexts are compared in blocks.
     """
-    keyed = _keyed(docs, id_column, text_column)
     runs = keyed.mapInArrow(_occurrences(length, gram), _OCCURRENCES)
     of_context = Window.partitionBy("anchor", "context").orderBy("k", "tie", "start")
     of_anchor = Window.partitionBy("anchor")
@@ -386,8 +384,7 @@ def repeated_spans(
         asked = asked.join(hot, "anchor", "left_anti")
     contexts = read(asked).mapInArrow(_cut_contexts(length), _CONTEXTS)
     in_blocks = contexts.groupBy("block").applyInArrow(lambda block: _block_spans(block, length), _SPANS)
-    all_spans = spans.union(in_blocks).groupBy("k", "tie").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return keyed.join(all_spans, ["k", "tie"], "left")
+    return spans.union(in_blocks).groupBy("k", "tie").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
 def _merged(spans) -> list[tuple[int, int]]:
@@ -409,7 +406,7 @@ def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, data[at:]])
 
 
-def removal_report(docs: DataFrame, **options) -> DataFrame:
+def removal_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
     Null and empty texts have no bytes; texts shorter than the minimum length are kept; a text of any
@@ -429,13 +426,19 @@ def removal_report(docs: DataFrame, **options) -> DataFrame:
             rows.append((len(data), len(data) - len(kept), len(merged), hashlib.sha256(kept).hexdigest()))
         return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    found = repeated_spans(docs, **options)
+    texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
+    keyed = _with_keys(texts, "doc_id", "text", "k", "tie").select("k", "tie", "text")
+    found = keyed.join(repeated_spans(keyed, **options), ["k", "tie"], "left")
     doc_id = F.when(F.col("k") != _NO_ID, F.col("k")).alias("doc_id")
     return found.select(doc_id, report("text", "spans").alias("r")).select("doc_id", "r.*")
 
 
-def without_spans(text: Column, spans: Column) -> Column:
-    """The text without the bytes of its spans; letters that a span cuts through go with it."""
+def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows, with their columns, and texts without what starts earlier elsewhere.
+
+    Letters that a removed span cuts through go with it; a text that is repeated as a whole is left
+    empty, a null one null. Rows are ordered as in `removal_report`.
+    """
 
     @pandas_udf("string")
     def cut(text, spans):
@@ -447,4 +450,11 @@ def without_spans(text: Column, spans: Column) -> Column:
         ]
         return pd.Series(out, dtype=object)
 
-    return cut(text, spans)
+    k, tie, spans = "_k", "_tie", "_spans"
+    while {k, tie, spans} & set(docs.columns):
+        k, tie, spans = k + "_", tie + "_", spans + "_"
+    keyed = _with_keys(docs, id_column, text_column, k, tie)
+    texts = keyed.select(F.col(k).alias("k"), F.col(tie).alias("tie"), F.col(text_column).alias("text"))
+    found = repeated_spans(texts, **options).select(F.col("k").alias(k), F.col("tie").alias(tie), F.col("spans").alias(spans))
+    joined = keyed.join(found, [k, tie], "left")
+    return joined.withColumn(text_column, cut(F.col(text_column), F.col(spans))).select(*docs.columns)
