@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from promptloom.llm.common import slices, whole
-from promptloom.llm.labelled import Features, fit, held_out, word_hash
+from promptloom.llm.labelled import Features, fit, held_out
 
 MOST_ROWS = 6000
 THRESHOLD = 0.3
@@ -28,11 +28,13 @@ def sentences(text: str) -> list[str]:
     return text.split("\n")
 
 
-def parts(word: str) -> list[int]:
-    """Hashes of a word and of its letter 4- and 5-grams, with marks at both ends."""
+def parts(word: str) -> set[str]:
+    """A word and its letter 4- and 5-grams, with marks at both ends."""
     marked = f"^{word.strip(_EDGE).lower()}$"
-    grams = {marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1)}
-    return [word_hash(gram) for gram in sorted(grams | {marked})]
+    grams = {marked[i : i + 4] for i in range(len(marked) - 3)}
+    grams.update(marked[i : i + 5] for i in range(len(marked) - 4))
+    grams.add(marked)
+    return grams
 
 
 def _flat(texts: list[str], values: dict, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,12 +83,14 @@ def train(
     word, word_counts, sentence_counts = _flat(texts, numbers, np.int64)
     n, toxic = len(texts), labels > 0.5
     if not toxic.any():
-        return pickle.dumps((np.empty(0, dtype=np.int64), np.empty(0, dtype=np.float32), -6.0))
+        return pickle.dumps(({}, -6.0))
     sentence_of = np.repeat(np.arange(len(word_counts)), word_counts)
     text_of_sentence = np.repeat(np.arange(n), sentence_counts)
-    found = [parts(one) for one in numbers]
+    found = [sorted(parts(one)) for one in numbers]
     part_word = np.repeat(np.arange(len(found)), np.array(list(map(len, found)), dtype=np.int64))
-    keys, part = np.unique(np.array(list(chain.from_iterable(found)), dtype=np.int64), return_inverse=True)
+    grams = _Numbers()
+    part = np.array(list(map(grams.__getitem__, chain.from_iterable(found))), dtype=np.int64)
+    keys = np.array(list(grams), dtype=object)
     both = np.unique(word * n + text_of_sentence[sentence_of])
     in_toxic = np.bincount(both // n, weights=toxic[both % n], minlength=len(found))
     in_all = np.bincount(both // n, minlength=len(found))
@@ -122,19 +126,17 @@ def train(
         by_bias = by_sentence.sum() + (slope * plain).sum() * _sigmoid(bias)
         bias -= rate * np.tanh(by_bias / toxic.sum())
     keep = np.abs(weights) > 1e-3
-    keys, weights = keys[keep], weights[keep]
-    return pickle.dumps((keys, weights.astype(np.float32), float(bias)))
+    return pickle.dumps((dict(zip(keys[keep].tolist(), weights[keep].tolist(), strict=True)), float(bias)))
 
 
 class Model:
     def __init__(self, data: bytes) -> None:
-        self.keys, self.weights, self.bias = pickle.loads(data)
+        self.weights, self.bias = pickle.loads(data)
         self.features = Features(self._weight)
 
     def _weight(self, word: str) -> float:
-        own = np.array(parts(word), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
-        return float(self.weights[at[self.keys[at] == own]].sum()) if len(self.keys) else 0.0
+        known = self.weights.keys() & parts(word)
+        return sum(self.weights[gram] for gram in sorted(known)) if known else 0.0
 
     def score(self, texts: list[str], locate: float) -> tuple[np.ndarray, list[list[dict]]]:
         """Score of each text, and of its sentences those that alone reach `locate`, with their places."""
