@@ -122,7 +122,7 @@ def _occurrences(length: int, gram: int):
                 parts = (text + a, first - (ends - lengths)[text], runs, anchor, context)
                 for all_parts, part in zip(found, parts, strict=True):
                     all_parts.append(part)
-            if not found[0]:
+            if not sum(map(len, found[0])):
                 continue
             text, start, runs, anchor, context = map(np.concatenate, found)
             # Equal runs in the order of text and start, as the sort is stable.
