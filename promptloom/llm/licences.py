@@ -155,6 +155,7 @@ HINTS = ("licens", "permi", "copyright", "redistribut", "warrant", "under", "sof
 # Wordings of a notice: "this work is licensed under the", "released under", "available under the terms of the" ...
 NOTICE = "^(?:this [a-z]+ is |it is )?(?:dual )?(?:licensed|released|distributed|published|provided|made available|available) under (?:the )?(?:terms of (?:the )?)?"
 SENTENCE_END = "[.;!?:]+[\\x20\\x09-\\x0D]+"
+PARAGRAPH_END = "\\x0A[\\x20\\x09\\x0D]*\\x0A"
 BLANK = "[\\x0A\\x0D]"
 
 
@@ -174,11 +175,11 @@ def _identifiers(text: Column) -> Column:
 
 
 def known_sentences(text: Column) -> tuple[Column, Column]:
-    """Identifiers with lines as they are, and with lines joined (for sentences that run over several)."""
+    """Identifiers with lines as they are, and with the lines of a paragraph joined."""
     lower = lowered(F.coalesce(text, F.lit("")))
     hinted = lower.rlike("|".join(HINTS))
     none = F.array().cast("array<string>")
-    joined = F.regexp_replace(lower, BLANK, " ")
+    joined = F.regexp_replace(F.regexp_replace(lower, PARAGRAPH_END, ".\n"), BLANK, " ")
     return tuple(F.when(hinted, _identifiers(form)).otherwise(none) for form in (lower, joined))
 
 
@@ -190,7 +191,7 @@ def licence_report(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """Licences of every row: doc_id, sentences, joined_sentences, licences, n_known.
 
     `sentences` are the identifiers of known sentences in order, separated by "|", line by line;
-    `joined_sentences` those of the text with its lines joined; `licences` are those whose sentences
+    `joined_sentences` those of the text with the lines of a paragraph joined; `licences` are those whose sentences
     stand next to each other in one of the two, each once, by name in ascending order, separated by ";";
     `n_known` counts the sentences of the first. A null or empty text has none; long texts are read
     whole; repeated rows and null ids are rows like others; an empty table gives an empty one.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from promptloom.llm.licences import BLANK, NOTICE, RULES, SENTENCE_END, SENTENCES
+from promptloom.llm.licences import BLANK, NOTICE, PARAGRAPH_END, RULES, SENTENCE_END, SENTENCES
 from promptloom.llm.repetition import LENGTHS, MOST_LINE_PERCENT, MOST_PERCENT, SYMBOLS
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -102,12 +102,13 @@ def _licence_sql() -> str:
         f"lambda x: MAP {{{{{forms}}}}}[regexp_replace(trim(x), '{NOTICE.replace('{', '{{').replace('}', '}}')}', 'under ')]), "
         "lambda x: x IS NOT NULL)"
     )
+    joined = f"regexp_replace(regexp_replace(text, '{PARAGRAPH_END}', '.' || chr(10), 'g'), '{BLANK}', ' ', 'g')"
     return f"""
 WITH lowered AS (SELECT doc_id, translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS text
   FROM documents),
 found AS (
   SELECT doc_id, array_to_string({known.format("text")}, '|') AS sentences,
-    array_to_string({known.format("regexp_replace(text, '" + BLANK + "', ' ', 'g')")}, '|') AS joined_sentences
+    array_to_string({known.format(joined)}, '|') AS joined_sentences
   FROM lowered)
 SELECT doc_id, sentences, joined_sentences,
   array_to_string(list_sort(list_distinct(list_filter([{hits}], lambda x: x IS NOT NULL))), ';') AS licences,
