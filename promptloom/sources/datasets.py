@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import logging
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, IntegerType, StructType
 
 from promptloom.constants import DATASETS_FOLDER, TRAINING_SPLIT
-from promptloom.functions.values import stripped
 from promptloom.operators.guards import require_rows
 
 logger = logging.getLogger(__name__)
 
+LINES, DOCUMENT = "lines", "document"
+
 
 def read_dataset(
     spark: SparkSession,
@@ -23,33 +27,52 @@ def read_dataset(
     folder: str = DATASETS_FOLDER,
     schema: StructType | str | None = None,
     default_split: str = TRAINING_SPLIT,
+    layout: str | None = None,
 ) -> DataFrame:
     """The dataset of that name: the catalog table if there is one, else `folder/name`.
 
     Only a table that does not exist leads to the folder; any other failure is raised. An
-    empty dataset raises. Without a schema, JSON is read once more to infer it.
+    empty dataset raises. Without a schema, JSON is read once more to infer it, and without a
+    `layout` once more to judge its files.
     """
     if _is_table(spark, name):
         logger.debug("Reading table %s", name)
         df = spark.table(name)
     else:
         logger.debug("Reading %s from %s", name, folder)
-        df = read_json(spark, f"{folder}/{name}", schema)
+        df = read_json(spark, f"{folder}/{name}", schema, layout)
     return require_rows(select_split(df, split or default_split), name)
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """JSON records, one per line or as an array, on one line or on many.
+def read_json(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, layout: str | None = None
+) -> DataFrame:
+    """JSON records of a file or a folder; a broken record raises, wherever it is.
 
-    A file with an array over many lines cannot be split, so each such file is one task.
+    `layout` states how files hold them: `lines`, with one record or one array of records on each
+    line, or `document`, one record or array over any number of lines. Without it each file is
+    judged by all its lines, which reads the data once more; a folder may hold both, and a file
+    that is neither raises ValueError. A document cannot be split, so each is one task.
     """
+    if layout not in (None, LINES, DOCUMENT):
+        raise ValueError(f"Unknown layout {layout!r}, known are {LINES} and {DOCUMENT}")
     try:
-        reader = spark.read.option("multiLine", _spans_lines(spark, path))
-        return (reader.schema(schema) if schema else reader).json(path)
+        by_layout = {layout: None} if layout else _files_by_layout(spark, path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"There is no file at {path}") from error
         raise
+    parts = []
+    for kind, files in by_layout.items():
+        reader = spark.read.option("mode", "FAILFAST").option("multiLine", kind == DOCUMENT)
+        if files:
+            # Files by name, with the folders above them as partitions of the whole.
+            reader = reader.option("basePath", path)
+        parts.append((reader.schema(schema) if schema else reader).json(files or path))
+    df = parts[0]
+    for part in parts[1:]:
+        df = df.unionByName(part, allowMissingColumns=True)
+    return df
 
 
 def select_split(df: DataFrame, split: str) -> DataFrame:
@@ -67,17 +90,43 @@ def _is_table(spark: SparkSession, name: str) -> bool:
         return False
 
 
-def _spans_lines(spark: SparkSession, path: str) -> bool:
-    """Whether records run over several lines, judged from the first two lines with text."""
-    line = stripped(F.col("value"))
-    lines = (
-        spark.read.text(path)
-        .filter(line != "")
-        .select(F.left(line, F.lit(1)).alias("first"), F.right(line, F.lit(1)).alias("last"))
-        .head(2)
-    )
-    if not lines:
-        return False
-    if lines[0]["first"] == "[":
-        return len(lines) > 1 or lines[0]["last"] != "]"
-    return lines[0]["last"] != "}" or any(line["first"] != "{" for line in lines)
+@F.arrow_udf(IntegerType())
+def _line_kind(value: pa.Array) -> pa.Array:
+    """0: no text, 1: records and nothing else, 2: anything else."""
+
+    def kind(line: str) -> int:
+        if not line.strip():
+            return 0
+        try:
+            return 1 if isinstance(json.loads(line), dict | list) else 2
+        except ValueError:
+            return 2
+
+    return pa.array([kind(line) for line in value.to_pylist()], pa.int32())
+
+
+@F.arrow_udf(BooleanType())
+def _is_document(value: pa.Array) -> pa.Array:
+    def whole(text: str) -> bool:
+        try:
+            return isinstance(json.loads(text), dict | list)
+        except ValueError:
+            return False
+
+    return pa.array([whole(text) for text in value.to_pylist()], pa.bool_())
+
+
+def _files_by_layout(spark: SparkSession, path: str) -> dict[str, list[str] | None]:
+    """The files of each layout; None for all files of the path. Files are as many rows as the driver lists."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), _line_kind("value").alias("kind"))
+    found = lines.filter("kind > 0").groupBy("file").agg(F.max("kind").alias("kind")).collect()
+    documents = sorted(unquote(row["file"]) for row in found if row["kind"] == 2)
+    if not documents:
+        return {LINES: None}
+    texts = spark.read.text(documents, wholetext=True)
+    broken = texts.filter(~_is_document("value")).select("_metadata.file_path").first()
+    if broken:
+        raise ValueError(f"{broken[0]} is neither JSON Lines nor one JSON document")
+    if len(documents) == len(found):
+        return {DOCUMENT: None}
+    return {LINES: sorted(unquote(row["file"]) for row in found if row["kind"] == 1), DOCUMENT: documents}

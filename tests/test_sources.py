@@ -28,6 +28,49 @@ def test_single_pretty_object(spark, tmp_path):
     assert [r.input for r in read_json(spark, str(tmp_path / "one.json")).collect()] == ["a"]
 
 
+def test_a_broken_first_line_raises(spark, tmp_path):
+    lines = [json.dumps({"input": str(i), "n": i}) for i in range(100)]
+    (tmp_path / "cut.json").write_text("\n".join([lines[0][4:], *lines[1:]]))
+    with pytest.raises(ValueError, match="neither JSON Lines nor one JSON document"):
+        read_json(spark, str(tmp_path / "cut.json"))
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+        read_json(spark, str(tmp_path / "cut.json"), "input string, n int", "lines").collect()
+
+
+@pytest.mark.parametrize("text", ['{"n": 1}{"n": 2}', '{"n": 1}\n{"n": 2},\n{"n": 3}', '[{"n": 1}]\n[{"n": 2}\n]', '{"n": 1}\n7'])
+def test_records_that_would_be_lost_raise(spark, tmp_path, text):
+    (tmp_path / "odd.json").write_text(text)
+    with pytest.raises(ValueError, match="neither"):
+        read_json(spark, str(tmp_path / "odd.json"))
+
+
+def test_one_array_on_each_line(spark, tmp_path):
+    (tmp_path / "arrays.json").write_text("\n".join(json.dumps([{"n": i}, {"n": -i}]) for i in range(1, 51)))
+    assert sorted(r.n for r in read_json(spark, str(tmp_path / "arrays.json")).collect()) == sorted([*range(1, 51), *range(-50, 0)])
+
+
+def test_layouts_in_one_folder(spark, tmp_path):
+    (tmp_path / "a b.json").write_text(json.dumps([{"n": i, "kind": "pretty"} for i in range(2000)], indent=1))
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps({"n": i}) for i in range(2000, 2100)))
+    (tmp_path / "empty.json").write_text("")
+    df = read_json(spark, str(tmp_path))
+    assert sorted(r.n for r in df.collect()) == list(range(2100))
+    assert df.filter("kind = 'pretty'").count() == 2000
+
+
+def test_layouts_in_partitions(spark, tmp_path):
+    for split, text in (("train", '[\n{"n": 1},\n{"n": 2}\n]'), ("test", '{"n": 3}\n{"n": 4}')):
+        (tmp_path / f"split={split}").mkdir()
+        (tmp_path / f"split={split}" / "part.json").write_text(text)
+    rows = read_json(spark, str(tmp_path)).collect()
+    assert sorted((r.split, r.n) for r in rows) == [("test", 3), ("test", 4), ("train", 1), ("train", 2)]
+
+
+def test_unknown_layout(spark, tmp_path):
+    with pytest.raises(ValueError, match="Unknown layout"):
+        read_json(spark, str(tmp_path), layout="csv")
+
+
 def test_dataset_from_folder(spark, tmp_path):
     (tmp_path / "org").mkdir()
     (tmp_path / "org" / "d.json").write_text(LAYOUTS["lines"])
