@@ -13,12 +13,10 @@ from promptloom.functions.chat import CHATML, LAYOUTS, ChatLayout
 from promptloom.functions.decisions import is_conversational, layout_pieces, resolved_format, trims_content
 from promptloom.functions.templates import parse_templates, pieces_around, template_pieces, template_segments
 from promptloom.functions.values import present
+from promptloom.operators.positions import bounded_broadcast
 
 logger = logging.getLogger(__name__)
 
-# A configuration row is a few kilobytes, so this many stay far below what a broadcast may hold.
-MAX_BROADCAST_CONFIGS = 10_000
-
 TEMPLATE_FIELDS = ("instruction", "input", "response")
 
 
@@ -47,9 +45,9 @@ def attach_config(
     a configuration makes of its rows is worked out once for each: `text_segments` is its
     text format cut up, `prompt_pieces` what an inference prompt has around the input, in the
     format decided on. A template that cannot be formatted, a layout that is not known and a
-    configuration that appears twice raise here. The configurations are broadcast after their
-    number is checked; above the bound it is an ordinary join, where adaptive execution splits
-    a key that holds too many rows.
+    configuration that appears twice raise here. The configurations are broadcast if their bytes
+    are few; above the bound it is an ordinary join, where adaptive execution splits a key that
+    holds too many rows.
     """
     require_layout(model_template, layouts)
     on = list(on)
@@ -64,10 +62,11 @@ def attach_config(
             F.count(F.lit(1)).alias("rows"),
             F.min("text_error").alias("text_error"),
             F.min(F.when(unknown_layout, F.col("chat_template"))).alias("unknown_layout"),
+            F.sum(_text_bytes(parsed, [*on, *CONFIG_KEYS])).alias("bytes"),
         )
-        .agg(F.sum("rows"), F.max("rows"), F.min("text_error"), F.min("unknown_layout"))
+        .agg(F.sum("bytes"), F.max("rows"), F.min("text_error"), F.min("unknown_layout"))
     )
-    rows, most, text_error, layout = summary.first()
+    size, most, text_error, layout = summary.first()
     if text_error is not None:
         raise ValueError(f"Text format of a configuration: {text_error}")
     if layout is not None:
@@ -83,7 +82,8 @@ def attach_config(
     given = {"instruction": F.coalesce(fields["instruction"], F.lit("")), "response": F.lit("")}
     text_pieces = pieces_around(F.col("text_segments"), "input", given)
     side = parsed.select(*on, _config_struct(fields, text_pieces, model_template, layouts).alias("config"))
-    side = F.broadcast(side) if (rows or 0) <= MAX_BROADCAST_CONFIGS else side
+    # A row holds its texts, its template cut up, and the prompt's pieces, which repeat both.
+    side = bounded_broadcast(side, 3 * (size or 0))
     nothing = {name: F.lit(None).cast("string") for name in fields} | {
         "dataset_format": F.lit(dataset_format).cast("string"),
         "text_segments": template_segments(DEFAULT_TEXT_FORMAT),
@@ -116,6 +116,12 @@ def _config_struct(
     )
 
 
+def _text_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Bytes of a row's texts, with some for each column."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns if c in df.columns]
+    return sum(sizes, F.lit(32 * len(sizes))).cast("bigint")
+
+
 def require_layout(name: str | None, layouts: Mapping[str, ChatLayout]) -> None:
     if name is not None and name not in layouts:
         raise ValueError(f"Unknown chat layout {name!r}, known are {', '.join(layouts)}")

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from promptloom.session import checkpointed
+from pyspark.sql.types import LongType, StructField, StructType
 
 ROW_ID = "row_id"
 
-# At some 200 bytes a split this is about 100 MB, and at 128 MB a split 64 TB of input.
-MAX_BROADCAST_SPLITS = 500_000
+# Bytes of a table that may be broadcast; a larger one is joined as Spark sees fit.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def number_by_key(df: DataFrame, key: str, buckets: int | None = None, name: str = ROW_ID) -> DataFrame:
@@ -40,29 +40,33 @@ def number_by_key(df: DataFrame, key: str, buckets: int | None = None, name: str
 
 
 def number_by_scan(df: DataFrame, name: str = ROW_ID) -> DataFrame:
-    """Rows of a file scan numbered in the order of their files and lines.
+    """Rows of a file scan numbered in the order of their files and lines. `df` must be the scan itself.
 
-    A first pass counts the rows of each input split (128 MB by default) and fixes the counts
-    in the shared folder; they give each split its start. Up to a checked number of splits
-    they are broadcast and the rows are not shuffled. `df` must be the scan itself.
+    A Parquet row knows its number within its file, however the file is split, so that only each
+    file's start has to be added: counts come from one pass over no columns, one row per file, as
+    many as the driver lists for any scan. In other formats a row knows no number; there the scan
+    is planned once, as an RDD, which counts its splits and numbers them. Either way the numbers
+    do not depend on how a second scan would be split. A file without a start raises.
     """
-    tagged = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    running = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = checkpointed(
-        tagged.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-        .select("_file", "_block", "_first", F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_start"))
-    )
-    side = F.broadcast(starts) if starts.count() <= MAX_BROADCAST_SPLITS else starts
-    return (
-        tagged.join(side, ["_file", "_block"])
-        .withColumn(name, F.col("_id") - F.col("_first") + F.col("_start"))
-        .drop("_file", "_block", "_id", "_first", "_start")
-    )
+    try:
+        tagged = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        schema = StructType([*df.schema.fields, StructField(name, LongType(), False)])
+        return df.sparkSession.createDataFrame(df.rdd.zipWithIndex().map(lambda both: (*both[0], both[1])), schema)
+    counts = {row["_file"]: row["count"] for row in tagged.groupBy("_file").count().collect()}
+    starts, total = [], 0
+    for file in sorted(counts):
+        starts.append((file, total))
+        total += counts[file]
+    side = df.sparkSession.createDataFrame(starts, "_file string, _start bigint")
+    joined = tagged.join(bounded_broadcast(side, sum(len(file) + 24 for file in counts)), "_file", "left")
+    lost = F.raise_error(F.concat(F.lit("No row was counted in "), F.col("_file"))).cast("bigint")
+    return joined.withColumn(name, F.coalesce(F.col("_start"), lost) + F.col("_row")).drop("_file", "_row", "_start")
+
+
+def bounded_broadcast(side: DataFrame, size: int) -> DataFrame:
+    """A table of that many bytes with a hint to broadcast it, if they are few enough."""
+    return F.broadcast(side) if size <= MAX_BROADCAST_BYTES else side
 
 
 def _range_of(key: Column, bounds: list) -> Column:

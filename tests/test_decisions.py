@@ -154,14 +154,18 @@ def test_mixed_training_equals_one_job_each(spark, model_template):
         assert (got[name].messages, got[name].text) == ((alone[0], None) if chat else (None, alone[0])), name
 
 
-def test_many_configs_are_joined_without_a_broadcast_hint(spark, monkeypatch):
-    from promptloom.operators import configs as module
+def test_configs_of_many_bytes_are_joined_without_a_broadcast_hint(spark, monkeypatch):
+    from promptloom.operators import positions
 
     df = spark.createDataFrame([("d", "a", "x")], "dataset_name string, dataset_config string, input string")
     table = spark.createDataFrame(CONFIGS, CONFIG)
-    with_hint = attach_config(df, table)
-    monkeypatch.setattr(module, "MAX_BROADCAST_CONFIGS", 2)
+    monkeypatch.setattr(positions, "MAX_BROADCAST_BYTES", 100_000)
+    hinted = lambda joined: "broadcast" in joined._jdf.queryExecution().logical().toString()
+    small = attach_config(df, table)
+    large = attach_config(df, table.withColumn("chat_template", F.lit(None).cast("string")).withColumn("instruction", F.expr("repeat('long ', 20000)")))
+    few_rows = table.count()
+    assert hinted(small) and not hinted(large) and few_rows < 20
+    monkeypatch.setattr(positions, "MAX_BROADCAST_BYTES", 1)
     without = attach_config(df, table)
-    assert "broadcast" in with_hint._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in without._jdf.queryExecution().logical().toString()
-    assert with_hint.collect() == without.collect()
+    assert not hinted(without)
+    assert small.collect() == without.collect()

@@ -34,9 +34,9 @@ def write_files(spark, folder, rows_per_file):
     return spark.read.option("recursiveFileLookup", True).parquet(str(folder))
 
 
-@pytest.mark.parametrize("broadcast_limit", [500_000, 0])
+@pytest.mark.parametrize("broadcast_limit", [1 << 20, 0])
 def test_scan_order_over_files(spark, tmp_path, monkeypatch, broadcast_limit):
-    monkeypatch.setattr(positions, "MAX_BROADCAST_SPLITS", broadcast_limit)
+    monkeypatch.setattr(positions, "MAX_BROADCAST_BYTES", broadcast_limit)
     df = write_files(spark, tmp_path, [3, 1000, 1, 50, 7])
     got = number_by_scan(df).collect()
     assert sorted((r.id, r.row_id) for r in got) == [(i, i) for i in range(1061)]
@@ -56,6 +56,25 @@ def test_scan_order_over_splits_of_one_file(spark, tmp_path):
     assert all(r.value == f"row {r.row_id:08d}" for r in got) and len(got) == 20000
 
 
+@pytest.mark.parametrize("kind", ["parquet", "text"])
+@pytest.mark.parametrize("before, after", [("2", "32"), ("32", "2")])
+def test_numbers_do_not_depend_on_the_splits(spark, tmp_path, kind, before, after):
+    path, size = str(tmp_path / "rows"), 300_000
+    made = spark.range(size, numPartitions=1).select(F.format_string("row %08d", "id").alias("value"))
+    (made.write.option("parquet.block.size", 200_000).parquet(path) if kind == "parquet" else made.write.text(path))
+    settings = ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set(settings[1], "1")
+        spark.conf.set(settings[0], before)
+        numbered = number_by_scan(spark.read.format(kind).load(path))
+        spark.conf.set(settings[0], after)
+        wrong = numbered.filter(F.col("value") != F.format_string("row %08d", "row_id"))
+        assert (numbered.count(), wrong.count()) == (size, 0)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 @pytest.fixture
 def completions(spark):
     return spark.range(10).select(F.col("id").alias("row_id"), F.format_string("c%d", "id").alias("completion"))
