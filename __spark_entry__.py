@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import os
 import sys
+import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from promptloom.constants import CONFIG_KEYS, DEFAULT_TEXT_FORMAT, EXTRACTION_SCHEMA, EXTRACTION_SYSTEM  # noqa: E402
-from promptloom.engines import DIGEST, SAMPLED, STRICT  # noqa: E402
+from stand_ins import DIGEST, FAILING, SAMPLED, STRICT  # noqa: E402
 from promptloom.functions.chat import CHATML, EXTRACTION, conversation  # noqa: E402
 from promptloom.functions.decisions import is_conversational  # noqa: E402
 from promptloom.functions.spans import message_targets, response_spans  # noqa: E402
@@ -22,7 +23,7 @@ from promptloom.functions.values import commit_hash, sanitized_name  # noqa: E40
 from promptloom.operators.configs import attach_config  # noqa: E402
 from promptloom.operators.generation import completion  # noqa: E402
 from promptloom.operators.inference import format_prompts, format_prompts_by_row, input_prompts  # noqa: E402
-from promptloom.operators.length import bound_examples, bound_prompts, validate_prompts  # noqa: E402
+from promptloom.operators.length import bound_examples, bound_messages, bound_prompts, validate_prompts  # noqa: E402
 from promptloom.operators.merge import merge_completions  # noqa: E402
 from promptloom.operators.positions import number_by_key, number_by_scan  # noqa: E402
 from promptloom.operators.records import lineage_record, profile, route_params  # noqa: E402
@@ -70,6 +71,8 @@ INSTRUCTION = "Answer the question in its own language."
 CUSTOM_FORMAT = "{{task}} {instruction}\n<in>{input}</in>\n<out>{response}</out>"
 POSITIONAL_FORMAT = "{}\n\nQ: {}\nA: {}"
 MAX_TOKENS = 256
+CHAT_TOKENS = 40
+CUT_TOKENS = 60
 LANG_CONFIGS = [
     ("en", "en-chat", "conversational", INSTRUCTION, None, None),
     ("fr", "fr-text", "text", None, CUSTOM_FORMAT, None),
@@ -100,7 +103,10 @@ def _lang_configs(spark: SparkSession) -> DataFrame:
 
 
 def _requests(documents: DataFrame) -> DataFrame:
-    """Each document as a request: its lines are the prompts, its language picks the parameters."""
+    """Each document as a request: its lines are the prompts, its language picks the parameters.
+
+    One in twenty comes with a second request, of its own id, without any prompts.
+    """
     lang = F.col("lang")
 
     def by_lang(**values: str) -> Column:
@@ -109,11 +115,11 @@ def _requests(documents: DataFrame) -> DataFrame:
             column = F.when(lang == name, value).otherwise(column)
         return column
 
-    return documents.select(
-        F.col("doc_id").cast("string").alias("task_id"),
-        F.when(F.col("n_chars") < 300, F.array().cast("array<string>"))
-        .otherwise(F.split("text", "\n"))
-        .alias("prompts"),
+    suffixes = F.when(F.col("doc_id") % 20 == 3, F.array(F.lit(""), F.lit("-none"))).otherwise(F.array(F.lit("")))
+    nothing = F.array().cast("array<string>")
+    return documents.withColumn("suffix", F.explode(suffixes)).select(
+        F.concat(F.col("doc_id").cast("string"), F.col("suffix")).alias("task_id"),
+        F.when(F.col("suffix") == "", F.split("text", "\n")).otherwise(nothing).alias("prompts"),
         F.struct(
             by_lang(en=INSTRUCTION).alias("instruction"),
             by_lang(en=POSITIONAL_FORMAT, fr=POSITIONAL_FORMAT).alias("text_format"),
@@ -125,6 +131,15 @@ def _requests(documents: DataFrame) -> DataFrame:
     )
 
 
+def _repeated(requests: DataFrame) -> DataFrame:
+    """Requests of which some are sent a second time with other prompts, and one a hundred times."""
+    key = F.xxhash64("task_id") % 7
+    times = F.when(F.col("task_id") == "4", 100).when(key == 0, 2).otherwise(1)
+    sent = requests.withColumn("queued_at", F.explode(F.sequence(F.lit(1), times)))
+    again = F.concat(F.col("prompts"), F.array(F.concat(F.lit("again "), F.col("queued_at").cast("string"))))
+    return sent.withColumn("prompts", F.when(F.col("queued_at") > 1, again).otherwise(F.col("prompts")))
+
+
 def _task_events(conversations: DataFrame) -> DataFrame:
     """Each turn as a task event at its turn's time; a few tasks start without being queued."""
     first = F.col("turn") == 0
@@ -170,9 +185,9 @@ def mixed_config_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     configured = attach_config(_pairs(spark, sf_dir).withColumn("kind", kind), configs, on=["kind"])
     prompts = construct_prompts_by_row(configured, "chatml", keep=("conv_id", "turn", "config"))
     spans = response_spans(F.col("text"), F.col("config.instruction_part"), F.col("config.response_part"))
-    return prompts.select(
-        "conv_id", "turn", CHATML.render(F.col("messages"), generate=False).alias("chat"), "text",
-        spans[0]["target"].alias("target"),
+    chat = CHATML.render(F.col("messages"), generate=False).alias("chat")
+    return prompts.select("conv_id", "turn", chat, "text", F.posexplode_outer(spans).alias("pos", "span")).select(
+        "conv_id", "turn", "chat", "text", F.col("pos").cast("bigint").alias("pos"), F.col("span.target").alias("target")
     )
 
 
@@ -197,6 +212,21 @@ def train_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bound_examples(documents, max_tokens=MAX_TOKENS)
 
 
+def train_chat_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    examples = construct_prompts(_pairs(spark, sf_dir), INSTRUCTION, conversational=True, keep=("conv_id", "turn"))
+    bounded = bound_messages(examples, max_tokens=CHAT_TOKENS)
+    messages = bounded.select("conv_id", "turn", "was_truncated", F.posexplode_outer("messages").alias("pos", "m"))
+    return messages.select("conv_id", "turn", "was_truncated", F.col("pos").cast("bigint").alias("pos"), "m.role", "m.content")
+
+
+def truncated_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded = bound_examples(train_text(spark, sf_dir), max_tokens=CUT_TOKENS)
+    spans = response_spans(F.col("text"), "### Input:\n", "\n\n### Response:\n")
+    return bounded.select("conv_id", "turn", "was_truncated", F.explode_outer(spans).alias("span")).select(
+        "conv_id", "turn", "was_truncated", "span.context", "span.target"
+    )
+
+
 # Inference prompts
 
 
@@ -301,6 +331,13 @@ def merge_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_completions(documents.select("doc_id", "lang"), made, key="doc_id")
 
 
+def merge_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    completed = F.concat(F.lit("gen:"), F.md5("text")).alias("completion")
+    made = number_by_scan(documents).filter(F.col("lang") == "en").select("row_id", completed)
+    return merge_completions(documents.select("doc_id", "lang"), made, key="doc_id")
+
+
 def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_by_key(_table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
@@ -352,6 +389,23 @@ def split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, "documents_by_split", "src3").select("doc_id", "split")
 
 
+def json_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs in three layouts in one folder: a record on each line, an array on each line, and documents."""
+    folder = _scratch(spark)
+    fields = ["conv_id", "turn", "instruction", "input", "completion"]
+    pairs = _pairs(spark, sf_dir).select(F.to_json(F.struct(*fields)).alias("record"), "conv_id")
+    layout = F.element_at(F.array(F.lit("lines"), F.lit("arrays"), F.lit("documents")), (F.col("conv_id") % 3 + 1).cast("int"))
+    pairs = pairs.select("record", layout.alias("layout"), (F.col("conv_id") % 8).alias("file"))
+    documents = pairs.filter("layout = 'documents'").groupBy("layout", "file").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]")).alias("value")
+    )
+    line = F.when(F.col("layout") == "arrays", F.concat(F.lit("["), F.col("record"), F.lit("]"))).otherwise(F.col("record"))
+    lines = pairs.filter("layout <> 'documents'").select("layout", "file", line.alias("value"))
+    files = lines.unionByName(documents).repartition("layout", "file")
+    files.write.partitionBy("layout", "file").text(f"{folder}/mixed")
+    return read_dataset(spark, "mixed", folder=folder).select(*fields)
+
+
 def json_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _scratch(spark)
     save_completions(_pairs(spark, sf_dir), "pairs", folder)
@@ -375,13 +429,13 @@ def service_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    answers = answer_prompts(_requests(_table(spark, sf_dir, "documents")), SAMPLED)
+    answers = answer_prompts(_repeated(_requests(_table(spark, sf_dir, "documents"))), SAMPLED)
     return answers.select("task_id", F.col("pos").cast("bigint").alias("pos"), "completion")
 
 
 def request_fanin(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    gathered = fan_in(answer_prompts(_requests(_table(spark, sf_dir, "documents")), STRICT))
+    gathered = fan_in(answer_prompts(_repeated(_requests(_table(spark, sf_dir, "documents"))), STRICT))
     return gathered.select(
         "task_id",
         "status",
@@ -392,30 +446,46 @@ def request_fanin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def task_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    gathered = fan_in(answer_prompts(_requests(_table(spark, sf_dir, "documents")), STRICT))
+    gathered = fan_in(answer_prompts(_repeated(_requests(_table(spark, sf_dir, "documents"))), STRICT))
     return gathered.select("task_id", "status", "error")
 
 
 def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     folder = _scratch(spark)
-    requests = _requests(_table(spark, sf_dir, "documents"))
-    requests.write.option("ignoreNullFields", False).json(f"{folder}/requests")
-    arriving = read_requests(spark, f"{folder}/requests", stream=True)
-    serve_requests(arriving, STRICT, f"{folder}/served", f"{folder}/checkpoint").awaitTermination()
+    # Four files, one a batch; some requests are sent again in a later one.
+    requests = _requests(_table(spark, sf_dir, "documents")).withColumn("batch", F.pmod(F.xxhash64("task_id"), F.lit(4)))
+    again = F.when(F.col("batch") == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    sent = requests.withColumn("batch", F.explode(F.transform(again, lambda later: F.col("batch") + later)))
+    sent.repartition(4, "batch").write.partitionBy("batch").option("ignoreNullFields", False).json(f"{folder}/requests")
+    arriving = read_requests(spark, f"{folder}/requests/*", stream=True, max_files=1)
+    completions = f"{folder}/completions"
+    spark.createDataFrame([], "x int").write.parquet(completions)
+    options = {"completions_folder": completions}
+    serve_requests(arriving, STRICT, f"{folder}/served", f"{folder}/checkpoint", **options).awaitTermination()
     tasks = served_tasks(spark, f"{folder}/served")
     in_order = (F.col("queued_at") <= F.col("running_at")) & (
         F.coalesce(F.col("done_at"), F.col("running_at")) >= F.col("running_at")
     )
-    return tasks.select(
-        "task_id", "status", "error", F.array_join("completions", "\n").alias("completions"), in_order.alias("in_order")
+    # What was saved for each task, next to what the task's record holds.
+    files = spark.read.schema("task_id string, completions array<string>").option("pathGlobFilter", "*.json").json(completions)
+    saved = files.select("task_id", F.col("completions").alias("saved"))
+    both = tasks.join(saved, "task_id", "left")
+    return both.select(
+        "task_id", "status", "error", F.array_join("completions", "\n").alias("completions"),
+        F.array_join("saved", "\n").alias("saved"), in_order.alias("in_order"),
     )
 
 
 def task_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id")
     is_uuid = F.col("task_id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
-    return create_tasks(documents).select("doc_id", "status", is_uuid.alias("is_uuid"))
+    alone = F.count(F.lit(1)).over(Window.partitionBy("task_id")) == 1
+    started = time.time()
+    recent = F.col("queued_at").between(started - 1, started + 3600)
+    return create_tasks(documents).select(
+        "doc_id", "status", is_uuid.alias("is_uuid"), alone.alias("is_unique"), recent.alias("is_recent")
+    )
 
 
 def task_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -453,6 +523,8 @@ QUERIES: dict[str, Query] = {
     "response_targets": response_targets,
     "response_spans": response_span_targets,
     "train_truncate": train_truncate,
+    "train_chat_bounded": train_chat_bounded,
+    "truncated_targets": truncated_targets,
     "infer_text": infer_text,
     "infer_chat": infer_chat,
     "chat_rendering": chat_rendering,
@@ -468,6 +540,7 @@ QUERIES: dict[str, Query] = {
     "training_job": training_job,
     "inference_job": inference_job,
     "merge_positional": merge_positional,
+    "merge_mismatch": merge_mismatch,
     "row_numbers": row_numbers,
     "scan_numbers": scan_numbers,
     "param_routing": param_routing,
@@ -477,6 +550,7 @@ QUERIES: dict[str, Query] = {
     "commit_hash": revision_of_url,
     "split_scan": split_scan,
     "json_dataset": json_dataset,
+    "json_layouts": json_layouts,
     "sampling_merge": sampling_merge,
     "service_text": service_text,
     "request_fanout": request_fanout,
@@ -556,9 +630,8 @@ states AS (
 
 REQUESTS = """
 requests AS (
-  SELECT CAST(doc_id AS VARCHAR) AS task_id, lang, n_chars,
-         CASE WHEN n_chars < 300 THEN [] ELSE string_split(text, chr(10)) END AS prompts
-  FROM documents),
+  SELECT CAST(doc_id AS VARCHAR) AS task_id, lang, n_chars, string_split(text, chr(10)) AS prompts FROM documents
+  UNION ALL SELECT doc_id || '-none', lang, n_chars, [] FROM documents WHERE doc_id % 20 = 3),
 prompts AS (
   SELECT task_id, lang, n_chars, CAST(generate_subscripts(prompts, 1) - 1 AS BIGINT) AS pos, unnest(prompts) AS prompt
   FROM requests)
@@ -580,14 +653,14 @@ ANSWERS = f"""
 formatted AS (SELECT task_id, lang, n_chars, pos, {SERVICE_PROMPT} AS prompt FROM prompts),
 answers AS (
   SELECT task_id,
-         arg_min(length(prompt), pos) FILTER (length(prompt) > 4000) AS too_long,
+         arg_min(length(prompt), pos) FILTER (contains(prompt, '{FAILING}')) AS failing,
          string_agg('gen:' || md5(prompt), chr(10) ORDER BY pos) AS completions,
          count(*) AS n_completions
   FROM formatted GROUP BY task_id),
 gathered AS (
   SELECT r.task_id,
          CASE WHEN a.task_id IS NULL THEN 'list index out of range'
-              WHEN too_long IS NOT NULL THEN 'Prompt of ' || too_long || ' characters is too long' END AS error,
+              WHEN failing IS NOT NULL THEN 'Prompt of ' || failing || ' characters holds {FAILING}' END AS error,
          CASE WHEN error IS NULL THEN 'done' ELSE 'error' END AS status,
          CASE WHEN error IS NULL THEN completions END AS completions,
          CASE WHEN error IS NULL THEN n_completions END AS n_completions
@@ -645,6 +718,7 @@ ORACLES: dict[str, str] = {
             || coalesce('<|im_start|>assistant' || chr(10) || completion || '<|im_end|>' || chr(10), '') END AS chat,
           CASE WHEN instruction IS NULL AND length(input) > 200 THEN
             {_filled(CUSTOM_FORMAT, instruction=_quoted(INSTRUCTION), input="input", response="completion")} END AS text,
+          CASE WHEN instruction IS NULL AND length(input) > 200 THEN CAST(0 AS BIGINT) END AS pos,
           CASE WHEN instruction IS NULL AND length(input) > 200 THEN coalesce(completion, 'None') || '</out>' END AS target
         FROM pairs""",
     "response_targets": f"""
@@ -657,10 +731,38 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, turn, CAST(0 AS BIGINT) AS pos, input AS context, coalesce(completion, 'None') AS target
         FROM pairs""",
     "train_truncate": rf"""
-        WITH t AS (SELECT doc_id, text, regexp_extract_all(text, '\S+') AS tokens FROM documents)
-        SELECT doc_id, CASE WHEN len(tokens) > {MAX_TOKENS} THEN array_to_string(tokens[1:{MAX_TOKENS}], ' ') ELSE text END
+        WITH t AS (SELECT doc_id, text, regexp_extract_all(text, '\s*\S+') AS tokens FROM documents)
+        SELECT doc_id, CASE WHEN len(tokens) > {MAX_TOKENS} THEN array_to_string(tokens[1:{MAX_TOKENS}], '') ELSE text END
           AS text, len(tokens) > {MAX_TOKENS} AS was_truncated
         FROM t""",
+    "train_chat_bounded": rf"""
+        WITH {PAIRS},
+        parts AS (
+          SELECT conv_id, turn, 0 AS part, 'system' AS role, {_quoted(INSTRUCTION)} AS content FROM pairs
+          UNION ALL SELECT conv_id, turn, 1, 'user', input FROM pairs
+          UNION ALL SELECT conv_id, turn, 2, 'assistant', completion FROM pairs WHERE completion <> ''),
+        sized AS (SELECT *, regexp_extract_all(content, '\s*\S+') AS tokens FROM parts),
+        placed AS (
+          SELECT *, {CHAT_TOKENS} - coalesce(CAST(sum(len(tokens)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS INT), 0) AS left_over,
+            sum(len(tokens)) OVER (PARTITION BY conv_id, turn) > {CHAT_TOKENS} AS was_truncated
+          FROM sized WINDOW w AS (PARTITION BY conv_id, turn ORDER BY part))
+        SELECT conv_id, turn, was_truncated, row_number() OVER (PARTITION BY conv_id, turn ORDER BY part) - 1 AS pos, role,
+          CASE WHEN len(tokens) > left_over THEN array_to_string(tokens[1:left_over], '') ELSE content END AS content
+        FROM placed WHERE left_over > 0""",
+    "truncated_targets": rf"""
+        WITH {PAIRS},
+        t AS (
+          SELECT conv_id, turn, text, regexp_extract_all(text, '\s*\S+') AS tokens
+          FROM (SELECT conv_id, turn, {TRAIN_TEXT} AS text FROM pairs)),
+        cut AS (
+          SELECT conv_id, turn, len(tokens) > {CUT_TOKENS} AS was_truncated,
+            CASE WHEN len(tokens) > {CUT_TOKENS} THEN array_to_string(tokens[1:{CUT_TOKENS}], '') ELSE text END AS text
+          FROM t),
+        after AS (SELECT *, split_part(text, '### Input:' || chr(10), 2) AS piece FROM cut),
+        placed AS (SELECT *, instr(piece, chr(10) || chr(10) || '### Response:' || chr(10)) AS place FROM after)
+        SELECT conv_id, turn, was_truncated, CASE WHEN place > 0 THEN substr(piece, 1, place - 1) ELSE piece END AS context,
+          CASE WHEN place > 0 THEN substr(piece, place + 16) END AS target
+        FROM placed""",
     "infer_text": f"""
         WITH {PAIRS}
         SELECT conv_id, turn,
@@ -708,10 +810,12 @@ ORACLES: dict[str, str] = {
         FROM documents""",
     "prompt_truncate": rf"""
         WITH t AS (
-          SELECT doc_id, text, regexp_extract_all(text, '\S+') AS tokens,
+          SELECT doc_id, text, regexp_extract_all(text, '\s*\S+') AS tokens,
                  CASE WHEN lang = 'en' THEN {MAX_TOKENS} ELSE 8192 END AS n
           FROM documents)
-        SELECT doc_id, CASE WHEN len(tokens) > n THEN array_to_string(tokens[-n:], ' ') ELSE text END AS prompt FROM t""",
+        SELECT doc_id, CASE WHEN len(tokens) > n
+          THEN regexp_replace(array_to_string(tokens[-n:], ''), '^\s+', '') || regexp_extract(text, '\s*$') ELSE text END AS prompt
+        FROM t""",
     "generate_stub": "SELECT doc_id, 'gen:' || md5(text) AS inference FROM documents",
     "batch_inference": f"""
         WITH {PAIRS}
@@ -719,10 +823,10 @@ ORACLES: dict[str, str] = {
     "training_job": rf"""
         WITH {PAIRS},
         t AS (
-          SELECT conv_id, turn, text, regexp_extract_all(text, '\S+') AS tokens
+          SELECT conv_id, turn, text, regexp_extract_all(text, '\s*\S+') AS tokens
           FROM (SELECT conv_id, turn, {TRAIN_TEXT} AS text FROM pairs))
         SELECT conv_id, turn, len(tokens) > {MAX_TOKENS} AS was_truncated,
-          CASE WHEN len(tokens) > {MAX_TOKENS} THEN array_to_string(tokens[1:{MAX_TOKENS}], ' ') ELSE text END AS text
+          CASE WHEN len(tokens) > {MAX_TOKENS} THEN array_to_string(tokens[1:{MAX_TOKENS}], '') ELSE text END AS text
         FROM t""",
     "inference_job": f"""
         WITH {PAIRS}
@@ -733,6 +837,7 @@ ORACLES: dict[str, str] = {
         WITH made AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, 'gen:' || md5(text) AS completion FROM documents),
         numbered AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents)
         SELECT doc_id, lang, completion AS inference FROM numbered JOIN made USING (row_id)""",
+    "merge_mismatch": "SELECT 'gen:' || md5(text) AS inference FROM documents WHERE lang = 'en'",
     "row_numbers": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents",
     "scan_numbers": "SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS row_id FROM conversations",
     "param_routing": """
@@ -751,6 +856,7 @@ ORACLES: dict[str, str] = {
         SELECT page_id, md5(url) AS hash, nullif(split_part(split_part(url, '@', 2), '/', 1), '') AS hash_of_page
         FROM pages""",
     "split_scan": "SELECT doc_id, source AS split FROM documents WHERE source = 'src3'",
+    "json_layouts": f"WITH {PAIRS} SELECT conv_id, turn, instruction, input, completion FROM pairs",
     "json_dataset": f"WITH {PAIRS} SELECT conv_id, turn, instruction, input, completion FROM pairs",
     "sampling_merge": f"""
         WITH {REQUESTS}, defaults(key, value) AS (
@@ -774,8 +880,9 @@ ORACLES: dict[str, str] = {
     "request_fanin": f"WITH {REQUESTS}, {ANSWERS} SELECT task_id, status, n_completions, completions FROM gathered",
     "task_errors": f"WITH {REQUESTS}, {ANSWERS} SELECT task_id, status, error FROM gathered",
     "request_stream": f"""
-        WITH {REQUESTS}, {ANSWERS} SELECT task_id, status, error, completions, true AS in_order FROM gathered""",
-    "task_create": "SELECT doc_id, 'queued' AS status, true AS is_uuid FROM documents",
+        WITH {REQUESTS}, {ANSWERS}
+        SELECT task_id, status, error, completions, completions AS saved, true AS in_order FROM gathered""",
+    "task_create": "SELECT doc_id, 'queued' AS status, true AS is_uuid, true AS is_unique, true AS is_recent FROM documents",
     "task_state": f"WITH {EVENTS} SELECT * FROM states WHERE queued_at IS NOT NULL",
     "task_rejects": f"WITH {EVENTS} SELECT task_id, status FROM states WHERE queued_at IS NULL",
     "task_lookup": f"""

@@ -1,7 +1,7 @@
 """Length in tokens, and texts cut to a number of tokens.
 
 A token is a run of non-space characters unless the caller brings a token function: an
-Arrow UDF from text to array<string>.
+Arrow UDF from text to array<string>, pieces that are the text again when joined.
 """
 
 from __future__ import annotations
@@ -32,11 +32,21 @@ def token_count(text: Column, tokens: TokenFunction = whitespace_tokens) -> Colu
     return F.coalesce(F.size(tokens(text)), F.lit(0)).cast("bigint")
 
 
-def head_tokens(tokens: Column, limit: Column) -> Column:
-    return F.slice(tokens, F.lit(1), limit)
+def whitespace_pieces(text: Column) -> Column:
+    """The tokens, each with the white space before it: joined they are the text up to its last token."""
+    return F.regexp_extract_all(text, F.lit(r"\s*\S+"), F.lit(0))
 
 
-def tail_tokens(tokens: Column, limit: Column) -> Column:
-    """The last tokens; a shorter array stays whole (a negative slice start would empty it)."""
-    size = F.size(tokens)
-    return F.slice(tokens, F.greatest(size - limit + 1, F.lit(1)), F.greatest(limit, F.lit(0)))
+def head_tokens(text: Column, pieces: Column, limit: Column) -> Column:
+    """The text up to the end of its first tokens."""
+    return F.array_join(F.slice(pieces, F.lit(1), limit), "")
+
+
+def tail_tokens(text: Column, pieces: Column, limit: Column) -> Column:
+    """The text from the start of its last tokens, with the white space at its end.
+
+    A shorter array stays whole (a negative slice start would empty it).
+    """
+    last = F.slice(pieces, F.greatest(F.size(pieces) - limit + 1, F.lit(1)), F.greatest(limit, F.lit(0)))
+    behind = F.substring(text, F.length(F.array_join(pieces, "")) + 1, F.length(text))
+    return F.concat(F.regexp_replace(F.array_join(last, ""), r"^\s+", ""), behind)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from promptloom.constants import CONFIGS_FOLDER, DATASETS_FOLDER, MAX_SEQ_LENGTH, MESSAGES, TEXT, TRAINING_SPLIT
 from promptloom.functions.spans import message_targets, response_spans
 from promptloom.operators.configs import merge_config
-from promptloom.operators.length import bound_examples
+from promptloom.operators.length import bound_examples, bound_messages
 from promptloom.operators.training import construct_prompts
 from promptloom.sources.configs import read_config
 from promptloom.sources.datasets import read_dataset
@@ -30,7 +30,7 @@ def training_table(
 ) -> DataFrame:
     """The dataset of that name as training examples.
 
-    Chat examples are a `messages` column, text examples a bounded `text` with
+    Chat examples are a `messages` column, text examples a `text`, both bounded in length, with
     `was_truncated`. With both markers configured there is also a `targets` column. Only the
     model's own layout decides between chat and text here, never the configured one.
     """
@@ -39,8 +39,8 @@ def training_table(
     chosen = config.get("dataset_format")
     chat = model_template is not None if chosen not in ("conversational", "text") else chosen == "conversational"
     examples = construct_prompts(df, config.get("instruction"), config.get("text_format"), chat, keep)
-    if not chat:
-        examples = bound_examples(examples, TEXT, max_tokens)
+    bound = bound_messages if chat else bound_examples
+    examples = bound(examples, MESSAGES if chat else TEXT, max_tokens)
     markers = config.get("instruction_part"), config.get("response_part")
     if not all(markers):
         return examples

@@ -38,7 +38,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="promptloom-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from promptloom.schemas import REQUEST
@@ -38,6 +38,14 @@ def with_rejection(requests: DataFrame) -> DataFrame:
     )
 
 
+def without_repeats(checked: DataFrame) -> DataFrame:
+    """Requests that would be taken, but repeat the id of one before them, get a `reason` too."""
+    taken = F.col("reason").isNull()
+    order = Window.partitionBy("task_id", taken).orderBy("queued_at", F.xxhash64("prompts", F.to_json("prompts_params")))
+    again = taken & (F.row_number().over(order) > 1)
+    return checked.withColumn("reason", F.when(again, "Repeated task id").otherwise(F.col("reason")))
+
+
 def valid_requests(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("reason").isNull()).drop("reason", "_corrupt_record")
 

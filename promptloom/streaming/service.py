@@ -18,12 +18,9 @@ from promptloom.functions.values import present
 from promptloom.operators.generation import Engine, complete, first_candidate, request_sampling
 from promptloom.operators.length import bound_prompts
 from promptloom.sinks.completions import save_task_completions
-from promptloom.sources.requests import valid_requests, with_rejection
+from promptloom.sources.requests import valid_requests, with_rejection, without_repeats
 from promptloom.streaming.tasks import fold_task_events
 
-# Prompts of one request that a single task may have to complete.
-LARGE_REQUEST = 10_000
-
 
 def service_sampling(requests: DataFrame, model_limit: int | None = None) -> DataFrame:
     """Requests with `sampling`: the user's parameters over the service defaults and prompt limit."""
@@ -44,13 +41,11 @@ def prepare_requests(
     what is wrong with them. The pieces are those of the first of chat layout (the request's,
     else the model's), the request's positional text format, and nothing.
     """
-    n_prompts = F.col("n_prompts") if "n_prompts" in requests.columns else F.size("prompts")
     params, sampling = F.col("prompts_params"), F.col("sampling")
     limit = sampling["truncate_prompt_tokens"].try_cast("int")
     prepared = service_sampling(requests, model_limit).select(
         "task_id",
         "prompts",
-        n_prompts.alias("n_prompts"),
         present(params["instruction"]).alias("instruction"),
         F.coalesce(present(params["chat_template"]), F.lit(model_template).cast("string")).alias("layout"),
         present(params["text_format"]).alias("text_format"),
@@ -68,7 +63,6 @@ def prepare_requests(
     return parse_templates(prepared, "text_format", positions=3, prefix="text").select(
         "task_id",
         "prompts",
-        "n_prompts",
         pieces.alias("pieces"),
         trims_content(layout, layouts).alias("trims_prompt"),
         F.when(layout.isNull(), F.col("text_error")).when(~layout.isin(*layouts), unknown).alias("error"),
@@ -80,7 +74,7 @@ def prepare_requests(
 def fan_out(prepared: DataFrame) -> DataFrame:
     """One row per prompt, `pos` its place in the request. A request without prompts keeps one row."""
     exploded = prepared.select("*", F.posexplode_outer("prompts").alias("pos", "prompt"))
-    return exploded.drop("prompts", "n_prompts")
+    return exploded.drop("prompts")
 
 
 def format_requests(prompts: DataFrame) -> DataFrame:
@@ -95,27 +89,36 @@ def format_requests(prompts: DataFrame) -> DataFrame:
     ).withColumn("prompt", F.when(F.col("error").isNull(), rendered))
 
 
+def first_requests(requests: DataFrame) -> DataFrame:
+    """One request for each task id: the first by `queued_at` where the requests have it.
+
+    Those of an id are reduced before the shuffle, so one sent very often is no hot key.
+    """
+    queued = [F.col("queued_at")] if "queued_at" in requests.columns else []
+    order = F.struct(*queued, F.xxhash64("prompts", F.to_json("prompts_params")))
+    first = F.min_by(F.struct(*requests.columns), order).alias("request")
+    return requests.groupBy("task_id").agg(first).select("request.*")
+
+
 def answer_prompts(
     requests: DataFrame,
     engine: Engine,
     model_template: str | None = None,
     model_limit: int | None = None,
     layouts: Mapping[str, ChatLayout] = LAYOUTS,
-    large_request: int = LARGE_REQUEST,
     partitions: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """`task_id, pos, prompt, completion, error` for every prompt of every request.
 
-    The prompts of a large request are spread over `partitions`, by default as many as
-    shuffles have; those of other requests stay where they are. Prompts are spread by their
-    place in the request, so that a task that runs again gets the same ones. Large requests
-    are found by a filter, on `n_prompts` if the requests have it, where it reaches the scan.
+    Of requests with the same id the first is answered, unless the ids are known to be `unique`.
+    Prompts are spread over `partitions`, by default as many as shuffles have, by their request
+    and their place in it: one with very many is spread like all others, and a task that runs
+    again gets the same ones.
     """
     partitions = partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    prepared, size = prepare_requests(requests, model_template, model_limit, layouts), F.col("n_prompts")
-    spread = fan_out(prepared.filter(size > large_request)).repartition(partitions, "task_id", "pos")
-    ordinary = fan_out(prepared.filter((size <= large_request) | size.isNull()))
-    formatted = format_requests(ordinary.unionByName(spread))
+    prepared = prepare_requests(requests if unique else first_requests(requests), model_template, model_limit, layouts)
+    formatted = format_requests(fan_out(prepared).repartition(partitions, "task_id", "pos"))
     bounded = bound_prompts(formatted, max_tokens=F.col("max_prompt_tokens"))
     answers = complete(F.col("prompt"), engine, F.col("sampling"), capture_errors=True)
     return bounded.withColumn("answer", answers).select(
@@ -128,11 +131,10 @@ def answer_prompts(
 def fan_in(answers: DataFrame) -> DataFrame:
     """`task_id, status, completions, error` per request, completions in the order of the prompts.
 
-    One failed prompt fails its request, with the first prompt's message and no completions.
-    A group is one request, which came in as one row, so its size is bounded by that row.
+    One failed prompt fails its request, with the first prompt's message and no completions. A
+    group is one request: it has as many rows as the request, itself one row, has prompts.
     """
-    # A request sent again in the same batch has the same answers, which a set holds once.
-    in_order = F.array_sort(F.collect_set(F.struct("pos", "completion")))
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "completion")))
     failed_at = F.when(F.col("error").isNotNull(), F.coalesce(F.col("pos"), F.lit(0)))
     gathered = answers.groupBy("task_id").agg(
         F.transform(in_order, lambda a: a["completion"]).alias("completions"),
@@ -159,8 +161,8 @@ def serve_requests(
     """Answers a stream of requests into `folder`: `requests`, `tasks` and `events`.
 
     Each batch owns one directory in each table and replaces it if it runs again. Requests are
-    parsed once and kept with the reason where one is rejected; answers are written before
-    anything else uses them, so the engine runs once per batch.
+    parsed once and kept with the reason where one is rejected, as one is that repeats an id of its
+    batch; answers are written before anything else uses them, so the engine runs once per batch.
     """
 
     def written(df: DataFrame, table: str, batch_id: int) -> DataFrame:
@@ -169,10 +171,9 @@ def serve_requests(
         return df.sparkSession.read.parquet(path)
 
     def serve(batch: DataFrame, batch_id: int) -> None:
-        checked = with_rejection(batch).withColumn("n_prompts", F.size("prompts"))
-        requests = valid_requests(written(checked, "requests", batch_id))
+        requests = valid_requests(written(without_repeats(with_rejection(batch)), "requests", batch_id))
         running_at = time.time()
-        tasks = written(fan_in(answer_prompts(requests, engine, **options)), "tasks", batch_id)
+        tasks = written(fan_in(answer_prompts(requests, engine, unique=True, **options)), "tasks", batch_id)
         started = requests.select(
             "task_id",
             F.inline(

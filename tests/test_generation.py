@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from promptloom.constants import BATCH_SAMPLING, SERVICE_SAMPLING
-from promptloom.engines import DIGEST, SAMPLED
+from stand_ins import DIGEST, SAMPLED
 from promptloom.operators.generation import (
     Engine,
     batch_sampling,

@@ -1,9 +1,12 @@
+import random
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from promptloom.functions.spans import response_spans
 from promptloom.functions.tokens import resolved_limit, token_count
-from promptloom.operators.length import bound_examples, bound_prompts, require_valid_prompts, validate_prompts
+from promptloom.operators.length import bound_examples, bound_messages, bound_prompts, require_valid_prompts, validate_prompts
 
 TEXTS = [None, "", " \t\n ", "a", "a b", "a  b\nc", " a b c d ", "a\x0bb\x0cc\rd e", "long" * 50 + " x"]
 
@@ -24,22 +27,65 @@ def test_token_count(texts):
     assert got == [len(ascii_tokens(t or "")) for t in TEXTS]
 
 
+def head_of(text, limit):
+    """The text up to the end of its n-th token."""
+    at = 0
+    for token in ascii_tokens(text)[:limit]:
+        at = text.index(token, at) + len(token)
+    return text[:at]
+
+
+def tail_of(text, limit):
+    """The text from the start of its n-th last token."""
+    at = len(text)
+    for token in reversed(ascii_tokens(text)[-limit:]):
+        at = text.rindex(token, 0, at)
+    return text[at:]
+
+
 @pytest.mark.parametrize("limit", [1, 2, 3, 4, 5])
-def test_head_and_tail(texts, limit):
+def test_head_and_tail(spark, texts, limit):
+    rng = random.Random(limit)
+    drawn = ["".join(rng.choice("ab \t\n\x0b\x0c\r") for _ in range(rng.randrange(30))) for _ in range(400)]
+    texts = texts.union(spark.createDataFrame([(100 + i, t) for i, t in enumerate(drawn)], "id int, text string"))
     heads = [(r.text, r.was_truncated) for r in bound_examples(texts, "text", limit).collect()]
     tails = [r.text for r in bound_prompts(texts, "text", limit).collect()]
-    for text, (head, cut), tail in zip(TEXTS, heads, tails):
+    for text, (head, cut), tail in zip([*TEXTS, *drawn], heads, tails, strict=True):
         tokens = ascii_tokens(text or "")
         assert cut == (len(tokens) > limit)
-        assert head == (" ".join(tokens[:limit]) if cut else text)
-        assert tail == (" ".join(tokens[-limit:]) if cut else text)
+        assert head == (head_of(text, limit) if cut else text)
+        assert tail == (tail_of(text, limit) if cut else text)
+
+
+def test_messages(spark):
+    messages = [("system", "be  brief"), ("user", "one two\n three"), ("assistant", ""), ("assistant", "four five")]
+    df = spark.createDataFrame([(messages,)], "messages array<struct<role: string, content: string>>")
+    wanted = {
+        9: (messages, False),
+        7: (messages, False),
+        6: ([*messages[:3], ("assistant", "four")], True),
+        5: (messages[:2], True),
+        4: ([messages[0], ("user", "one two")], True),
+        1: ([("system", "be")], True),
+    }
+    for limit, expected in wanted.items():
+        row = bound_messages(df, max_tokens=limit).first()
+        assert ([tuple(m) for m in row.messages], row.was_truncated) == expected, limit
+
+
+def test_markers_outlive_the_cut(spark):
+    text = "### Input:\nsome words here\n\n### Response:\nan answer of many words"
+    cut = bound_examples(spark.createDataFrame([(text,)], "text string"), "text", 9)
+    spans = response_spans(F.col("text"), "### Input:\n", "\n\n### Response:\n")
+    row = cut.select(spans.alias("spans"), "was_truncated").first()
+    assert row.was_truncated and [s.target for s in row.spans] == ["an answer"]
 
 
 def test_tail_limit_by_row(texts):
     limits = F.when(F.col("id") > 5, F.col("id") - 5)
     got = [r.text for r in bound_prompts(texts, "text", limits).collect()]
     assert got[:6] == TEXTS[:6]
-    assert got[6:] == ["d", "d e", TEXTS[8]]
+    assert got[6:] == ["d ", "d e", TEXTS[8]]
 
 
 def test_resolved_limit(evaluate):
@@ -62,4 +108,4 @@ def test_own_token_function(texts):
         return pa.array([None if t is None else list(t) for t in text.to_pylist()], pa.list_(pa.string()))
 
     got = bound_examples(texts.filter("id in (3, 4)"), "text", 2, characters).collect()
-    assert [(r.text, r.was_truncated) for r in got] == [("a", False), ("a  ", True)]
+    assert [(r.text, r.was_truncated) for r in got] == [("a", False), ("a ", True)]

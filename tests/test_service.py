@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from promptloom.engines import DIGEST, SAMPLED, STRICT
+from stand_ins import DIGEST, SAMPLED, STRICT
 from promptloom.operators.generation import Engine
 from promptloom.streaming.service import (
     answer_prompts,
@@ -15,7 +15,7 @@ from promptloom.streaming.service import (
     serve_requests,
     served_tasks,
 )
-from promptloom.sources.requests import read_requests, rejected_requests, valid_requests
+from promptloom.sources.requests import read_requests, rejected_requests
 from promptloom.streaming.tasks import get_task
 
 SCHEMA = (
@@ -58,27 +58,32 @@ def test_request_formats(spark, params, model_template, expected):
     assert formatted(spark, params, model_template) == expected
 
 
-@pytest.mark.parametrize("large_request, partitions", [(10_000, None), (20, 5), (0, None)])
-def test_fan_out_and_in_is_the_identity(spark, large_request, partitions):
+@pytest.mark.parametrize("partitions", [None, 5])
+def test_fan_out_and_in_is_the_identity(spark, partitions):
     rng = random.Random(1)
     # One request has a third of all prompts.
     sizes = [400] + [rng.randrange(1, 12) for _ in range(130)]
     rows = [(f"t{i}", [f"{i}-{j}-{rng.random()}" for j in range(n)], None, None) for i, n in enumerate(sizes)]
     requests = spark.createDataFrame(rows, SCHEMA)
-    answers = answer_prompts(requests, IDENTITY, large_request=large_request, partitions=partitions)
-    got = fan_in(answers).collect()
+    got = fan_in(answer_prompts(requests, IDENTITY, partitions=partitions)).collect()
     assert {r.task_id: r.completions for r in got} == {r[0]: r[1] for r in rows}
     assert {r.status for r in got} == {"done"}
 
 
-def test_large_requests_are_spread_and_others_are_not(spark):
+def test_prompts_of_a_large_request_are_spread(spark):
     rows = [("large", [str(i) for i in range(800)], None, None), ("small", ["x", "y"], None, None)]
     requests = spark.createDataFrame(rows, SCHEMA).coalesce(1)
-    answers = answer_prompts(requests, IDENTITY, large_request=100, partitions=8).select("task_id")
+    answers = answer_prompts(requests, IDENTITY, partitions=8).select("task_id")
     parts = answers.groupBy("task_id", F.spark_partition_id().alias("part")).count().collect()
     large = [r["count"] for r in parts if r.task_id == "large"]
     assert sum(large) == 800 and len(large) == 8 and max(large) < 200
-    assert [r["count"] for r in parts if r.task_id == "small"] == [2]
+
+
+def test_requests_are_scanned_once(spark, tmp_path):
+    spark.createDataFrame([("t", ["a", "b"], None, None)], SCHEMA).write.parquet(str(tmp_path / "r"))
+    for unique in (True, False):
+        plan = fan_in(answer_prompts(spark.read.parquet(str(tmp_path / "r")), IDENTITY, unique=unique))
+        assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
 def test_repeated_request_is_answered_once(spark):
@@ -87,8 +92,18 @@ def test_repeated_request_is_answered_once(spark):
     assert [(r.task_id, r.completions) for r in got] == [("t", ["a", "b", "a"])]
 
 
+def test_first_request_of_an_id_counts(spark):
+    rows = [("k", ["z", "w"], None, None, 2.0), ("k", ["x", "y"], None, {"max_tokens": "1"}, 1.0), ("other", ["v"], None, None, 9.0)]
+    requests = spark.createDataFrame(rows, SCHEMA + ", queued_at double")
+    answers = answer_prompts(requests, IDENTITY)
+    assert answers.count() == 3
+    assert {r.task_id: r.completions for r in fan_in(answers).collect()} == {"k": ["x", "y"], "other": ["v"]}
+    tied = requests.withColumn("queued_at", F.lit(1.0))
+    assert {len(r.completions) for r in fan_in(answer_prompts(tied, SAMPLED)).collect()} == {1, 2}
+
+
 def test_errors_stay_with_their_request(spark):
-    long = "x" * 4001
+    long = "x" * 4001 + "***"
     rows = [
         ("good", ["a", "b"], None, None),
         ("one bad", ["a", long + "y", long], None, None),
@@ -100,7 +115,7 @@ def test_errors_stay_with_their_request(spark):
     got = {r.task_id: r for r in fan_in(answer_prompts(spark.createDataFrame(rows, SCHEMA), STRICT)).collect()}
     assert {k: (r.status, r.error) for k, r in got.items()} == {
         "good": ("done", None),
-        "one bad": ("error", "Prompt of 4002 characters is too long"),
+        "one bad": ("error", "Prompt of 4005 characters holds ***"),
         "no prompts": ("error", "list index out of range"),
         "null prompts": ("error", "list index out of range"),
         "null prompt": ("error", "Prompt is null"),
@@ -119,7 +134,7 @@ def test_sampling_and_truncation_per_request(spark):
     requests = spark.createDataFrame(rows, SCHEMA)
     got = {r.task_id: r for r in answer_prompts(requests, SAMPLED).collect()}
     assert got["default"].completion.startswith("1024:") and got["own"].completion.startswith("5:")
-    assert got["cut"].prompt == "b c" and got["default"].prompt == "a b c"
+    assert got["cut"].prompt == "b  c" and got["default"].prompt == "a b c"
     limited = answer_prompts(requests.filter("task_id = 'default'"), DIGEST, model_limit=1).first()
     assert limited.prompt == "c"
 
@@ -144,9 +159,10 @@ def test_service_stream(spark, tmp_path):
     write_requests(incoming, "1.json", [
         {"task_id": "a", "prompts": ["x", "y"]},
         {"task_id": "b", "prompts": []},
+        {"task_id": "a", "prompts": ["x", "y"]},
         "not json",
     ])
-    write_requests(incoming, "2.json", [{"task_id": "c", "prompts": ["z" * 5000]}])
+    write_requests(incoming, "2.json", [{"task_id": "c", "prompts": ["z" * 5000 + "***"]}])
     serve()
     # A request sent again later does not become two tasks.
     write_requests(incoming, "3.json", [
@@ -158,7 +174,7 @@ def test_service_stream(spark, tmp_path):
     tasks = served_tasks(spark, served)
     got = {r.task_id: r for r in tasks.collect()}
     assert {k: r.status for k, r in got.items()} == {"a": "done", "b": "error", "c": "error", "d": "done"}
-    assert got["c"].error == "Prompt of 5000 characters is too long" and got["c"].done_at is None
+    assert got["c"].error == "Prompt of 5003 characters holds ***" and got["c"].done_at is None
     assert len(got["a"].completions) == 2 and got["a"].queued_at <= got["a"].running_at <= got["a"].done_at
     assert get_task(tasks, "d").completions == got["d"].completions
     with pytest.raises(KeyError):
@@ -167,10 +183,9 @@ def test_service_stream(spark, tmp_path):
     saved = spark.read.json(str(completions / "task_id=a")).collect()
     assert [r.completions for r in saved] == [got["a"].completions]
     rejected = rejected_requests(spark.read.parquet(f"{served}/requests")).collect()
-    assert [(r.reason, r._corrupt_record) for r in rejected] == [("Malformed request", "not json")]
-    written = valid_requests(spark.read.parquet(f"{served}/requests"))
-    plan = answer_prompts(written, STRICT)._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(n_prompts,10000)" in plan
+    assert sorted((r.reason, r._corrupt_record, r.task_id) for r in rejected) == [
+        ("Malformed request", "not json", None), ("Repeated task id", None, "a")
+    ]
 
 
 def test_stream_equals_batch(spark, tmp_path):
