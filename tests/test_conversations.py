@@ -50,9 +50,13 @@ def test_hot_conversation_is_spread(spark):
     assert sum(sizes) == 2000 and max(sizes) < 700
 
 
-def test_ordinary_conversations_cost_one_shuffle(spark):
-    pairs = conversation_pairs(spark.read.parquet("/root/testdata/sf0.001/conversations.parquet"))
+@pytest.mark.parametrize("block_turns", [16_384, 2])
+def test_the_table_is_read_once(spark, block_turns):
+    pairs = conversation_pairs(spark.read.parquet("/root/testdata/sf0.1/conversations.parquet"), block_turns)
+    pairs.write.format("noop").mode("overwrite").save()
     pairs.collect()
-    final = pairs._jdf.queryExecution().executedPlan().toString()
-    final = final.split("== Initial Plan ==")[0]
-    assert final.count("Exchange hashpartitioning") == 1 and "Join" not in final
+    final = pairs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1
+    assert "ReusedExchange" in final or final.count("REPARTITION_BY_COL") == 1
+
+
