@@ -7,6 +7,7 @@ import sys
 import time
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -309,6 +310,49 @@ def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_table(spark, "training_pairs", max_tokens=MAX_TOKENS, keep=("conv_id", "turn"))
 
 
+def configured_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A training job of each language with its configuration file, and what it records of itself."""
+    folder = _scratch(spark)
+    documents = _table(spark, sf_dir, "documents")
+    rows = documents.select("lang", F.col("doc_id").cast("string").alias("input"), F.md5("text").alias("completion"))
+    rows.write.partitionBy("lang").json(f"{folder}/datasets")
+    langs = [row[0] for row in rows.select("lang").distinct().collect()]
+    # One file for each language, made from the table: its text format names the language.
+    text_format = F.concat(F.lit("<"), F.col("lang"), F.lit("> {input} = {response}"))
+    file = F.struct(F.concat(F.lit("cfg-"), F.col("lang")).alias("name"), text_format.alias("text_format"),
+                    F.lit("<").alias("instruction_part"), F.lit(" = ").alias("response_part"))
+    configs = documents.select("lang").distinct().select(F.concat(F.lit("lang="), F.col("lang")).alias("dataset"), file.alias("file"))
+    for lang in langs:
+        one = configs.filter(F.col("dataset") == f"lang={lang}").select("file.*")
+        one.coalesce(1).write.json(f"{folder}/configs/lang={lang}/cfg.json")
+    jobs = [
+        training_table(
+            spark, f"lang={lang}", dataset_config="cfg", datasets_folder=f"{folder}/datasets", configs_folder=f"{folder}/configs",
+            schema="input string, completion string", records_folder=f"{folder}/records/job={lang}", keep=("input",),
+            checksum_urls=[f"hf://datasets/web@{lang}{lang}/data.json"] if lang == "en" else [],
+        ).withColumn("lang", F.lit(lang))
+        for lang in langs
+    ]
+    examples = reduce(DataFrame.unionByName, jobs)
+
+    def records(table: str) -> DataFrame:
+        parts = [spark.read.parquet(f"{folder}/records/job={lang}/{table}").withColumn("job", F.lit(lang)) for lang in langs]
+        return reduce(DataFrame.unionByName, parts)
+
+    lineage, params = records("lineage"), records("params")
+    named = params.groupBy(F.col("job").alias("lang")).agg(
+        F.max(F.when(F.col("key") == "dataset_config", F.concat("value", F.lit("/"), "route"))).alias("config"),
+        F.max(F.when(F.col("key") == "schema", F.col("value"))).alias("schema"),
+        F.max(F.when(F.col("key") == "first_row", F.get_json_object("value", "$.input"))).alias("first_input"),
+    )
+    recorded = lineage.select(F.col("job").alias("lang"), "source_type", "commit_hash", "num_rows").join(named, "lang")
+    first = F.col("first_input").isNotNull().alias("has_first_row")
+    return examples.join(recorded, "lang").select(
+        "lang", F.col("input").alias("doc_id"), "text", F.col("targets")[0]["target"].alias("target"),
+        "source_type", "commit_hash", "num_rows", "config", "schema", first,
+    )
+
+
 def inference_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     folder = _scratch(spark)
@@ -539,6 +583,7 @@ QUERIES: dict[str, Query] = {
     "batch_inference": batch_inference,
     "training_job": training_job,
     "inference_job": inference_job,
+    "configured_job": configured_job,
     "merge_positional": merge_positional,
     "merge_mismatch": merge_mismatch,
     "row_numbers": row_numbers,
@@ -828,6 +873,13 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, turn, len(tokens) > {MAX_TOKENS} AS was_truncated,
           CASE WHEN len(tokens) > {MAX_TOKENS} THEN array_to_string(tokens[1:{MAX_TOKENS}], '') ELSE text END AS text
         FROM t""",
+    "configured_job": """
+        WITH sized AS (SELECT *, count(*) OVER (PARTITION BY lang) AS num_rows FROM documents)
+        SELECT lang, CAST(doc_id AS VARCHAR) AS doc_id, '<' || lang || '> ' || doc_id || ' = ' || md5(text) AS text,
+          md5(text) AS target, CASE WHEN lang = 'en' THEN 'hub' ELSE 'storage' END AS source_type,
+          CASE WHEN lang = 'en' THEN 'enen' END AS commit_hash, num_rows, 'cfg-' || lang || '/param' AS config,
+          'struct<input:string,completion:string>' AS schema, true AS has_first_row
+        FROM sized""",
     "inference_job": f"""
         WITH {PAIRS}
         SELECT conv_id, turn, instruction, input, completion, (SELECT count(*) FROM pairs) AS num_rows,

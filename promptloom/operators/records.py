@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -59,6 +60,27 @@ def lineage_record(
     )
 
 
+def dataset_records(
+    df: DataFrame,
+    dataset_name: str,
+    split: str | None,
+    params: Mapping[str, object] | None = None,
+    checksum_urls: Sequence[str] = (),
+    folder: str = DATASETS_FOLDER,
+    num_rows: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """What a job records of the dataset it loads: its lineage, and its profile and parameters, routed.
+
+    Rows are counted unless their number is known; for Parquet that reads no data. The schema and
+    the first row, as JSON, are parameters like the job's own.
+    """
+    first = sample_row(df)
+    profiled = {"schema": df.schema.simpleString(), "first_row": json.dumps(first, default=str, ensure_ascii=False)}
+    count = df.count() if num_rows is None else num_rows
+    lineage = lineage_record(df.sparkSession, dataset_name, count, profiled["schema"], split, checksum_urls, folder)
+    return lineage, route_params(param_rows(df.sparkSession, profiled | {"num_rows": count} | dict(params or {})))
+
+
 def param_rows(spark: SparkSession, params: Mapping[str, object] | None) -> DataFrame:
     """A run's parameters as key and value; none where there are none."""
     rows = [(key, str(value)) for key, value in (params or {}).items()]

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from promptloom.constants import (
     COMPLETIONS_FOLDER,
@@ -19,9 +20,9 @@ from promptloom.constants import (
 from promptloom.operators.configs import merge_config
 from promptloom.operators.generation import Engine, batch_sampling, completion
 from promptloom.operators.inference import PROMPT, format_prompts, input_prompts, with_completions
-from promptloom.operators.records import lineage_record, observed, param_rows, route_params
+from promptloom.operators.records import dataset_records, observed
 from promptloom.sinks.completions import save_completions
-from promptloom.sinks.records import append_lineage, append_params
+from promptloom.sinks.records import append_records
 from promptloom.sources.configs import read_config
 from promptloom.sources.datasets import read_dataset
 
@@ -76,13 +77,16 @@ def run_inference(
     configs_folder: str = CONFIGS_FOLDER,
     completions_folder: str = COMPLETIONS_FOLDER,
     records_folder: str | None = None,
+    schema: StructType | str | None = None,
+    checksum_urls: Sequence[str] = (),
 ) -> InferenceRun:
     """Completes a named dataset and writes it, with lineage and parameters if a folder is given.
 
-    Rows are counted while they are written, so the data is read once after schema inference.
+    Rows are counted while they are written, so the data is read once after schema inference; a
+    `schema` spares that too. `checksum_urls` are those that a hub gave for the dataset's files.
     """
     split = split or INFERENCE_SPLIT
-    df = read_dataset(spark, dataset_name, split, datasets_folder)
+    df = read_dataset(spark, dataset_name, split, datasets_folder, schema)
     config = merge_config(read_config(spark, dataset_name, dataset_config, configs_folder))
     completed, counts = observed(
         complete_dataset(
@@ -92,10 +96,7 @@ def run_inference(
     path = save_completions(completed, output_name, completions_folder)
     num_rows = counts.get["num_rows"]
     if records_folder:
-        record = lineage_record(
-            spark, dataset_name, num_rows, df.schema.simpleString(), split, folder=datasets_folder
-        )
-        append_lineage(record, f"{records_folder}/lineage")
-        params = param_rows(spark, config | batch_sampling(**(sampling or {})))
-        append_params(route_params(params), f"{records_folder}/params")
+        params = config | batch_sampling(**(sampling or {}))
+        records = dataset_records(df, dataset_name, split, params, checksum_urls, datasets_folder, num_rows)
+        append_records(records, records_folder)
     return InferenceRun(path, num_rows)

@@ -75,7 +75,7 @@ def physical(df):
 
 
 PYTHON = {"generate_stub", "batch_inference", "request_fanout", "request_fanin", "task_errors"}
-STREAMED = {"request_stream", "task_state_stream", "json_dataset", "json_layouts", "task_create", "inference_job"}
+STREAMED = {"request_stream", "task_state_stream", "json_dataset", "json_layouts", "task_create", "inference_job", "configured_job"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - STREAMED))
