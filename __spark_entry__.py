@@ -553,8 +553,11 @@ def task_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def task_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _scratch(spark)
+    # Events of a task arrive in several batches, in no order of time.
     turns = _table(spark, sf_dir, "conversations")
-    arriving = spark.readStream.schema(turns.schema).parquet(f"{sf_dir}/conversations*.parquet")
+    batch = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)).alias("batch")
+    turns.select("*", batch).repartition(4, "batch").write.partitionBy("batch").parquet(f"{folder}/turns")
+    arriving = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/turns/*")
     stream_task_state(_task_events(arriving), f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
     return known_tasks(latest_task_state(spark, f"{folder}/state"))
 
