@@ -110,30 +110,32 @@ def signatures(docs: DataFrame, words: int, id_column: str, text_column: str) ->
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
         for batch in batches:
-            sets = shingle_sets(whole(batch.column(2).to_pylist()), words, hashes)
-            keys_a, keys_b, bands = [], [], []
-            for own in sets:
-                keys_a.append(np.bitwise_xor.reduce(mixed(own ^ _SALTS[0])) if len(own) else np.uint64(0))
-                keys_b.append(mixed(own ^ _SALTS[1]).sum(dtype=np.uint64))
-                least = minima(own).astype(np.uint64).reshape(BANDS, ROWS)
-                key = _SALTS.copy()
-                for k in range(ROWS):
-                    key = mixed(key ^ least[:, k])
-                bands.append(key.view(np.int64))
-            counts = np.array(list(map(len, sets)), dtype=np.int64)
-            offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, BANDS, 0))])
-            flat = np.concatenate([key for key, n in zip(bands, counts, strict=True) if n] or [np.empty(0, np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(counts),
-                    pa.array(np.array(keys_a, dtype=np.uint64).view(np.int64)),
-                    pa.array(np.array(keys_b, dtype=np.uint64).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                ],
-                names=["doc_id", "text_key", "n_shingles", "key_a", "key_b", "bands"],
-            )
+            texts = whole(batch.column(2).to_pylist())
+            for start, stop in slices(texts):
+                sets = shingle_sets(texts[start:stop], words, hashes)
+                keys_a, keys_b, bands = [], [], []
+                for own in sets:
+                    keys_a.append(np.bitwise_xor.reduce(mixed(own ^ _SALTS[0])) if len(own) else np.uint64(0))
+                    keys_b.append(mixed(own ^ _SALTS[1]).sum(dtype=np.uint64))
+                    least = minima(own).astype(np.uint64).reshape(BANDS, ROWS)
+                    key = _SALTS.copy()
+                    for k in range(ROWS):
+                        key = mixed(key ^ least[:, k])
+                    bands.append(key.view(np.int64))
+                counts = np.array(list(map(len, sets)), dtype=np.int64)
+                offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, BANDS, 0))])
+                flat = np.concatenate([key for key, n in zip(bands, counts, strict=True) if n] or [np.empty(0, np.int64)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(start, stop - start),
+                        batch.column(1).slice(start, stop - start),
+                        pa.array(counts),
+                        pa.array(np.array(keys_a, dtype=np.uint64).view(np.int64)),
+                        pa.array(np.array(keys_b, dtype=np.uint64).view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
+                    ],
+                    names=["doc_id", "text_key", "n_shingles", "key_a", "key_b", "bands"],
+                )
 
     text = F.col(text_column)
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), _text_key(text).alias("text_key"), text.alias("text"))
