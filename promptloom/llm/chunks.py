@@ -76,24 +76,33 @@ class WordTable:
         self.chars += sum(map(len, new))
         self.numbers.new = []
 
+    def renew(self) -> None:
+        """Begins anew if the bounds are reached."""
+        if self.words > self.most_words or self.chars > self.most_chars:
+            self._clear()
+
+    def encode_split(self, words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each run of so many words has."""
+        number = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
+        self._take_up_new()
+        starts = self.ends[number]
+        lengths = self.ends[number + 1] - starts
+        total = np.concatenate([[0], np.cumsum(lengths)])
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        return self.ids[ranges(starts, lengths)], np.diff(total[edges])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each text has."""
-        parts, counts = [np.empty(0, dtype=np.uint32)], []
+        parts, counts = [np.empty(0, dtype=np.uint32)], [np.empty(0, dtype=np.int64)]
         for a, b in slices(texts):
-            if self.words > self.most_words or self.chars > self.most_chars:
-                self._clear()
-            found: list[int] = []
-            words = np.empty(b - a, dtype=np.int64)
+            self.renew()
+            words: list[str] = []
+            split = np.empty(b - a, dtype=np.int64)
             for i, text in enumerate(texts[a:b]):
-                split = white_space_split(text)
-                words[i] = len(split)
-                found += map(self.numbers.__getitem__, split)
-            self._take_up_new()
-            number = np.array(found, dtype=np.int64)
-            starts = self.ends[number]
-            lengths = self.ends[number + 1] - starts
-            parts.append(self.ids[ranges(starts, lengths)])
-            total = np.concatenate([[0], np.cumsum(lengths)])
-            edges = np.concatenate([[0], np.cumsum(words)])
-            counts.append(np.diff(total[edges]))
-        return np.concatenate(parts), np.concatenate(counts) if counts else np.empty(0, dtype=np.int64)
+                own = white_space_split(text)
+                split[i] = len(own)
+                words += own
+            ids, found = self.encode_split(words, split)
+            parts.append(ids)
+            counts.append(found)
+        return np.concatenate(parts), np.concatenate(counts)

@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import functools
 import os
+import string
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ SHARD_IDS = 1 << 19
 LEAST_USES = 6
 ROUNDS = 5
 _MARK = "\0"
+_MARKS = ".,!?;:#%&$*"
+_NOTHING = np.empty(0, dtype=np.int64)
 
 SHARDS = (
     "part int, part_start bigint, seq int, first_symbol int, width int, symbols binary, rules binary, "
@@ -62,12 +66,16 @@ def compress(ids: np.ndarray, last: np.ndarray, first_symbol: int) -> tuple[np.n
         if len(symbols) < 2 or room <= 0:
             break
         within = np.flatnonzero(~last[:-1])
+        left = symbols[within].astype(np.uint64)
         if most == 1 << 16:
-            keys = (symbols[within] << np.uint32(16)) | symbols[within + 1]
+            # Pair and place in one number: sorting numbers is much faster than sorting places by them.
+            pairs = (left << np.uint64(16)) | symbols[within + 1]
+            both = np.sort((pairs << np.uint64(32)) | np.arange(len(within), dtype=np.uint64))
+            ordered, order = both >> np.uint64(32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
         else:
-            keys = (symbols[within].astype(np.uint64) << np.uint64(32)) | symbols[within + 1]
-        order = np.argsort(keys)
-        ordered = keys[order]
+            keys = (left << np.uint64(32)) | symbols[within + 1]
+            order = np.argsort(keys)
+            ordered = keys[order]
         heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         counts = np.diff(np.append(heads, len(ordered)))
         frequent = np.flatnonzero(counts >= LEAST_USES)
@@ -77,11 +85,13 @@ def compress(ids: np.ndarray, last: np.ndarray, first_symbol: int) -> tuple[np.n
         # Rank of the pair at each place: 0 is the most frequent.
         none = np.int32(len(frequent))
         rank = np.full(len(symbols), none, dtype=np.int32)
-        sizes = counts[frequent]
-        rank[within[order[ranges(heads[frequent], sizes)]]] = np.repeat(np.arange(none, dtype=np.int32), sizes)
-        before = np.concatenate([[none], rank[:-1]])
-        after = np.append(rank[1:], none)
-        places = np.flatnonzero((rank < none) & (rank < before) & (rank <= after))
+        of_pair = np.full(len(heads), none, dtype=np.int32)
+        of_pair[frequent] = np.arange(none, dtype=np.int32)
+        rank[within[order]] = np.repeat(of_pair, counts)
+        chosen = rank < none
+        chosen[1:] &= rank[1:] < rank[:-1]
+        chosen[:-1] &= rank[:-1] <= rank[1:]
+        places = np.flatnonzero(chosen)
         uses = np.bincount(rank[places], minlength=none)
         used = np.flatnonzero(uses >= 3)
         if not len(used):
@@ -89,7 +99,7 @@ def compress(ids: np.ndarray, last: np.ndarray, first_symbol: int) -> tuple[np.n
         places = places[uses[rank[places]] >= 3]
         number = np.zeros(none, dtype=np.uint32)
         number[used] = next_symbol + np.arange(len(used), dtype=np.uint32)
-        pair = ordered[heads[frequent[used]]].astype(np.uint64)
+        pair = ordered[heads[frequent[used]]]
         shift = np.uint64(16 if most == 1 << 16 else 32)
         rules.append(np.stack([pair >> shift, pair & ((np.uint64(1) << shift) - np.uint64(1))], axis=1))
         next_symbol += len(used)
@@ -176,34 +186,90 @@ def _library_table(path: str) -> tuple[WordTable, int]:
     """The tokenizers library's encoding of words, and the first number free for rules."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import WhitespaceSplit
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def one_by_one(words: list[str]) -> list[list[int]]:
-        return [encoding.ids for encoding in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def one_by_one(words: list[str], by=tokenizer) -> list[list[int]]:
+        return [encoding.ids for encoding in by.encode_batch_fast(words, add_special_tokens=False)]
+
+    def joined(words: list[str], mark: str, by=tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        """Words are encoded 64 at a time, a mark after each that is a token of its own, which spares
+        the library much work for each call."""
+        end = one_by_one([mark], by)[0]
+        found: list[np.ndarray] = []
+        for start in range(0, len(words), 64 * 64):
+            stop = min(start + 64 * 64, len(words))
+            texts = [f" {mark} ".join(words[i : min(i + 64, stop)]) + f" {mark}" for i in range(start, stop, 64)]
+            own = one_by_one(texts, by)
+            found.append(np.fromiter(chain.from_iterable(own), dtype=np.uint32, count=sum(map(len, own))))
+        ids = np.concatenate(found)
+        ends = np.flatnonzero(ids == end[0])
+        return ids[ids != end[0]], np.diff(ends, prepend=-1) - 1
 
-    # Words are encoded 64 at a time, a zero character between them: where it is a token of its own,
-    # that token ends each word, which spares the library much work for each call.
     mark = one_by_one([_MARK])[0]
     joinable = len(mark) == 1 and one_by_one([f"a {_MARK} a"])[0] == one_by_one(["a"])[0] + mark + one_by_one(["a"])[0]
 
+    def encode_any(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if joinable and not any(_MARK in word for word in words):
+            return joined(words, _MARK)
+        single = one_by_one(words)
+        return np.array([i for own in single for i in own], dtype=np.uint32), np.array(list(map(len, single)), dtype=np.int64)
+
+    # The library's model alone, for words that its normaliser and its pattern leave as they are:
+    # runs of a-z, if that is so for the samples.
+    bare = Tokenizer.from_file(path)
+    bare.normalizer, bare.pre_tokenizer = None, WhitespaceSplit()
+    probes = [*string.ascii_lowercase, string.ascii_lowercase, "the", "tokenization", "zzyzx", "aeiou" * 9]
+    plain = joinable and one_by_one(probes) == one_by_one(probes, bare) and len(one_by_one(["!"], bare)[0]) == 1
+
     def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if not joinable or any(_MARK in word for word in words):
-            single = one_by_one(words)
-            return np.array([i for own in single for i in own], dtype=np.uint32), np.array(list(map(len, single)))
-        found: list[int] = []
-        for start in range(0, len(words), 64 * 64):
-            stop = min(start + 64 * 64, len(words))
-            joined = [f" {_MARK} ".join(words[i : min(i + 64, stop)]) + f" {_MARK}" for i in range(start, stop, 64)]
-            for own in one_by_one(joined):
-                found += own
-        ids = np.array(found, dtype=np.uint32)
-        ends = np.flatnonzero(ids == mark[0])
-        return ids[ids != mark[0]], np.diff(ends, prepend=-1) - 1
-
-    return WordTable(encode_words, most_words=800_000, most_chars=24_000_000), max(tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+        groups: tuple[list[str], list[str]] = ([], [])
+        is_bare = np.empty(len(words), dtype=bool)
+        for i, word in enumerate(words):
+            kind = plain and word.isascii() and word.isalpha() and word.islower()
+            is_bare[i] = kind
+            groups[not kind].append(word)
+        parts = [
+            joined(groups[0], "!", bare) if groups[0] else (_NOTHING, _NOTHING),
+            encode_any(groups[1]) if groups[1] else (_NOTHING, _NOTHING),
+        ]
+        lengths = np.empty(len(words), dtype=np.int64)
+        starts = np.empty(len(words), dtype=np.int64)
+        for kind, (ids, own), before in zip((is_bare, ~is_bare), parts, (0, len(parts[0][0])), strict=True):
+            lengths[kind] = own
+            starts[kind] = before + np.cumsum(own) - own
+        return np.concatenate([ids for ids, _ in parts]).astype(np.uint32)[ranges(starts, lengths)], lengths
+
+    # Letters and the marks after them are words of their own where the library says so for each mark:
+    # then "Word", "word," and "word." need the library once.
+    samples = ["ab" + mark for mark in _MARKS] + ["ab" + _MARKS, "Ab", "ab" + _MARKS[:2]]
+    apart = ["ab " + mark for mark in _MARKS] + ["ab " + _MARKS, "ab", "ab " + _MARKS[:2]]
+    first_free = max(tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+    pieces = WordTable(encode_words, most_words=800_000, most_chars=24_000_000)
+    if one_by_one(samples) != one_by_one(apart):
+        return pieces, first_free
+
+    def by_piece(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        split: list[str] = []
+        counts = np.ones(len(words), dtype=np.int64)
+        for i, word in enumerate(words):
+            if word.isascii():
+                lower = word.lower()
+                stem = lower.rstrip(_MARKS)
+                if stem.isalpha():
+                    split.append(stem)
+                    if len(stem) < len(lower):
+                        split.append(lower[len(stem) :])
+                        counts[i] = 2
+                    continue
+            split.append(word)
+        pieces.renew()
+        return pieces.encode_split(split, counts)
+
+    return WordTable(by_piece, most_words=1_000_000, most_chars=30_000_000), first_free
 
 
 def write_token_files(
