@@ -23,7 +23,7 @@ from promptloom.llm.common import mixed, ranges, slices, whole, written
 LENGTH = 100
 GRAM = 32
 # Bytes of contexts in a block of the transform, on average.
-BLOCK_BYTES = 3_000_000
+BLOCK_BYTES = 500_000
 # An anchor with more different contexts than a block should hold is split by the strings themselves.
 MOST_CONTEXTS = 20_000
 
