@@ -104,6 +104,30 @@ def stream_task_state(events: DataFrame, folder: str, checkpoint: str, **trigger
     )
 
 
+def compact_task_state(
+    spark: SparkSession, folder: str, target: str, now: float, ttl_seconds: float = TASK_TTL_SECONDS, buckets: int = 64
+) -> None:
+    """Writes the latest state of every unexpired task of `folder` to `target`, by a hash of the id.
+
+    What `stream_task_state` wrote stays; a reader turns to the new table once it is whole. Tasks
+    that are done for longer than the time to live are left behind, so that the table, unlike the
+    batches, holds living tasks only. A lookup reads one of its buckets.
+    """
+    living = unexpired_tasks(latest_task_state(spark, folder), F.lit(now), ttl_seconds)
+    bucketed = living.withColumn("bucket", _bucket(F.col("task_id"), buckets))
+    bucketed.repartition(buckets, "bucket").write.partitionBy("bucket").parquet(target)
+
+
+def compacted_task(spark: SparkSession, target: str, task_id: str, buckets: int = 64) -> Row:
+    """One task of a compacted table, from its bucket alone; KeyError if there is none."""
+    own = spark.read.parquet(target).filter(F.col("bucket") == _bucket(F.lit(task_id), buckets))
+    return get_task(own.drop("bucket"), task_id)
+
+
+def _bucket(task_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(task_id), F.lit(buckets)).cast("int")
+
+
 def latest_task_state(spark: SparkSession, folder: str) -> DataFrame:
     """What `stream_task_state` wrote, at each task's latest batch."""
     written = spark.read.parquet(folder)

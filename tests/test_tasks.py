@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from promptloom.constants import TASK_STATES
 from promptloom.schemas import TASK_EVENT
 from promptloom.streaming.tasks import (
+    compact_task_state,
+    compacted_task,
     create_tasks,
     fold_task_events,
     get_task,
@@ -108,3 +110,19 @@ def test_stream_equals_batch(spark, tmp_path):
         query = stream_task_state(stream, state, str(tmp_path / "checkpoint"))
         assert query.awaitTermination(120)
     assert rows_of(latest_task_state(spark, state)) == STATES
+
+
+def test_compaction(spark, tmp_path):
+    states = [(f"t{i}", "done", None, 1.0, 2.0, float(i)) for i in range(40)] + [("open", "running", None, 1.0, 2.0, None)]
+    schema = "task_id string, status string, error string, queued_at double, running_at double, done_at double"
+    older = [(*s[:1], "queued", None, 1.0, None, None) for s in states]
+    for batch, rows in enumerate((older, states)):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "state" / f"batch_id={batch}"))
+    target = str(tmp_path / "compact")
+    compact_task_state(spark, str(tmp_path / "state"), target, now=620.0, ttl_seconds=600, buckets=8)
+    kept = spark.read.parquet(target).collect()
+    assert sorted(r.task_id for r in kept) == sorted(["open", *(f"t{i}" for i in range(20, 40))])
+    found = compacted_task(spark, target, "t25", buckets=8)
+    assert (found.status, found.done_at) == ("done", 25.0)
+    with pytest.raises(KeyError):
+        compacted_task(spark, target, "t3", buckets=8)
