@@ -58,6 +58,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40.0, 40.0)))
 
 
+def _hazards(z: np.ndarray, bias: float) -> np.ndarray:
+    """-log(1 - p) of sentences, by what their weights add to the bias: 0 for a sentence without weights."""
+    return np.maximum(_softplus(z) - _softplus(bias), 0.0)
+
+
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.bincount(np.repeat(np.arange(len(counts)), counts), weights=values, minlength=len(counts))
 
@@ -73,11 +78,13 @@ def train(
 ) -> bytes:
     """Weights of words and parts of words, from labels of whole texts.
 
-    A sentence is toxic with probability sigmoid(bias + sum of its words' weights), a text if one of
-    its sentences is: 1 - prod(1 - p). A word's weight is the sum of its parts' weights. Parts get a
-    weight if they occur in toxic texts three times or more, and twice as often as in others. The
-    log-likelihood of the labels, less a penalty on the size of the weights, is climbed on all texts
-    at once; sentences without such parts are one term for each text.
+    A sentence is toxic with probability p = 1 - (1 - sigmoid(z)) / (1 - sigmoid(bias)), z the bias
+    and the sum of its words' weights, and with p = 0 if these do not exceed 0. A text is if one of its
+    sentences is, and by the bias, once however long it is: 1 - (1 - sigmoid(bias)) prod(1 - p). A
+    word's weight is the sum of its parts' weights. Parts get a weight if they occur in toxic texts
+    three times or more, and twice as often as in others. The log-likelihood of the labels, less a
+    penalty on the size of the weights, is climbed on all texts at once; the slope of a sentence whose
+    weights do not exceed 0 is that without this bound.
     """
     numbers = _Numbers()
     word, word_counts, sentence_counts = _flat(texts, numbers, np.int64)
@@ -108,13 +115,12 @@ def train(
     word, sentence_of = word[used], sentence_of[used]
     active, sentence_of = np.unique(sentence_of, return_inverse=True)
     text_of = text_of_sentence[active]
-    plain = sentence_counts - np.bincount(text_of, minlength=n)
 
     weights, bias = np.zeros(len(keys)), -6.0
     for _ in range(epochs):
         word_weight = np.bincount(part_word, weights=weights[part], minlength=len(found))
         z = bias + np.bincount(sentence_of, weights=word_weight[word], minlength=len(active))
-        total = np.bincount(text_of, weights=_softplus(z), minlength=n) + plain * _softplus(bias)
+        total = np.bincount(text_of, weights=_hazards(z, bias), minlength=n) + _softplus(bias)
         slope = np.where(toxic, -1.0 / np.expm1(np.clip(total, 1e-6, 50.0)), 1.0)
         by_sentence = slope[text_of] * _sigmoid(z)
         by_word = np.bincount(word, weights=by_sentence[sentence_of], minlength=len(found))
@@ -123,7 +129,7 @@ def train(
         # toxic texts stay at 0. The one that explains most moves by `rate`, others in proportion.
         beyond = np.sign(by_part) * np.maximum(np.abs(by_part) - least, 0.0)
         weights -= rate * beyond / max(1.0, float(np.abs(beyond).max(initial=0.0))) + shrink * weights
-        by_bias = by_sentence.sum() + (slope * plain).sum() * _sigmoid(bias)
+        by_bias = by_sentence.sum() + slope.sum() * _sigmoid(bias)
         bias -= rate * np.tanh(by_bias / toxic.sum())
     keep = np.abs(weights) > 1e-3
     return pickle.dumps((dict(zip(keys[keep].tolist(), weights[keep].tolist(), strict=True)), float(bias)))
@@ -143,9 +149,10 @@ class Model:
         self.features.forget()
         weights, word_counts, sentence_counts = _flat(texts, self.features, np.float64)
         z = self.bias + _sums(weights, word_counts)
-        scores = -np.expm1(-_sums(_softplus(z), sentence_counts))
+        hazards = _hazards(z, self.bias)
+        scores = -np.expm1(-_sums(hazards, sentence_counts) - _softplus(self.bias))
         offending: list[list[dict]] = [[] for _ in texts]
-        own = _sigmoid(z)
+        own = -np.expm1(-hazards)
         firsts = np.cumsum(sentence_counts) - sentence_counts
         hot = np.flatnonzero(own >= locate)
         of = np.searchsorted(firsts, hot, side="right") - 1
@@ -196,7 +203,8 @@ def score_documents(docs: DataFrame, model: bytes, id_column: str = "doc_id", te
     """Score of every row, whole texts, no shuffle: doc_id, held_out, score, predicted, sentences.
 
     Null and empty texts are scored as one empty sentence; a null id counts as held out; repeated
-    rows are scored alike; with no labelled row a model of the bias alone scores all texts low.
+    rows are scored alike; with no labelled row a model of the bias alone scores all texts low,
+    however long.
     """
     result = docs.select(F.col(id_column).alias("doc_id"), toxicity(F.col(text_column), model).alias("r"))
     return result.select(

@@ -53,6 +53,17 @@ def test_noisy_or():
     assert [("fine words. a bad word here. more"[s["start"] : s["stop"]]) for s in located[2]] == ["a bad word here."]
 
 
+@pytest.mark.parametrize("trained", [False, True])
+def test_number_of_sentences_alone_is_no_evidence(trained):
+    texts, labels = ["a bad word here. fine words", "fine words. more words"] * 20, np.array([1.0, 0.0] * 20)
+    model = toxicity.Model(toxicity.train(texts, labels) if trained else toxicity.train([], np.empty(0)))
+    plain = "Nothing told so. " * 100_000
+    scores, located = model.score(["Nothing told so.", plain, plain + "a bad word here."], 0.3)
+    assert scores[1] == scores[0] < 0.3 and not located[1]
+    found = [(plain + "a bad word here.")[s["start"] : s["stop"]] for s in located[2]]
+    assert (scores[2] > 0.5) == trained and found == ["a bad word here."] * trained
+
+
 def test_quality_of_held_out_documents(tables):
     documents, labels = tables
     grade = F.col("quality") * (2 - F.col("toxic"))
