@@ -10,6 +10,19 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
+def _versions(names: tuple[str, ...], number: str) -> tuple[str, ...]:
+    """Notices of a licence's names with its version: "version 3", "v3", "v3 0", "3 0" ..."""
+    numbers = (number,) if " " in number else (number, f"{number} 0")
+    forms = [f"under {name} {mark}{n}" for name in names for n in numbers for mark in ("version ", "v", "v ", "")]
+    return tuple(forms + [f"under {names[-1]}v{n}" for n in numbers])
+
+
+def _creative(short: str, long: str) -> tuple[str, ...]:
+    names = (f"cc {short} 4 0", f"creative commons {long} 4 0 international", f"{long} 4 0 international")
+    return tuple(f"under {name}{end}" for name in names for end in ("", " license"))
+
+
 # Sentences of public licences in normal form (lower case, words of letters and digits,
 # one space between), by identifier. A notice "licensed under ..." in any usual wording has its own
 # normal form, which starts with "under".
@@ -86,9 +99,28 @@ SENTENCES: dict[str, tuple[str, ...]] = {
         "on an as is basis without warranties or conditions of any kind either express or implied",
     ),
     "gpl-title": ("gnu general public license",),
-    "gpl-2-notice": ("under gnu general public license version 2", "under gnu gpl version 2", "under gpl v2"),
-    "gpl-3-notice": ("under gnu general public license version 3", "under gnu gpl version 3", "under gpl v3"),
-    "gpl-free-software": ("this program is free software",),
+    "gpl-2-notice": (
+        *_versions(("gnu general public license", "gnu gpl", "gpl"), "2"),
+        "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published "
+        "by the free software foundation",
+    ),
+    "gpl-3-notice": (
+        *_versions(("gnu general public license", "gnu gpl", "gpl"), "3"),
+        "you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published "
+        "by the free software foundation",
+    ),
+    "gpl-free-software": ("this program is free software", "this library is free software", "this file is free software"),
+    "gpl-grant": (
+        "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+        "free software foundation",
+    ),
+    "lgpl-grant": (
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+        "the free software foundation",
+    ),
+    "gnu-2-or-later": ("either version 2 of the license or at your option any later version",),
+    "gnu-2-1-or-later": ("either version 2 1 of the license or at your option any later version",),
+    "gnu-3-or-later": ("either version 3 of the license or at your option any later version",),
     "gpl-3-or-later": (
         "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
         "free software foundation either version 3 of the license or at your option any later version",
@@ -99,27 +131,52 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     ),
     "gpl-no-warranty": (
         "this program is distributed in the hope that it will be useful but without any warranty",
+        "this library is distributed in the hope that it will be useful but without any warranty",
+        "this file is distributed in the hope that it will be useful but without any warranty",
+    ),
+    "lgpl-2-notice": _versions(("gnu lesser general public license", "gnu lgpl", "lgpl"), "2 1"),
+    "lgpl-3-notice": _versions(("gnu lesser general public license", "gnu lgpl", "lgpl"), "3"),
+    "lgpl-2-or-later": (
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+        "the free software foundation either version 2 1 of the license or at your option any later version",
+    ),
+    "lgpl-3-or-later": (
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+        "the free software foundation either version 3 of the license or at your option any later version",
     ),
-    "lgpl-2-notice": ("under gnu lesser general public license version 2 1", "under lgpl v2 1"),
-    "lgpl-3-notice": ("under gnu lesser general public license version 3", "under lgpl v3"),
-    "agpl-3-notice": ("under gnu affero general public license version 3", "under agpl v3"),
+    "agpl-3-notice": _versions(("gnu affero general public license", "gnu agpl", "agpl"), "3"),
+    "agpl-3-or-later": (
+        "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+        "the free software foundation either version 3 of the license or at your option any later version",
+    ),
+    # "v. 2.0" ends a line's sentence after "v"; with lines joined its "v." is left out.
     "mpl-2-notice": (
-        "under mozilla public license version 2 0",
+        *_versions(("mozilla public license", "mpl"), "2 0"),
+        "this source code form is subject to the terms of the mozilla public license v",
+        "this source code form is subject to the terms of the mozilla public license 2 0",
         "this source code form is subject to the terms of the mozilla public license v 2 0",
     ),
-    "cc-by-notice": ("under cc by 4 0", "under creative commons attribution 4 0 international license"),
-    "cc-by-sa-notice": ("under cc by sa 4 0", "under creative commons attribution sharealike 4 0 international license"),
-    "cc-by-nc-notice": (
-        "under cc by nc 4 0",
-        "under creative commons attribution noncommercial 4 0 international license",
-    ),
-    "cc-by-nc-sa-notice": ("under cc by nc sa 4 0",),
-    "cc-by-nd-notice": ("under cc by nd 4 0",),
-    "cc0-notice": ("under cc0 1 0 universal public domain dedication", "under cc0 1 0"),
+    "cc-by-notice": _creative("by", "attribution"),
+    "cc-by-sa-notice": _creative("by sa", "attribution sharealike"),
+    "cc-by-nc-notice": _creative("by nc", "attribution noncommercial"),
+    "cc-by-nc-sa-notice": _creative("by nc sa", "attribution noncommercial sharealike"),
+    "cc-by-nd-notice": _creative("by nd", "attribution noderivatives"),
+    "cc0-notice": ("under cc0 1 0 universal public domain dedication", "under cc0 1 0 universal", "under cc0 1 0"),
     "unlicense-grant": ("this is free and unencumbered software released into the public domain",),
     "rights-reserved": ("all rights reserved",),
 }
 
+# What may follow a notice in its sentence.
+ENDINGS = tuple(
+    f" see {file}{end}"
+    for file in ("the license file", "the license md file", "the license license file", "the license md license md file", "license")
+    for end in ("", " for details")
+)
+SENTENCES = {
+    name: forms + tuple(f + end for f in forms if f.startswith("under ") for end in ENDINGS)
+    for name, forms in SENTENCES.items()
+}
+
 # Licence and the sentences that make it, in this order and next to each other among the known ones.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MIT", ("mit-grant", "mit-keep-notice", "mit-no-warranty", "mit-no-liability")),
@@ -134,11 +191,18 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Apache-2.0", ("apache-2-compliance", "apache-2-copy", "apache-2-no-warranty")),
     ("GPL-2.0-only", ("gpl-2-notice",)),
     ("GPL-2.0-or-later", ("gpl-free-software", "gpl-2-or-later", "gpl-no-warranty")),
+    ("GPL-2.0-or-later", ("gpl-grant", "gnu-2-or-later")),
     ("GPL-3.0-only", ("gpl-3-notice",)),
     ("GPL-3.0-or-later", ("gpl-free-software", "gpl-3-or-later", "gpl-no-warranty")),
+    ("GPL-3.0-or-later", ("gpl-grant", "gnu-3-or-later")),
     ("LGPL-2.1-only", ("lgpl-2-notice",)),
+    ("LGPL-2.1-or-later", ("lgpl-2-or-later",)),
+    ("LGPL-2.1-or-later", ("lgpl-grant", "gnu-2-1-or-later")),
     ("LGPL-3.0-only", ("lgpl-3-notice",)),
+    ("LGPL-3.0-or-later", ("lgpl-3-or-later",)),
+    ("LGPL-3.0-or-later", ("lgpl-grant", "gnu-3-or-later")),
     ("AGPL-3.0-only", ("agpl-3-notice",)),
+    ("AGPL-3.0-or-later", ("agpl-3-or-later",)),
     ("MPL-2.0", ("mpl-2-notice",)),
     ("CC-BY-4.0", ("cc-by-notice",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-notice",)),
@@ -152,11 +216,18 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 # Every known sentence has one of these inside a word, so a text without any has none of the sentences.
 HINTS = ("licens", "permi", "copyright", "redistribut", "warrant", "under", "software", "liab", "rights", "conditions", "unencumbered")
 
-# Wordings of a notice: "this work is licensed under the", "released under", "available under the terms of the" ...
-NOTICE = "^(?:this [a-z]+ is |it is )?(?:dual )?(?:licensed|released|distributed|published|provided|made available|available) under (?:the )?(?:terms of (?:the )?)?"
+# Wordings of a notice: "this work is licensed under the", "released under a", "available under the terms of the" ...
+NOTICE = "^(?:[a-z0-9 ]+ (?:is|are) )?(?:dual |also |hereby )?(?:licensed|released|distributed|published|provided|made available|available) under (?:the |an? )?(?:terms of (?:the |an? )?)?"
 SENTENCE_END = "[.;!?:]+[\\x20\\x09-\\x0D]+"
-PARAGRAPH_END = "\\x0A[\\x20\\x09\\x0D]*\\x0A"
-BLANK = "[\\x0A\\x0D]"
+# Marks that open or close a line of a comment.
+_MARKS = "[\\x20\\x09]*(?:[/*#;%!>|-]+|dnl\\x20|rem\\x20)?[\\x20\\x09\\x0D]*"
+# A paragraph ends at a line without words, and after a line of copyright.
+PARAGRAPH_END = (
+    f"\\x0A{_MARKS}\\x0A|(?:copyright[\\x20\\x09]*(?:\\(c\\)|©|[0-9])|(?:\\(c\\)|©)[\\x20\\x09]*[0-9])"
+    "(?:[^\\x0A]*[^d.\\x0A\\x0D\\x20\\x09]|[^.\\x0A]*)[\\x20\\x09\\x0D]*\\x0A"
+)
+# Left out where lines are joined: line ends with the marks after them, and the "v." of "v. 2.0", which ends no sentence.
+BLANK = f"[\\x0A\\x0D]{_MARKS}|\\x20v\\.[\\x20\\x09\\x0A\\x0D]+"
 
 
 def lowered(text: Column) -> Column:
@@ -170,7 +241,9 @@ def _identifiers(text: Column) -> Column:
     by_sentence = F.create_map(
         *[F.lit(x) for name, forms in SENTENCES.items() for form in forms for x in (form, name)]
     )
-    normal = F.transform(F.split(words, "\n"), lambda line: F.regexp_replace(F.trim(line), NOTICE, "under "))
+    # Looking a sentence up costs more than a look for its hints.
+    hinted = F.filter(F.split(words, "\n"), lambda line: line.rlike("|".join(HINTS)))
+    normal = F.transform(hinted, lambda line: F.regexp_replace(F.trim(line), NOTICE, "under "))
     return F.filter(F.transform(normal, lambda line: by_sentence[line]), lambda name: name.isNotNull())
 
 

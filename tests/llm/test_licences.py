@@ -1,6 +1,10 @@
+import re
+
+import duckdb
 import pytest
 
-from promptloom.llm.licences import HINTS, RULES, SENTENCES, licence_report
+from promptloom.llm.licences import HINTS, NOTICE, RULES, SENTENCES, licence_report
+from promptloom.llm.sql import LICENCE_SQL
 from tests.llm.rows import documents, nothing
 
 MIT = """MIT License
@@ -53,6 +57,56 @@ def test_licences(spark):
     ) == ["MIT", "GPL-3.0-only;MIT", "CC-BY-NC-4.0", "Apache-2.0", "", "", "", ""]
 
 
+GNU = """This {0} is free software{1} you can redistribute it and/or
+modify it under the terms of the GNU {2}General Public
+License as published by the Free Software Foundation{3} either
+version {4} of the License, or (at your option) any later version.
+
+This {0} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+HEADERS = {
+    MPL: "MPL-2.0",
+    MPL.replace("\n", " "): "MPL-2.0",
+    "Licensed under the Mozilla Public License, v. 2.0.": "MPL-2.0",
+    GNU.format("program", ";", "", ";", "2"): "GPL-2.0-or-later",
+    GNU.format("program", ":", "", ",", "3"): "GPL-3.0-or-later",
+    GNU.format("library", ";", "Lesser ", ";", "2.1"): "LGPL-2.1-or-later",
+    GNU.format("library", ":", "Lesser ", ",", "3"): "LGPL-3.0-or-later",
+    GNU.format("program", ":", "Affero ", ",", "3"): "AGPL-3.0-or-later",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+    "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "CC-BY-NC-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "CC-BY-NC-SA-4.0",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "CC-BY-ND-4.0",
+    "This project is licensed under the MIT License - see the LICENSE file for details.": "MIT",
+    "This project is licensed under the MIT License - see the [LICENSE.md](LICENSE.md) file for details": "MIT",
+    "The project is licensed under the GNU General Public License v3.0.": "GPL-3.0-only",
+    "All files of it are licensed under the BSD 3-Clause License.": "BSD-3-Clause",
+    "Copyright (c) 2020 J. Smith\nLicensed under the Apache License,\nVersion 2.0.": "Apache-2.0",
+    "The project is not licensed under the MIT License.": "",
+    "Licensed under the Mozilla Public License, v. 1.1.": "",
+}
+
+
+@pytest.mark.parametrize("mark", ["", "// ", " * ", "# ", ";; ", "-- ", "dnl "])
+def test_official_headers(spark, mark):
+    texts = [f"{mark}Copyright (C) 2020 Someone\n" + "\n".join(mark + line for line in text.split("\n")) for text in HEADERS]
+    assert dict(zip(HEADERS, licences(spark, *texts), strict=True)) == HEADERS
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id bigint, text varchar)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    assert [row[3] for row in sorted(connection.execute(LICENCE_SQL).fetchall())] == list(HEADERS.values())
+
+
+def test_notices_in_normal_form():
+    for form in (form for forms in SENTENCES.values() for form in forms):
+        assert re.sub(NOTICE, "under ", form) == form
+
+
 def test_order_of_sentences(spark):
     a, b, c, d = (SENTENCES[name][0] for name in ("bsd-conditions", "bsd-source", "bsd-binary", "bsd-no-warranty"))
     e = SENTENCES["bsd-no-endorsement"][0]
