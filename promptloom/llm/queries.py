@@ -9,7 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from promptloom.llm import bpe, licences, minhash, mixing, ordinal, repetition, spotsigs, suffixes, token_files, toxicity
+from promptloom.llm import (
+    bpe,
+    licences,
+    minhash,
+    mixing,
+    ordinal,
+    pieces,
+    repetition,
+    spotsigs,
+    suffixes,
+    token_files,
+    toxicity,
+)
 from promptloom.llm.sql import BASE_SQL, LICENCE_SQL, MIXING_SQL, NEAR_DUPLICATE_SQL, REPEATED_SPAN_SQL
 from promptloom.session import shared_folder, ship_package
 
@@ -75,6 +87,10 @@ def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents, toxicity.toxicity_model(documents, labels))
 
 
+def op12_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded_documents(_documents(spark, sf_dir), corpus_pipeline.tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair_token_files": op1_repair_token_files,
     "op2_bbit_minhash": op2_bbit_minhash,
@@ -86,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_to_weights": op8_mix_to_weights,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_toxic_sentences": op10_toxic_sentences,
+    "op12_piece_agenda": op12_piece_agenda,
     "pipeline": corpus_pipeline.run,
 }
 
