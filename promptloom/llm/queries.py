@@ -16,6 +16,7 @@ from promptloom.llm import (
     mixing,
     ordinal,
     pieces,
+    repair,
     repetition,
     spotsigs,
     suffixes,
@@ -91,6 +92,11 @@ def op12_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(_documents(spark, sf_dir), corpus_pipeline.tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_suffix_automaton_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return repair.repair_report(repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair_token_files": op1_repair_token_files,
     "op2_bbit_minhash": op2_bbit_minhash,
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_toxic_sentences": op10_toxic_sentences,
     "op12_piece_agenda": op12_piece_agenda,
+    "op13_suffix_automaton_repair": op13_suffix_automaton_repair,
     "pipeline": corpus_pipeline.run,
 }
 
