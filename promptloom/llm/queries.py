@@ -22,8 +22,9 @@ from promptloom.llm import (
     suffixes,
     token_files,
     toxicity,
+    whitening,
 )
-from promptloom.llm.sql import BASE_SQL, LICENCE_SQL, MIXING_SQL, NEAR_DUPLICATE_SQL, REPEATED_SPAN_SQL
+from promptloom.llm.sql import BASE_SQL, LICENCE_SQL, MIXING_SQL, NEAR_DUPLICATE_SQL, REPAIR_SQL, REPEATED_SPAN_SQL
 from promptloom.session import shared_folder, ship_package
 
 END_ID = 2
@@ -88,6 +89,11 @@ def op10_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents, toxicity.toxicity_model(documents, labels))
 
 
+def op11_divide_and_conquer_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return whitening.whitened_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(_documents(spark, sf_dir), corpus_pipeline.tokenizer_path("piece_bpe_32k.model"))
 
@@ -108,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_to_weights": op8_mix_to_weights,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_toxic_sentences": op10_toxic_sentences,
+    "op11_divide_and_conquer_whitening": op11_divide_and_conquer_whitening,
     "op12_piece_agenda": op12_piece_agenda,
     "op13_suffix_automaton_repair": op13_suffix_automaton_repair,
     "pipeline": corpus_pipeline.run,
@@ -119,6 +126,7 @@ ORACLES: dict[str, str] = {
     "op5_repetition_coverage": BASE_SQL,
     "op7_bwt_repeats": REPEATED_SPAN_SQL,
     "op8_mix_to_weights": MIXING_SQL,
+    "op13_suffix_automaton_repair": REPAIR_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -183,3 +183,76 @@ FROM texts LEFT JOIN removed USING (doc_id)"""
 
 
 REPEATED_SPAN_SQL = repeated_span_sql(100)
+
+
+def _repair_sql() -> str:
+    """Damage, faults, then a table of cheapest edits that grows from each conversation's last row."""
+    follow = {0: 2, 1: 2, 2: 3, 3: 2}
+    other = {0: "user", 1: "user", 2: "assistant", 3: "user"}
+    kept = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+
+    def edit(cost: str, letter: str, then: str, line: str) -> str:
+        text = f"'{chr(10)}' || {line} || {then}.t" if line else f"{then}.t"
+        return f"{{'c': {cost} + {then}.c, 'a': '{letter}' || {then}.a, 't': {text}}}"
+
+    def base(state: int) -> str:
+        keep = " ".join(
+            f"WHEN NOT gone AND initial = '{role}' THEN {edit('extra', 'K', f's{then}', 'line')}" for role, then in kept[state].items()
+        )
+        rerole = edit("3 + extra", "R", f"s{follow[state]}", f"'{other[state]}:' || text")
+        return f"list_min([{edit('4', 'D', f's{state}', '')}, CASE WHEN NOT gone THEN {rerole} END, CASE {keep} END]) AS b{state}"
+
+    def inserted(state: int, source: str) -> str:
+        return f"least(b{state}, {edit('3', 'I', source, f"'{other[state]}:'")}) AS s{state}"
+
+    end = [
+        "{'c': 0, 'a': '', 't': ''}", f"{{'c': 6, 'a': 'II', 't': '{chr(10)}user:{chr(10)}assistant:'}}",
+        f"{{'c': 3, 'a': 'I', 't': '{chr(10)}assistant:'}}", "{'c': 0, 'a': '', 't': ''}",
+    ]
+    bit = "lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return rf"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], {bit}) ORDER BY i) AS t FROM range(256) AS r(i)),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))) AS h
+  FROM conversations),
+keyed AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_concat([4294967295],
+    list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS rule
+  FROM given, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN rule = 4 THEN 'user' ELSE role END AS role,
+    CASE rule WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM keyed, range(2) AS r(copy) WHERE rule <> 0 AND (copy = 0 OR rule = 3)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+  FROM damaged),
+faults AS (
+  SELECT *, body = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+    body = '' OR seen AS gone, NOT gone AND right(body, 1) NOT IN ('.', '!', '?') AS cut, left(role, 1) AS initial,
+    lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS next_initial
+  FROM ordered),
+counts AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (seen AND NOT blank) AS duplicate, count(*) FILTER (cut) AS truncated,
+    count(*) FILTER (next_initial IS NOT NULL AND initial || next_initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faults GROUP BY conv_id),
+steps AS (
+  SELECT conv_id, n AS i, {", ".join(f"{value} AS s{state}" for state, value in enumerate(end))} FROM counts
+  UNION ALL
+  SELECT conv_id, i, {inserted(0, "s2")}, {inserted(1, "s2")}, s2, s3 FROM (
+    SELECT conv_id, i, b0, b1, {inserted(2, "b3")}, {inserted(3, "b2")} FROM (
+      SELECT conv_id, s.i - 1 AS i, {", ".join(map(base, range(4)))}
+      FROM steps s JOIN (
+        SELECT conv_id, i, gone, initial, text, role || ':' || text AS line, CASE WHEN cut THEN 3 ELSE 0 END AS extra
+        FROM faults) USING (conv_id, i)))),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(s0.c, 0) AS BIGINT) AS cost,
+  coalesce(s0.a, '') AS audit, sha256(substr(coalesce(s0.t, ''), 2)) AS repaired_sha256
+FROM ids LEFT JOIN counts USING (conv_id) LEFT JOIN (SELECT conv_id, s0 FROM steps WHERE i = 0) USING (conv_id)"""
+
+
+REPAIR_SQL = _repair_sql()
