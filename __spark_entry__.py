@@ -33,6 +33,7 @@ from promptloom.plans.inference import complete_dataset, run_inference  # noqa:
 from promptloom.plans.training import training_table  # noqa: E402
 from promptloom.session import shared_folder, ship_package  # noqa: E402
 from promptloom.sinks.completions import save_completions  # noqa: E402
+from promptloom.sinks.task_table import compact_task_table, read_task_table, write_task_batch  # noqa: E402
 from promptloom.sources.conversations import conversation_pairs  # noqa: E402
 from promptloom.sources.datasets import read_dataset  # noqa: E402
 from promptloom.sources.requests import read_requests  # noqa: E402
@@ -504,16 +505,14 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent.repartition(4, "batch").write.partitionBy("batch").option("ignoreNullFields", False).json(f"{folder}/requests")
     arriving = read_requests(spark, f"{folder}/requests/*", stream=True, max_files=1)
     completions = f"{folder}/completions"
-    spark.createDataFrame([], "x int").write.parquet(completions)
-    options = {"completions_folder": completions}
+    options = {"completions_table": completions}
     serve_requests(arriving, STRICT, f"{folder}/served", f"{folder}/checkpoint", **options).awaitTermination()
     tasks = served_tasks(spark, f"{folder}/served")
     in_order = (F.col("queued_at") <= F.col("running_at")) & (
         F.coalesce(F.col("done_at"), F.col("running_at")) >= F.col("running_at")
     )
     # What was saved for each task, next to what the task's record holds.
-    files = spark.read.schema("task_id string, completions array<string>").option("pathGlobFilter", "*.json").json(completions)
-    saved = files.select("task_id", F.col("completions").alias("saved"))
+    saved = read_task_table(spark, completions).withColumnRenamed("completions", "saved")
     both = tasks.join(saved, "task_id", "left")
     return both.select(
         "task_id", "status", "error", F.array_join("completions", "\n").alias("completions"),
@@ -521,6 +520,25 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def task_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished tasks saved by two batches, some by both, then each once in a table of its own."""
+    ship_package(spark)
+    folder = _scratch(spark)
+    gathered = fan_in(answer_prompts(_requests(_table(spark, sf_dir, "documents")), STRICT))
+    gathered.write.parquet(f"{folder}/gathered")
+    tasks = spark.read.parquet(f"{folder}/gathered")
+    third = F.ascii(F.right("task_id", F.lit(1))) % 3
+    unfinished = F.transform("completions", lambda c: F.concat(F.lit("first "), c)).alias("completions")
+    write_task_batch(tasks.filter(third < 2).select("task_id", "status", unfinished), f"{folder}/saved", 0)
+    write_task_batch(tasks.filter(third > 0), f"{folder}/saved", 1)
+    # A batch that runs again replaces what it wrote.
+    write_task_batch(tasks.filter(third > 0), f"{folder}/saved", 1, tasks_per_file=2000)
+    compact_task_table(spark, f"{folder}/saved", f"{folder}/compact", tasks_per_file=2000)
+    kept = spark.read.parquet(f"{folder}/compact/completions")
+    again = F.element_at("completions", 1).startswith("first ")
+    return kept.select("task_id", F.array_join("completions", "\n").alias("completions"), again.alias("first_batch"))
+
+
 def task_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id")
     is_uuid = F.col("task_id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
@@ -605,6 +623,7 @@ QUERIES: dict[str, Query] = {
     "request_fanin": request_fanin,
     "task_errors": task_errors,
     "request_stream": request_stream,
+    "task_table": task_table,
     "task_create": task_create,
     "task_state": task_state,
     "task_rejects": task_rejects,
@@ -937,6 +956,12 @@ ORACLES: dict[str, str] = {
     "request_stream": f"""
         WITH {REQUESTS}, {ANSWERS}
         SELECT task_id, status, error, completions, completions AS saved, true AS in_order FROM gathered""",
+    "task_table": f"""
+        WITH {REQUESTS}, {ANSWERS}
+        SELECT task_id, ascii(right(task_id, 1)) % 3 = 0 AS first_batch,
+          CASE WHEN first_batch THEN 'first ' || replace(completions, chr(10), chr(10) || 'first ') ELSE completions END
+            AS completions
+        FROM gathered WHERE status = 'done'""",
     "task_create": "SELECT doc_id, 'queued' AS status, true AS is_uuid, true AS is_unique, true AS is_recent FROM documents",
     "task_state": f"WITH {EVENTS} SELECT * FROM states WHERE queued_at IS NOT NULL",
     "task_rejects": f"WITH {EVENTS} SELECT task_id, status FROM states WHERE queued_at IS NULL",

@@ -5,11 +5,11 @@ from __future__ import annotations
 import logging
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promptloom.constants import COMPLETIONS_FOLDER
+from promptloom.sources.files import path_exists
 
 logger = logging.getLogger(__name__)
 
@@ -25,29 +25,24 @@ def save_completions(df: DataFrame, name: str | None = None, folder: str = COMPL
     return path
 
 
+def finished(tasks: DataFrame) -> DataFrame:
+    """`task_id, completions` of the tasks that are done."""
+    return tasks.filter(F.col("status") == "done").select("task_id", "completions")
+
+
 def save_task_completions(tasks: DataFrame, folder: str = COMPLETIONS_FOLDER) -> bool:
     """One directory per finished task with its completions; nothing if the folder is absent.
 
     Only the directories of these tasks are replaced, so a batch that runs again leaves one
-    copy. Rows of a task are brought together first, for one file in each directory.
+    copy. Rows of a task are brought together first, for one file in each directory. Directories
+    grow with the tasks: `task_table` holds very many of them in few files.
     """
-    if not _folder_exists(tasks.sparkSession, folder):
+    if not path_exists(tasks.sparkSession, folder):
         logger.warning("Folder %s not found: completions are not saved", folder)
         return False
     (
-        tasks.filter(F.col("status") == "done").select("task_id", "completions").repartition("task_id")
+        finished(tasks).repartition("task_id")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False)
         .partitionBy("task_id").json(folder)
     )
     return True
-
-
-def _folder_exists(spark: SparkSession, folder: str) -> bool:
-    """Planning a read resolves the path without reading anything."""
-    try:
-        spark.read.format("binaryFile").load(folder)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True

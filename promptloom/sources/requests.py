@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptloom.schemas import REQUEST
@@ -28,8 +28,8 @@ def read_requests(
 
 
 def with_rejection(requests: DataFrame) -> DataFrame:
-    """Requests with the `reason` they are not taken; null for those that are."""
-    return requests.withColumn(
+    """Requests with the `reason` they are not taken, null for those that are, and their `place`."""
+    return requests.withColumn("place", F.monotonically_increasing_id()).withColumn(
         "reason",
         F.when(F.col("_corrupt_record").isNotNull(), "Malformed request")
         .when(F.col("prompts").isNull(), "Field required: prompts")
@@ -38,12 +38,23 @@ def with_rejection(requests: DataFrame) -> DataFrame:
     )
 
 
-def without_repeats(checked: DataFrame) -> DataFrame:
-    """Requests that would be taken, but repeat the id of one before them, get a `reason` too."""
+def without_repeats(checked: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Requests that would be taken, but repeat an id before them or one of `earlier`, get a `reason` too.
+
+    `place` numbers the rows of `checked`, which should be a written table, as it is read twice. The
+    first of each id is found before anything is shuffled, and requests are shuffled by their place:
+    neither one id sent very often nor very many malformed requests, whose id is null, make a hot key.
+    """
     taken = F.col("reason").isNull()
-    order = Window.partitionBy("task_id", taken).orderBy("queued_at", F.xxhash64("prompts", F.to_json("prompts_params")))
-    again = taken & (F.row_number().over(order) > 1)
-    return checked.withColumn("reason", F.when(again, "Repeated task id").otherwise(F.col("reason")))
+    order = F.struct("queued_at", F.xxhash64("prompts", F.to_json("prompts_params")), "place")
+    firsts = checked.filter(taken).groupBy("task_id").agg(F.min(order)["place"].alias("first_place"))
+    if earlier is not None:
+        firsts = firsts.join(earlier.select("task_id").distinct(), "task_id", "left_anti")
+    firsts = firsts.select("first_place")
+    again = taken & F.col("first_place").isNull()
+    reason = F.when(again, "Repeated task id").otherwise(F.col("reason"))
+    joined = checked.join(firsts, F.col("place") == F.col("first_place"), "left")
+    return joined.withColumn("reason", reason).drop("place", "first_place")
 
 
 def valid_requests(checked: DataFrame) -> DataFrame:

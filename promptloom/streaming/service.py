@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from promptloom.constants import SERVICE_INSTRUCTION, SERVICE_SAMPLING
+from promptloom.constants import SERVICE_INSTRUCTION, SERVICE_SAMPLING, TASK_TTL_SECONDS
 from promptloom.functions.chat import LAYOUTS, ChatLayout
 from promptloom.functions.decisions import joined_prompt, layout_pieces, trims_content
 from promptloom.functions.templates import parse_templates, pieces_around
@@ -18,6 +18,8 @@ from promptloom.functions.values import present
 from promptloom.operators.generation import Engine, complete, first_candidate, request_sampling
 from promptloom.operators.length import bound_prompts
 from promptloom.sinks.completions import save_task_completions
+from promptloom.sinks.task_table import write_task_batch
+from promptloom.sources.files import path_exists
 from promptloom.sources.requests import valid_requests, with_rejection, without_repeats
 from promptloom.streaming.tasks import fold_task_events
 
@@ -149,20 +151,37 @@ def fan_in(answers: DataFrame) -> DataFrame:
     )
 
 
+def taken_before(spark: SparkSession, folder: str, batch_id: int, since: float) -> DataFrame | None:
+    """Ids of requests that earlier batches took since then; None if there are no earlier ones.
+
+    All rows of a batch have one time, so files of older batches are left out by their statistics.
+    """
+    if not path_exists(spark, f"{folder}/taken"):
+        return None
+    schema = "task_id string, taken_at double, batch_id bigint"
+    ids = spark.read.schema(schema).parquet(f"{folder}/taken")
+    return ids.filter((F.col("batch_id") < batch_id) & (F.col("taken_at") >= since)).select("task_id")
+
+
 def serve_requests(
     requests: DataFrame,
     engine: Engine,
     folder: str,
     checkpoint: str,
     completions_folder: str | None = None,
+    completions_table: str | None = None,
+    remember_seconds: float = TASK_TTL_SECONDS,
     trigger: Mapping[str, object] | None = None,
     **options,
 ) -> StreamingQuery:
-    """Answers a stream of requests into `folder`: `requests`, `tasks` and `events`.
+    """Answers a stream of requests into `folder`: `arrived`, `requests`, `taken`, `tasks` and `events`.
 
     Each batch owns one directory in each table and replaces it if it runs again. Requests are
     parsed once and kept with the reason where one is rejected, as one is that repeats an id of its
-    batch; answers are written before anything else uses them, so the engine runs once per batch.
+    batch, or one that an earlier batch took within `remember_seconds`, the time to live of a task:
+    of the table `taken` a batch reads the ids of that time only. Answers are written before
+    anything else uses them, so the engine runs once per batch, and once per id.
+    Completions are also saved as a table sorted by task, or as one directory per task, if asked for.
     """
 
     def written(df: DataFrame, table: str, batch_id: int) -> DataFrame:
@@ -171,8 +190,11 @@ def serve_requests(
         return df.sparkSession.read.parquet(path)
 
     def serve(batch: DataFrame, batch_id: int) -> None:
-        requests = valid_requests(written(without_repeats(with_rejection(batch)), "requests", batch_id))
+        arrived = written(with_rejection(batch), "arrived", batch_id)
         running_at = time.time()
+        earlier = taken_before(batch.sparkSession, folder, batch_id, running_at - remember_seconds)
+        requests = valid_requests(written(without_repeats(arrived, earlier), "requests", batch_id))
+        written(requests.select("task_id", F.lit(running_at).alias("taken_at")), "taken", batch_id)
         tasks = written(fan_in(answer_prompts(requests, engine, unique=True, **options)), "tasks", batch_id)
         started = requests.select(
             "task_id",
@@ -185,6 +207,8 @@ def serve_requests(
         ).withColumn("error", F.lit(None).cast("string"))
         ended = tasks.select("task_id", "status", F.lit(time.time()).alias("event_at"), "error")
         written(started.unionByName(ended), "events", batch_id)
+        if completions_table:
+            write_task_batch(tasks, completions_table, batch_id)
         if completions_folder:
             save_task_completions(tasks, completions_folder)
 

@@ -15,7 +15,7 @@ from promptloom.streaming.service import (
     serve_requests,
     served_tasks,
 )
-from promptloom.sources.requests import read_requests, rejected_requests
+from promptloom.sources.requests import read_requests, rejected_requests, with_rejection, without_repeats
 from promptloom.streaming.tasks import get_task
 
 SCHEMA = (
@@ -184,7 +184,7 @@ def test_service_stream(spark, tmp_path):
     assert [r.completions for r in saved] == [got["a"].completions]
     rejected = rejected_requests(spark.read.parquet(f"{served}/requests")).collect()
     assert sorted((r.reason, r._corrupt_record, r.task_id) for r in rejected) == [
-        ("Malformed request", "not json", None), ("Repeated task id", None, "a")
+        ("Malformed request", "not json", None), ("Repeated task id", None, "a"), ("Repeated task id", None, "a")
     ]
 
 
@@ -206,3 +206,60 @@ def test_stream_equals_batch(spark, tmp_path):
     by_id = lambda df: sorted((tuple(r) for r in df.select(*columns).collect()), key=lambda r: r[0])
     assert by_id(served_tasks(spark, served)) == by_id(batch)
     assert batch.filter(F.size("completions") > 0).count() > 20
+
+
+def counting(folder):
+    """An engine that leaves a file for each call, with what it was asked."""
+
+    def load():
+        import os
+        import uuid
+
+        def run(prompts, sampling):
+            with open(os.path.join(folder, str(uuid.uuid4())), "w") as file:
+                file.write("\n".join(prompts))
+            return list(prompts)
+
+        return run
+
+    return Engine("counting", load)
+
+
+def test_each_id_is_answered_once_over_batches(spark, tmp_path):
+    incoming, calls = tmp_path / "incoming", tmp_path / "calls"
+    incoming.mkdir()
+    calls.mkdir()
+    served = str(tmp_path / "served")
+    for batch in range(3):
+        sent = [{"task_id": f"t{i}", "prompts": [f"p{i}"]} for i in range(batch * 10, batch * 10 + 20)]
+        write_requests(incoming, f"{batch}.json", sent + sent[:3])
+    requests = read_requests(spark, str(incoming), stream=True, max_files=1)
+    assert serve_requests(requests, counting(str(calls)), served, str(tmp_path / "checkpoint")).awaitTermination(180)
+    asked = [line for file in calls.iterdir() for line in file.read_text().splitlines()]
+    assert sorted(asked) == sorted(f"p{i}" for i in range(40))
+    assert served_tasks(spark, served).filter("status = 'done'").count() == 40
+    # Beyond the time to live an id is a new task.
+    later = read_requests(spark, str(incoming), stream=True)
+    again = serve_requests(later, counting(str(calls)), served, str(tmp_path / "other"), remember_seconds=-1.0)
+    assert again.awaitTermination(180)
+    assert len([line for file in calls.iterdir() for line in file.read_text().splitlines()]) == 80
+
+
+def test_malformed_requests_stay_spread(spark, tmp_path):
+    write_requests(tmp_path, "1.json", ["no json"] * 4000 + [{"task_id": "a", "prompts": ["x"]}] * 500)
+    arrived = with_rejection(read_requests(spark, str(tmp_path)).repartition(8))
+    arrived.write.parquet(str(tmp_path / "arrived"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        marked = without_repeats(spark.read.parquet(str(tmp_path / "arrived")))
+        parts = marked.groupBy(F.spark_partition_id().alias("part"), "reason").count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    total = lambda reason: [r["count"] for r in parts if r.reason == reason]
+    assert sum(total("Malformed request")) == 4000 and max(total("Malformed request")) < 1000
+    assert sum(total("Repeated task id")) == 499 and max(total("Repeated task id")) < 200
+    assert total(None) == [1]
