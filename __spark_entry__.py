@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from promptloom.constants import CONFIG_KEYS, DEFAULT_TEXT_FORMAT, EXTRACTION_SCHEMA, EXTRACTION_SYSTEM  # noqa: E402
+from promptloom.constants import (  # noqa: E402
+    CONFIG_KEYS,
+    DEFAULT_TEXT_FORMAT,
+    EXTRACTION_SCHEMA,
+    EXTRACTION_SYSTEM,
+    TASK_TTL_SECONDS,
+)
 from stand_ins import DIGEST, FAILING, SAMPLED, STRICT  # noqa: E402
 from promptloom.functions.chat import CHATML, EXTRACTION, conversation  # noqa: E402
 from promptloom.functions.decisions import is_conversational  # noqa: E402
@@ -580,6 +586,20 @@ def task_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known_tasks(latest_task_state(spark, f"{folder}/state"))
 
 
+def task_expiry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks that start a minute apart, in four batches; those done for more than the time to live go."""
+    folder = _scratch(spark)
+    turns = _table(spark, sf_dir, "conversations")
+    last = turns.agg(F.max("conv_id")).first()[0] or 0
+    quarter = F.floor(F.col("conv_id") * 4 / (last + 1))
+    for batch in range(4):  # one after the other, so that they arrive in this order
+        turns.filter(quarter == batch).coalesce(1).write.mode("append").parquet(f"{folder}/turns")
+    arriving = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/turns")
+    events = _task_events(arriving).withColumn("event_at", F.col("event_at") + 60 * (F.col("task_id").cast("double") + 1))
+    stream_task_state(events, f"{folder}/state", f"{folder}/checkpoint", ttl_seconds=TASK_TTL_SECONDS).awaitTermination()
+    return known_tasks(latest_task_state(spark, f"{folder}/state"))
+
+
 QUERIES: dict[str, Query] = {
     "train_text": train_text,
     "train_text_configured": train_text_configured,
@@ -630,6 +650,7 @@ QUERIES: dict[str, Query] = {
     "task_lookup": task_lookup,
     "task_expiry": task_expiry,
     "task_state_stream": task_state_stream,
+    "task_expiry_stream": task_expiry_stream,
 }
 
 
@@ -975,6 +996,12 @@ ORACLES: dict[str, str] = {
         WITH {EVENTS}
         SELECT task_id FROM states WHERE queued_at IS NOT NULL AND (done_at IS NULL OR 605 - done_at <= 600)""",
     "task_state_stream": f"WITH {EVENTS} SELECT * FROM states WHERE queued_at IS NOT NULL",
+    "task_expiry_stream": f"""
+        WITH {EVENTS}, started AS (SELECT *, 60 * (CAST(task_id AS DOUBLE) + 1) AS start FROM states),
+        last AS (SELECT max(event_at + 60 * (CAST(task_id AS DOUBLE) + 1)) AS now FROM events)
+        SELECT task_id, CASE WHEN now - done_at - start > {TASK_TTL_SECONDS} THEN 'expired' ELSE status END AS status, error,
+          queued_at + start AS queued_at, running_at + start AS running_at, done_at + start AS done_at
+        FROM started, last WHERE queued_at IS NOT NULL""",
 }
 
 

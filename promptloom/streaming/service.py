@@ -156,10 +156,10 @@ def taken_before(spark: SparkSession, folder: str, batch_id: int, since: float)
 
     All rows of a batch have one time, so files of older batches are left out by their statistics.
     """
-    if not path_exists(spark, f"{folder}/taken"):
+    if not batch_id or not path_exists(spark, f"{folder}/requests"):
         return None
     schema = "task_id string, taken_at double, batch_id bigint"
-    ids = spark.read.schema(schema).parquet(f"{folder}/taken")
+    ids = spark.read.schema(schema).parquet(f"{folder}/requests")
     return ids.filter((F.col("batch_id") < batch_id) & (F.col("taken_at") >= since)).select("task_id")
 
 
@@ -174,12 +174,12 @@ def serve_requests(
     trigger: Mapping[str, object] | None = None,
     **options,
 ) -> StreamingQuery:
-    """Answers a stream of requests into `folder`: `arrived`, `requests`, `taken`, `tasks` and `events`.
+    """Answers a stream of requests into `folder`: `arrived`, `requests`, `tasks` and `events`.
 
     Each batch owns one directory in each table and replaces it if it runs again. Requests are
     parsed once and kept with the reason where one is rejected, as one is that repeats an id of its
     batch, or one that an earlier batch took within `remember_seconds`, the time to live of a task:
-    of the table `taken` a batch reads the ids of that time only. Answers are written before
+    of the requests before it a batch reads the ids of that time only. Answers are written before
     anything else uses them, so the engine runs once per batch, and once per id.
     Completions are also saved as a table sorted by task, or as one directory per task, if asked for.
     """
@@ -187,14 +187,14 @@ def serve_requests(
     def written(df: DataFrame, table: str, batch_id: int) -> DataFrame:
         path = f"{folder}/{table}/batch_id={batch_id}"
         df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def serve(batch: DataFrame, batch_id: int) -> None:
         arrived = written(with_rejection(batch), "arrived", batch_id)
         running_at = time.time()
         earlier = taken_before(batch.sparkSession, folder, batch_id, running_at - remember_seconds)
-        requests = valid_requests(written(without_repeats(arrived, earlier), "requests", batch_id))
-        written(requests.select("task_id", F.lit(running_at).alias("taken_at")), "taken", batch_id)
+        checked = without_repeats(arrived, earlier).withColumn("taken_at", F.when(F.col("reason").isNull(), running_at))
+        requests = valid_requests(written(checked, "requests", batch_id)).drop("taken_at")
         tasks = written(fan_in(answer_prompts(requests, engine, unique=True, **options)), "tasks", batch_id)
         started = requests.select(
             "task_id",

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from promptloom.constants import TASK_STATES, TASK_TTL_SECONDS
 from promptloom.session import checkpointed
 
+# The status of a task that left the state of a stream.
+EXPIRED = "expired"
+
 
 def create_tasks(requests: DataFrame) -> DataFrame:
     """Requests as new tasks: a random `task_id`, status `queued` and `queued_at`.
@@ -65,7 +72,7 @@ def unknown_tasks(tasks: DataFrame) -> DataFrame:
 
 
 def unexpired_tasks(tasks: DataFrame, now: Column, ttl_seconds: float = TASK_TTL_SECONDS) -> DataFrame:
-    """Tasks that are not done, or were done within the time to live."""
+    """Tasks that are not done, or were done within the time to live, and that no stream let go."""
     return tasks.filter(F.col("done_at").isNull() | (now - F.col("done_at") <= ttl_seconds))
 
 
@@ -89,17 +96,95 @@ def lookup_tasks(ids: DataFrame, tasks: DataFrame) -> DataFrame:
     )
 
 
-def stream_task_state(events: DataFrame, folder: str, checkpoint: str, **trigger) -> StreamingQuery:
+_STATE = "task_id string, status string, error string, queued_at double, running_at double, done_at double"
+# The times of the states in order, then the time and text of the last error.
+_KEPT = "queued_at double, running_at double, done_at double, error_at double, error string"
+
+
+def _with_events(kept: tuple, events: pd.DataFrame) -> tuple:
+    """State of a task after more of its events: what `fold_task_events` says of all of them."""
+    times = dict(zip(TASK_STATES, kept, strict=False))
+    message = kept[4]
+    for status, at, error in zip(events["status"], events["event_at"], events["error"], strict=True):
+        if status not in times or at is None or at != at:
+            continue
+        if status == "error":
+            # Of errors at one time the greatest text counts; a null is less than any.
+            before = None if times["error"] is None else (times["error"], message is not None, message or "")
+            if before is None or (at, error is not None, error or "") > before:
+                message = error
+        if times[status] is None or at > times[status]:
+            times[status] = at
+    return (*times.values(), message)
+
+
+def _record(task_id: str, kept: tuple, status: str | None = None) -> pd.DataFrame:
+    queued, running, done, failed, message = kept
+    reached = [(at, place) for place, at in enumerate(kept[:4]) if at is not None]
+    status = status or TASK_STATES[max(reached)[1]]
+    row = (task_id, status, message if failed is not None else None, queued, running, done)
+    return pd.DataFrame([row], columns=[field.split()[0] for field in _STATE.split(", ")])
+
+
+def fold_expiring_events(
+    events: DataFrame, ttl_seconds: float = TASK_TTL_SECONDS, lateness_seconds: float = TASK_TTL_SECONDS
+) -> DataFrame:
+    """The changed states of a stream of events whose tasks leave the state when their time is over.
+
+    A task is forgotten, and given once more with status `expired`, when the stream has seen an event
+    more than `ttl_seconds` after the task was done. Events may come in any order within
+    `lateness_seconds` of the latest one; Spark drops those that are later than that. Tasks that are
+    not done stay. An event of a task that was forgotten begins a new one. Times are after 1970, where
+    watermarks begin.
+    """
+    lateness = min(lateness_seconds, ttl_seconds)
+
+    def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            kept = state.get
+            state.remove()
+            yield _record(key[0], kept, EXPIRED)
+            return
+        kept = state.get if state.exists else (None,) * 5
+        for part in parts:
+            kept = _with_events(kept, part)
+        if all(at is None for at in kept[:4]):
+            return
+        state.update(kept)
+        if kept[2] is not None:
+            # The watermark is the latest time less the lateness, so it gets here as the time to live ends.
+            due = int((kept[2] + ttl_seconds - lateness) * 1000)
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        yield _record(key[0], kept)
+
+    timed = events.withColumn("event_time", F.timestamp_micros((F.col("event_at") * 1_000_000).cast("bigint")))
+    return (
+        timed.withWatermark("event_time", f"{int(lateness * 1000)} milliseconds").groupBy("task_id")
+        .applyInPandasWithState(fold, _STATE, _KEPT, "update", GroupStateTimeout.EventTimeTimeout)
+    )
+
+
+def stream_task_state(
+    events: DataFrame,
+    folder: str,
+    checkpoint: str,
+    ttl_seconds: float | None = None,
+    lateness_seconds: float = TASK_TTL_SECONDS,
+    **trigger,
+) -> StreamingQuery:
     """Keeps the state of each task up to date from a stream of events.
 
-    Each batch writes the tasks it changed to its own directory, replaced if it runs again.
+    Each batch writes the tasks it changed to its own directory, replaced if it runs again. With a
+    time to live, tasks that are done for longer leave the state (`fold_expiring_events`) and are
+    written once more as expired; without one the state keeps every task, in generated code.
     """
 
     def write_changed(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
+    folded = fold_task_events(events) if ttl_seconds is None else fold_expiring_events(events, ttl_seconds, lateness_seconds)
     return (
-        fold_task_events(events).writeStream.outputMode("update").foreachBatch(write_changed)
+        folded.writeStream.outputMode("update").foreachBatch(write_changed)
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )
 

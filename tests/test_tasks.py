@@ -112,6 +112,45 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows_of(latest_task_state(spark, state)) == STATES
 
 
+def expiring(spark, tmp_path, batches, **options):
+    """Runs batches one after the other; the state, and the rows of state after each batch with data."""
+    events, state = tmp_path / "events", str(tmp_path / "state")
+    events.mkdir()
+    totals = []
+    for batch in batches:
+        spark.createDataFrame(batch, TASK_EVENT).coalesce(1).write.mode("append").json(str(events))
+        stream = spark.readStream.schema(TASK_EVENT).json(str(events))
+        query = stream_task_state(stream, state, str(tmp_path / "checkpoint"), **options)
+        assert query.awaitTermination(180)
+        totals.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+    return {r.task_id: (r.status, r.error, r.queued_at, r.running_at, r.done_at) for r in latest_task_state(spark, state).collect()}, totals
+
+
+def test_expiring_state_equals_the_fold_while_nothing_is_due(spark, tmp_path):
+    got, totals = expiring(spark, tmp_path, [EVENTS[9:], EVENTS[4:9], EVENTS[:4]], ttl_seconds=600)
+    assert got == STATES and totals[-1] == len(STATES)
+
+
+def test_state_falls_after_the_time_to_live(spark, tmp_path):
+    def task(name, start, *states):
+        return [(name, s, float(start + k), "why" if s == "error" else None) for k, s in enumerate(states)]
+
+    whole = ("queued", "running", "done")
+    first = [e for i in range(20) for e in task(f"t{i}", 1000 + i, *whole)] + task("open", 1000, "queued", "running")
+    # Events out of order, within the lateness of the latest.
+    second = task("late", 1000, "done") + task("new", 1100, *whole) + task("failed", 1050, "queued", "error")
+    third = task("last", 1615, *whole)  # at most 1617: t0 to t14 were done by 1016, "late" at 1000
+    fourth = task("t0", 1700, "running")
+    got, totals = expiring(spark, tmp_path, [first, second, third, fourth], ttl_seconds=600, lateness_seconds=300)
+    expired = {name for name, row in got.items() if row[0] == "expired"}
+    # At 1700 tasks done before 1100 are over.
+    assert expired == {f"t{i}" for i in range(1, 20)} | {"late"}
+    assert got["t5"] == ("expired", None, 1005.0, 1006.0, 1007.0)
+    assert got["open"][0] == "running" and got["failed"] == ("error", "why", 1050.0, None, None)
+    assert got["t0"] == ("running", None, None, 1700.0, None)  # a new task, which nobody created
+    assert totals[0] == 21 and totals[1] == 24 and totals[2] < 12 and totals[3] == 5
+
+
 def test_compaction(spark, tmp_path):
     states = [(f"t{i}", "done", None, 1.0, 2.0, float(i)) for i in range(40)] + [("open", "running", None, 1.0, 2.0, None)]
     schema = "task_id string, status string, error string, queued_at double, running_at double, done_at double"
