@@ -22,6 +22,9 @@ SPACE = "▁"
 # Kinds of pieces, and field numbers, of the public model file format.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
+# Up to so many characters a list is a faster agenda than a heap.
+FEW = 40
+NONE = float("inf")
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -105,8 +108,37 @@ class PieceBpe:
 
     def merged(self, text: str) -> list[int]:
         """Ids of a piece of text. The agenda holds adjacent pairs that make a piece; the best score
-        comes first, of equal ones the leftmost. A pair is out of date if either of its two symbols
-        no longer has the extent it had when the pair was entered."""
+        comes first, of equal ones the leftmost."""
+        out, ids = [], self.ids
+        for symbol in self._few_merged(text) if len(text) <= FEW else self._many_merged(text):
+            number = ids.get(symbol)
+            if number is None:
+                out += [self.byte_ids[b] for b in symbol.encode()]
+            else:
+                out.append(number)
+        return out
+
+    def _few_merged(self, text: str) -> list[str]:
+        """Symbols of a short text: the agenda is a list by place, of which the least is looked for."""
+        symbols, cost = list(text), self.cost
+        agenda = [cost.get(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == NONE:
+                break
+            i = agenda.index(best)
+            made = symbols[i] + symbols.pop(i + 1)
+            symbols[i] = made
+            del agenda[i]
+            if i:
+                agenda[i - 1] = cost.get(symbols[i - 1] + made, NONE)
+            if i < len(agenda):
+                agenda[i] = cost.get(made + symbols[i + 1], NONE)
+        return symbols
+
+    def _many_merged(self, text: str) -> list[str]:
+        """Symbols of a text of any length: the agenda is a heap, in which a pair is out of date if either
+        of its two symbols no longer has the extent it had when the pair was entered."""
         cost, count = self.cost, len(text)
         stop = list(range(1, count + 1))  # where the symbol that starts here ends; 0: none starts here
         start = list(range(-1, count))  # where the symbol that ends here starts
@@ -131,15 +163,11 @@ class PieceBpe:
                 score = cost.get(text[i:after])
                 if score is not None:
                     heapq.heappush(agenda, (score, i, end, after))
-        out, at, ids = [], 0, self.ids
+        symbols, at = [], 0
         while at < count:
-            number = ids.get(text[at : stop[at]])
-            if number is None:
-                out += [self.byte_ids[b] for b in text[at : stop[at]].encode()]
-            else:
-                out.append(number)
+            symbols.append(text[at : stop[at]])
             at = stop[at]
-        return out
+        return symbols
 
     def encode_words(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of what `keys` gives; a key that starts with neither a line end nor a space follows one space."""

@@ -61,6 +61,13 @@ def test_decoding_any_ids():
         assert MODEL.decode(np.array(ids, "<u4")) == LIBRARY.decode(ids), ids
 
 
+def test_both_agendas_agree():
+    rnd = random.Random(6)
+    for _ in range(3000):
+        text = "".join(rnd.choice(ALPHABET) for _ in range(rnd.randint(1, 30))).replace(" ", "▁")
+        assert MODEL._few_merged(text) == MODEL._many_merged(text)
+
+
 def test_without_cuts_the_whole_text_is_one_agenda():
     model = pieces.PieceBpe(PATH)
     model.cuts = False
