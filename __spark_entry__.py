@@ -457,6 +457,24 @@ def json_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, "mixed", folder=folder).select(*fields)
 
 
+def json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs as arrays of indented records, each cut into its elements by many tasks."""
+    ship_package(spark)
+    folder = _scratch(spark)
+    fields = ["conv_id", "turn", "instruction", "input", "completion"]
+    record = F.to_json(F.struct(*fields), {"pretty": "true", "ignoreNullFields": "false"})
+    pairs = _pairs(spark, sf_dir).select(record.alias("record"), (F.col("conv_id") % 8).alias("file"))
+    array = F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]\n")).alias("value")
+    pairs.groupBy("file").agg(array).repartition("file").write.partitionBy("file").text(f"{folder}/arrays")
+    small, before = "65536", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+    try:
+        schema = "conv_id bigint, turn bigint, instruction string, input string, completion string"
+        return read_dataset(spark, "arrays", folder=folder, schema=schema, layout="document", cut=True).select(*fields)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def json_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _scratch(spark)
     save_completions(_pairs(spark, sf_dir), "pairs", folder)
@@ -637,6 +655,7 @@ QUERIES: dict[str, Query] = {
     "split_scan": split_scan,
     "json_dataset": json_dataset,
     "json_layouts": json_layouts,
+    "json_arrays": json_arrays,
     "sampling_merge": sampling_merge,
     "service_text": service_text,
     "request_fanout": request_fanout,
@@ -951,6 +970,7 @@ ORACLES: dict[str, str] = {
         SELECT page_id, md5(url) AS hash, nullif(split_part(split_part(url, '@', 2), '/', 1), '') AS hash_of_page
         FROM pages""",
     "split_scan": "SELECT doc_id, source AS split FROM documents WHERE source = 'src3'",
+    "json_arrays": f"WITH {PAIRS} SELECT conv_id, turn, instruction, input, completion FROM pairs",
     "json_layouts": f"WITH {PAIRS} SELECT conv_id, turn, instruction, input, completion FROM pairs",
     "json_dataset": f"WITH {PAIRS} SELECT conv_id, turn, instruction, input, completion FROM pairs",
     "sampling_merge": f"""

@@ -7,6 +7,17 @@ from pyspark.sql import SparkSession
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Asks for the one path in the file system it belongs to; nothing is listed."""
+    system, place = _placed(spark, path)
+    return bool(system.exists(place))
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, place = _placed(spark, path)
+    return bool(system.exists(place) and system.getFileStatus(place).isDirectory())
+
+
+def _placed(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place))
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -66,6 +67,86 @@ def test_layouts_in_partitions(spark, tmp_path):
     assert sorted((r.split, r.n) for r in rows) == [("test", 3), ("test", 4), ("train", 1), ("train", 2)]
 
 
+@pytest.fixture
+def small_partitions(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def odd_records(count, seed=1):
+    rnd = random.Random(seed)
+    parts = ['"', "\\", "},", "{", "}", "[", "]", ",", "x", " ", "\n", "é", "\\\"", "日本", "end},"]
+    text = lambda: "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12)))
+    return [
+        {"n": i, "text": text(), "list": [text() for _ in range(rnd.randint(0, 3))], "in": {"a": text(), "b": {"c": text()}}}
+        for i in range(count)
+    ]
+
+
+def as_dicts(df):
+    return sorted((row.asDict(recursive=True) for row in df.collect()), key=lambda r: r["n"])
+
+
+@pytest.mark.parametrize("form", [{"indent": 2}, {}, {"separators": (",", ":")}, {"indent": 1, "ensure_ascii": False}])
+@pytest.mark.parametrize("layout", [None, "document"])
+def test_large_array_is_cut_into_elements(spark, tmp_path, small_partitions, form, layout):
+    records = odd_records(200)
+    text = json.dumps(records, **form)
+    # White space before a comma keeps two elements in one line; around the array it is left out.
+    (tmp_path / "large.json").write_text("\ufeff"[:0] + "\n " + text.replace('}, {"n": 50', '} , {"n": 50') + " \n\n", encoding="utf-8")
+    df = read_json(spark, str(tmp_path / "large.json"), layout=layout, cut=True)
+    assert as_dicts(df) == records
+    if "indent" in form:
+        assert df.rdd.getNumPartitions() > 1
+    typed = read_json(spark, str(tmp_path / "large.json"), "n int, text string", layout, cut=True)
+    assert [(r["n"], r["text"]) for r in as_dicts(typed)] == [(r["n"], r["text"]) for r in records]
+
+
+def test_large_arrays_among_other_files(spark, tmp_path, small_partitions):
+    records = odd_records(300, 2)
+    for split, part in (("train", records[:150]), ("test", records[150:299])):
+        (tmp_path / f"split={split}").mkdir()
+        (tmp_path / f"split={split}" / "a b.json").write_text(json.dumps(part, indent=1))
+    (tmp_path / "split=test" / "one.json").write_text(json.dumps(records[299:], indent=1)[:-1] + "]")
+    (tmp_path / "split=test" / "lines.json").write_text('{"n": 1000}\n{"n": 1001}')
+    rows = {r.n: r.split for r in read_json(spark, str(tmp_path), cut=True).collect()}
+    assert rows == {r["n"]: "train" if r["n"] < 150 else "test" for r in records} | {1000: "test", 1001: "test"}
+
+
+def test_large_object_is_one_row(spark, tmp_path, small_partitions):
+    (tmp_path / "one.json").write_text(json.dumps({"n": 1, "rows": odd_records(20)}, indent=1))
+    assert len(read_json(spark, str(tmp_path / "one.json"), cut=True).first()["rows"]) == 20
+
+
+@pytest.mark.parametrize(
+    "spoil",
+    [
+        lambda t: t[: t.rindex("]")],
+        lambda t: t + "]",
+        lambda t: t[: t.rindex("}")] + "]",
+        lambda t: t.rstrip()[:-1].rstrip() + ",\n]",
+        lambda t: t.replace('"n": 100,', '"n" 100,'),
+        lambda t: t.replace('"n": 100,', '"n": 100 "m": 1,'),
+        lambda t: t.replace('"n": 100,', '"n": "100,'),
+        lambda t: t + "\n" + t,
+        lambda t: t + " 7",
+        lambda t: t + ", " + t,
+        lambda t: t.replace("},", "}] 7, [", 1),
+        lambda t: t.replace("},", "},,", 1),
+    ],
+)
+@pytest.mark.parametrize("layout", [None, "document"])
+def test_broken_large_arrays_raise(spark, tmp_path, small_partitions, spoil, layout):
+    records = [{"n": i, "text": "some text of the record"} for i in range(200)]
+    (tmp_path / "broken.json").write_text(spoil(json.dumps(records, indent=1)))
+    with pytest.raises(Exception, match="neither|MALFORMED|Malformed|comma|more than one"):
+        read_json(spark, str(tmp_path / "broken.json"), "n int, text string", layout, cut=True).collect()
+
+
 def test_unknown_layout(spark, tmp_path):
     with pytest.raises(ValueError, match="Unknown layout"):
         read_json(spark, str(tmp_path), layout="csv")
