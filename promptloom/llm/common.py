@@ -66,6 +66,14 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def removed(df: DataFrame) -> None:
+    """Deletes the files of a table that `written` made and that nothing reads any more."""
+    context = df.sparkSession.sparkContext
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        place = context._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def fraction_of(key: Column, seed: str) -> Column:
     """A fraction from 0 to 1 that depends on the key alone: 52 bits of a digest."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null"))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.llm.common import written
+from promptloom.llm.common import removed, written
 
 
 def _stars(links: DataFrame, of_larger: bool) -> DataFrame:
@@ -27,15 +27,17 @@ def _stars(links: DataFrame, of_larger: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes with links; `links` has two columns of ids, in any order.
 
-    Each round is written to the shared folder; rounds end when a round changes nothing, which
-    takes about the logarithm of the largest component's size. The component is its smallest id.
+    Each round is written to the shared folder and the one before it deleted there; rounds end when a
+    round changes nothing, which takes about the logarithm of the largest component's size. The
+    component is its smallest id.
     """
     a, b = links.columns
     current = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct()
     current = written(current)
     seen = None
     while True:
-        current = written(_stars(_stars(current, of_larger=True), of_larger=False))
+        before, current = current, written(_stars(_stars(current, of_larger=True), of_larger=False))
+        removed(before)
         state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

@@ -24,6 +24,8 @@ BITS = 4
 LIKELY = 0.64
 # Shingles in a block: what one task compares is two parts of this size.
 BLOCK_SHINGLES = 1 << 19
+# Bits of the filter that keeps texts without candidates out of the last shuffle.
+FILTER_BITS = 1 << 26
 
 _PER_WORD = 64 // BITS
 _PACKED = -(-HASHES // _PER_WORD)
@@ -146,7 +148,8 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent:
     """Links that join what is connected among the sets, between those marked `left` and `right`.
 
     Sets with the most likely partners come first. For a set, those partners by the estimate that
-    are not yet connected with it are compared by all their shingles at once.
+    are not yet connected with it are compared by all their shingles at once. Memory grows with the
+    sets, not with their pairs.
     """
     count = len(sets)
     signs = np.array([packed(minima(own)) for own in sets]).reshape(count, _PACKED)
@@ -154,26 +157,29 @@ def linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent:
     label = np.arange(count)
     links: list[tuple[int, int]] = []
 
-    def likely(i: int) -> np.ndarray:
+    def likely(i: int, among: np.ndarray) -> np.ndarray:
         other = (left[i] & right) | (right[i] & left)
-        fits = (np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * percent) & other
+        fits = (np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * percent) & other & among
         fits[i] = False
         at = np.flatnonzero(fits)
         return at[similarity(signs[i], signs[at]) >= LIKELY]
 
-    partners = [likely(i) for i in range(count)]
-    for i in np.argsort([-len(p) for p in partners], kind="stable").tolist():
-        at = partners[i][label[partners[i]] != label[i]]
+    # Partners are counted, not kept: what is held is a row of the block's pairs at a time.
+    everything = np.ones(count, dtype=bool)
+    partners = np.array([len(likely(i, everything)) for i in range(count)])
+    for i in np.argsort(-partners, kind="stable").tolist():
+        at = likely(i, label != label[i]) if partners[i] else np.empty(0, dtype=np.int64)
         if not len(at):
             continue
         own = sets[i]
         flat = np.concatenate([sets[j] for j in at])
         place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
         hits = np.add.reduceat(own[place] == flat, np.cumsum(sizes[at]) - sizes[at])
-        for j in at[hits * 100 >= (sizes[at] + len(own) - hits) * percent].tolist():
-            if label[j] != label[i]:
-                label[label == label[j]] = label[i]
-                links.append((i, j))
+        linked_with = at[hits * 100 >= (sizes[at] + len(own) - hits) * percent]
+        # One link for each set of connected ones that is reached.
+        reached, first = np.unique(label[linked_with], return_index=True)
+        links += [(i, int(j)) for j in linked_with[first]]
+        label[np.isin(label, reached)] = label[i]
     return links
 
 
@@ -243,6 +249,23 @@ def _candidate_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     return _with_blocks(of_small.union(of_large))
 
 
+def _bit(node: Column) -> Column:
+    return F.pmod(F.xxhash64(node), F.lit(FILTER_BITS))
+
+
+def _possible(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows whose node may be one of `nodes`: all that are, and few others while `nodes` are fewer than
+    the bits of the filter. The filter is FILTER_BITS in pieces of 4 KB, 8 MB at any size of the
+    tables, so it is broadcast; it is built from partial filters and never seen by the driver's code."""
+    bit = _bit(F.col("node"))
+    marked = nodes.select(F.bitmap_bucket_number(bit).alias("piece"), F.bitmap_bit_position(bit).alias("at"))
+    pieces = marked.groupBy("piece").agg(F.bitmap_construct_agg("at").alias("bits"))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = rows.join(F.broadcast(pieces), F.bitmap_bucket_number(bit) == F.col("piece"))
+    return found.filter(F.getbit(byte, (at % 8).cast("int")) == 1).drop("piece", "bits")
+
+
 def _verdicts(docs: DataFrame, words: int, percent: int, id_column: str, text_column: str) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, kept of every row."""
     signed = written(signatures(docs, words, id_column, text_column))
@@ -254,7 +277,9 @@ def _verdicts(docs: DataFrame, words: int, percent: int, id_column: str, text_co
     sizes = named.groupBy(F.col("doc_id").alias("node")).agg(F.max("n_shingles").alias("n_shingles"))
     blocks = written(_candidate_blocks(rows, sizes))
     texts = docs.select(F.col(id_column).cast("bigint").alias("node"), F.col(text_column).alias("text"))
-    members = texts.join(blocks, "node").select("node", "text", "blocks").mapInArrow(_block_rows(words), _BLOCKS)
+    # The same join at all sizes: only texts that may be in a block are shuffled for it.
+    texts = _possible(texts, blocks).join(blocks.hint("merge"), "node")
+    members = texts.select("node", "text", "blocks").mapInArrow(_block_rows(words), _BLOCKS)
     links = members.groupBy("group", "a", "b").applyInArrow(lambda block: _compare(block, percent), "a bigint, b bigint")
     found = components(links)
     ids = signed.select("doc_id", "text_key", "n_shingles", *keys).join(classes, keys, "left")

@@ -1,5 +1,7 @@
+import pathlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from promptloom.llm import minhash
 from promptloom.llm.components import components
 from promptloom.llm.minhash import linked, minima, packed, similarity
+from promptloom.session import shared_folder
 from tests.llm.rows import documents, nothing, sample
 
 
@@ -139,3 +142,35 @@ def test_components(spark):
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
     assert components(spark.range(3).select(F.col("id").alias("a"), F.col("id").alias("b"))).collect() == []
+
+
+def test_memory_of_a_block_grows_with_its_sets():
+    rnd = np.random.default_rng(3)
+    base = np.unique(rnd.integers(0, 2**63, 40).astype(np.uint64))
+    sets = []
+    for _ in range(3000):
+        own = base.copy()
+        own[rnd.integers(0, 40, 2)] = rnd.integers(0, 2**63, 2).astype(np.uint64)
+        sets.append(np.unique(own))
+    every = np.ones(len(sets), dtype=bool)
+    tracemalloc.start()
+    links = linked(sets, every, every, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(links) == 2999 and peak < 40e6  # all pairs took 72 MB
+
+
+def test_filter_keeps_all_nodes_and_few_others(spark):
+    rows = spark.range(-50_000, 50_000).withColumnRenamed("id", "node").withColumn("text", F.lit("x"))
+    nodes = spark.range(0, 50_000, 5).withColumnRenamed("id", "node")
+    kept = {r.node for r in minhash._possible(rows, nodes).collect()}
+    assert kept >= set(range(0, 50_000, 5)) and len(kept) < 10_300
+    assert minhash._possible(rows, nodes.filter("node < 0")).count() == 0
+
+
+def test_rounds_of_components_are_deleted(spark):
+    folder = pathlib.Path(shared_folder(spark))
+    before = set(folder.iterdir())
+    found = components(spark.createDataFrame([(i, i + 1) for i in range(40)], "a bigint, b bigint"))
+    assert {(r.node, r.component) for r in found.collect()} == {(i, 0) for i in range(41)}
+    assert len(set(folder.iterdir()) - before) == 1
