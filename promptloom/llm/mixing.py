@@ -68,31 +68,46 @@ def with_copies(
     A source's rate is its target by its size. A document is taken floor(rate) times, and once more
     if a fraction drawn from its id and the seed is below the rest. Null texts and texts without
     words have size 0; a source of size 0 has rate 0; null is a source of its own; rows that repeat
-    an id are decided alike; an empty table gives an empty one. Only ids, sources and sizes are
-    summed; the targets are a table of one row per source, joined as Spark's size threshold says.
+    an id are decided alike, rows without one by their text; an empty table gives an empty one.
+    Columns of the documents that have one of the four names are replaced. Only ids, sources and
+    sizes are summed; the targets are a table of one row per source, joined as Spark's size
+    threshold says.
     """
     id_column, text_column, source_column = names
+    own = free_prefix(docs.columns)
     size = word_count(F.col(text_column))
     sizes = docs.select(F.col(source_column).alias("source"), size.alias("size"))
     targets = written(source_targets(sizes, weights, share, max_rate)).select(
-        F.col("source").alias(f"{prefix}key"),
-        F.col("source_size").alias(f"{prefix}source_size"),
-        F.col("target").alias(f"{prefix}target"),
+        F.col("source").alias(f"{own}key"),
+        F.col("source_size").alias(f"{own}source_size"),
+        F.col("target").alias(f"{own}target"),
     )
-    joined = docs.withColumn(f"{prefix}size", size).join(
-        targets, F.col(source_column).eqNullSafe(F.col(f"{prefix}key")), "left"
+    joined = docs.withColumn(f"{own}size", size).join(
+        targets, F.col(source_column).eqNullSafe(F.col(f"{own}key")), "left"
     )
-    source_size, target = F.col(f"{prefix}source_size"), F.col(f"{prefix}target")
+    source_size, target = F.col(f"{own}source_size"), F.col(f"{own}target")
     rate = F.when(source_size > 0, target / source_size).otherwise(0.0)
-    once_more = fraction_of(F.col(id_column), seed) < rate - F.floor(rate)
-    return joined.drop(f"{prefix}key").withColumn(
-        f"{prefix}copies", F.floor(rate) + F.when(once_more, 1).otherwise(0)
-    )
+    # Without an id, the text decides: else all such rows were taken together or not at all.
+    key = F.coalesce(F.col(id_column).cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(text_column, F.lit("")))))
+    once_more = fraction_of(key, seed) < rate - F.floor(rate)
+    copies = F.floor(rate) + F.when(once_more, 1).otherwise(0)
+    new = [(f"{prefix}{name}", F.col(f"{own}{name}")) for name in ("size", "source_size", "target")]
+    new.append((f"{prefix}copies", copies))
+    kept = [name for name in docs.columns if name not in dict(new)]
+    return joined.select(*kept, *[column.alias(name) for name, column in new])
+
+
+def free_prefix(columns: Sequence[str]) -> str:
+    """A prefix that none of the columns begins with, in whatever case."""
+    prefix = "mix_"
+    while any(name.lower().startswith(prefix) for name in columns):
+        prefix += "_"
+    return prefix
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as many times as it is taken, with the columns it came with."""
-    prefix = options.get("prefix", "mix_")
-    taken = with_copies(docs, **options).filter(F.col(f"{prefix}copies") > 0)
+    """The mix itself: each document as many times as it is taken, with the columns it came with, of any name."""
+    prefix = free_prefix(docs.columns)
+    taken = with_copies(docs, **(options | {"prefix": prefix})).filter(F.col(f"{prefix}copies") > 0)
     copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(f"{prefix}copies")))
     return taken.withColumn(f"{prefix}copy", copy).select(*[taken[c] for c in docs.columns])

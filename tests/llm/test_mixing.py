@@ -51,16 +51,35 @@ def test_mix_comes_near_its_targets(spark):
     assert sorted(map(str, mixing.with_copies(docs).collect())) == sorted(map(str, rows))
 
 
+CLASHES = ["mix_size", "MIX_key", "mix_copy", "mix_target", "mix_source_size", "mix_copies", "mix__size"]
+
+
 def test_rows(spark):
-    docs = documents(spark).withColumn("mix_size", F.lit("clash"))
-    counted = mixing.with_copies(docs.drop("mix_size")).collect()
-    mixed = mixing.mixed_documents(docs, prefix="own_")
-    assert mixed.columns == docs.columns
-    assert mixed.count() == sum(row.mix_copies for row in counted)
+    docs = documents(spark)
+    counted = mixing.with_copies(docs).collect()
+    clashing = docs.select("*", *[F.concat(F.lit(f"{name} of "), F.col("k").cast("string")).alias(name) for name in CLASHES])
+    mixed = mixing.mixed_documents(clashing)
+    assert mixed.columns == clashing.columns
+    rows = mixed.collect()
+    assert all(row[name] == f"{name} of {row.k}" for row in rows for name in CLASHES)
+    wanted = {row.k: row.mix_copies for row in counted if row.mix_copies}
+    assert {k: sum(row.k == k for row in rows) for k in {row.k for row in rows}} == wanted
+    # `with_copies` puts its own columns in place of those of the same name.
+    again = mixing.with_copies(clashing).collect()
+    assert sorted((r.k, r.mix_size, r.mix_source_size, r.mix_copies) for r in again) == sorted(
+        (r.k, r.mix_size, r.mix_source_size, r.mix_copies) for r in counted
+    )
     assert len(counted) == docs.count()
     assert all(row.mix_size == 0 for row in counted if not (row.text or "").strip())
 
 
+def test_rows_without_an_id_are_decided_by_their_text(spark):
+    text = F.concat(F.lit("one two three "), F.col("id").cast("string"))
+    docs = spark.range(4000).select(F.lit(None).cast("bigint").alias("doc_id"), text.alias("text"), F.lit("s").alias("source"))
+    rows = mixing.with_copies(docs).collect()
+    assert sum(row.mix_copies * row.mix_size for row in rows) == pytest.approx(1.5 * 4 * 4000, rel=0.03)
+
+
 def test_empty_table(spark):
     assert mixing.with_copies(nothing(spark)).collect() == []
     assert mixing.mixed_documents(nothing(spark)).collect() == []
