@@ -22,8 +22,8 @@ _UPPER, _LOWER, _DIGIT = re.compile("[A-Z]+"), re.compile("[a-z]+|[^\x00-\x7f]+"
 
 
 def _shape(word: str) -> str:
-    """Letters by case, digits and marks: 'Don't!!' is 'Aa'a!!'. Long shapes are cut; words never are."""
-    return _DIGIT.sub("9", _LOWER.sub("a", _UPPER.sub("A", word)))[:12]
+    """Letters by case, digits and marks, runs as one, of the whole word: 'Don't!!' is 'Aa'a!!'."""
+    return _DIGIT.sub("9", _LOWER.sub("a", _UPPER.sub("A", word)))
 
 
 def _features(word: str) -> tuple[int, int]:

@@ -1,11 +1,17 @@
+import json
+import math
+import pickle
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from promptloom.llm import ordinal, toxicity
-from promptloom.llm.labelled import held_out
+from promptloom.llm import labelled, ordinal, toxicity
+from promptloom.llm.common import mixed
+from promptloom.llm.labelled import fit, held_out, word_hash
 from tests.llm.rows import documents, nothing
 
 SF = "/root/testdata/sf0.1"
@@ -103,3 +109,78 @@ def test_no_labels(spark):
     docs, labels = documents(spark), spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert all(r.predicted == 0 for r in toxicity.score_documents(docs.filter("doc_id = 1"), toxicity.toxicity_model(docs, labels)).collect())
     assert all(r.kept for r in ordinal.graded_documents(docs, ordinal.quality_model(docs, labels, F.col("quality"))).collect())
+
+
+ODD = ["", "one", "A bad word here! Fine?  Yes. no", "x\n\ny. z", "Don't SHOUT... 123abc 日本 été " * 30, "word " * 5000, "bad " * 50]
+
+
+def test_quality_against_a_plain_loop(tables):
+    documents, labels = tables
+    model = ordinal.quality_model(documents.filter("doc_id < 2000"), labels, F.col("quality") * (2 - F.col("toxic")))
+    weights, thresholds, levels = pickle.loads(model)
+    size, log2 = 1 << ordinal.BITS, lambda n: int(math.log2(n))
+
+    def plain(text):
+        words, z = text.split(), 0.0
+        shape = [re.sub("[0-9]+", "9", re.sub("[a-z]+|[^\x00-\x7f]+", "a", re.sub("[A-Z]+", "A", w))) for w in words]
+        hashed = [word_hash("shape " + s) % size for s in shape]
+        couples = [int(mixed(np.array([a * size + b]))[0]) % size for a, b in zip(hashed, hashed[1:])]
+        again = [word_hash("again") % size for a, b in zip(words, words[1:]) if a.lower() == b.lower()]
+        for found in ([word_hash(w.lower()) % size for w in words], hashed, couples, again):
+            for column, times in Counter(found).items():
+                z += math.sqrt(times / len(words)) * float(weights[column])
+        for name, value in (("length", log2(len(words) + 1)), ("distinct", 10 * len(set(words)) // max(len(words), 1))):
+            column = int(mixed(np.array([value], dtype=np.uint64) ^ np.uint64(word_hash(name)))[0]) % size
+            z += 0.5 * float(weights[column])
+        tails = [1 / (1 + math.exp(-(z - t))) for t in thresholds]
+        return levels[0] + sum(p * (b - a) for p, a, b in zip(tails, levels, levels[1:])), tails
+
+    texts = ODD + [row.text for row in documents.filter("doc_id % 40 = 0").collect()]
+    expected, tails = ordinal.Model(model).score(texts)
+    for text, grade, above in zip(texts, expected, tails):
+        wanted, wanted_tails = plain(text or "")
+        assert grade == pytest.approx(wanted, abs=1e-6) and above.tolist() == pytest.approx(wanted_tails, abs=1e-6)
+
+
+def test_toxicity_against_a_plain_loop(tables):
+    documents, labels = tables
+    model = toxicity.toxicity_model(documents.filter("doc_id < 2000"), labels)
+    weights, bias = pickle.loads(model)
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+
+    def grams(word):
+        marked = "^" + word.strip("\"'`.,;:!?()[]{}<>|/\\*#%&$-_=+~").lower() + "$"
+        return {marked, *(marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1))}
+
+    def plain(text):
+        innocent = 1 - sigmoid(bias)
+        for sentence in re.split("(?<=[.!?]) |\n", text):
+            z = bias + sum(weights.get(g, 0.0) for w in sentence.split() for g in grams(w))
+            if z > bias:
+                innocent *= (1 - sigmoid(z)) / (1 - sigmoid(bias))
+        return 1 - innocent
+
+    texts = ODD + [row.text for row in documents.filter("doc_id % 40 = 0").collect()]
+    scores, _ = toxicity.Model(model).score([t or "" for t in texts], 0.3)
+    assert max(scores) > 0.5 and scores.tolist() == pytest.approx([plain(t or "") for t in texts], abs=1e-7)
+
+
+def test_fit_is_bounded_whatever_repeats(spark, monkeypatch):
+    monkeypatch.setattr(labelled, "MOST_CHARS", 1600)
+    docs = [(1, f"version {i}") for i in range(500)] + [(i, "x" * 40) for i in (3, 4, 5, 6, 8, 9)] + [(10, "y" * 101)]
+    docs = spark.createDataFrame(docs * 2, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, g) for i in (1, 1, 3, 4, 5, 6, 8, 9, 10) for g in (1.0, 0.0)], "doc_id bigint, grade double")
+
+    def seen(most_rows):
+        return json.loads(fit(docs, labels, F.col("grade"), lambda t, g: json.dumps([t, g.tolist()]).encode(), most_rows))
+
+    texts, grades = seen(100)
+    kept = [i for i in (1, 3, 4, 5, 6, 8, 9) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert len(texts) == len(kept) and set(grades) == {0.0} and sum(t.startswith("version") for t in texts) == 1
+    assert len(seen(2)[0]) == 2 and set(seen(2)[0]) <= set(texts) and seen(2) == seen(2)
+    monkeypatch.setattr(labelled, "MOST_CHARS", 16 * 40)
+    monkeypatch.setattr(labelled, "LONGEST", 16)
+    assert sum(map(len, seen(100)[0])) <= 640
+    monkeypatch.setattr(labelled, "MOST_CHARS", 100)
+    monkeypatch.setattr(labelled, "LONGEST", 1)
+    assert sum(map(len, seen(100)[0])) <= 100 and seen(100)[0]
