@@ -29,6 +29,7 @@ from promptloom.functions.tokens import resolved_limit  # noqa: E402
 from promptloom.functions.values import commit_hash, sanitized_name  # noqa: E402
 from promptloom.operators.configs import attach_config  # noqa: E402
 from promptloom.operators.generation import completion  # noqa: E402
+from promptloom.operators.guards import require_columns, require_rows  # noqa: E402
 from promptloom.operators.inference import format_prompts, format_prompts_by_row, input_prompts  # noqa: E402
 from promptloom.operators.length import bound_examples, bound_messages, bound_prompts, validate_prompts  # noqa: E402
 from promptloom.operators.merge import merge_completions  # noqa: E402
@@ -87,6 +88,17 @@ LANG_CONFIGS = [
     ("de", "de-auto", "auto", "Antworte kurz.", None, "extraction"),
 ]
 
+# Chat templates in the style of public models.
+CHAT_TEMPLATES = [
+    "{% for message in messages %}{{'<|im_start|>' + message['role'] + '\\n' + message['content'] + '<|im_end|>' + '\\n'}}"
+    "{% endfor %}{% if add_generation_prompt %}{{ '<|im_start|>assistant\\n' }}{% endif %}",
+    "{% set rest = messages[1:] if messages[0].role == 'system' else messages %}{% for m in rest %}{% if loop.first and "
+    "messages[0].role == 'system' %}{% set text = '<<SYS>>\\n' + messages[0].content + '\\n<</SYS>>\\n\\n' + m.content %}"
+    "{% else %}{% set text = m.content %}{% endif %}{{ bos_token + '[INST] ' + text.strip() + ' [/INST]' }}{% endfor %}",
+    "{{ bos_token }}{% for m in messages %}{{ '<|start_header_id|>' ~ m.role ~ '<|end_header_id|>\\n\\n' ~ m.content | trim "
+    "~ '<|eot_id|>' }}{% endfor %}{% if add_generation_prompt %}<|start_header_id|>assistant<|end_header_id|>\n\n{% endif %}",
+]
+
 KIND_CONFIGS = [
     ("guided", "conversational", None, None, None, None, None),
     ("long", "text", INSTRUCTION, CUSTOM_FORMAT, None, "<in>", "<out>"),
@@ -618,6 +630,35 @@ def task_expiry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known_tasks(latest_task_state(spark, f"{folder}/state"))
 
 
+def chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user turn rendered by one of three chat templates given as text, by its conversation."""
+    pairs = _pairs(spark, sf_dir).withColumn("prompt", F.col("input"))
+    parts = [
+        format_prompts(pairs.filter(F.col("conv_id") % 3 == n), {"instruction": INSTRUCTION, "chat_template": source})
+        for n, source in enumerate(CHAT_TEMPLATES)
+    ]
+    return reduce(DataFrame.unionByName, parts).select("conv_id", "turn", "prompt")
+
+
+def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guards raise for each language's documents, with and without a column asked for."""
+    documents = _table(spark, sf_dir, "documents")
+    languages = sorted(row.lang for row in documents.filter("lang IS NOT NULL").select("lang").distinct().collect())
+
+    def raised(check: Callable, *arguments) -> str | None:
+        try:
+            check(*arguments)
+        except ValueError as error:
+            return str(error)
+        return None
+
+    rows = []
+    for lang in [*languages, "none"]:
+        own = documents.filter(F.col("lang") == lang)
+        rows.append((lang, raised(require_rows, own, lang), raised(require_columns, own, "text", "absent")))
+    return spark.createDataFrame(rows, "lang string, no_rows string, no_columns string")
+
+
 QUERIES: dict[str, Query] = {
     "train_text": train_text,
     "train_text_configured": train_text_configured,
@@ -670,6 +711,8 @@ QUERIES: dict[str, Query] = {
     "task_expiry": task_expiry,
     "task_state_stream": task_state_stream,
     "task_expiry_stream": task_expiry_stream,
+    "chat_templates": chat_templates,
+    "guards": guards,
 }
 
 
@@ -1016,6 +1059,21 @@ ORACLES: dict[str, str] = {
         WITH {EVENTS}
         SELECT task_id FROM states WHERE queued_at IS NOT NULL AND (done_at IS NULL OR 605 - done_at <= 600)""",
     "task_state_stream": f"WITH {EVENTS} SELECT * FROM states WHERE queued_at IS NOT NULL",
+    "chat_templates": f"""
+        WITH {PAIRS}
+        SELECT conv_id, turn, CASE conv_id % 3
+          WHEN 0 THEN '<|im_start|>system' || chr(10) || {_quoted(INSTRUCTION)} || '<|im_end|>' || chr(10)
+            || {CHATML_PROMPT.format(user="input")}
+          WHEN 1 THEN '<s>[INST] ' || regexp_replace('<<SYS>>' || chr(10) || {_quoted(INSTRUCTION)} || chr(10) || '<</SYS>>'
+            || chr(10) || chr(10) || input, '\\s+$', '') || ' [/INST]'
+          ELSE '<s><|start_header_id|>system<|end_header_id|>' || chr(10) || chr(10) || {_quoted(INSTRUCTION)}
+            || '<|eot_id|><|start_header_id|>user<|end_header_id|>' || chr(10) || chr(10) || {TRIMMED.format("input")}
+            || '<|eot_id|><|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10) END AS prompt
+        FROM pairs""",
+    "guards": """
+        SELECT lang, CASE WHEN n = 0 THEN 'Dataset ' || lang || ' is empty' END AS no_rows,
+          'Column(s) absent not found, the dataset has doc_id, text, lang, source, n_chars' AS no_columns
+        FROM (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang UNION ALL SELECT 'none', 0)""",
     "task_expiry_stream": f"""
         WITH {EVENTS}, started AS (SELECT *, 60 * (CAST(task_id AS DOUBLE) + 1) AS start FROM states),
         last AS (SELECT max(event_at + 60 * (CAST(task_id AS DOUBLE) + 1)) AS now FROM events)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from promptloom.constants import CONFIG_KEYS, DEFAULT_TEXT_FORMAT
 from promptloom.functions.chat import CHATML, LAYOUTS, ChatLayout
+from promptloom.functions.chat_templates import template_layouts
 from promptloom.functions.decisions import is_conversational, layout_pieces, resolved_format, trims_content
 from promptloom.functions.templates import parse_templates, pieces_around, template_pieces, template_segments
 from promptloom.functions.values import present
@@ -49,6 +50,7 @@ def attach_config(
     are few; above the bound it is an ordinary join, where adaptive execution splits a key that
     holds too many rows.
     """
+    layouts = {**layouts, **template_layouts(model_template)}
     require_layout(model_template, layouts)
     on = list(on)
     template = F.coalesce(present(F.col("text_format")), F.lit(DEFAULT_TEXT_FORMAT))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from promptloom.constants import DEFAULT_TEXT_FORMAT, INFERENCE, INPUT
 from promptloom.functions.chat import CHATML, LAYOUTS, ChatLayout
+from promptloom.functions.chat_templates import template_layouts
 from promptloom.functions.decisions import joined_prompt
 from promptloom.functions.templates import format_text
 from promptloom.functions.values import as_text
@@ -36,8 +37,8 @@ def format_prompts(
 ) -> DataFrame:
     """Prompts rendered by one configuration for the whole job.
 
-    `model_template` names the layout the model itself comes with, if it is a chat model. A
-    configured `chat_template` replaces it. Chat without any layout uses ChatML. The row's own
+    `model_template` names the layout the model itself comes with, if it is a chat model, or is a chat
+    template as text. A configured `chat_template`, either of these too, replaces it. Chat without any layout uses ChatML. The row's own
     instruction is not used on this path.
     """
     config = {k: v for k, v in (config or {}).items() if v}
@@ -47,6 +48,7 @@ def format_prompts(
     chat = template is not None if dataset_format not in ("conversational", "text") else dataset_format == "conversational"
     prompt = F.col(prompt_column)
     if chat:
+        layouts = {**layouts, **template_layouts(template)}
         require_layout(template, layouts)
         layout = layouts[template] if template is not None else CHATML
         rendered = layout.prompt(prompt, F.lit(instruction) if instruction else None)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from promptloom.constants import SERVICE_INSTRUCTION, SERVICE_SAMPLING, TASK_TTL_SECONDS
 from promptloom.functions.chat import LAYOUTS, ChatLayout
+from promptloom.functions.chat_templates import template_layouts
 from promptloom.functions.decisions import joined_prompt, layout_pieces, trims_content
 from promptloom.functions.templates import parse_templates, pieces_around
 from promptloom.functions.tokens import resolved_limit
@@ -41,8 +42,11 @@ def prepare_requests(
 
     That is the `pieces` around each prompt, the sampling parameters as one JSON text, and
     what is wrong with them. The pieces are those of the first of chat layout (the request's,
-    else the model's), the request's positional text format, and nothing.
+    else the model's), the request's positional text format, and nothing. The model's layout may be a
+    chat template as text; those that requests bring are names of `layouts`, to which
+    `template_layouts` adds texts known when the job is written.
     """
+    layouts = {**layouts, **template_layouts(model_template)}
     params, sampling = F.col("prompts_params"), F.col("sampling")
     limit = sampling["truncate_prompt_tokens"].try_cast("int")
     prepared = service_sampling(requests, model_limit).select(
