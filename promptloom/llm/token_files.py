@@ -37,9 +37,8 @@ from promptloom.llm.common import ranges, slices, whole
 
 # A shard is closed at the first end of a document beyond so many ids.
 SHARD_IDS = 1 << 19
-# A pair becomes a rule in a round if it can be replaced so often.
+# A pair becomes a rule while it occurs so often, and is replaced half as often at least.
 LEAST_USES = 6
-ROUNDS = 5
 _MARK = "\0"
 _MARKS = ".,!?;:#%&$*"
 _NOTHING = np.empty(0, dtype=np.int64)
@@ -50,38 +49,40 @@ SHARDS = (
 )
 
 
+def _sorted_pairs(left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of symbols of so many bits in ascending order, left above right, and the places they come from."""
+    pairs = (left.astype(np.uint64) << np.uint64(bits)) | right
+    room = 64 - 2 * bits
+    if len(pairs) < 1 << room:
+        # Pair and place in one number: sorting numbers is much faster than sorting places by them.
+        both = np.sort((pairs << np.uint64(room)) | np.arange(len(pairs), dtype=np.uint64))
+        return both >> np.uint64(room), (both & np.uint64((1 << room) - 1)).astype(np.int64)
+    order = np.argsort(pairs)
+    return pairs[order], order
+
+
 def compress(ids: np.ndarray, last: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules, and which symbols end a document, of ids and which of them end one.
 
-    A round counts all pairs of neighbours, makes rules of the frequent ones, the most frequent
-    first, and replaces each place whose pair is more frequent than the pairs it overlaps. Rounds
-    go on while a pair is frequent enough, up to ROUNDS; symbols stay within 16 bits if ids are.
+    A round counts pairs of neighbours, makes rules of the frequent ones, the most frequent first,
+    and replaces each place whose pair is more frequent than the pairs it overlaps; of a run of one
+    symbol every other place. Rounds go on until no pair is frequent. After the first, only places
+    are counted whose pair was frequent or has a new symbol, as other pairs cannot become frequent.
     """
     symbols, last = ids.astype(np.uint32), last.copy()
     rules: list[np.ndarray] = []
-    most = 1 << 16 if first_symbol < 1 << 16 else 1 << 31
     next_symbol = first_symbol
-    for _ in range(ROUNDS):
-        room = most - next_symbol
-        if len(symbols) < 2 or room <= 0:
-            break
-        within = np.flatnonzero(~last[:-1])
-        left = symbols[within].astype(np.uint64)
-        if most == 1 << 16:
-            # Pair and place in one number: sorting numbers is much faster than sorting places by them.
-            pairs = (left << np.uint64(16)) | symbols[within + 1]
-            both = np.sort((pairs << np.uint64(32)) | np.arange(len(within), dtype=np.uint64))
-            ordered, order = both >> np.uint64(32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        else:
-            keys = (left << np.uint64(32)) | symbols[within + 1]
-            order = np.argsort(keys)
-            ordered = keys[order]
-        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    live = np.ones(len(symbols), dtype=bool)
+    while len(symbols) > 1:
+        within = np.flatnonzero(live[:-1] & ~last[:-1])
+        bits = max(16, int(next_symbol).bit_length())
+        ordered, order = _sorted_pairs(symbols[within], symbols[within + 1], bits)
+        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))[: len(ordered)]
         counts = np.diff(np.append(heads, len(ordered)))
         frequent = np.flatnonzero(counts >= LEAST_USES)
         if not len(frequent):
             break
-        frequent = frequent[np.lexsort((ordered[heads[frequent]], -counts[frequent]))][:room]
+        frequent = frequent[np.lexsort((ordered[heads[frequent]], -counts[frequent]))]
         # Rank of the pair at each place: 0 is the most frequent.
         none = np.int32(len(frequent))
         rank = np.full(len(symbols), none, dtype=np.int32)
@@ -89,25 +90,33 @@ def compress(ids: np.ndarray, last: np.ndarray, first_symbol: int) -> tuple[np.n
         of_pair[frequent] = np.arange(none, dtype=np.int32)
         rank[within[order]] = np.repeat(of_pair, counts)
         chosen = rank < none
-        chosen[1:] &= rank[1:] < rank[:-1]
+        chosen[1:] &= rank[1:] <= rank[:-1]
         chosen[:-1] &= rank[:-1] <= rank[1:]
         places = np.flatnonzero(chosen)
+        # Places next to each other have one pair, of one symbol twice.
+        begins = np.concatenate([[True], np.diff(places) != 1])
+        run_start = np.maximum.accumulate(np.where(begins, places, 0))
+        places = places[(places - run_start) % 2 == 0]
         uses = np.bincount(rank[places], minlength=none)
-        used = np.flatnonzero(uses >= 3)
-        if not len(used):
-            break
-        places = places[uses[rank[places]] >= 3]
+        # The most frequent pair is replaced half as often as it occurs at least, so a rule is always made.
+        used = np.flatnonzero(uses >= LEAST_USES // 2)
+        places = places[uses[rank[places]] >= LEAST_USES // 2]
         number = np.zeros(none, dtype=np.uint32)
         number[used] = next_symbol + np.arange(len(used), dtype=np.uint32)
         pair = ordered[heads[frequent[used]]]
-        shift = np.uint64(16 if most == 1 << 16 else 32)
+        shift = np.uint64(bits)
         rules.append(np.stack([pair >> shift, pair & ((np.uint64(1) << shift) - np.uint64(1))], axis=1))
         next_symbol += len(used)
         symbols[places] = number[rank[places]]
         last[places] |= last[places + 1]
+        new = np.zeros(len(symbols), dtype=bool)
+        new[places] = True
         keep = np.ones(len(symbols), dtype=bool)
         keep[places + 1] = False
+        live, new = (rank < none)[keep], new[keep]
         symbols, last = symbols[keep], last[keep]
+        live |= new
+        live[:-1] |= new[1:]
     made = np.concatenate(rules).astype(np.uint32) if rules else np.empty((0, 2), dtype=np.uint32)
     return symbols, made, last
 

@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -6,7 +7,7 @@ from tokenizers import Tokenizer
 
 from corpus_pipeline import tokenizer_path
 from promptloom.llm import token_files
-from promptloom.llm.token_files import Shard, _shard, compress, expanded, rule_lengths
+from promptloom.llm.token_files import LEAST_USES, Shard, _shard, compress, expanded, rule_lengths
 from tests.llm.rows import documents, nothing, sample
 
 PATH = tokenizer_path()
@@ -79,3 +80,48 @@ def test_empty_table(spark, tmp_path):
     folder = str(tmp_path / "none")
     token_files.write_token_files(nothing(spark), folder, PATH, 2)
     assert token_files.read_token_digests(spark, folder).collect() == []
+
+
+def frequent_pairs(symbols, last):
+    return [p for p, n in Counter((a, b) for a, b, end in zip(symbols, symbols[1:], last) if not end).items() if n >= LEAST_USES]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_no_pair_stays_frequent(seed):
+    rnd = np.random.default_rng(seed)
+    copy = rnd.integers(0, 40_000, 1000)
+    ids = np.concatenate([rnd.choice([copy, copy[::-1], rnd.integers(0, 30, 1000), np.full(1000, 7)]) for _ in range(60)])
+    last = np.zeros(len(ids), dtype=bool)
+    last[999::1000] = True
+    symbols, rules, ends = compress(ids, last, 49_408)
+    assert frequent_pairs(symbols.tolist(), ends.tolist()) == []
+    lengths = rule_lengths(rules, 49_408)
+    assert np.array_equal(written_out(symbols, rules, 49_408), ids)
+    assert lengths.max() >= 500  # a rule stands for most of a copy, over all its rounds
+
+
+def written_out(symbols, rules, first):
+    """The ids of symbols, by a stack."""
+    out, stack = [], symbols.tolist()[::-1]
+    while stack:
+        symbol = stack.pop()
+        if symbol < first:
+            out.append(symbol)
+        else:
+            stack += [int(rules[symbol - first][1]), int(rules[symbol - first][0])]
+    return np.array(out)
+
+
+def test_more_rules_than_16_bits_hold():
+    rnd = np.random.default_rng(1)
+    base = rnd.integers(0, 65_000, 40_000)
+    ids = np.tile(base, 6)
+    symbols, rules, ends = compress(ids, np.zeros(len(ids), dtype=bool), 65_500)
+    assert 65_500 + len(rules) > 1 << 16 and np.array_equal(written_out(symbols, rules, 65_500), ids)
+    assert frequent_pairs(symbols.tolist(), ends.tolist()) == []
+
+
+def test_runs_of_one_symbol():
+    ids = np.full(4096, 3)
+    symbols, rules, _ = compress(ids, np.zeros(4096, dtype=bool), 50)
+    assert len(symbols) < 12 and np.array_equal(written_out(symbols, rules, 50), ids)
