@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 import sys
 import time
@@ -41,7 +42,7 @@ from promptloom.plans.training import training_table  # noqa: E402
 from promptloom.session import shared_folder, ship_package  # noqa: E402
 from promptloom.sinks.completions import save_completions  # noqa: E402
 from promptloom.sinks.task_table import compact_task_table, read_task_table, write_task_batch  # noqa: E402
-from promptloom.sources.conversations import conversation_pairs  # noqa: E402
+from promptloom.sources.conversations import conversation_inputs, conversation_pairs  # noqa: E402
 from promptloom.sources.datasets import read_dataset  # noqa: E402
 from promptloom.sources.requests import read_requests  # noqa: E402
 from promptloom.streaming.service import (  # noqa: E402
@@ -68,9 +69,9 @@ from promptloom.streaming.tasks import (  # noqa: E402
 # The subpackage for training data can be left out of an installation.
 try:
     from promptloom.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("promptloom.llm", "promptloom.llm.queries"):
-        raise
+except ImportError as missing:
+    # So can a library that only it needs; the other queries work without.
+    logging.getLogger(__name__).warning("Queries of training data operators are left out: %s", missing)
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +114,10 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_pairs(_table(spark, sf_dir, "conversations"))
 
 
+def _inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_inputs(_table(spark, sf_dir, "conversations"))
+
+
 def _scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/{uuid.uuid4()}"
 
@@ -252,12 +257,12 @@ def truncated_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def infer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = {"dataset_format": "text", "instruction": INSTRUCTION}
-    return format_prompts(input_prompts(_pairs(spark, sf_dir)), config).select("conv_id", "turn", "prompt")
+    return format_prompts(input_prompts(_inputs(spark, sf_dir)), config).select("conv_id", "turn", "prompt")
 
 
 def infer_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = {"instruction": INSTRUCTION}
-    prompts = format_prompts(input_prompts(_pairs(spark, sf_dir)), config, model_template="chatml")
+    prompts = format_prompts(input_prompts(_inputs(spark, sf_dir)), config, model_template="chatml")
     return prompts.select("conv_id", "turn", "prompt")
 
 
@@ -320,8 +325,7 @@ def generate_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    pairs = _pairs(spark, sf_dir).select("conv_id", "turn", "input")
-    return complete_dataset(pairs, DIGEST, {"dataset_format": "text"}, keep_prompt=True)
+    return complete_dataset(_inputs(spark, sf_dir), DIGEST, {"dataset_format": "text"}, keep_prompt=True)
 
 
 def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -632,9 +636,9 @@ def task_expiry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user turn rendered by one of three chat templates given as text, by its conversation."""
-    pairs = _pairs(spark, sf_dir).withColumn("prompt", F.col("input"))
+    prompts = input_prompts(_inputs(spark, sf_dir))
     parts = [
-        format_prompts(pairs.filter(F.col("conv_id") % 3 == n), {"instruction": INSTRUCTION, "chat_template": source})
+        format_prompts(prompts.filter(F.col("conv_id") % 3 == n), {"instruction": INSTRUCTION, "chat_template": source})
         for n, source in enumerate(CHAT_TEMPLATES)
     ]
     return reduce(DataFrame.unionByName, parts).select("conv_id", "turn", "prompt")

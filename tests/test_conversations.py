@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from promptloom.sources.conversations import conversation_pairs
+from promptloom.sources.conversations import conversation_inputs, conversation_pairs
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 
@@ -60,3 +60,12 @@ def test_the_table_is_read_once(spark, block_turns):
     assert "ReusedExchange" in final or final.count("REPARTITION_BY_COL") == 1
 
 
+
+
+def test_inputs_are_those_of_the_pairs_without_a_shuffle(spark):
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    inputs = conversation_inputs(turns)
+    pairs = conversation_pairs(turns).select("conv_id", "turn", "input")
+    assert sorted(map(tuple, inputs.collect())) == sorted(map(tuple, pairs.collect()))
+    plan = inputs._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "EqualTo(role,user)" in plan
