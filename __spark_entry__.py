@@ -37,7 +37,7 @@ from promptloom.operators.merge import merge_completions  # noqa: E402
 from promptloom.operators.positions import number_by_key, number_by_scan  # noqa: E402
 from promptloom.operators.records import lineage_record, profile, route_params  # noqa: E402
 from promptloom.operators.training import construct_prompts, construct_prompts_by_row  # noqa: E402
-from promptloom.plans.inference import complete_dataset, run_inference  # noqa: E402
+from promptloom.plans.inference import complete_dataset, complete_in_batches, run_inference  # noqa: E402
 from promptloom.plans.training import training_table  # noqa: E402
 from promptloom.session import shared_folder, ship_package  # noqa: E402
 from promptloom.sinks.completions import save_completions  # noqa: E402
@@ -328,6 +328,19 @@ def batch_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_dataset(_inputs(spark, sf_dir), DIGEST, {"dataset_format": "text"}, keep_prompt=True)
 
 
+def resumed_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completions made by two starts of a job, of which the second finds files that the first had not."""
+    ship_package(spark)
+    folder = _scratch(spark)
+    inputs = _inputs(spark, sf_dir)
+    part = F.col("conv_id") % 2 == 0
+    for own in (part, ~part):
+        inputs.filter(own).repartition(3).write.mode("append").parquet(f"{folder}/inputs")
+        files = spark.readStream.schema(inputs.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/inputs")
+        done = complete_in_batches(files, DIGEST, f"{folder}/job", {"dataset_format": "text"})
+    return done
+
+
 def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     _pairs(spark, sf_dir).createOrReplaceTempView("training_pairs")
     return training_table(spark, "training_pairs", max_tokens=MAX_TOKENS, keep=("conv_id", "turn"))
@@ -685,6 +698,7 @@ QUERIES: dict[str, Query] = {
     "prompt_truncate": prompt_truncate,
     "generate_stub": generate_stub,
     "batch_inference": batch_inference,
+    "resumed_inference": resumed_inference,
     "training_job": training_job,
     "inference_job": inference_job,
     "configured_job": configured_job,
@@ -974,6 +988,8 @@ ORACLES: dict[str, str] = {
     "batch_inference": f"""
         WITH {PAIRS}
         SELECT conv_id, turn, input, {INFER_TEXT} AS prompt, 'gen:' || md5({INFER_TEXT}) AS inference FROM pairs""",
+    "resumed_inference": f"""
+        WITH {PAIRS} SELECT conv_id, turn, input, 'gen:' || md5({INFER_TEXT}) AS inference FROM pairs""",
     "training_job": rf"""
         WITH {PAIRS},
         t AS (

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+
+from promptloom.session import shared_folder
 
 ROW_ID = "row_id"
 
@@ -44,15 +47,15 @@ def number_by_scan(df: DataFrame, name: str = ROW_ID) -> DataFrame:
 
     A Parquet row knows its number within its file, however the file is split, so that only each
     file's start has to be added: counts come from one pass over no columns, one row per file, as
-    many as the driver lists for any scan. In other formats a row knows no number; there the scan
-    is planned once, as an RDD, which counts its splits and numbers them. Either way the numbers
-    do not depend on how a second scan would be split. A file without a start raises.
+    many as the driver lists for any scan. In other formats a row knows no number, so the scan is
+    written once to the shared folder with each row's place in its block of a file; counts of blocks,
+    a row each, are added up in the order of files and blocks. Either way the numbers do not depend
+    on how the scan is split. A file without a start raises.
     """
     try:
         tagged = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     except AnalysisException:
-        schema = StructType([*df.schema.fields, StructField(name, LongType(), False)])
-        return df.sparkSession.createDataFrame(df.rdd.zipWithIndex().map(lambda both: (*both[0], both[1])), schema)
+        return _number_by_block(df, name)
     counts = {row["_file"]: row["count"] for row in tagged.groupBy("_file").count().collect()}
     starts, total = [], 0
     for file in sorted(counts):
@@ -64,6 +67,26 @@ def number_by_scan(df: DataFrame, name: str = ROW_ID) -> DataFrame:
     return joined.withColumn(name, F.coalesce(F.col("_start"), lost) + F.col("_row")).drop("_file", "_row", "_start")
 
 
+def _number_by_block(df: DataFrame, name: str) -> DataFrame:
+    """Rows numbered by file, block and place in the block; without files, by partition and place."""
+    spark, place = df.sparkSession, F.monotonically_increasing_id().alias("_place")
+    try:
+        placed = df.select(
+            "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), place
+        )
+    except AnalysisException:
+        placed = df.select("*", F.lit("").alias("_file"), F.spark_partition_id().cast("bigint").alias("_block"), place)
+    folder = f"{shared_folder(spark)}/{uuid.uuid4()}"
+    placed.write.parquet(folder)
+    rows = spark.read.schema(placed.schema).parquet(folder)
+    # Rows of a block are read one after the other by one task, so their places follow each other.
+    blocks = rows.groupBy("_file", "_block").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    number = F.col("_start") + F.col("_place") - F.col("_first")
+    return rows.join(starts, ["_file", "_block"]).select(*df.columns, number.alias(name))
+
+
 def bounded_broadcast(side: DataFrame, size: int) -> DataFrame:
     """A table of that many bytes with a hint to broadcast it, if they are few enough."""
     return F.broadcast(side) if size <= MAX_BROADCAST_BYTES else side

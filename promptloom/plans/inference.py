@@ -28,6 +28,8 @@ from promptloom.sources.datasets import read_dataset
 
 # The dataset may have a column `prompt` of its own.
 _PROMPT = "_prompt"
+# The directories of a job's batches.
+_BATCH = "completion_batch"
 
 
 def complete_dataset(
@@ -100,3 +102,36 @@ def run_inference(
         records = dataset_records(df, dataset_name, split, params, checksum_urls, datasets_folder, num_rows)
         append_records(records, records_folder)
     return InferenceRun(path, num_rows)
+
+
+def complete_in_batches(
+    files: DataFrame,
+    engine: Engine,
+    folder: str,
+    config: Mapping[str, str | None] | None = None,
+    sampling: Mapping[str, object] | None = None,
+    model_template: str | None = None,
+    input_column: str = INPUT,
+    output_column: str = INFERENCE,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Completes a dataset some files at a time into `folder`, so that a job that ends midway goes on.
+
+    `files` is a stream of the dataset's files; its `maxFilesPerTrigger` or `maxBytesPerTrigger` bounds
+    a batch. A batch owns one directory, which it replaces if it runs again. A job started again with
+    the same folder completes what is left: at most the one batch that was not finished runs twice.
+    Files that arrive later are completed by the next start. Returns the completions so far.
+    """
+
+    def complete_batch(batch: DataFrame, batch_id: int) -> None:
+        done = complete_dataset(
+            batch, engine, config, sampling, model_template, input_column, output_column, partitions=partitions
+        )
+        done.write.mode("overwrite").parquet(f"{folder}/completions/{_BATCH}={batch_id}")
+
+    query = (
+        files.writeStream.foreachBatch(complete_batch).option("checkpointLocation", f"{folder}/progress")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return files.sparkSession.read.parquet(f"{folder}/completions").drop(_BATCH)

@@ -56,6 +56,35 @@ def test_scan_order_over_splits_of_one_file(spark, tmp_path):
     assert all(r.value == f"row {r.row_id:08d}" for r in got) and len(got) == 20000
 
 
+@pytest.mark.parametrize("kind", ["json", "csv"])
+def test_other_formats_are_numbered_in_the_jvm(spark, tmp_path, kind):
+    df = spark.range(5000).select("id", F.format_string("row %05d", "id").alias("value"))
+    for start in (0, 2000):
+        part = df.filter((F.col("id") >= start) & (F.col("id") < start + (2000 if not start else 3000)))
+        part.coalesce(1).write.format(kind).save(str(tmp_path / f"{start:05d}"))
+    settings = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.maxPartitionBytes": "9000"}
+    before = {name: spark.conf.get(name) for name in settings}
+    reader = spark.read.schema("id bigint, value string").option("recursiveFileLookup", True).format(kind)
+    found = []
+    for bytes_of_a_split in ("9000", "40000"):
+        for name, value in (settings | {"spark.sql.files.maxPartitionBytes": bytes_of_a_split}).items():
+            spark.conf.set(name, value)
+        try:
+            numbered = number_by_scan(reader.load(str(tmp_path)))
+            plan = numbered._jdf.queryExecution().executedPlan().toString()
+            found.append(sorted((r.id, r.row_id) for r in numbered.collect()))
+        finally:
+            for name, value in before.items():
+                spark.conf.set(name, value)
+        assert "Python" not in plan and "ExistingRDD" not in plan
+    assert found[0] == found[1] == [(i, i) for i in range(5000)]
+
+
+def test_rows_without_files(spark):
+    numbered = number_by_scan(spark.range(0, 1000, numPartitions=7)).collect()
+    assert [(r.id, r.row_id) for r in sorted(numbered)] == [(i, i) for i in range(1000)]
+
+
 @pytest.mark.parametrize("kind", ["parquet", "text"])
 @pytest.mark.parametrize("before, after", [("2", "32"), ("32", "2")])
 def test_numbers_do_not_depend_on_the_splits(spark, tmp_path, kind, before, after):

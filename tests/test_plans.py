@@ -4,8 +4,9 @@ from hashlib import md5
 import pytest
 
 import __spark_entry__ as registry
+from promptloom.operators.generation import Engine
 from stand_ins import DIGEST
-from promptloom.plans.inference import complete_dataset, run_inference
+from promptloom.plans.inference import complete_dataset, complete_in_batches, run_inference
 from promptloom.plans.training import training_table
 
 SF = "/root/testdata/sf0.001"
@@ -117,3 +118,51 @@ def test_columns_and_filters_reach_the_scan(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in stub
     decision = physical(registry.QUERIES["format_decision"](spark, SF))
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in decision
+
+
+def failing_once(folder):
+    """An engine that notes what it is asked, and fails while the folder holds a file `fail`."""
+
+    def load():
+        import os
+        import uuid
+
+        def run(prompts, sampling):
+            with open(os.path.join(folder, f"call-{uuid.uuid4()}"), "w") as file:
+                file.write("\n".join(prompts))
+            if os.path.exists(os.path.join(folder, "fail")) and any("stop here" in p for p in prompts):
+                raise RuntimeError("the executor is lost")
+            return [p.upper() for p in prompts]
+
+        return run
+
+    return Engine("failing once", load)
+
+
+def test_a_job_goes_on_where_it_ended(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    (calls / "fail").write_text("")
+    for i in range(5):
+        text = "stop here" if i == 3 else f"text {i}"
+        spark.createDataFrame([(i, text)], "k int, input string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def start():
+        files = spark.readStream.schema("k int, input string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        config = {"dataset_format": "text", "text_format": "{input}"}
+        return complete_in_batches(files, failing_once(str(calls)), str(tmp_path / "job"), config)
+
+    with pytest.raises(Exception, match="the executor is lost"):
+        start()
+    (calls / "fail").unlink()
+    done = start()
+    wanted = {i: "STOP HERE" if i == 3 else f"TEXT {i}" for i in range(5)}
+    assert {r.k: r.inference for r in done.collect()} == wanted and done.columns == ["k", "input", "inference"]
+    asked = [p for file in calls.glob("call-*") for p in file.read_text().splitlines()]
+    # Finished batches are not asked for again; the one that was not is.
+    assert sorted(set(asked)) == sorted(p.lower() for p in wanted.values())
+    assert all(asked.count(f"text {i}") == 1 for i in (0, 1, 2, 4)) and asked.count("stop here") >= 2
+    # A third start finds nothing to do; new files are completed by the next.
+    assert start().count() == 5
+    spark.createDataFrame([(9, "late")], "k int, input string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert {r.k for r in start().collect()} == {*range(5), 9}
