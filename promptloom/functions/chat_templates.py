@@ -738,4 +738,10 @@ def is_template(text: str | None) -> bool:
 def template_layouts(*texts: str | None, **tokens: str) -> dict[str, ChatTemplate]:
     """Layouts for those texts that are templates, by their text; compiled once, when the job is written."""
     options = {"tokens": tokens} if tokens else {}
-    return {text: ChatTemplate(text, **options) for text in texts if is_template(text)}
+    found = {}
+    for text in filter(is_template, texts):
+        try:
+            found[text] = ChatTemplate(text, **options)
+        except TemplateError as error:
+            raise TemplateError(f"Unknown chat layout {text!r}: {error}") from error
+    return found
