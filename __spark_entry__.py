@@ -551,15 +551,18 @@ def task_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     folder = _scratch(spark)
-    # Four files, one a batch; some requests are sent again in a later one.
-    requests = _requests(_table(spark, sf_dir, "documents")).withColumn("batch", F.pmod(F.xxhash64("task_id"), F.lit(4)))
-    again = F.when(F.col("batch") == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    sent = requests.withColumn("batch", F.explode(F.transform(again, lambda later: F.col("batch") + later)))
-    sent.repartition(4, "batch").write.partitionBy("batch").option("ignoreNullFields", False).json(f"{folder}/requests")
-    arriving = read_requests(spark, f"{folder}/requests/*", stream=True, max_files=1)
+    requests = _requests(_table(spark, sf_dir, "documents"))
+    quarter = F.pmod(F.xxhash64("task_id"), F.lit(4))
+    # Requests of one id share a file, and so its time; those without an id, which are rejected, are spread.
+    apart = F.when(F.col("task_id").isNull(), F.xxhash64("prompts"))
     completions = f"{folder}/completions"
     options = {"completions_table": completions}
-    serve_requests(arriving, STRICT, f"{folder}/served", f"{folder}/checkpoint", **options).awaitTermination()
+    # Four batches of as many files as they need; some requests are sent again in a later one.
+    for quarters in ((0,), (0, 1), (2,), (3,)):
+        sent = requests.filter(quarter.isin(*quarters)).repartition("task_id", apart)
+        sent.write.mode("append").option("ignoreNullFields", False).json(f"{folder}/requests")
+        arriving = read_requests(spark, f"{folder}/requests", stream=True)
+        serve_requests(arriving, STRICT, f"{folder}/served", f"{folder}/checkpoint", **options).awaitTermination()
     tasks = served_tasks(spark, f"{folder}/served")
     in_order = (F.col("queued_at") <= F.col("running_at")) & (
         F.coalesce(F.col("done_at"), F.col("running_at")) >= F.col("running_at")
@@ -626,10 +629,11 @@ def task_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _scratch(spark)
     # Events of a task arrive in several batches, in no order of time.
     turns = _table(spark, sf_dir, "conversations")
-    batch = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)).alias("batch")
-    turns.select("*", batch).repartition(4, "batch").write.partitionBy("batch").parquet(f"{folder}/turns")
-    arriving = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/turns/*")
-    stream_task_state(_task_events(arriving), f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+    quarter = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4))
+    for batch in range(4):
+        turns.filter(quarter == batch).write.mode("append").parquet(f"{folder}/turns")
+        arriving = spark.readStream.schema(turns.schema).parquet(f"{folder}/turns")
+        stream_task_state(_task_events(arriving), f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
     return known_tasks(latest_task_state(spark, f"{folder}/state"))
 
 
@@ -640,10 +644,10 @@ def task_expiry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = turns.agg(F.max("conv_id")).first()[0] or 0
     quarter = F.floor(F.col("conv_id") * 4 / (last + 1))
     for batch in range(4):  # one after the other, so that they arrive in this order
-        turns.filter(quarter == batch).coalesce(1).write.mode("append").parquet(f"{folder}/turns")
-    arriving = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/turns")
-    events = _task_events(arriving).withColumn("event_at", F.col("event_at") + 60 * (F.col("task_id").cast("double") + 1))
-    stream_task_state(events, f"{folder}/state", f"{folder}/checkpoint", ttl_seconds=TASK_TTL_SECONDS).awaitTermination()
+        turns.filter(quarter == batch).write.mode("append").parquet(f"{folder}/turns")
+        arriving = spark.readStream.schema(turns.schema).parquet(f"{folder}/turns")
+        events = _task_events(arriving).withColumn("event_at", F.col("event_at") + 60 * (F.col("task_id").cast("double") + 1))
+        stream_task_state(events, f"{folder}/state", f"{folder}/checkpoint", ttl_seconds=TASK_TTL_SECONDS).awaitTermination()
     return known_tasks(latest_task_state(spark, f"{folder}/state"))
 
 

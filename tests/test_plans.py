@@ -2,6 +2,7 @@ import json
 from hashlib import md5
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from promptloom.operators.generation import Engine
@@ -166,3 +167,48 @@ def test_a_job_goes_on_where_it_ended(spark, tmp_path):
     assert start().count() == 5
     spark.createDataFrame([(9, "late")], "k int, input string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     assert {r.k for r in start().collect()} == {*range(5), 9}
+
+
+@pytest.fixture
+def without_coalescing(spark):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    yield
+    spark.conf.set(setting, before)
+
+
+def rows_by_file(written):
+    return [r["count"] for r in written.groupBy(F.input_file_name()).count().collect()]
+
+
+def test_batches_of_requests_are_written_by_many_tasks(spark, tmp_path, monkeypatch, without_coalescing):
+    documents = [(i, f"line {i}\nother", "en", "web", 10) for i in range(800)]
+    documents += [(7, f"again {i}", "fr", "web", 5) for i in range(3)] + [(None, f"none {i}", "en", "web", 5) for i in range(200)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(documents, schema).repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(registry, "_scratch", lambda _: f"{tmp_path}/scratch")
+    result = registry.QUERIES["request_stream"](spark, str(tmp_path))
+    sent = spark.read.json(f"{tmp_path}/scratch/requests").select("task_id", F.input_file_name().alias("file"))
+    files = rows_by_file(sent)
+    assert len(files) == 32 and max(files) < 120
+    # Requests of one id have the time of one file in a batch, as their times are compared.
+    by_id = sent.filter("task_id IS NOT NULL").groupBy("task_id").agg(F.count_distinct("file").alias("files"), F.count("*").alias("n"))
+    assert by_id.filter("files > 2 OR task_id = '7' AND files * 4 <> n").count() == 0
+    # Those sent again come in a later batch, so that none of them is taken twice.
+    assert result.count() == by_id.count() == 840
+    served = spark.read.parquet(f"{tmp_path}/scratch/served/requests")
+    taken = {(r.batch_id, r.reason): r["count"] for r in served.groupBy("batch_id", "reason").count().collect()}
+    assert {batch for batch, reason in taken if reason is None} == {0, 1, 2, 3}
+    assert taken[1, "Repeated task id"] >= taken[0, None] and sum(taken.values()) == sum(files)
+
+
+@pytest.mark.parametrize("name", ["task_state_stream", "task_expiry_stream"])
+def test_batches_of_events_are_written_by_many_tasks(spark, tmp_path, monkeypatch, name):
+    turns = [(c, t, ("system", "user", "assistant")[t % 3], "x" * 300) for c in range(160) for t in range(5)]
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    spark.createDataFrame(turns, schema).repartition(8).write.parquet(f"{tmp_path}/conversations.parquet")
+    monkeypatch.setattr(registry, "_scratch", lambda _: f"{tmp_path}/scratch")
+    assert registry.QUERIES[name](spark, str(tmp_path)).count() == 160
+    files = rows_by_file(spark.read.parquet(f"{tmp_path}/scratch/turns"))
+    assert sum(files) == 800 and len(files) > 8 and max(files) < 100
