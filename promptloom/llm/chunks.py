@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from promptloom.llm.common import ranges, slices
 
 # The white space of tokenizers' pattern \s; str.split() also takes \x1c to \x1f.
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+# A column is encoded in blocks of so many bytes and a text.
+_BLOCK_BYTES = 4_000_000
 
 
 def white_space_split(text: str) -> list[str]:
@@ -83,8 +88,14 @@ class WordTable:
 
     def encode_split(self, words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after the other, and how many each run of so many words has."""
+        return self._encoded(self._numbered(words), counts)
+
+    def _numbered(self, words: list[str]) -> np.ndarray:
         number = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
         self._take_up_new()
+        return number
+
+    def _encoded(self, number: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = self.ends[number]
         lengths = self.ends[number + 1] - starts
         total = np.concatenate([[0], np.cumsum(lengths)])
@@ -106,3 +117,27 @@ class WordTable:
             parts.append(ids)
             counts.append(found)
         return np.concatenate(parts), np.concatenate(counts)
+
+    def encode_column(
+        self, texts: pa.Array, apart: Callable[[pa.Array], tuple[pa.Array, np.ndarray]]
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """As `encode`, for a column without nulls, block by block: the first text of a block, the ids
+        of its texts, and how many each has. Arrow splits texts at ASCII white space, as other white
+        space is left to `encode_words`, and finds the distinct words, so that Python sees each of them
+        once. `apart` gives the pieces of words, one after the other, and how many each word has."""
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+        block = (np.cumsum(sizes) - sizes) // _BLOCK_BYTES
+        for a, b in pairwise([*np.flatnonzero(np.diff(block, prepend=-1)).tolist(), len(texts)]):
+            self.renew()
+            words = pc.ascii_split_whitespace(texts.slice(a, b - a))
+            distinct = words.flatten().dictionary_encode()
+            pieces, n_pieces = apart(distinct.dictionary)
+            pieces = pieces.dictionary_encode()
+            number = self._numbered(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())[pieces.indices.to_numpy()]
+            book, lengths = self._encoded(number, n_pieces)
+            starts = np.cumsum(lengths) - lengths
+            at = distinct.indices.to_numpy()
+            own = lengths[at]
+            total = np.concatenate([[0], np.cumsum(own)])
+            ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False), dtype=np.int64)
+            yield a, book[ranges(starts[at], own)], np.diff(total[ends], prepend=0)

@@ -20,20 +20,23 @@ All numbers are little-endian; no rule crosses the end of a document.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
+import re
 import string
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from promptloom.llm.bpe import byte_letters
 from promptloom.llm.chunks import WordTable
-from promptloom.llm.common import ranges, slices, whole
+from promptloom.llm.common import ranges
 
 # A shard is closed at the first end of a document beyond so many ids.
 SHARD_IDS = 1 << 19
@@ -41,7 +44,10 @@ SHARD_IDS = 1 << 19
 LEAST_USES = 6
 _MARK = "\0"
 _MARKS = ".,!?;:#%&$*"
-_NOTHING = np.empty(0, dtype=np.int64)
+_NOTHING = np.empty(0, dtype=np.uint32)
+# Small letters of Latin-1: canonical as they are, and each capital's small letter is one of them.
+_LATIN = string.ascii_lowercase + "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_BYTE_LETTERS = [(x, "".join(map(byte_letters().__getitem__, x.encode()))) for x in _LATIN if not x.isascii()]
 
 SHARDS = (
     "part int, part_start bigint, seq int, first_symbol int, width int, symbols binary, rules binary, "
@@ -51,12 +57,18 @@ SHARDS = (
 
 def _sorted_pairs(left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of symbols of so many bits in ascending order, left above right, and the places they come from."""
-    pairs = (left.astype(np.uint64) << np.uint64(bits)) | right
+    pairs = left.astype(np.uint64)
+    pairs <<= np.uint64(bits)
+    pairs |= right
     room = 64 - 2 * bits
     if len(pairs) < 1 << room:
         # Pair and place in one number: sorting numbers is much faster than sorting places by them.
-        both = np.sort((pairs << np.uint64(room)) | np.arange(len(pairs), dtype=np.uint64))
-        return both >> np.uint64(room), (both & np.uint64((1 << room) - 1)).astype(np.int64)
+        pairs <<= np.uint64(room)
+        pairs |= np.arange(len(pairs), dtype=np.uint64)
+        pairs.sort()
+        order = (pairs & np.uint64((1 << room) - 1)).view(np.int64)
+        pairs >>= np.uint64(room)
+        return pairs, order
     order = np.argsort(pairs)
     return pairs[order], order
 
@@ -66,15 +78,19 @@ def compress(ids: np.ndarray, last: np.ndarray, first_symbol: int) -> tuple[np.n
 
     A round counts pairs of neighbours, makes rules of the frequent ones, the most frequent first,
     and replaces each place whose pair is more frequent than the pairs it overlaps; of a run of one
-    symbol every other place. Rounds go on until no pair is frequent. After the first, only places
-    are counted whose pair was frequent or has a new symbol, as other pairs cannot become frequent.
+    symbol every other place. Rounds go on until no pair is frequent. After the first, only symbols
+    are worked on that have a live pair: one that was frequent, or came of one that was by a rule
+    beside it, as other pairs cannot become frequent.
     """
-    symbols, last = ids.astype(np.uint32), last.copy()
+    result, last = ids.astype(np.uint32), last.copy()
+    there = np.ones(len(result), dtype=bool)
     rules: list[np.ndarray] = []
     next_symbol = first_symbol
-    live = np.ones(len(symbols), dtype=bool)
-    while len(symbols) > 1:
-        within = np.flatnonzero(live[:-1] & ~last[:-1])
+    # The symbols worked on, their places in the result, and whether the pair with the next one is live.
+    symbols, at, live = result.copy(), np.arange(len(result)), ~last
+    live[-1:] = False
+    while live.any():
+        within = np.flatnonzero(live)
         bits = max(16, int(next_symbol).bit_length())
         ordered, order = _sorted_pairs(symbols[within], symbols[within + 1], bits)
         heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))[: len(ordered)]
@@ -88,7 +104,9 @@ def compress(ids: np.ndarray, last: np.ndarray, first_symbol: int) -> tuple[np.n
         rank = np.full(len(symbols), none, dtype=np.int32)
         of_pair = np.full(len(heads), none, dtype=np.int32)
         of_pair[frequent] = np.arange(none, dtype=np.int32)
-        rank[within[order]] = np.repeat(of_pair, counts)
+        rank_within = np.empty(len(within), dtype=np.int32)
+        rank_within[order] = np.repeat(of_pair, counts)
+        rank[within] = rank_within
         chosen = rank < none
         chosen[1:] &= rank[1:] <= rank[:-1]
         chosen[:-1] &= rank[:-1] <= rank[1:]
@@ -108,17 +126,20 @@ def compress(ids: np.ndarray, last: np.ndarray, first_symbol: int) -> tuple[np.n
         rules.append(np.stack([pair >> shift, pair & ((np.uint64(1) << shift) - np.uint64(1))], axis=1))
         next_symbol += len(used)
         symbols[places] = number[rank[places]]
-        last[places] |= last[places + 1]
-        new = np.zeros(len(symbols), dtype=bool)
-        new[places] = True
-        keep = np.ones(len(symbols), dtype=bool)
+        left, right = at[places], at[places + 1]
+        result[left] = symbols[places]
+        last[left] |= last[right]
+        there[right] = False
+        live = rank < none
+        live[places] = live[places + 1]
+        keep = live.copy()
+        keep[1:] |= live[:-1]
         keep[places + 1] = False
-        live, new = (rank < none)[keep], new[keep]
-        symbols, last = symbols[keep], last[keep]
-        live |= new
-        live[:-1] |= new[1:]
+        kept = np.flatnonzero(keep)  # taking by places is much faster than by a mask of no pattern
+        symbols, at, live = symbols[kept], at[kept], live[kept]
     made = np.concatenate(rules).astype(np.uint32) if rules else np.empty((0, 2), dtype=np.uint32)
-    return symbols, made, last
+    kept = np.flatnonzero(there)
+    return result[kept], made, last[kept]
 
 
 def rule_lengths(rules: np.ndarray, first_symbol: int) -> np.ndarray:
@@ -190,95 +211,129 @@ def _shard(ids: list[np.ndarray], doc_ids: list[int | None], tokens: list[int],
     }
 
 
-@functools.cache
-def _library_table(path: str) -> tuple[WordTable, int]:
-    """The tokenizers library's encoding of words, and the first number free for rules."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-    from tokenizers.pre_tokenizers import WhitespaceSplit
+class LibraryTable:
+    """The tokenizers library's encoding of words, each of which it sees once while a bounded table holds it.
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
+    `first_free` is the first number free for rules.
+    """
 
-    def one_by_one(words: list[str], by=tokenizer) -> list[list[int]]:
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        # The library's model alone, for words that its normaliser and its pattern leave as they are but
+        # for letters that stand for bytes: runs of letters, if that is so for the samples.
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer, self.bare.pre_tokenizer = None, WhitespaceSplit()
+        self.first_free = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+
+        a, mark = self.one_by_one(["a", _MARK])
+        self.joinable = len(mark) == 1 and self.one_by_one([f"a {_MARK} a"])[0] == a + mark + a
+        # Letters of which no added token is made, alone or with marks: it would be found inside words.
+        added = [set(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        known = [x for x in (_LATIN, string.ascii_lowercase) if not any(own <= {*x, *_capitals(x), *_MARKS} for own in added)]
+        plain = next((x for x in known if self._is_plain(x)), None)
+        self.plain = re.compile(f"[{plain}]+") if plain else None
+        # Letters and the marks after them are words of their own where the library says so for each mark:
+        # then "Word", "word," and "word." need the library once.
+        self.letters = next((x for x in known if self._marks_stand_apart(x)), "")
+        self.table = WordTable(self.encode_words, most_words=800_000, most_chars=24_000_000)
+
+    def one_by_one(self, words: list[str], bare: bool = False) -> list[list[int]]:
+        by = self.bare if bare else self.tokenizer
         return [encoding.ids for encoding in by.encode_batch_fast(words, add_special_tokens=False)]
 
-    def joined(words: list[str], mark: str, by=tokenizer) -> tuple[np.ndarray, np.ndarray]:
+    def _is_plain(self, letters: str) -> bool:
+        if not self.joinable or len(self.one_by_one(["!"], bare=True)[0]) != 1:
+            return False
+        probes = [*letters, letters, letters[::-1], "the", "tokenization", "zzyzx", "aeiou" * 9, letters[-1] * 9]
+        probes += [f"{x}{y}{x}" for x, y in zip(letters, letters[::-1], strict=True)]
+        return self.one_by_one(probes) == self.one_by_one(list(map(_as_bytes, probes)), bare=True)
+
+    def _marks_stand_apart(self, letters: str) -> bool:
+        marks = [*_MARKS, _MARKS, _MARKS[:2]]
+        together = ["ab" + mark for mark in marks] + [x + _MARKS for x in (*letters, *_capitals(letters))]
+        apart = ["ab " + mark for mark in marks] + [f"{x} {_MARKS}" for x in (*letters, *_capitals(letters).lower())]
+        return self.one_by_one(together) == self.one_by_one(apart)
+
+    def _joined(self, words: list[str], mark: str, bare: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Words are encoded 64 at a time, a mark after each that is a token of its own, which spares
         the library much work for each call."""
-        end = one_by_one([mark], by)[0]
-        found: list[np.ndarray] = []
+        end = self.one_by_one([mark], bare)[0]
+        found: list[np.ndarray] = [_NOTHING]
         for start in range(0, len(words), 64 * 64):
             stop = min(start + 64 * 64, len(words))
             texts = [f" {mark} ".join(words[i : min(i + 64, stop)]) + f" {mark}" for i in range(start, stop, 64)]
-            own = one_by_one(texts, by)
-            found.append(np.fromiter(chain.from_iterable(own), dtype=np.uint32, count=sum(map(len, own))))
+            own = self.one_by_one(list(map(_as_bytes, texts)) if bare else texts, bare)
+            found.append(np.fromiter(itertools.chain.from_iterable(own), dtype=np.uint32, count=sum(map(len, own))))
         ids = np.concatenate(found)
         ends = np.flatnonzero(ids == end[0])
         return ids[ids != end[0]], np.diff(ends, prepend=-1) - 1
 
-    mark = one_by_one([_MARK])[0]
-    joinable = len(mark) == 1 and one_by_one([f"a {_MARK} a"])[0] == one_by_one(["a"])[0] + mark + one_by_one(["a"])[0]
-
-    def encode_any(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if joinable and not any(_MARK in word for word in words):
-            return joined(words, _MARK)
-        single = one_by_one(words)
+    def _encode_any(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.joinable and not any(_MARK in word for word in words):
+            return self._joined(words, _MARK)
+        single = self.one_by_one(words)
         return np.array([i for own in single for i in own], dtype=np.uint32), np.array(list(map(len, single)), dtype=np.int64)
 
-    # The library's model alone, for words that its normaliser and its pattern leave as they are:
-    # runs of a-z, if that is so for the samples.
-    bare = Tokenizer.from_file(path)
-    bare.normalizer, bare.pre_tokenizer = None, WhitespaceSplit()
-    probes = [*string.ascii_lowercase, string.ascii_lowercase, "the", "tokenization", "zzyzx", "aeiou" * 9]
-    plain = joinable and one_by_one(probes) == one_by_one(probes, bare) and len(one_by_one(["!"], bare)[0]) == 1
-
-    def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        groups: tuple[list[str], list[str]] = ([], [])
-        is_bare = np.empty(len(words), dtype=bool)
-        for i, word in enumerate(words):
-            kind = plain and word.isascii() and word.isalpha() and word.islower()
-            is_bare[i] = kind
-            groups[not kind].append(word)
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.plain is None:
+            return self._encode_any(words)
+        is_plain = np.fromiter((x is not None for x in map(self.plain.fullmatch, words)), dtype=bool, count=len(words))
         parts = [
-            joined(groups[0], "!", bare) if groups[0] else (_NOTHING, _NOTHING),
-            encode_any(groups[1]) if groups[1] else (_NOTHING, _NOTHING),
+            self._joined(list(itertools.compress(words, is_plain)), "!", bare=True),
+            self._encode_any(list(itertools.compress(words, ~is_plain))),
         ]
         lengths = np.empty(len(words), dtype=np.int64)
         starts = np.empty(len(words), dtype=np.int64)
-        for kind, (ids, own), before in zip((is_bare, ~is_bare), parts, (0, len(parts[0][0])), strict=True):
+        for kind, (_, own), before in zip((is_plain, ~is_plain), parts, (0, len(parts[0][0])), strict=True):
             lengths[kind] = own
             starts[kind] = before + np.cumsum(own) - own
         return np.concatenate([ids for ids, _ in parts]).astype(np.uint32)[ranges(starts, lengths)], lengths
 
-    # Letters and the marks after them are words of their own where the library says so for each mark:
-    # then "Word", "word," and "word." need the library once.
-    samples = ["ab" + mark for mark in _MARKS] + ["ab" + _MARKS, "Ab", "ab" + _MARKS[:2]]
-    apart = ["ab " + mark for mark in _MARKS] + ["ab " + _MARKS, "ab", "ab " + _MARKS[:2]]
-    first_free = max(tokenizer.get_vocab(with_added_tokens=True).values()) + 1
-    pieces = WordTable(encode_words, most_words=800_000, most_chars=24_000_000)
-    if one_by_one(samples) != one_by_one(apart):
-        return pieces, first_free
-
-    def by_piece(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        split: list[str] = []
-        counts = np.ones(len(words), dtype=np.int64)
-        for i, word in enumerate(words):
-            if word.isascii():
-                lower = word.lower()
-                stem = lower.rstrip(_MARKS)
-                if stem.isalpha():
-                    split.append(stem)
-                    if len(stem) < len(lower):
-                        split.append(lower[len(stem) :])
-                        counts[i] = 2
-                    continue
-            split.append(word)
-        pieces.renew()
-        return pieces.encode_split(split, counts)
-
-    return WordTable(by_piece, most_words=1_000_000, most_chars=30_000_000), first_free
+    def apart(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Words as their letters in lower case and the marks after them, others whole; and their numbers of pieces."""
+        if not self.letters:
+            return words, np.ones(len(words), dtype=np.int64)
+        pattern = f"^[{self.letters}{_capitals(self.letters)}]+[{_MARKS}]*$"
+        known = pc.match_substring_regex(words, pattern)
+        lower = pc.if_else(known, pc.utf8_lower(words), words)
+        first = pc.if_else(known, pc.ascii_rtrim(lower, characters=_MARKS), lower)
+        marks = pc.utf8_ltrim(lower, characters=self.letters)
+        has_marks = pc.and_(known, pc.not_equal(pc.binary_length(marks), 0)).to_numpy(zero_copy_only=False)
+        counts = 1 + has_marks.astype(np.int64)
+        # All first pieces, then all marks, taken in the order of the words.
+        place = np.cumsum(counts) - counts
+        order = np.empty(int(counts.sum()), dtype=np.int64)
+        order[place] = np.arange(len(words))
+        order[place[has_marks] + 1] = len(words) + np.arange(int(has_marks.sum()))
+        return pa.concat_arrays([first, marks.filter(pa.array(has_marks))]).take(pa.array(order)), counts
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The first text of each block of texts, their ids, and how many each has; null is empty."""
+        return self.table.encode_column(texts.fill_null(""), self.apart)
+
+
+def _capitals(letters: str) -> str:
+    return "".join(x for x in map(str.upper, letters) if x.lower() in letters and len(x) == 1 and x <= "Þ")
+
+
+def _as_bytes(text: str) -> str:
+    """The text with the letters of byte-level vocabularies for its bytes; white space stays."""
+    if text.isascii():
+        return text
+    for letter, stands in _BYTE_LETTERS:
+        text = text.replace(letter, stands)
+    return text
+
+
+@functools.cache
+def _library_table(path: str) -> LibraryTable:
+    return LibraryTable(path)
 
 
 def write_token_files(
@@ -292,8 +347,8 @@ def write_token_files(
     """
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, first_symbol = _library_table(path)
-        first_symbol = max(first_symbol, end_id + 1)
+        table = _library_table(path)
+        first_symbol = max(table.first_free, end_id + 1)
         part, part_start, seq = TaskContext.get().partitionId(), 0, 0
         ids: list[np.ndarray] = []
         doc_ids: list[int | None] = []
@@ -308,11 +363,10 @@ def write_token_files(
             return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
         for batch in batches:
-            numbers, texts = batch.column(0).to_pylist(), whole(batch.column(1).to_pylist())
-            for a, b in slices(texts):
-                encoded, counts = table.encode(texts[a:b])
+            numbers = batch.column(0).to_pylist()
+            for a, encoded, counts in table.encode(batch.column(1)):
                 start = 0
-                for doc_id, n in zip(numbers[a:b], counts.tolist(), strict=True):
+                for doc_id, n in zip(numbers[a : a + len(counts)], counts.tolist(), strict=True):
                     ids.append(np.append(encoded[start : start + n], np.uint32(end_id)))
                     start += n
                     doc_ids.append(doc_id)

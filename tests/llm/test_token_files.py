@@ -1,12 +1,14 @@
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from corpus_pipeline import tokenizer_path
-from promptloom.llm import token_files
+from promptloom.llm import chunks, token_files
 from promptloom.llm.token_files import LEAST_USES, Shard, _shard, compress, expanded, rule_lengths
 from tests.llm.rows import documents, nothing, sample
 
@@ -125,3 +127,58 @@ def test_runs_of_one_symbol():
     ids = np.full(4096, 3)
     symbols, rules, _ = compress(ids, np.zeros(4096, dtype=bool), 50)
     assert len(symbols) < 12 and np.array_equal(written_out(symbols, rules, 50), ids)
+
+
+LETTERS = "abzßàéöøþÿ" + "ABZÀÉÖØÞ"
+ODD = ["\xa0", "\x1c", "\x85", "\u3000", "\0", "\u0301", "\u0338", *"ΣςİŸµª×日😀9", "'s", "<|endoftext|>"]
+
+
+def column_ids(table, texts):
+    found = []
+    for first, ids, counts in table.encode(texts):
+        assert first == len(found)
+        found += [own.tolist() for own in np.split(ids, np.cumsum(counts)[:-1])]
+        assert sum(counts) == len(ids)
+    return found
+
+
+@pytest.mark.parametrize("block", [1, 300, 4_000_000])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_columns_are_encoded_as_by_the_library(monkeypatch, block, kind):
+    monkeypatch.setattr(chunks, "_BLOCK_BYTES", block)
+    rnd = random.Random(block)
+    usual, odd = [*LETTERS, *".,!?;:#%&$*", *"  \t\n"], [*LETTERS, *".,!*", *ODD, *"  \v"]
+    texts = ["".join(rnd.choices(rnd.choice([usual, odd]), k=rnd.choice([1, 4, 30]))) for _ in range(2000)]
+    texts = ["", " ", None, "\n a ", *texts, None]
+    wanted = [encoding.ids for encoding in LIBRARY.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+    table = token_files.LibraryTable(PATH)
+    assert column_ids(table, pa.array(["x", *texts], kind)[1:]) == wanted
+    assert column_ids(table, pa.array([], kind)) == []
+
+
+def test_the_library_sees_a_word_once(monkeypatch):
+    """Capitals and marks make no new words, of whatever Latin letters, and the model alone encodes those."""
+    table = token_files.LibraryTable(PATH)
+    by_model, by_library = [], []
+    joined, any_words = table._joined, table._encode_any
+
+    def noted(words, mark, bare=False):
+        by_model.extend(words if bare else [])
+        return joined(words, mark, bare=bare)
+
+    monkeypatch.setattr(table, "_joined", noted)
+    monkeypatch.setattr(table, "_encode_any", lambda words: by_library.extend(words) or any_words(words))
+    texts = pa.array(["Éclair éclair, ÉCLAIR! word Word; größe", "Größe, éclair.*** WORD! größe; 12"] * 50)
+    assert column_ids(table, texts)[:2] == [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts[:2].to_pylist()]
+    assert sorted(by_model) == sorted(["éclair", "word", "größe"])
+    assert sorted(by_library) == sorted([",", "!", ";", ".***", "12"])
+
+
+@pytest.mark.parametrize("added", [["für"], ["cat"], ["ß"], ["e!"]])
+def test_added_tokens_inside_words(tmp_path, added):
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.add_tokens(added)
+    tokenizer.save(str(tmp_path / "added.json"))
+    texts = ["a cat concatenates", "für Dafür, daß Straße!", "one! two"]
+    table = token_files.LibraryTable(str(tmp_path / "added.json"))
+    assert column_ids(table, pa.array(texts)) == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
